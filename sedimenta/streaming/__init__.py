@@ -1,0 +1,5 @@
+"""Intentionally empty: the pipelines covered here are batch-only.
+
+Change capture is expressed as keyed batch upserts (``operators.upsert``) and
+version history (``operators.scd2``), so there is no stateful stream to run.
+"""
