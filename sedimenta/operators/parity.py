@@ -29,8 +29,12 @@ def manifests(tables: Mapping[str, tuple[DataFrame, Sequence[str], str | None]])
 
 
 def _paired(left: DataFrame, right: DataFrame) -> DataFrame:
-    joined = left.alias("a").join(right.alias("b"), F.col("a.table_name") == F.col("b.table_name"), "full_outer")
-    return joined.withColumn("table_name", F.coalesce(F.col("a.table_name"), F.col("b.table_name")))
+    """Both manifests side by side as ``a`` and ``b``, one row per table of either."""
+    return left.alias("a").join(right.alias("b"), F.col("a.table_name") == F.col("b.table_name"), "full_outer")
+
+
+def _either_name() -> Column:
+    return F.coalesce(F.col("a.table_name"), F.col("b.table_name"))
 
 
 def _check(tier: str, applies: Column, failed: Column, expected: Column, observed: Column) -> Column:
@@ -62,9 +66,11 @@ def compare_manifests(baseline: DataFrame, rebuilt: DataFrame, expected_rows: Ma
         _check("T3", both & b["key_nulls"].isNotNull(), b["key_nulls"] != 0, F.lit(0), b["key_nulls"]),
     ]
     if expected_rows:
-        stated = F.create_map(*[F.lit(x) for pair in expected_rows.items() for x in pair])[F.col("table_name")]
+        stated = F.create_map(*[F.lit(x) for pair in expected_rows.items() for x in pair])[_either_name()]
         checks.append(_check("T5", in_b & stated.isNotNull(), b["row_count"] != stated, stated, b["row_count"]))
-    return _paired(baseline, rebuilt).select("table_name", F.inline(F.array_compact(F.array(*checks))))
+    return _paired(baseline, rebuilt).select(
+        _either_name().alias("table_name"), F.inline(F.array_compact(F.array(*checks)))
+    )
 
 
 def compare_runs(first: DataFrame, second: DataFrame) -> DataFrame:
@@ -74,7 +80,7 @@ def compare_runs(first: DataFrame, second: DataFrame) -> DataFrame:
     ts_same = F.col("a.max_ts").eqNullSafe(F.col("b.max_ts"))
     present = F.col("a.table_name").isNotNull() & F.col("b.table_name").isNotNull()
     return _paired(first, second).select(
-        "table_name",
+        _either_name().alias("table_name"),
         (F.coalesce(F.col("b.row_count"), F.lit(0)) - F.coalesce(F.col("a.row_count"), F.lit(0))).alias("row_delta"),
         present.alias("in_both"),
         rows_same.alias("rows_same"),

@@ -100,8 +100,8 @@ def no_current(dim: DataFrame, src: DataFrame, spec: DimensionSpec = DIM_APPLICA
 def orphans(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> DataFrame:
     """Foreign-key values without a parent row, with the number of child rows.
 
-    The child is reduced to its distinct key values before the join, so neither
-    its width nor a hot value reaches the join. NULL is "no reference".
+    Both sides are reduced to their distinct key values before the join, so
+    neither width nor a hot value reaches it. NULL is "no reference".
     """
     references = (
         child.select(F.col(child_key).alias("key"))
@@ -109,7 +109,7 @@ def orphans(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str
         .groupBy("key")
         .agg(F.count(F.lit(1)).alias("child_rows"))
     )
-    parents = parent.select(F.col(parent_key).alias("key"))
+    parents = parent.select(F.col(parent_key).alias("key")).distinct()
     return references.join(parents, ["key"], "left_anti")
 
 
