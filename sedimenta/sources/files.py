@@ -24,10 +24,8 @@ def header_schema(spark: SparkSession, path: str, types: Mapping[str, str]) -> T
     """
     header = spark.read.option("header", True).csv(path).columns
     by_name = {name.lower(): data_type for name, data_type in types.items()}
-    schema = T.StructType()
-    for name in header:
-        schema.add(name, by_name.get(name.lower(), "string"))
-    return schema
+    columns = [f"`{name.replace('`', '``')}` {by_name.get(name.lower(), 'string')}" for name in header]
+    return T.StructType.fromDDL(", ".join(columns))
 
 
 def read_csv(spark: SparkSession, path: str, types: Mapping[str, str] | None = None, *,

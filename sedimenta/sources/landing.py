@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from urllib.parse import quote, unquote
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -17,16 +18,21 @@ IN_MEMORY_BYTES = 128 * 1024 * 1024
 _CHUNK = 8 * 1024 * 1024
 
 
-def _stream_sha256(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _open_stream(path: str):
     from pyarrow import fs
 
+    if path.startswith("file:"):
+        return fs.LocalFileSystem().open_input_stream("/" + path.removeprefix("file:").lstrip("/"))
+    filesystem, location = fs.FileSystem.from_uri(quote(path, safe="/:@"))
+    return filesystem.open_input_stream(location)
+
+
+def _stream_sha256(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         digests = []
         for path in batch["path"]:
-            uri = path if "://" in path else "file://" + path.removeprefix("file:")
-            filesystem, location = fs.FileSystem.from_uri(uri)
             digest = hashlib.sha256()
-            with filesystem.open_input_stream(location) as stream:
+            with _open_stream(path) as stream:
                 while chunk := stream.read(_CHUNK):
                     digest.update(chunk)
             digests.append(digest.hexdigest())
@@ -51,7 +57,15 @@ def landing_manifest(spark: SparkSession, landing_dir: str, *, in_memory_bytes:
     large = listed.repartition(F.col("path")).mapInPandas(
         _stream_sha256, "file_name string, path string, bytes bigint, sha256 string"
     )
-    return small.unionByName(large)
+    # The scan skips empty files. The session's own listing, one short path per
+    # file, has them too; what it holds beyond the scan is empty.
+    paths = [(unquote(p).replace("file:///", "file:/"),) for p in files.inputFiles()]
+    empty = (
+        spark.createDataFrame(paths, "path string")
+        .join(files.select("path"), ["path"], "left_anti")
+        .select(file_name, "path", F.lit(0).cast("bigint").alias("bytes"), F.sha2(F.lit(""), 256).alias("sha256"))
+    )
+    return small.unionByName(large).unionByName(empty)
 
 
 def record_landing(manifest: DataFrame, *, batch_id: str, env: str, ingestion_ts: str) -> DataFrame:
