@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import columns as fn
-from .cleanse import latest_per_key
 
 
 def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -31,10 +30,21 @@ def upsert_latest(target: DataFrame, updates: DataFrame, keys: Sequence[str],
                   order: Sequence[str] = ("ingestion_ts",)) -> DataFrame:
     """Upsert in which an older update never replaces a newer row.
 
-    For replays and late batches: the result does not depend on arrival order.
-    Equal to ``upsert`` when every update is newer than the row it meets.
+    For replays and late batches. An update as old as the stored row replaces
+    it, so a corrected replay of the same batch takes effect; a NULL order is
+    older than any other. Only key and order columns of the target are read to
+    decide, and only those of rows the updates meet are kept.
     """
-    return latest_per_key(target.unionByName(updates), keys, order)
+    stored = (
+        target.select(*keys, F.struct(*order).alias("_stored"))
+        .join(updates.select(*keys), list(keys), "left_semi")
+    )
+    accepted = (
+        updates.join(stored, list(keys), "left")
+        .filter(F.col("_stored").isNull() | (F.struct(*order) >= F.col("_stored")))
+        .select(*updates.columns)
+    )
+    return upsert(target, accepted, keys)
 
 
 def lookup_rows(df: DataFrame, code: str, id_name: str, code_name: str,

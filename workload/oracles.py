@@ -53,21 +53,22 @@ VIEWS = {
             SELECT SK_ID_BUREAU, COUNT(*) AS months_observed, MAX(MONTHS_BALANCE) AS latest_month,
                    MIN(MONTHS_BALANCE) AS earliest_month, COUNT(*) FILTER (WHERE STATUS = 'error') AS overdue_months
             FROM v_balance_latest GROUP BY 1) f USING (SK_ID_BUREAU)""",
+    "v_batch": """
+        SELECT o_orderstatus, c_custkey AS applicant_id, c_custkey AS SK_ID_CURR,
+               CASE o_orderpriority WHEN '1-URGENT' THEN 'Working' WHEN '2-HIGH' THEN 'Working'
+                    WHEN '4-NOT SPECIFIED' THEN NULL ELSE 'Pensioner' END AS name_income_type,
+               n_name AS name_education_type,
+               CASE WHEN o_totalprice < 250000 THEN 'Single' ELSE 'Married' END AS name_family_status,
+               CASE WHEN o_totalprice < 50000 THEN NULL WHEN o_totalprice < 250000 THEN 0 ELSE 1 END AS cnt_children
+        FROM (SELECT * FROM orders QUALIFY row_number() OVER (
+                  PARTITION BY o_orderstatus, o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1)
+        JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey""",
     "v_dim_v1": """
-        SELECT sha256(CAST(c_custkey AS VARCHAR) || '|2024-01-01T00:00:00.000000') AS applicant_sk,
-               c_custkey AS applicant_id, c_custkey AS SK_ID_CURR,
-               CASE WHEN c_custkey % 13 = 0 THEN NULL ELSE c_mktsegment END AS name_income_type,
-               n_name AS name_education_type, CASE WHEN c_acctbal < 0 THEN 'A' ELSE 'B' END AS name_family_status,
-               CASE WHEN c_custkey % 17 = 0 THEN NULL ELSE CAST(c_custkey % 5 AS INT) END AS cnt_children,
-               TIMESTAMP '2024-01-01 00:00:00' AS start_date, CAST(NULL AS TIMESTAMP) AS end_date, TRUE AS is_current
-        FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey % 7 <> 0""",
-    "v_dim_src": """
-        SELECT c_custkey AS applicant_id, c_custkey AS SK_ID_CURR,
-               CASE WHEN c_custkey % 10 = 0 THEN 'CHANGED' WHEN c_custkey % 10 = 1 THEN NULL ELSE c_mktsegment END
-                   AS name_income_type,
-               n_name AS name_education_type, CASE WHEN c_acctbal < 0 THEN 'A' ELSE 'B' END AS name_family_status,
-               CAST(c_custkey % 5 AS INT) AS cnt_children
-        FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey % 19 <> 0""",
+        SELECT sha256(CAST(applicant_id AS VARCHAR) || '|2024-01-01T00:00:00.000000') AS applicant_sk,
+               * EXCLUDE o_orderstatus, TIMESTAMP '2024-01-01 00:00:00' AS start_date,
+               CAST(NULL AS TIMESTAMP) AS end_date, TRUE AS is_current
+        FROM v_batch WHERE o_orderstatus = 'F'""",
+    "v_dim_src": "SELECT * EXCLUDE o_orderstatus FROM v_batch WHERE o_orderstatus = 'O'",
     "v_changed": """
         SELECT d.applicant_id,
                d.name_income_type IS DISTINCT FROM s.name_income_type
@@ -89,21 +90,19 @@ VIEWS = {
         FROM v_dim_src
         WHERE applicant_id NOT IN (SELECT applicant_id FROM v_changed WHERE NOT changed)""",
     "v_silver_source": """
-        SELECT CASE WHEN c_custkey % 50 = 0 THEN NULL ELSE c_custkey END AS SK_ID_CURR, c_mktsegment, n_name,
-               CASE WHEN c_acctbal < 0 THEN 'A' ELSE 'B' END AS status, CAST(c_custkey % 5 AS INT) AS children,
+        SELECT CASE WHEN c_acctbal >= 0 THEN c_custkey END AS SK_ID_CURR, c_mktsegment, n_name,
+               CASE WHEN c_acctbal < 5000 THEN 'A' ELSE 'B' END AS status, c_nationkey AS children,
                TIMESTAMP '2024-01-01 00:00:00' AS ingestion_ts
         FROM customer JOIN nation ON c_nationkey = n_nationkey""",
-    "v_target": """
-        SELECT c_custkey, c_name, c_mktsegment, CAST(c_acctbal AS DECIMAL(18,2)) AS c_acctbal,
-               TIMESTAMP '2024-01-02 00:00:00' AS ingestion_ts
-        FROM customer WHERE c_custkey % 3 <> 0""",
-    "v_updates": """
-        SELECT c_custkey, c_name, c_mktsegment, CAST(CAST(c_acctbal AS DECIMAL(18,2)) + 1000 AS DECIMAL(18,2)) AS c_acctbal,
-               CASE WHEN c_custkey % 4 = 0 THEN TIMESTAMP '2024-01-01 00:00:00'
-                    ELSE TIMESTAMP '2024-01-03 00:00:00' END AS ingestion_ts
-        FROM customer WHERE c_custkey % 2 = 0""",
+    "v_latest_loan": """
+        SELECT o_orderstatus, o_custkey AS applicant_id, o_orderkey AS SK_ID_CURR, o_orderpriority AS NAME_CONTRACT_TYPE,
+               CAST(o_totalprice AS DECIMAL(18,2)) AS AMT_CREDIT, o_orderdate AS ingestion_ts
+        FROM orders QUALIFY row_number() OVER (
+            PARTITION BY o_orderstatus, o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1""",
+    "v_target": "SELECT * EXCLUDE o_orderstatus FROM v_latest_loan WHERE o_orderstatus = 'F'",
+    "v_updates": "SELECT * EXCLUDE o_orderstatus FROM v_latest_loan WHERE o_orderstatus = 'O'",
     "v_upserted": """
-        SELECT * FROM v_target WHERE c_custkey NOT IN (SELECT c_custkey FROM v_updates)
+        SELECT * FROM v_target WHERE applicant_id NOT IN (SELECT applicant_id FROM v_updates)
         UNION ALL SELECT * FROM v_updates""",
     "v_loans": f"""
         SELECT sha256(CAST(SK_ID_CURR AS VARCHAR)) AS fact_loan_application_sk, SK_ID_CURR, applicant_id,
@@ -117,9 +116,13 @@ NEEDS = {
     "v_instalment_latest": ["v_instalment"],
     "v_balance_latest": ["v_balance"],
     "v_records": ["v_bureau", "v_balance", "v_balance_latest"],
-    "v_changed": ["v_dim_v1", "v_dim_src"],
-    "v_dim_v2": ["v_dim_v1", "v_dim_src", "v_changed"],
-    "v_upserted": ["v_target", "v_updates"],
+    "v_dim_v1": ["v_batch"],
+    "v_dim_src": ["v_batch"],
+    "v_changed": ["v_batch", "v_dim_v1", "v_dim_src"],
+    "v_dim_v2": ["v_batch", "v_dim_v1", "v_dim_src", "v_changed"],
+    "v_target": ["v_latest_loan"],
+    "v_updates": ["v_latest_loan"],
+    "v_upserted": ["v_latest_loan", "v_target", "v_updates"],
     "v_loans": ["v_application"],
 }
 
@@ -186,9 +189,9 @@ oracle("stg_application", "v_silver_source", STAGED)
 oracle("int_applicant_attributes", "v_silver_source", STAGED)
 oracle("int_bureau_with_balance", "v_bureau", "SELECT SK_ID_BUREAU, SK_ID_CURR FROM v_bureau")
 oracle("typed_cast", "", """
-    SELECT o_orderkey AS SK_ID_CURR, CASE WHEN o_orderkey % 10 <> 0 THEN o_totalprice END AS AMT_CREDIT,
+    SELECT o_orderkey AS SK_ID_CURR, CASE WHEN o_orderpriority <> '4-NOT SPECIFIED' THEN o_totalprice END AS AMT_CREDIT,
            CASE WHEN o_orderstatus <> 'P' THEN CAST(-(o_orderkey % 700) AS INT) END AS DAYS_DECISION,
-           concat_ws(',', CASE WHEN o_orderkey % 10 = 0 THEN 'bad_AMT_CREDIT' END,
+           concat_ws(',', CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 'bad_AMT_CREDIT' END,
                      CASE WHEN o_orderstatus = 'P' THEN 'bad_DAYS_DECISION' END) AS failed_rules
     FROM orders""")
 oracle("null_sentinel", "v_applicant", """
@@ -212,9 +215,9 @@ oracle("latest_balance", "v_balance_latest", f"""
     SELECT * EXCLUDE ingestion_ts, {text('ingestion_ts')} FROM v_balance_latest""")
 
 
-def latest(source: str, keys: str) -> str:
+def latest(source: str, keys: str, ties: str = "arrival") -> str:
     return f"""SELECT * FROM ({source}) QUALIFY row_number() OVER (
-        PARTITION BY {keys} ORDER BY ingestion_ts DESC NULLS LAST, arrival DESC NULLS LAST) = 1"""
+        PARTITION BY {keys} ORDER BY ingestion_ts DESC, {', '.join(f"{t} DESC" for t in ties.split(', '))}) = 1"""
 
 
 oracle("silver_application", "", f"""
@@ -223,45 +226,44 @@ oracle("silver_application", "", f"""
                o_orderpriority, o_totalprice
         FROM orders''', 'SK_ID_CURR')})
     SELECT SK_ID_CURR, CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 0 END AS TARGET,
-           o_orderpriority AS NAME_CONTRACT_TYPE, CASE WHEN arrival % 29 = 0 THEN 0.0::DOUBLE ELSE o_totalprice END AS AMT_CREDIT,
+           o_orderpriority AS NAME_CONTRACT_TYPE,
+           CASE WHEN o_totalprice < 50000 THEN 0.0::DOUBLE ELSE o_totalprice END AS AMT_CREDIT,
            CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderpriority END AS ORGANIZATION_TYPE,
-           CASE WHEN arrival % 31 <> 0 THEN CAST(arrival % 4 AS INT) END AS CNT_CHILDREN,
+           CASE WHEN o_orderpriority <> '4-NOT SPECIFIED' THEN CAST(substr(o_orderpriority, 1, 1) AS INT) END AS CNT_CHILDREN,
            {text('ingestion_ts')}, arrival,
            sha256(CAST(-7000 - SK_ID_CURR % 18000 AS VARCHAR)) AS DAYS_BIRTH_MASKED,
-           CASE WHEN SK_ID_CURR % 11 <> 0 THEN sha256(CAST(-(arrival % 9000) AS VARCHAR)) END AS DAYS_EMPLOYED_MASKED,
-           SK_ID_CURR % 11 = 0 AS DAYS_EMPLOYED_IS_SENTINEL, o_orderpriority = '5-LOW' AS ORGANIZATION_TYPE_IS_SENTINEL,
+           CASE WHEN o_orderpriority <> '2-HIGH' THEN sha256(CAST(-(arrival % 9000) AS VARCHAR)) END AS DAYS_EMPLOYED_MASKED,
+           o_orderpriority = '2-HIGH' AS DAYS_EMPLOYED_IS_SENTINEL,
+           o_orderpriority = '5-LOW' AS ORGANIZATION_TYPE_IS_SENTINEL,
            TRUE AS is_current, CAST(CAST(ingestion_ts AS DATE) AS VARCHAR) AS start_date,
            CAST(NULL AS VARCHAR) AS end_date,
-           concat_ws(',', CASE WHEN arrival % 31 = 0 THEN 'bad_CNT_CHILDREN' END,
+           concat_ws(',', CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 'bad_CNT_CHILDREN' END,
                      CASE WHEN o_orderstatus = 'P' THEN 'target_missing' END,
-                     CASE WHEN arrival % 29 = 0 OR o_totalprice <= 0 THEN 'credit_not_positive' END) AS failed_rules
+                     CASE WHEN o_totalprice < 50000 THEN 'credit_not_positive' END) AS failed_rules
     FROM b""")
 oracle("silver_bureau", "", f"""
-    WITH b AS ({latest('''
-        SELECT event_id % 4000 AS SK_ID_BUREAU, user_id, event_type, value, ts AS ingestion_ts, event_id AS arrival
-        FROM events''', 'SK_ID_BUREAU')})
-    SELECT SK_ID_BUREAU, user_id AS SK_ID_CURR,
+    WITH b AS ({latest('SELECT *, ts AS ingestion_ts, event_id AS arrival FROM events', 'user_id')})
+    SELECT user_id AS SK_ID_BUREAU, event_id AS SK_ID_CURR,
            CASE WHEN event_type <> 'error' THEN CAST(-(arrival % 900) AS INT) END AS DAYS_CREDIT,
            CAST(CAST(value AS DECIMAL(18,2)) AS DOUBLE) AS AMT_CREDIT_SUM, value AS AMT_CREDIT_SUM_DEBT,
            {text('ingestion_ts')}, arrival,
            CASE WHEN event_type = 'error' THEN 'bad_DAYS_CREDIT' ELSE '' END AS failed_rules
     FROM b""")
 oracle("silver_previous_application", "", f"""
-    WITH b AS ({latest('''
-        SELECT o_orderkey % 9000 AS SK_ID_PREV, o_custkey, o_totalprice, o_orderstatus, o_orderdate AS ingestion_ts,
-               o_orderkey AS arrival
-        FROM orders''', 'SK_ID_PREV')})
-    SELECT SK_ID_PREV, o_custkey AS SK_ID_CURR, CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) AS AMT_CREDIT,
-           CASE WHEN o_orderstatus <> 'P' THEN CAST(-(arrival % 700) AS INT) END AS DAYS_DECISION,
-           {text('ingestion_ts')}, arrival,
-           CASE WHEN o_orderstatus = 'P' THEN 'bad_DAYS_DECISION' ELSE '' END AS failed_rules
+    WITH b AS ({latest('SELECT *, l_shipdate AS ingestion_ts FROM lineitem', 'l_partkey',
+                       'l_orderkey, l_linenumber, l_suppkey')})
+    SELECT l_partkey AS SK_ID_PREV, l_suppkey AS SK_ID_CURR,
+           CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DOUBLE) AS AMT_CREDIT,
+           CASE WHEN l_returnflag <> 'N' THEN -CAST(l_quantity AS INT) END AS DAYS_DECISION,
+           {text('ingestion_ts')}, l_orderkey AS arrival, l_linenumber AS arrival_line, l_suppkey AS arrival_supplier,
+           CASE WHEN l_returnflag = 'N' THEN 'bad_DAYS_DECISION' ELSE '' END AS failed_rules
     FROM b""")
 oracle("silver_installments_payments", "", f"""
-    WITH b AS ({latest('''
-        SELECT *, l_shipdate AS ingestion_ts, l_suppkey AS arrival FROM lineitem''', 'l_orderkey, l_linenumber')})
+    WITH b AS ({latest('SELECT *, l_shipdate AS ingestion_ts FROM lineitem', 'l_orderkey, l_linenumber',
+                       'l_partkey, l_suppkey')})
     SELECT l_orderkey AS SK_ID_PREV, l_linenumber AS NUM_INSTALMENT_NUMBER, l_partkey AS SK_ID_CURR,
            CASE WHEN l_returnflag <> 'R' THEN CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DOUBLE) END AS AMT_INSTALMENT,
-           l_extendedprice AS AMT_PAYMENT, {text('ingestion_ts')}, arrival,
+           l_extendedprice AS AMT_PAYMENT, {text('ingestion_ts')}, l_partkey AS arrival, l_suppkey AS arrival_supplier,
            CASE WHEN l_returnflag = 'R' THEN 'bad_AMT_INSTALMENT' ELSE '' END AS failed_rules
     FROM b""")
 for _table, _key in (("bureau_balance", "SK_ID_BUREAU"), ("pos_cash_balance", "SK_ID_PREV"),
@@ -303,14 +305,14 @@ oracle("fact_join_asof", "v_dim_v2", f"""
 # --- upserts --------------------------------------------------------------------------------------
 
 UPSERTED = f"""
-    SELECT c_custkey, c_name, c_mktsegment, CAST(c_acctbal AS DOUBLE) AS c_acctbal, {text('ingestion_ts')}
+    SELECT applicant_id, SK_ID_CURR, NAME_CONTRACT_TYPE, CAST(AMT_CREDIT AS DOUBLE) AS AMT_CREDIT, {text('ingestion_ts')}
     FROM v_upserted"""
 oracle("upsert", "v_upserted", UPSERTED)
 oracle("upsert_idempotent", "v_upserted", UPSERTED)
 oracle("upsert_latest", "v_target v_updates", f"""
-    SELECT c_custkey, c_name, c_mktsegment, CAST(c_acctbal AS DOUBLE) AS c_acctbal, {text('ingestion_ts')} FROM (
-        SELECT *, row_number() OVER (PARTITION BY c_custkey ORDER BY ingestion_ts DESC) AS rn
-        FROM (SELECT * FROM v_target UNION ALL SELECT * FROM v_updates)) WHERE rn = 1""")
+    SELECT applicant_id, SK_ID_CURR, NAME_CONTRACT_TYPE, CAST(AMT_CREDIT AS DOUBLE) AS AMT_CREDIT, {text('ingestion_ts')}
+    FROM (SELECT *, 0 AS side FROM v_target UNION ALL SELECT *, 1 FROM v_updates)
+    QUALIFY row_number() OVER (PARTITION BY applicant_id ORDER BY ingestion_ts DESC, side DESC) = 1""")
 oracle("dim_loan_type", "v_application", """
     SELECT DISTINCT sha256(NAME_CONTRACT_TYPE) AS loan_type_id, NAME_CONTRACT_TYPE AS loan_type_name FROM v_application""")
 oracle("dim_credit_status", "v_balance", """
@@ -401,20 +403,20 @@ oracle("dq_duplicate_keys", "v_instalment", """
     SELECT SK_ID_PREV, NUM_INSTALMENT_NUMBER, COUNT(*) AS occurrences FROM v_instalment GROUP BY 1, 2 HAVING COUNT(*) > 1""")
 oracle("dq_multi_current", "v_dim_v1", """
     SELECT applicant_id, COUNT(*) AS occurrences
-    FROM (SELECT * FROM v_dim_v1 UNION ALL SELECT * FROM v_dim_v1 WHERE applicant_id % 50 = 1)
+    FROM (SELECT * FROM v_dim_v1 UNION ALL SELECT * FROM v_dim_v1 WHERE cnt_children IS NULL)
     WHERE is_current GROUP BY 1 HAVING COUNT(*) > 1""")
 oracle("dq_zero_current", "v_dim_v1 v_dim_src", """
     SELECT s.applicant_id FROM v_dim_src s LEFT JOIN v_dim_v1 d ON d.applicant_id = s.applicant_id AND d.is_current
     WHERE d.applicant_id IS NULL""")
-oracle("dq_orphans", "", """
+oracle("dq_orphans", "v_loans", """
     SELECT 'customer_without_events' AS reference, c_custkey AS key, COUNT(*) AS child_rows FROM customer
     WHERE NOT EXISTS (SELECT 1 FROM events WHERE user_id = c_custkey) GROUP BY 2
     UNION ALL
     SELECT 'order_without_lines', o_orderkey, COUNT(*) FROM orders
     WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey) GROUP BY 2
     UNION ALL
-    SELECT 'line_without_order', l_orderkey, COUNT(*) FROM lineitem
-    WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey AND o_orderkey % 9 <> 0) GROUP BY 2""")
+    SELECT 'line_of_quarantined_order', l_orderkey, COUNT(*) FROM lineitem
+    WHERE NOT EXISTS (SELECT 1 FROM v_loans WHERE SK_ID_CURR = l_orderkey) GROUP BY 2""")
 
 
 def bronze_checks(view: str, keys: str, expected: int | None = None) -> str:
@@ -462,10 +464,10 @@ oracle("dq_gate_counts", "v_instalment v_dim_v1 v_dim_src", """
               WHERE applicant_id NOT IN (SELECT applicant_id FROM v_dim_v1 WHERE is_current)""")
 oracle("dq_scd2_intervals", "v_dim_v2", """
     , moved AS (
-        SELECT applicant_id, start_date, is_current,
-               CASE WHEN applicant_id % 3 = 1 THEN end_date - INTERVAL 1 DAY ELSE end_date END AS end_date
-        FROM v_dim_v2 WHERE NOT (applicant_id % 23 = 0 AND is_current)),
-    broken AS (SELECT * FROM moved UNION ALL SELECT * FROM moved WHERE applicant_id % 29 = 0 AND is_current),
+        SELECT applicant_id, start_date, is_current, cnt_children,
+               CASE WHEN name_family_status = 'Single' THEN end_date - INTERVAL 1 DAY ELSE end_date END AS end_date
+        FROM v_dim_v2 WHERE NOT (is_current AND name_income_type IS NULL)),
+    broken AS (SELECT * FROM moved UNION ALL SELECT * FROM moved WHERE is_current AND cnt_children IS NULL),
     starts AS (SELECT applicant_id, start_date AS at, COUNT(*) AS n FROM broken GROUP BY 1, 2),
     ends AS (SELECT applicant_id, end_date AS at, COUNT(*) AS n FROM broken WHERE end_date IS NOT NULL GROUP BY 1, 2),
     verdict AS (
@@ -548,18 +550,23 @@ oracle("parity_manifest", "v_instalment_latest v_balance_latest v_application v_
     UNION ALL SELECT table_name, 'T3', 0, key_nulls, key_nulls = 0 FROM p WHERE in_a AND in_b
     UNION ALL SELECT table_name, 'T5', stated, b_rows, b_rows = stated FROM p WHERE in_b AND stated IS NOT NULL""")
 oracle("idempotency_check", "v_upserted", """
-    , t AS (SELECT COUNT(*) AS n, COUNT(DISTINCT c_custkey) AS k, MAX(ingestion_ts) AS ts FROM v_target),
-    u AS (SELECT COUNT(*) AS n, COUNT(DISTINCT c_custkey) AS k, MAX(ingestion_ts) AS ts FROM v_upserted)
-    SELECT 'customer' AS table_name, 0 AS row_delta, TRUE AS in_both, TRUE AS rows_same, TRUE AS keys_same,
+    , t AS (SELECT COUNT(*) AS n, COUNT(DISTINCT applicant_id) AS k, MAX(ingestion_ts) AS ts FROM v_target),
+    u AS (SELECT COUNT(*) AS n, COUNT(DISTINCT applicant_id) AS k, MAX(ingestion_ts) AS ts FROM v_upserted)
+    SELECT 'loans' AS table_name, 0 AS row_delta, TRUE AS in_both, TRUE AS rows_same, TRUE AS keys_same,
            TRUE AS latest_ts_same, TRUE AS passed FROM u
     UNION ALL
     SELECT 'target', u.n - t.n, TRUE, u.n = t.n, u.k = t.k, u.ts = t.ts, u.n = t.n AND u.k = t.k AND u.ts = t.ts
     FROM t, u""")
-DIGEST = """md5(concat_ws('|', length(CAST(c_custkey AS VARCHAR)) || ':' || CAST(c_custkey AS VARCHAR),
-    COALESCE(length(c_name) || ':' || c_name, 'N'), COALESCE(length(c_mktsegment) || ':' || c_mktsegment, 'N'),
-    COALESCE(length(CAST(c_acctbal AS VARCHAR)) || ':' || CAST(c_acctbal AS VARCHAR), 'N')))"""
+
+
+def digest(*columns: str) -> str:
+    parts = [f"COALESCE(length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), 'N')" for c in columns]
+    return f"md5(concat_ws('|', {', '.join(parts)}))"
+
+
+DIGEST = digest("applicant_id", "SK_ID_CURR", "NAME_CONTRACT_TYPE", "AMT_CREDIT")
 oracle("row_hash_diff", "v_upserted", f"""
-    SELECT c_custkey, row_digest, CAST(SUM(l) AS BIGINT) AS n_left, CAST(SUM(r) AS BIGINT) AS n_right
-    FROM (SELECT c_custkey, {DIGEST} AS row_digest, 1 AS l, 0 AS r FROM v_target
-          UNION ALL SELECT c_custkey, {DIGEST}, 0, 1 FROM v_upserted)
+    SELECT applicant_id, row_digest, CAST(SUM(l) AS BIGINT) AS n_left, CAST(SUM(r) AS BIGINT) AS n_right
+    FROM (SELECT applicant_id, {DIGEST} AS row_digest, 1 AS l, 0 AS r FROM v_target
+          UNION ALL SELECT applicant_id, {DIGEST}, 0, 1 FROM v_upserted)
     GROUP BY 1, 2 HAVING SUM(l) <> SUM(r)""")

@@ -76,7 +76,7 @@ def int_bureau_with_balance(spark, sf):
 def typed_cast(spark, sf):
     text = v.table(spark, sf, "orders").selectExpr(
         "o_orderkey AS SK_ID_CURR",
-        "CASE WHEN o_orderkey % 10 = 0 THEN 'n/a' ELSE CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS STRING) END AS AMT_CREDIT",
+        "CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 'n/a' ELSE CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS STRING) END AS AMT_CREDIT",
         "CASE WHEN o_orderstatus = 'P' THEN 'pending' ELSE CAST(-(o_orderkey % 700) AS STRING) END AS DAYS_DECISION",
     )
     tagged = q.with_failed_rules(text, cleanse.failed_cast_rules(text, LOAN_TYPES))
@@ -124,11 +124,11 @@ def latest_balance(spark, sf):
     return _latest_balance(spark, sf)
 
 
-def _silver(source: str, view) -> None:
+def _silver(source: str, view, tiebreak=("arrival",)) -> None:
     spec = TABLES[source]
 
     def query(spark, sf):
-        prepared = silver.prepare(silver.keyed(view(spark, sf), spec), spec, tiebreak=["arrival"])
+        prepared = silver.prepare(silver.keyed(view(spark, sf), spec), spec, tiebreak=tiebreak)
         return v.comparable(prepared.withColumn(silver.FAILED, F.array_join(silver.FAILED, ",")))
 
     QUERIES[spec.silver] = query
@@ -137,8 +137,8 @@ def _silver(source: str, view) -> None:
 _silver("application_train", v.bronze_application)
 _silver("bureau", v.bronze_bureau)
 _silver("bureau_balance", v.bronze_bureau_balance)
-_silver("previous_application", v.bronze_previous_application)
-_silver("installments_payments", v.bronze_instalments)
+_silver("previous_application", v.bronze_previous_application, ("arrival", "arrival_line", "arrival_supplier"))
+_silver("installments_payments", v.bronze_instalments, ("arrival", "arrival_supplier"))
 _silver("POS_CASH_balance", v.bronze_prev_balance)
 _silver("credit_card_balance", v.bronze_prev_balance)
 
@@ -201,11 +201,11 @@ def fact_join_asof(spark, sf):
 
 
 def _upserted(spark, sf):
-    return upsert.upsert(v.upsert_target(spark, sf), v.upsert_updates(spark, sf), ["c_custkey"])
+    return upsert.upsert(v.upsert_target(spark, sf), v.upsert_updates(spark, sf), ["applicant_id"])
 
 
 def _money_as_double(df):
-    return df.withColumn("c_acctbal", F.col("c_acctbal").cast("double"))
+    return df.withColumn("AMT_CREDIT", F.col("AMT_CREDIT").cast("double"))
 
 
 @register
@@ -218,12 +218,12 @@ QUERIES["upsert"] = QUERIES.pop("upsert_rows")
 
 @register
 def upsert_idempotent(spark, sf):
-    return _money_as_double(upsert.upsert(_upserted(spark, sf), v.upsert_updates(spark, sf), ["c_custkey"]))
+    return _money_as_double(upsert.upsert(_upserted(spark, sf), v.upsert_updates(spark, sf), ["applicant_id"]))
 
 
 @register
 def upsert_latest(spark, sf):
-    merged = upsert.upsert_latest(v.upsert_target(spark, sf), v.upsert_updates(spark, sf), ["c_custkey"])
+    merged = upsert.upsert_latest(v.upsert_target(spark, sf), v.upsert_updates(spark, sf), ["applicant_id"])
     return _money_as_double(merged)
 
 
@@ -347,7 +347,7 @@ def dq_duplicate_keys(spark, sf):
 @register
 def dq_multi_current(spark, sf):
     dim = v.dim_v1(spark, sf)
-    return q.multiple_current(dim.unionByName(dim.filter("applicant_id % 50 = 1")))
+    return q.multiple_current(dim.unionByName(dim.filter("cnt_children IS NULL")))
 
 
 @register
@@ -361,8 +361,7 @@ def dq_orphans(spark, sf):
     found = {
         "customer_without_events": q.orphans(customer, "c_custkey", v.table(spark, sf, "events"), "user_id"),
         "order_without_lines": q.orphans(orders, "o_orderkey", v.table(spark, sf, "lineitem"), "l_orderkey"),
-        "line_without_order": q.orphans(v.table(spark, sf, "lineitem"), "l_orderkey", orders.filter("o_orderkey % 9 <> 0"),
-                                        "o_orderkey"),
+        "line_of_quarantined_order": q.orphans(v.table(spark, sf, "lineitem"), "l_orderkey", _loans(spark, sf), "SK_ID_CURR"),
     }
     parts = [rows.select(F.lit(name).alias("reference"), "key", "child_rows") for name, rows in found.items()]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
@@ -411,9 +410,9 @@ def dq_scd2_intervals(spark, sf):
     dim = _applied(spark, sf)
     broken = dim.withColumn(
         "end_date",
-        F.expr("CASE WHEN applicant_id % 3 = 1 AND end_date IS NOT NULL THEN end_date - INTERVAL 1 DAY ELSE end_date END"),
-    ).filter("NOT (applicant_id % 23 = 0 AND is_current)")
-    return scd2.interval_violations(broken.unionByName(broken.filter("applicant_id % 29 = 0 AND is_current")))
+        F.expr("CASE WHEN name_family_status = 'Single' THEN end_date - INTERVAL 1 DAY ELSE end_date END"),
+    ).filter("NOT (is_current AND name_income_type IS NULL)")
+    return scd2.interval_violations(broken.unionByName(broken.filter("is_current AND cnt_children IS NULL")))
 
 
 @register
@@ -477,15 +476,15 @@ def parity_manifest(spark, sf):
 @register
 def idempotency_check(spark, sf):
     once = _upserted(spark, sf)
-    twice = upsert.upsert(once, v.upsert_updates(spark, sf), ["c_custkey"])
-    before = {"customer": (once, ["c_custkey"], "ingestion_ts"),
-              "target": (v.upsert_target(spark, sf), ["c_custkey"], "ingestion_ts")}
-    after = {"customer": (twice, ["c_custkey"], "ingestion_ts"), "target": (once, ["c_custkey"], "ingestion_ts")}
+    twice = upsert.upsert(once, v.upsert_updates(spark, sf), ["applicant_id"])
+    before = {"loans": (once, ["applicant_id"], "ingestion_ts"),
+              "target": (v.upsert_target(spark, sf), ["applicant_id"], "ingestion_ts")}
+    after = {"loans": (twice, ["applicant_id"], "ingestion_ts"), "target": (once, ["applicant_id"], "ingestion_ts")}
     return parity.compare_runs(parity.manifests(before), parity.manifests(after))
 
 
 @register
 def row_hash_diff(spark, sf):
     return parity.row_hash_diff(
-        v.upsert_target(spark, sf), _upserted(spark, sf), ["c_custkey"], ["c_custkey", "c_name", "c_mktsegment", "c_acctbal"]
+        v.upsert_target(spark, sf), _upserted(spark, sf), ["applicant_id"], ["applicant_id", "SK_ID_CURR", "NAME_CONTRACT_TYPE", "AMT_CREDIT"]
     )

@@ -89,64 +89,70 @@ def balance(spark, sf):
     )
 
 
-def _attributes(spark, sf):
-    nation = table(spark, sf, "nation")
-    return table(spark, sf, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+FIRST_BATCH, SECOND_BATCH = "F", "O"  # order status; the third, 'P', is quarantined
 
 
-def dim_v1(spark, sf):
-    """Dimension after a first load; the surrogate follows from key and start."""
-    from sedimenta.operators.scd2 import DIM_APPLICANT, first_versions
+def batch(spark, sf, status):
+    """Latest application of each applicant within one batch, with the applicant's attributes."""
+    from sedimenta.operators.cleanse import latest_per_key
 
-    rows = _attributes(spark, sf).filter("c_custkey % 7 <> 0").selectExpr(
+    arrived = table(spark, sf, "orders").filter(F.col("o_orderstatus") == status)
+    latest = latest_per_key(arrived, ["o_custkey"], ["o_orderdate"], ["o_orderkey"])
+    customer, nation = table(spark, sf, "customer"), table(spark, sf, "nation")
+    return latest.join(customer, F.col("o_custkey") == F.col("c_custkey")).join(
+        nation, F.col("c_nationkey") == F.col("n_nationkey")
+    ).selectExpr(
         "c_custkey AS applicant_id",
         "c_custkey AS SK_ID_CURR",
-        "CASE WHEN c_custkey % 13 = 0 THEN NULL ELSE c_mktsegment END AS name_income_type",
+        "CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'Working'"
+        " WHEN o_orderpriority <> '4-NOT SPECIFIED' THEN 'Pensioner' END AS name_income_type",
         "n_name AS name_education_type",
-        "CASE WHEN c_acctbal < 0 THEN 'A' ELSE 'B' END AS name_family_status",
-        "CASE WHEN c_custkey % 17 = 0 THEN NULL ELSE CAST(c_custkey % 5 AS INT) END AS cnt_children",
+        "CASE WHEN o_totalprice < 250000 THEN 'Single' ELSE 'Married' END AS name_family_status",
+        "CASE WHEN o_totalprice >= 50000 THEN CAST(floor(o_totalprice / 250000) AS INT) END AS cnt_children",
     )
-    return first_versions(rows, DIM_START, DIM_APPLICANT)
+
+
+def dim_v1(spark, sf):
+    """Dimension after a first load of the first batch."""
+    from sedimenta.operators.scd2 import first_versions
+
+    return first_versions(batch(spark, sf, FIRST_BATCH), DIM_START)
 
 
 def dim_source(spark, sf):
-    return _attributes(spark, sf).filter("c_custkey % 19 <> 0").selectExpr(
-        "c_custkey AS applicant_id",
-        "c_custkey AS SK_ID_CURR",
-        "CASE WHEN c_custkey % 10 = 0 THEN 'CHANGED' WHEN c_custkey % 10 = 1 THEN NULL ELSE c_mktsegment END"
-        " AS name_income_type",
-        "n_name AS name_education_type",
-        "CASE WHEN c_acctbal < 0 THEN 'A' ELSE 'B' END AS name_family_status",
-        "CAST(c_custkey % 5 AS INT) AS cnt_children",
-    )
+    """The second batch: some applicants new, some missing, most changed, some not."""
+    return batch(spark, sf, SECOND_BATCH)
 
 
 def silver_source(spark, sf):
     """Silver application rows with NULL keys among them, as the staging view reads them."""
-    return _attributes(spark, sf).selectExpr(
-        "CASE WHEN c_custkey % 50 = 0 THEN NULL ELSE c_custkey END AS SK_ID_CURR",
+    customer, nation = table(spark, sf, "customer"), table(spark, sf, "nation")
+    return customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).selectExpr(
+        "CASE WHEN c_acctbal >= 0 THEN c_custkey END AS SK_ID_CURR",
         "c_mktsegment AS NAME_INCOME_TYPE",
         "n_name AS NAME_EDUCATION_TYPE",
-        "CASE WHEN c_acctbal < 0 THEN 'A' ELSE 'B' END AS NAME_FAMILY_STATUS",
-        "CAST(c_custkey % 5 AS INT) AS CNT_CHILDREN",
+        "CASE WHEN c_acctbal < 5000 THEN 'A' ELSE 'B' END AS NAME_FAMILY_STATUS",
+        "CAST(c_nationkey AS INT) AS CNT_CHILDREN",
         "c_acctbal AS AMT_INCOME_TOTAL",
         f"TIMESTAMP_NTZ '{DIM_START}' AS ingestion_ts",
     )
 
 
-def upsert_target(spark, sf):
-    return table(spark, sf, "customer").filter("c_custkey % 3 <> 0").selectExpr(
-        "c_custkey", "c_name", "c_mktsegment", "CAST(c_acctbal AS DECIMAL(18,2)) AS c_acctbal",
-        "TIMESTAMP_NTZ '2024-01-02 00:00:00' AS ingestion_ts",
-    )
+def _latest_loan(status):
+    def view(spark, sf):
+        from sedimenta.operators.cleanse import latest_per_key
+
+        arrived = table(spark, sf, "orders").filter(F.col("o_orderstatus") == status)
+        return latest_per_key(arrived, ["o_custkey"], ["o_orderdate"], ["o_orderkey"]).selectExpr(
+            "o_custkey AS applicant_id", "o_orderkey AS SK_ID_CURR", "o_orderpriority AS NAME_CONTRACT_TYPE",
+            "CAST(o_totalprice AS DECIMAL(18,2)) AS AMT_CREDIT", "o_orderdate AS ingestion_ts",
+        )
 
+    return view
 
-def upsert_updates(spark, sf):
-    return table(spark, sf, "customer").filter("c_custkey % 2 = 0").selectExpr(
-        "c_custkey", "c_name", "c_mktsegment", "CAST(CAST(c_acctbal AS DECIMAL(18,2)) + 1000 AS DECIMAL(18,2)) AS c_acctbal",
-        "CASE WHEN c_custkey % 4 = 0 THEN TIMESTAMP_NTZ '2024-01-01 00:00:00'"
-        " ELSE TIMESTAMP_NTZ '2024-01-03 00:00:00' END AS ingestion_ts",
-    )
+
+upsert_target = _latest_loan(FIRST_BATCH)
+upsert_updates = _latest_loan(SECOND_BATCH)
 
 
 # --- bronze stand-ins for the registry's seven tables ----------------------------------------------
@@ -158,11 +164,11 @@ def bronze_application(spark, sf):
         "o_custkey AS SK_ID_CURR",
         "CASE o_orderstatus WHEN 'F' THEN '1' WHEN 'O' THEN '0' END AS TARGET",
         "o_orderpriority AS NAME_CONTRACT_TYPE",
-        "CASE WHEN o_orderkey % 29 = 0 THEN 0.0 ELSE o_totalprice END AS AMT_CREDIT",
+        "CASE WHEN o_totalprice < 50000 THEN 0.0D ELSE o_totalprice END AS AMT_CREDIT",
         "CAST(-7000 - o_custkey % 18000 AS INT) AS DAYS_BIRTH",
-        "CASE WHEN o_custkey % 11 = 0 THEN 365243 ELSE CAST(-(o_orderkey % 9000) AS INT) END AS DAYS_EMPLOYED",
+        "CASE WHEN o_orderpriority = '2-HIGH' THEN 365243 ELSE CAST(-(o_orderkey % 9000) AS INT) END AS DAYS_EMPLOYED",
         "CASE WHEN o_orderpriority = '5-LOW' THEN 'XNA' ELSE o_orderpriority END AS ORGANIZATION_TYPE",
-        "CASE WHEN o_orderkey % 31 = 0 THEN 'many' ELSE CAST(o_orderkey % 4 AS STRING) END AS CNT_CHILDREN",
+        "CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 'many' ELSE substring(o_orderpriority, 1, 1) END AS CNT_CHILDREN",
         "o_orderdate AS ingestion_ts",
         "o_orderkey AS arrival",
     )
@@ -170,8 +176,8 @@ def bronze_application(spark, sf):
 
 def bronze_bureau(spark, sf):
     return table(spark, sf, "events").selectExpr(
-        "event_id % 4000 AS SK_ID_BUREAU",
-        "user_id AS SK_ID_CURR",
+        "user_id AS SK_ID_BUREAU",
+        "event_id AS SK_ID_CURR",
         "CASE WHEN event_type = 'error' THEN 'none' ELSE CAST(-(event_id % 900) AS STRING) END AS DAYS_CREDIT",
         "CAST(CAST(value AS DECIMAL(18,2)) AS STRING) AS AMT_CREDIT_SUM",
         "value AS AMT_CREDIT_SUM_DEBT",
@@ -181,13 +187,15 @@ def bronze_bureau(spark, sf):
 
 
 def bronze_previous_application(spark, sf):
-    return table(spark, sf, "orders").selectExpr(
-        "o_orderkey % 9000 AS SK_ID_PREV",
-        "o_custkey AS SK_ID_CURR",
-        "CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS STRING) AS AMT_CREDIT",
-        "CASE WHEN o_orderstatus = 'P' THEN 'pending' ELSE CAST(-(o_orderkey % 700) AS STRING) END AS DAYS_DECISION",
-        "o_orderdate AS ingestion_ts",
-        "o_orderkey AS arrival",
+    return table(spark, sf, "lineitem").selectExpr(
+        "l_partkey AS SK_ID_PREV",
+        "l_suppkey AS SK_ID_CURR",
+        "CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS STRING) AS AMT_CREDIT",
+        "CASE WHEN l_returnflag = 'N' THEN 'pending' ELSE CAST(-CAST(l_quantity AS INT) AS STRING) END AS DAYS_DECISION",
+        "l_shipdate AS ingestion_ts",
+        "l_orderkey AS arrival",
+        "l_linenumber AS arrival_line",
+        "l_suppkey AS arrival_supplier",
     )
 
 
@@ -200,7 +208,8 @@ def bronze_instalments(spark, sf):
         " AS AMT_INSTALMENT",
         "l_extendedprice AS AMT_PAYMENT",
         "l_shipdate AS ingestion_ts",
-        "l_suppkey AS arrival",
+        "l_partkey AS arrival",
+        "l_suppkey AS arrival_supplier",
     )
 
 
