@@ -26,25 +26,32 @@ def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFr
     return kept.select(*target.columns).unionByName(updates)
 
 
-def upsert_latest(target: DataFrame, updates: DataFrame, keys: Sequence[str],
-                  order: Sequence[str] = ("ingestion_ts",)) -> DataFrame:
-    """Upsert in which an older update never replaces a newer row.
+def not_older(target: DataFrame, updates: DataFrame, keys: Sequence[str],
+              order: Sequence[str] = ("ingestion_ts",)) -> DataFrame:
+    """Updates at least as recent as the row they meet, and those that meet none.
 
-    For replays and late batches. An update as old as the stored row replaces
-    it, so a corrected replay of the same batch takes effect; a NULL order is
-    older than any other. Only key and order columns of the target are read to
-    decide, and only those of rows the updates meet are kept.
+    A NULL order is older than any other. Only key and order columns of the
+    target are read, and only those of rows the updates meet are kept.
     """
     stored = (
         target.select(*keys, F.struct(*order).alias("_stored"))
         .join(updates.select(*keys), list(keys), "left_semi")
     )
-    accepted = (
+    return (
         updates.join(stored, list(keys), "left")
         .filter(F.col("_stored").isNull() | (F.struct(*order) >= F.col("_stored")))
         .select(*updates.columns)
     )
-    return upsert(target, accepted, keys)
+
+
+def upsert_latest(target: DataFrame, updates: DataFrame, keys: Sequence[str],
+                  order: Sequence[str] = ("ingestion_ts",)) -> DataFrame:
+    """Upsert in which an older update never replaces a newer row.
+
+    For replays and late batches. An update as old as the stored row replaces
+    it, so a corrected replay of the same batch takes effect.
+    """
+    return upsert(target, not_older(target, updates, keys, order), keys)
 
 
 def lookup_rows(df: DataFrame, code: str, id_name: str, code_name: str,

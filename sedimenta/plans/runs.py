@@ -7,10 +7,11 @@ version, and running it again gives the same result.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import datetime
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import parity
@@ -35,22 +36,31 @@ def _path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def ingest(spark: SparkSession, landing_dir: str, bronze_root: str, *, batch_id: str, env: str,
-           ingestion_ts: datetime | str, tables: Sequence[str] | None = None, replay: bool = True) -> None:
+           ingestion_ts: datetime | str, tables: Sequence[str] | None = None, replay: bool = True) -> dict[str, dict]:
     """Load every landed table of a batch into bronze, tagged.
 
     A batch owns its partition, so loading it again replaces it. ``replay=False``
-    appends instead and keeps every copy.
+    appends instead and keeps every copy. Returns per table the rows written,
+    the rows without a complete key and the lines that did not parse, counted
+    while writing.
     """
+    written = {}
     for spec in _specs(tables):
         df = files.scan_source(spark, landing_dir, spec, ingestion_ts=ingestion_ts, batch_id=batch_id, env=env)
         path = f"{bronze_root}/{spec.bronze}"
         if _path_exists(spark, path):
             files.require_no_drift(spark.read.parquet(path).drop(*BRONZE_PARTITIONS).schema,
                                    df.drop(*BRONZE_PARTITIONS).schema, spec.bronze)
+        seen = Observation()
+        incomplete = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in spec.keys])
+        df = df.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(incomplete).alias("missing_keys"),
+                        F.count(files.CORRUPT).alias("unparsed_lines"))
         if replay:
             sinks.replace_partitions(df, path, BRONZE_PARTITIONS)
         else:
             sinks.append_partitioned(df, path, BRONZE_PARTITIONS)
+        written[spec.bronze] = seen.get
+    return written
 
 
 def check_bronze(spark: SparkSession, bronze_root: str, run_id: str, *, batch_id: str,
@@ -74,27 +84,32 @@ def check_bronze(spark: SparkSession, bronze_root: str, run_id: str, *, batch_id
 
 def build_silver(spark: SparkSession, bronze_root: str, root: str, *, batch_ids: Sequence[str] | None = None,
                  tables: Sequence[str] | None = None, drop_raw: bool = True,
-                 buckets: dict[str, sinks.Buckets] | None = None) -> dict[str, dict[str, int]]:
+                 layouts: Mapping[str, sinks.Layout] | None = None) -> dict[str, dict[str, int]]:
     """Upsert each table's cleaned rows; rows that break a rule go to quarantine.
 
     With ``batch_ids`` only those bronze partitions are read. The cleaned batch
     is written once to a shared work folder, so the good and the bad rows do not
-    each repeat the dedup shuffle.
+    each repeat the dedup shuffle. ``layouts`` lays out tables by silver name.
     """
     counts = {}
     for spec in _specs(tables):
+        layout = (layouts or {}).get(spec.silver, sinks.Layout())
         bronze = files.scan_layer(spark, f"{bronze_root}/{spec.bronze}", batch_ids=batch_ids)
-        prepared = silver.prepare(silver.keyed(bronze, spec), spec, drop_raw=drop_raw)
+        prepared = silver.prepare(silver.keyed(bronze, spec), spec, drop_raw=drop_raw).withColumn("_bad", silver.is_bad())
         work = sinks.shared_work_dir(spark, root)
-        prepared.withColumn("_bad", silver.is_bad()).write.partitionBy("_bad").parquet(work)
-        staged = spark.read.schema(prepared.schema.add("_bad", "boolean")).parquet(work)
-        good = staged.filter(~F.col("_bad")).drop("_bad", silver.FAILED)
-        bad = staged.filter(F.col("_bad")).drop("_bad")
-        counts[spec.silver] = sinks.publish_upsert(
-            spark, spec.silver, good, spec.keys, root, order=[INGESTION_TS], buckets=(buckets or {}).get(spec.silver)
-        )
-        _quarantine(bad.unionByName(silver.keyless(bronze, spec, drop_raw=drop_raw)), f"{root}/{spec.quarantine}",
-                    batch_ids)
+        try:
+            prepared.write.partitionBy("_bad").parquet(work)
+            staged = spark.read.schema(prepared.schema).parquet(work)
+            good = staged.filter(~F.col("_bad")).drop("_bad", silver.FAILED)
+            bad = staged.filter(F.col("_bad")).drop("_bad")
+            counts[spec.silver] = sinks.publish_upsert(
+                spark, spec.silver, layout.apply(good), spec.keys, root, order=[INGESTION_TS], buckets=layout.buckets,
+                partition_by=layout.partition_by,
+            )
+            _quarantine(bad.unionByName(silver.keyless(bronze, spec, drop_raw=drop_raw)), f"{root}/{spec.quarantine}",
+                        batch_ids)
+        finally:
+            sinks.drop_work_dir(spark, work)
     return counts
 
 

@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 from ..functions import columns as fn
 from ..operators import quality as q
 from ..operators import scd2
-from ..operators.upsert import upsert, upsert_latest
+from ..operators.upsert import not_older, upsert
 
 GateList = Callable[[DataFrame], Sequence[q.Gate]]
 
@@ -102,8 +102,12 @@ def _check_columns(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
 
 @contextmanager
 def _staged(spark: SparkSession, df: DataFrame, name: str, location: str, partition_by: Sequence[str] = (),
-            buckets: Buckets | None = None):
-    """Write ``df`` to ``location`` and yield it as read back from there."""
+            buckets: Buckets | None = None, clustered: bool = False):
+    """Write ``df`` to ``location`` and yield it as read back from there.
+
+    ``clustered`` says that ``df`` already has few buckets per task, so it need
+    not be shuffled to keep the number of files down.
+    """
     if buckets is None:
         writer = df.write.partitionBy(*partition_by) if partition_by else df.write
         writer.parquet(location)
@@ -111,7 +115,7 @@ def _staged(spark: SparkSession, df: DataFrame, name: str, location: str, partit
         return
     handle = f"{name.replace('.', '_')}__staged_{uuid.uuid4().hex[:12]}"
     writer = (
-        df.repartition(buckets.count, *buckets.keys)  # one file per bucket
+        (df if clustered else df.repartition(buckets.count, *buckets.keys))
         .write.format("parquet")
         .bucketBy(buckets.count, *buckets.keys)
         .sortBy(*buckets.keys)
@@ -125,13 +129,13 @@ def _staged(spark: SparkSession, df: DataFrame, name: str, location: str, partit
 
 
 def publish(spark: SparkSession, name: str, df: DataFrame, root: str, *, gates: GateList | None = None,
-            buckets: Buckets | None = None) -> dict[str, int]:
+            buckets: Buckets | None = None, clustered: bool = False) -> dict[str, int]:
     """Replace a table's content with ``df`` (or create the table), if the gates pass."""
     exists = spark.catalog.tableExists(name)
     if exists:
         df = _check_columns(spark, name, df)
     location = _new_location(root, name)
-    with _staged(spark, df, name, location, buckets=buckets) as staged:
+    with _staged(spark, df, name, location, buckets=buckets, clustered=clustered) as staged:
         counts = q.enforce(gates(staged)) if gates else {}
         schema = staged.schema
     if exists:
@@ -196,17 +200,51 @@ def publish_upsert(spark: SparkSession, name: str, updates: DataFrame, keys: Seq
     def checks(staged: DataFrame) -> list[q.Gate]:
         return [*key_gates(name, keys)(staged), *(gates(staged) if gates else [])]
 
-    if not spark.catalog.tableExists(name):
-        merged = updates
-    else:
-        target = spark.table(name)
-        if partition_by is not None:
-            touched = [r[0] for r in updates.select(partition_by).distinct().collect()]  # one row per partition
-            target = target.filter(F.col(partition_by).isin(touched))
-        merged = upsert_latest(target, updates, keys, order) if order else upsert(target, updates, keys)
+    target = spark.table(name) if spark.catalog.tableExists(name) else None
+    if target is not None and partition_by is not None:
+        touched = [r[0] for r in updates.select(partition_by).distinct().collect()]  # one row per partition
+        target = target.filter(F.col(partition_by).isin(touched))
+    if target is not None and order:
+        updates = not_older(target, updates, keys, order)
+    if buckets is not None:
+        # Rows kept from the target are read bucket by bucket; with the updates
+        # laid out alike, each task writes one bucket and nothing else moves.
+        updates = updates.repartition(buckets.count, *buckets.keys)
+    merged = updates if target is None else upsert(target, updates, keys)
     if partition_by is not None:
         return publish_partitions(spark, name, merged, partition_by, root, gates=checks)
-    return publish(spark, name, merged, root, gates=checks, buckets=buckets)
+    return publish(spark, name, merged, root, gates=checks, buckets=buckets, clustered=True)
+
+
+@dataclass(frozen=True)
+class Layout:
+    """How a published table is laid out: bucketed on its key, or cut into ranges of a numeric key.
+
+    Buckets spare later joins a shuffle; ranges spare an upsert from rewriting
+    key ranges it does not touch. ``range_width`` keys share a partition.
+    """
+
+    buckets: Buckets | None = None
+    range_key: str | None = None
+    range_width: int = 0
+    column: str = "key_range"
+
+    def apply(self, df: DataFrame) -> DataFrame:
+        if self.range_key is None:
+            return df
+        return df.withColumn(self.column, F.format_string("r%d", F.floor(F.col(self.range_key) / self.range_width)))
+
+    @property
+    def partition_by(self) -> str | None:
+        return self.column if self.range_key else None
+
+
+def drop_work_dir(spark: SparkSession, path: str) -> None:
+    """Remove an intermediate table made under ``shared_work_dir``; anything else is refused."""
+    if not path.rsplit("/", 1)[-1].startswith("work_"):
+        raise ValueError(f"not a work folder: {path}")
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
 
 
 # --- versioned dimensions -------------------------------------------------------------------------

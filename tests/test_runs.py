@@ -7,10 +7,14 @@ import pytest
 from sedimenta.operators import parity
 from sedimenta.operators import quality as q
 from sedimenta.plans import runs
-from sedimenta.sources import files
+from sedimenta.sources import files, sinks
 from sedimenta.sources.registry import TABLES
 
 N = 60
+LAYOUTS = {
+    "silver_application": sinks.Layout(range_key="SK_ID_CURR", range_width=20),
+    "silver_installments_payments": sinks.Layout(buckets=sinks.Buckets(("SK_ID_PREV", "NUM_INSTALMENT_NUMBER"), 2)),
+}
 
 
 def write_batch(landing, *, children=lambda k: k % 3, applicants=range(N)):
@@ -42,10 +46,12 @@ def zone(spark, tmp_path_factory):
     base = tmp_path_factory.mktemp("zone")
     write_batch(base / "landing" / "b1")
     paths = {"landing": base / "landing", "bronze": str(base / "bronze"), "root": str(base / "tables")}
-    runs.ingest(spark, str(base / "landing" / "b1"), paths["bronze"], batch_id="b1", env="dev", ingestion_ts="2024-01-01T00:00:00")
-    runs.build_silver(spark, paths["bronze"], paths["root"], batch_ids=["b1"])
+    paths["written"] = runs.ingest(spark, str(base / "landing" / "b1"), paths["bronze"], batch_id="b1", env="dev",
+                                   ingestion_ts="2024-01-01T00:00:00")
+    runs.build_silver(spark, paths["bronze"], paths["root"], batch_ids=["b1"], layouts=LAYOUTS)
     runs.build_gold(spark, paths["root"], "2024-01-01 00:00:00")
     yield paths
+    assert not list((base / "tables").glob("_work/*"))
     for table in [*(s.silver for s in TABLES.values()), "dim_applicant", "dim_loan_type", "dim_credit_status",
                   "fact_loan_application", "fact_bureau_credit", "fact_installment_payment"]:
         spark.sql(f"DROP TABLE IF EXISTS {table}")
@@ -63,6 +69,11 @@ def test_every_bronze_row_is_tagged_and_counted(spark, zone):
         assert [tuple(r) for r in df.select("batch_id", "env", "source_file").distinct().collect()] == [("b1", "dev", f"{source}.csv")]
 
 
+def test_rows_are_counted_while_they_are_written(zone):
+    assert zone["written"]["bronze_application_train"] == {"rows": N + 2, "missing_keys": 1, "unparsed_lines": 1}
+    assert zone["written"]["bronze_bureau_balance"] == {"rows": 700, "missing_keys": 0, "unparsed_lines": 0}
+
+
 def test_bronze_checks_see_the_missing_key(spark, zone):
     checks = runs.check_bronze(spark, zone["bronze"], "run1", batch_id="b1", expected_rows={"application_train": N + 2}).collect()
     failed = {(r["table_name"], r["check_name"]): r["observed"] for r in checks if not r["passed"]}
@@ -111,7 +122,7 @@ def test_rerun_is_idempotent(spark, zone, rows):
     before, manifest = snapshot(), f"{zone['root']}/_manifest"
     runs.silver_manifest(spark).write.parquet(manifest)
     runs.ingest(spark, str(zone["landing"] / "b1"), zone["bronze"], batch_id="b1", env="dev", ingestion_ts="2024-01-01T00:00:00")
-    runs.build_silver(spark, zone["bronze"], zone["root"], batch_ids=["b1"])
+    runs.build_silver(spark, zone["bronze"], zone["root"], batch_ids=["b1"], layouts=LAYOUTS)
     runs.build_gold(spark, zone["root"], "2024-01-05 00:00:00")
     assert snapshot() == before
     assert bronze(spark, zone, "bureau").count() == 100
@@ -122,7 +133,7 @@ def test_rerun_is_idempotent(spark, zone, rows):
 def test_second_batch_updates_inserts_and_versions(spark, zone):
     write_batch(zone["landing"] / "b2", children=lambda k: 9, applicants=range(50, 70))
     runs.ingest(spark, str(zone["landing"] / "b2"), zone["bronze"], batch_id="b2", env="dev", ingestion_ts="2024-02-01T00:00:00")
-    runs.build_silver(spark, zone["bronze"], zone["root"], batch_ids=["b2"])
+    runs.build_silver(spark, zone["bronze"], zone["root"], batch_ids=["b2"], layouts=LAYOUTS)
     runs.build_gold(spark, zone["root"], "2024-02-01 00:00:00")
     dim = spark.table("dim_applicant")
     # applicant 67 has no target, so 9 of 10 new ones arrive; 47 was already quarantined
@@ -130,11 +141,11 @@ def test_second_batch_updates_inserts_and_versions(spark, zone):
     assert dim.filter("is_current").count() == N - 3 + 9 and dim.filter("NOT is_current").count() == 10
     assert {r[0] for r in dim.filter("NOT is_current").select("applicant_id").collect()} == set(range(50, 60))
     # replaying the first batch does not bring its older rows back
-    runs.build_silver(spark, zone["bronze"], zone["root"], batch_ids=["b1"])
+    runs.build_silver(spark, zone["bronze"], zone["root"], batch_ids=["b1"], layouts=LAYOUTS)
     assert spark.table("silver_application").filter("SK_ID_CURR = 55 AND CNT_CHILDREN = 9").count() == 1
     # nor does a full rebuild from all batches differ
     before = spark.table("silver_application")
-    runs.build_silver(spark, zone["bronze"], zone["root"], tables=["application_train"])
+    runs.build_silver(spark, zone["bronze"], zone["root"], tables=["application_train"], layouts=LAYOUTS)
     assert parity.row_hash_diff(before, spark.table("silver_application"), ["SK_ID_CURR"]).count() == 0
 
 
@@ -158,7 +169,6 @@ def test_results_are_recorded_once_per_run(spark, zone):
 
 def test_gold_gate_stops_a_fact_with_repeated_grain(spark, zone):
     from sedimenta.plans import gold
-    from sedimenta.sources import sinks
 
     good = spark.table("fact_loan_application")
     n = good.count()

@@ -1,3 +1,6 @@
+import contextlib
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -8,6 +11,16 @@ from sedimenta.sources import sinks
 SRC = "applicant_id long, SK_ID_CURR long, name_income_type string, name_education_type string, name_family_status string, cnt_children int"
 
 
+@contextlib.contextmanager
+def broadcast_off(spark):
+    """Plan joins as for tables too large to broadcast."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        yield
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def frame(spark, pairs):
     return spark.createDataFrame(pairs, "k long, v string, ingestion_ts long")
 
@@ -92,15 +105,44 @@ def test_bucketed_target_is_not_shuffled(spark, tmp_path, name):
     sinks.publish_upsert(spark, name, big, ["k"], str(tmp_path), buckets=sinks.Buckets(("k",), 4))
     from sedimenta.operators.upsert import upsert
 
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
-    try:
+    with broadcast_off(spark):
         merged = upsert(spark.table(name), big.filter("k % 2 = 0").repartition(3), ["k"])
         plan = merged._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "Bucketed: true" in plan and plan.count("Exchange hashpartitioning(k") == 1  # the updates only
 
 
+def test_repeated_upserts_into_buckets_keep_few_files(spark, tmp_path, name, rows):
+    buckets = sinks.Buckets(("k",), 4)
+
+    def batch(lo, hi, ts):
+        return spark.range(lo, hi, 1, 5).selectExpr("id AS k", f"'b{ts}' AS v", f"{ts}L AS ingestion_ts")
+
+    for ts, (lo, hi) in enumerate([(0, 400), (100, 500), (50, 60), (0, 500)]):
+        with broadcast_off(spark):
+            sinks.publish_upsert(spark, name, batch(lo, hi, ts), ["k"], str(tmp_path), order=["ingestion_ts"], buckets=buckets)
+        table = spark.table(name)
+        per_bucket = table.selectExpr("regexp_extract(input_file_name(), '_([0-9]{5})[.]', 1) AS b", "input_file_name() AS f")
+        assert per_bucket.distinct().groupBy("b").count().agg({"count": "max"}).first()[0] <= 2
+    assert rows(table.groupBy("v").count()) == [("b3", 500)]
+
+
+def test_range_layout_names_partitions(spark, rows):
+    layout = sinks.Layout(range_key="k", range_width=100)
+    df = spark.sql("SELECT * FROM VALUES (0L), (99L), (100L), (-1L) AS t(k)")
+    assert rows(layout.apply(df)) == [(-1, "r-1"), (0, "r0"), (100, "r1"), (99, "r0")]
+    assert sinks.Layout().apply(df) is df and sinks.Layout().partition_by is None
+
+
+def test_only_work_folders_are_dropped(spark, tmp_path):
+    work = sinks.shared_work_dir(spark, str(tmp_path))
+    assert work.startswith(spark.conf.get("spark.checkpoint.dir"))
+    spark.range(1).write.parquet(work)
+    sinks.drop_work_dir(spark, work)
+    assert not Path(work).exists()
+    with pytest.raises(ValueError, match="not a work folder"):
+        sinks.drop_work_dir(spark, str(tmp_path))
+
+
 def test_partitioned_upsert_rewrites_touched_partitions_only(spark, tmp_path, name, rows):
     def ranged(lo, hi, v, ts):
         return spark.range(lo, hi).selectExpr("id AS k", f"'{v}' AS v", f"{ts}L AS ingestion_ts", "CONCAT('r', id DIV 10) AS key_range")

@@ -33,6 +33,13 @@ def test_late_batch_does_not_replace_newer_rows(spark, rows):
     assert rows(u.upsert_latest(late, target, ["k"])) == rows(u.upsert_latest(target, late, ["k"]))
 
 
+def test_corrected_replay_of_the_same_batch_takes_effect(spark, rows):
+    target, replay = frame(spark, [(1, "wrong", 5), (2, "x", None)]), frame(spark, [(1, "right", 5), (2, "y", None), (3, "z", None)])
+    assert rows(u.upsert_latest(target, replay, ["k"])) == [(1, "right", 5), (2, "y", None), (3, "z", None)]
+    undated = frame(spark, [(1, "undated", None)])
+    assert rows(u.upsert_latest(target, undated, ["k"]))[0] == (1, "wrong", 5)
+
+
 def test_lookup_has_stable_ids(spark, rows):
     df = spark.sql("SELECT * FROM VALUES ('C'), ('0'), ('C'), (NULL) AS t(STATUS)")
     out = u.lookup_rows(df, "STATUS", "status_id", "status_code", {"C": "closed"}, "status_description")

@@ -570,3 +570,10 @@ oracle("row_hash_diff", "v_upserted", f"""
     FROM (SELECT applicant_id, {DIGEST} AS row_digest, 1 AS l, 0 AS r FROM v_target
           UNION ALL SELECT applicant_id, {DIGEST}, 0, 1 FROM v_upserted)
     GROUP BY 1, 2 HAVING SUM(l) <> SUM(r)""")
+
+_BEFORE = digest("applicant_id", "DAYS_BIRTH", "DAYS_EMPLOYED", "ORGANIZATION_TYPE", "segment")
+_AFTER = digest("applicant_id", "DAYS_BIRTH", "DAYS_EMPLOYED", "CASE WHEN DAYS_EMPLOYED <> 365243 THEN ORGANIZATION_TYPE END",
+                "segment")
+oracle("row_hash_diff_screened", "v_applicant", f"""
+    SELECT applicant_id, {_BEFORE} AS row_digest, 1 AS n_left, 0 AS n_right FROM v_applicant WHERE DAYS_EMPLOYED = 365243
+    UNION ALL SELECT applicant_id, {_AFTER}, 0, 1 FROM v_applicant WHERE DAYS_EMPLOYED = 365243""")
