@@ -47,11 +47,12 @@ def sha256_text(value: ColumnLike) -> Column:
     return F.sha2(as_column(value).cast("string"), 256)
 
 
-def surrogate_key(*keys: ColumnLike, null_token: str = NULL_KEY_TOKEN) -> Column:
-    """Hashed surrogate of one or several key columns."""
+def surrogate_key(*keys: ColumnLike, null_token: str = NULL_KEY_TOKEN, binary: bool = False) -> Column:
+    """Hashed surrogate of one or several key columns: 64 hex digits, or the 32 bytes they spell."""
     parts = [F.coalesce(as_column(k).cast("string"), F.lit(null_token)) for k in keys]
     text = parts[0] if len(parts) == 1 else F.concat_ws(KEY_SEPARATOR, *parts)
-    return F.sha2(text, 256)
+    digest = F.sha2(text, 256)
+    return F.unhex(digest) if binary else digest
 
 
 def version_key(key: ColumnLike, as_of: Column, null_token: str = NULL_KEY_TOKEN) -> Column:

@@ -100,7 +100,8 @@ def row_hash_diff(left: DataFrame, right: DataFrame, keys: Sequence[str] = (),
     ``screen`` is for large tables expected to agree: rows are first summed up
     in that many digest ranges, and only ranges whose sums differ go through
     the exact comparison. It reads both tables twice, but shuffles ``screen``
-    rows per task instead of every row.
+    rows per task instead of every row. At most ``screen`` range numbers are
+    broadcast.
     """
     columns = list(columns or left.columns)
 
@@ -119,7 +120,7 @@ def row_hash_diff(left: DataFrame, right: DataFrame, keys: Sequence[str] = (),
             .agg(F.sum(sign).alias("_n"), *[F.sum(h * sign).alias(f"_s{i}") for i, h in enumerate(halves)])
             .filter((F.col("_n") != 0) | (F.col("_s0") != 0) | (F.col("_s1") != 0))
         )
-        both = both.join(differing.select("_range"), ["_range"], "left_semi")
+        both = both.join(F.broadcast(differing.select("_range")), ["_range"], "left_semi")
     return (
         both.groupBy(*keys, "row_digest")
         .agg(F.sum("_l").alias("n_left"), F.sum("_r").alias("n_right"))

@@ -113,6 +113,15 @@ def orphans(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str
     return references.join(parents, ["key"], "left_anti")
 
 
+def sentinel_leaks(df: DataFrame, sentinels: Mapping[str, object], suffix: str = "_MASKED") -> DataFrame:
+    """Rows whose masked value is the digest of a sentinel, which any reader could recompute."""
+    leaked = F.lit(False)
+    for column, sentinel in sentinels.items():
+        if f"{column}{suffix}" in df.columns:
+            leaked = leaked | F.coalesce(F.col(f"{column}{suffix}") == fn.sha256_text(F.lit(sentinel)), F.lit(False))
+    return df.filter(leaked)
+
+
 def fact_gates(fact: DataFrame, name: str, grain: Sequence[str], code: int) -> list[Gate]:
     return [
         Gate(f"{name}_grain", duplicate_keys(fact, grain), code=code),

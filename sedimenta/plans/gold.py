@@ -177,8 +177,12 @@ def credit_risk_features(applicants: DataFrame, fact: DataFrame, bureau: DataFra
 
 def credit_risk_summary(fact: DataFrame, dim: DataFrame, income: str = "AMT_INCOME_TOTAL",
                         by: str = "NAME_CONTRACT_TYPE", spec: DimensionSpec = DIM_APPLICANT) -> DataFrame:
-    """Per loan type: volume, default rate, average credit, income to credit, applicants covered by the dimension."""
-    joined = join_current(fact, dim.withColumn("_known", F.lit(1)), ["_known", income], spec)
+    """Per loan type: volume, default rate, average credit, income to credit, applicants covered by the dimension.
+
+    Income is read from the fact, or from the dimension where the fact lacks it.
+    """
+    looked_up = ["_known"] if _carried(fact, [income]) else ["_known", income]
+    joined = join_current(fact, dim.withColumn("_known", F.lit(1)), looked_up, spec)
     ratio = (F.col(income) / F.nullif(F.col("AMT_CREDIT"), F.lit(0.0))).cast("decimal(18,6)")
     return joined.groupBy(by).agg(
         F.count(F.lit(1)).alias("applications"),

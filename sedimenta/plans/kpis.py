@@ -50,11 +50,16 @@ def delinquency_rate(bureau: DataFrame) -> DataFrame:
 
 def income_to_credit(fact: DataFrame, applicants: DataFrame, segment: str, income: str = "AMT_INCOME_TOTAL",
                      key: str = "applicant_id") -> DataFrame:
-    """Mean of income over credit per segment; applications without credit are left out of the mean."""
+    """Mean of income over credit per segment; applications without credit are left out of the mean.
+
+    Income is read from the fact, or from ``applicants`` where the fact lacks it.
+    """
     ratio = (F.col(income) / F.nullif(F.col("AMT_CREDIT"), F.lit(0.0))).cast("decimal(18,6)")
+    in_fact = [income] if income in fact.columns else []
+    looked_up = [segment] if in_fact else [segment, income]
     return (
-        fact.select(key, "AMT_CREDIT")
-        .join(applicants.select(key, segment, income), [key], "inner")
+        fact.select(key, "AMT_CREDIT", *in_fact)
+        .join(applicants.select(key, *looked_up), [key], "inner")
         .groupBy(F.col(segment).alias("segment"))
         .agg(
             F.count(F.lit(1)).alias("applications"),

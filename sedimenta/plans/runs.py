@@ -18,7 +18,7 @@ from ..operators import parity
 from ..operators import quality as q
 from ..sources import files, sinks
 from ..sources.registry import INGESTION_DATE, INGESTION_TS, TABLES, TableSpec
-from . import gold, silver
+from . import gold, kpis, schemas, silver
 
 BRONZE_PARTITIONS = (INGESTION_DATE, "batch_id")
 
@@ -105,6 +105,7 @@ def build_silver(spark: SparkSession, bronze_root: str, root: str, *, batch_ids:
             counts[spec.silver] = sinks.publish_upsert(
                 spark, spec.silver, layout.apply(good), spec.keys, root, order=[INGESTION_TS], buckets=layout.buckets,
                 partition_by=layout.partition_by,
+                gates=(lambda rows, spec=spec: silver.mask_gates(rows, spec)) if drop_raw else None,
             )
             _quarantine(bad.unionByName(silver.keyless(bronze, spec, drop_raw=drop_raw)), f"{root}/{spec.quarantine}",
                         batch_ids)
@@ -139,6 +140,11 @@ def check_references(spark: SparkSession, tables: Sequence[str] | None = None) -
 # --- gold -----------------------------------------------------------------------------------------
 
 
+def loans(application: DataFrame) -> DataFrame:
+    """Silver applications as the loan fact reads them."""
+    return application.filter(F.col("SK_ID_CURR").isNotNull()).withColumn("applicant_id", F.col("SK_ID_CURR"))
+
+
 def build_gold(spark: SparkSession, root: str, as_of: datetime | str, *, close_missing: bool = False,
                buckets: sinks.Buckets | None = None) -> dict[str, dict[str, int]]:
     """Applicant dimension first, then the facts that refer to it, each behind its gates."""
@@ -149,13 +155,9 @@ def build_gold(spark: SparkSession, root: str, as_of: datetime | str, *, close_m
             spark, "dim_applicant", attributes, as_of, root, close_missing=close_missing, buckets=buckets
         )
     }
-    dim = spark.table("dim_applicant")
-    measures = ["SK_ID_CURR", "NAME_CONTRACT_TYPE", "TARGET", "AMT_CREDIT", "AMT_INCOME_TOTAL"]
-    loans = application.select(*[c for c in measures if c in application.columns]).withColumn(
-        "applicant_id", F.col("SK_ID_CURR")
-    ).filter(F.col("SK_ID_CURR").isNotNull())
+    applicants = spark.table("dim_applicant").filter("is_current")
     facts = {
-        "fact_loan_application": (gold.fact_loan_application(loans), gold.LOAN_GRAIN, q.LOAN_GRAIN),
+        "fact_loan_application": (gold.fact_loan_application(loans(application)), gold.LOAN_GRAIN, q.LOAN_GRAIN),
         "fact_bureau_credit": (
             gold.fact_bureau_credit(spark.table("silver_bureau")), gold.BUREAU_GRAIN, q.BUREAU_GRAIN,
         ),
@@ -167,25 +169,51 @@ def build_gold(spark: SparkSession, root: str, as_of: datetime | str, *, close_m
     for name, (fact, grain, code) in facts.items():
 
         def gates(staged: DataFrame, name=name, grain=grain, code=code) -> list[q.Gate]:
-            reference = q.orphans(staged, "SK_ID_CURR", dim.filter("is_current"), "SK_ID_CURR")
+            reference = q.orphans(staged, "SK_ID_CURR", applicants, "SK_ID_CURR")
             # A loan without its applicant is an error of this build; bureau and
             # instalment rows of applicants outside this extract are only counted.
             severity = "CRITICAL" if name == "fact_loan_application" else "HIGH"
             return [*q.fact_gates(staged, name, grain, code), q.Gate(f"{name}_applicant", reference, severity)]
 
-        counts[name] = sinks.publish(spark, name, fact, root, gates=gates)
-    if "NAME_CONTRACT_TYPE" in application.columns:
-        counts["dim_loan_type"] = sinks.publish_upsert(
-            spark, "dim_loan_type", gold.dim_loan_type(application), ["loan_type_id"], root
-        )
-    balance = spark.table("silver_bureau_balance")
-    if "STATUS" in balance.columns:
-        counts["dim_credit_status"] = sinks.publish_upsert(
-            spark, "dim_credit_status", gold.dim_credit_status(balance), ["status_id"], root
-        )
+        counts[name] = sinks.publish(spark, name, schemas.fit(fact, schemas.gold_schema(name)), root, gates=gates)
+    lookups = {
+        "dim_loan_type": (gold.dim_loan_type, application, "NAME_CONTRACT_TYPE", "loan_type_id"),
+        "dim_credit_status": (gold.dim_credit_status, spark.table("silver_bureau_balance"), "STATUS", "status_id"),
+    }
+    for name, (build, rows, code, key) in lookups.items():
+        if code in rows.columns:
+            counts[name] = sinks.publish_upsert(spark, name, build(rows), [key], root)
     return counts
 
 
+def build_marts(spark: SparkSession, root: str) -> dict[str, dict[str, int]]:
+    """Applicant risk features and the per-loan-type summary, from published tables only."""
+    fact, bureau = spark.table("fact_loan_application"), spark.table("fact_bureau_credit")
+    records = gold.bureau_with_balance(bureau, spark.table("silver_bureau_balance"))
+    features = gold.credit_risk_features(fact, fact, bureau, records, key="SK_ID_CURR")
+    summary = gold.credit_risk_summary(fact, spark.table("dim_applicant"))
+    return {
+        name: sinks.publish(spark, name, rows, root, gates=sinks.key_gates(name, keys))
+        for name, rows, keys in (
+            ("int_credit_risk_features", features, ["SK_ID_CURR"]),
+            ("mart_credit_risk_summary", summary, ["NAME_CONTRACT_TYPE"]),
+        )
+    }
+
+
+def indicators(spark: SparkSession) -> dict[str, DataFrame]:
+    """The risk indicators, each from gold (masked presence from silver, where the mask is)."""
+    fact = spark.table("fact_loan_application")
+    applicants = spark.table("dim_applicant").filter("is_current")
+    return {
+        "default_rate": kpis.default_rate(fact),
+        "avg_credit": kpis.avg_credit(fact),
+        "delinquency_rate": kpis.delinquency_rate(spark.table("fact_bureau_credit")),
+        "income_to_credit": kpis.income_to_credit(fact, applicants, "name_income_type"),
+        "masked_presence": kpis.masked_presence(spark.table("silver_application")),
+    }
+
+
 def record_results(results: DataFrame, path: str) -> None:
     """Store check results; a run's own rows are replaced when it is repeated."""
     sinks.replace_partitions(results, path, ["run_id"])

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import cleanse
-from ..operators.quality import with_failed_rules
+from ..operators.quality import Gate, sentinel_leaks, with_failed_rules
 from ..sources.files import CORRUPT
 from ..sources.registry import INGESTION_TS, TableSpec
 
@@ -64,5 +64,17 @@ def keyed(bronze: DataFrame, spec: TableSpec) -> DataFrame:
     return cleanse.split_null_keys(bronze, spec.keys)[0]
 
 
+def mask_gates(staged: DataFrame, spec: TableSpec) -> list[Gate]:
+    """No sentinel digest and no raw sensitive column in what is about to be published."""
+    if not spec.masked:
+        return []
+    raw = [c for c in spec.masked if c in staged.columns]
+    exposed = staged.filter(F.lit(bool(raw)))
+    return [
+        Gate(f"{spec.silver}_sentinel_leak", sentinel_leaks(staged, spec.sentinels)),
+        Gate(f"{spec.silver}_raw_column", exposed),
+    ]
+
+
 def is_bad() -> Column:
     return F.size(FAILED) > 0

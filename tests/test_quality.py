@@ -65,6 +65,11 @@ def test_mask_checks_catch_hashing_before_nulling(spark):
     assert "masked_equals_original" in failed(unmasked)
 
 
+def test_sentinel_leak_gate(spark):
+    df = spark.sql("SELECT sha2('365243', 256) AS DAYS_EMPLOYED_MASKED UNION ALL SELECT sha2('-5', 256) UNION ALL SELECT NULL")
+    assert q.sentinel_leaks(df, {"DAYS_EMPLOYED": 365243, "ORGANIZATION_TYPE": "XNA"}).count() == 1
+
+
 def test_profile_sketch_agrees_with_exact(spark, rows):
     df = spark.range(1000).selectExpr("id", "CASE WHEN id % 4 = 0 THEN NULL ELSE id % 5 END AS v")
     sketch, exact = q.profile(df), q.profile(df, exact=True)

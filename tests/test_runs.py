@@ -6,7 +6,7 @@ import pytest
 
 from sedimenta.operators import parity
 from sedimenta.operators import quality as q
-from sedimenta.plans import runs
+from sedimenta.plans import runs, schemas
 from sedimenta.sources import files, sinks
 from sedimenta.sources.registry import TABLES
 
@@ -53,7 +53,8 @@ def zone(spark, tmp_path_factory):
     yield paths
     assert not list((base / "tables").glob("_work/*"))
     for table in [*(s.silver for s in TABLES.values()), "dim_applicant", "dim_loan_type", "dim_credit_status",
-                  "fact_loan_application", "fact_bureau_credit", "fact_installment_payment"]:
+                  "fact_loan_application", "fact_bureau_credit", "fact_installment_payment", "int_credit_risk_features",
+                  "mart_credit_risk_summary"]:
         spark.sql(f"DROP TABLE IF EXISTS {table}")
 
 
@@ -111,6 +112,29 @@ def test_gold_counts(spark, zone):
     assert spark.table("dim_loan_type").count() == 2 and spark.table("dim_credit_status").count() == 8
 
 
+def test_gold_tables_have_their_fixed_columns(spark, zone):
+    for table in ("dim_applicant", "dim_loan_type", "dim_credit_status", "fact_loan_application", "fact_bureau_credit",
+                  "fact_installment_payment"):
+        got = [(f.name, f.dataType) for f in spark.table(table).schema.fields]
+        assert got == [(f.name, f.dataType) for f in schemas.gold_schema(table).fields], table
+
+
+def test_marts_and_indicators_from_published_tables(spark, zone, rows):
+    runs.build_marts(spark, zone["root"])
+    features = spark.table("int_credit_risk_features")
+    assert features.count() == N - 3 and features.filter("bureau_records > 0 AND balance_months > 0").count() > 0
+    assert features.agg({"application_count": "sum"}).first()[0] == N - 3
+    got = {name: rows(df) for name, df in runs.indicators(spark).items()}
+    good = [k for k in range(N) if k % 20 != 7]
+    share = lambda ks: round(100.0 * sum(k % 2 for k in ks) / len(ks), 6)
+    assert ("ALL", N - 3, sum(k % 2 for k in good), share(good)) in got["default_rate"]
+    assert got["delinquency_rate"] == [(100, 75, 75.0)]
+    assert [r[:2] for r in got["income_to_credit"]] == [("Working", N - 3)]
+    assert sum(r[2] for r in got["masked_presence"]) == N - 3 - 12
+    summary = {r["NAME_CONTRACT_TYPE"]: r for r in spark.table("mart_credit_risk_summary").collect()}
+    assert summary["Cash"]["with_applicant"] == summary["Cash"]["applications"] == len([k for k in good if k % 3])
+
+
 def test_orphans_are_reported(spark, zone):
     assert runs.check_references(spark)["silver_bureau"].count() == 13  # 3 quarantined applicants, 10 unknown ones
 
