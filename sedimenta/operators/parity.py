@@ -91,39 +91,36 @@ def compare_runs(first: DataFrame, second: DataFrame) -> DataFrame:
 
 
 def row_hash_diff(left: DataFrame, right: DataFrame, keys: Sequence[str] = (),
-                  columns: Sequence[str] | None = None, screen: int | None = None) -> DataFrame:
+                  columns: Sequence[str] | None = None, screen: int | None = 4096) -> DataFrame:
     """Rows that differ between two tables, as multisets: (keys, digest, n_left, n_right).
 
     Both sides are reduced to (key, digest) counts by one aggregation over
     their union, so identical copies of a row never meet in one task.
 
-    ``screen`` is for large tables expected to agree: rows are first summed up
-    in that many digest ranges, and only ranges whose sums differ go through
-    the exact comparison. It reads both tables twice, but shuffles ``screen``
-    rows per task instead of every row. At most ``screen`` range numbers are
-    broadcast.
+    Tables that should agree mostly do, so rows are first summed up in
+    ``screen`` hash ranges, and only ranges whose sums differ go through the
+    exact comparison: this reads both tables twice but shuffles ``screen`` rows
+    per task instead of every row. At most ``screen`` range numbers are
+    broadcast. ``None`` goes straight to the exact comparison.
     """
     columns = list(columns or left.columns)
-
-    def counted(df: DataFrame, in_left: int) -> DataFrame:
-        return df.select(
-            *keys, fn.row_digest(columns).alias("row_digest"), F.lit(in_left).alias("_l"), F.lit(1 - in_left).alias("_r")
-        )
-
-    both = counted(left, 1).unionByName(counted(right, 0))
+    used = list(dict.fromkeys([*keys, *columns]))
+    sides = left.select(*used, F.lit(1).alias("_side")).unionByName(right.select(*used, F.lit(-1).alias("_side")))
     if screen:
-        both = both.withColumn("_range", F.pmod(F.hash("row_digest"), F.lit(screen)))
-        sign = F.col("_l") - F.col("_r")
-        halves = [F.xxhash64(F.lit(i), "row_digest", *keys).cast("decimal(20,0)") for i in (1, 2)]
+        # NULL flags are hashed along: a NULL value alone leaves a hash as it was.
+        row_hash = F.xxhash64(*used, *[F.col(c).isNull() for c in used])
+        hashed = sides.withColumn("_hash", row_hash).withColumn("_range", F.pmod("_hash", F.lit(screen)))
+        high, low = F.shiftrightunsigned("_hash", 32), F.col("_hash").bitwiseAND(F.lit(0xFFFFFFFF))
         differing = (
-            both.groupBy("_range")
-            .agg(F.sum(sign).alias("_n"), *[F.sum(h * sign).alias(f"_s{i}") for i, h in enumerate(halves)])
-            .filter((F.col("_n") != 0) | (F.col("_s0") != 0) | (F.col("_s1") != 0))
+            hashed.groupBy("_range")
+            .agg(F.sum("_side").alias("_n"), F.sum(high * F.col("_side")).alias("_h"), F.sum(low * F.col("_side")).alias("_w"))
+            .filter((F.col("_n") != 0) | (F.col("_h") != 0) | (F.col("_w") != 0))
         )
-        both = both.join(F.broadcast(differing.select("_range")), ["_range"], "left_semi")
+        sides = hashed.join(F.broadcast(differing.select("_range")), ["_range"], "left_semi")
     return (
-        both.groupBy(*keys, "row_digest")
-        .agg(F.sum("_l").alias("n_left"), F.sum("_r").alias("n_right"))
+        sides.select(*keys, fn.row_digest(columns).alias("row_digest"), "_side")
+        .groupBy(*keys, "row_digest")
+        .agg(F.count_if(F.col("_side") == 1).alias("n_left"), F.count_if(F.col("_side") == -1).alias("n_right"))
         .filter(F.col("n_left") != F.col("n_right"))
     )
 

@@ -485,9 +485,8 @@ def idempotency_check(spark, sf):
 
 @register
 def row_hash_diff(spark, sf):
-    return parity.row_hash_diff(
-        v.upsert_target(spark, sf), _upserted(spark, sf), ["applicant_id"], ["applicant_id", "SK_ID_CURR", "NAME_CONTRACT_TYPE", "AMT_CREDIT"]
-    )
+    columns = ["applicant_id", "SK_ID_CURR", "NAME_CONTRACT_TYPE", "AMT_CREDIT"]
+    return parity.row_hash_diff(v.upsert_target(spark, sf), _upserted(spark, sf), ["applicant_id"], columns, screen=None)
 
 
 @register
