@@ -106,6 +106,8 @@ def row_hash_diff(left: DataFrame, right: DataFrame, keys: Sequence[str] = (),
     columns = list(columns or left.columns)
     used = list(dict.fromkeys([*keys, *columns]))
     sides = left.select(*used, F.lit(1).alias("_side")).unionByName(right.select(*used, F.lit(-1).alias("_side")))
+    if screen and screen > 1_000_000:
+        raise ValueError("screen numbers are broadcast; keep them under a million")
     if screen:
         # NULL flags are hashed along: a NULL value alone leaves a hash as it was.
         row_hash = F.xxhash64(*used, *[F.col(c).isNull() for c in used])

@@ -3,11 +3,12 @@
 import hashlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from sedimenta.operators import parity
 from sedimenta.operators import quality as q
 from sedimenta.plans import runs, schemas
-from sedimenta.sources import files, sinks
+from sedimenta.sources import files, landing, sinks
 from sedimenta.sources.registry import TABLES
 
 N = 60
@@ -154,16 +155,21 @@ def test_rerun_is_idempotent(spark, zone, rows):
     assert verdict.filter("NOT passed").count() == 0 and verdict.count() == len(TABLES)
 
 
-def test_second_batch_updates_inserts_and_versions(spark, zone):
+def test_second_batch_updates_inserts_and_versions(spark, zone, rows):
     write_batch(zone["landing"] / "b2", children=lambda k: 9, applicants=range(50, 70))
     runs.ingest(spark, str(zone["landing"] / "b2"), zone["bronze"], batch_id="b2", env="dev", ingestion_ts="2024-02-01T00:00:00")
     runs.build_silver(spark, zone["bronze"], zone["root"], batch_ids=["b2"], layouts=LAYOUTS)
-    runs.build_gold(spark, zone["root"], "2024-02-01 00:00:00")
+    runs.build_gold(spark, zone["root"], "2024-02-01 00:00:00", batch_ids=["b2"])
     dim = spark.table("dim_applicant")
     # applicant 67 has no target, so 9 of 10 new ones arrive; 47 was already quarantined
     assert spark.table("silver_application").count() == N - 3 + 9
     assert dim.filter("is_current").count() == N - 3 + 9 and dim.filter("NOT is_current").count() == 10
     assert {r[0] for r in dim.filter("NOT is_current").select("applicant_id").collect()} == set(range(50, 60))
+    # gold built from the batch alone equals gold reloaded from all of silver
+    facts = ("fact_loan_application", "fact_bureau_credit", "fact_installment_payment", "dim_applicant", "dim_loan_type")
+    incremental = {t: rows(spark.table(t)) for t in facts}
+    runs.build_gold(spark, zone["root"], "2024-02-02 00:00:00")
+    assert {t: rows(spark.table(t)) for t in facts} == incremental
     # replaying the first batch does not bring its older rows back
     runs.build_silver(spark, zone["bronze"], zone["root"], batch_ids=["b1"], layouts=LAYOUTS)
     assert spark.table("silver_application").filter("SK_ID_CURR = 55 AND CNT_CHILDREN = 9").count() == 1
@@ -173,6 +179,23 @@ def test_second_batch_updates_inserts_and_versions(spark, zone):
     assert parity.row_hash_diff(before, spark.table("silver_application"), ["SK_ID_CURR"]).count() == 0
 
 
+def test_replay_needs_landing_as_recorded_and_restores_the_batch(spark, zone, tmp_path, rows):
+    place, store, target = zone["landing"] / "b1", str(tmp_path / "manifest"), str(tmp_path / "bronze")
+    found = landing.landing_manifest(spark, str(place))
+    landing.record_landing(found, batch_id="b1", env="dev", ingestion_ts="2024-01-01T05:06:07.000008+01:00").write.parquet(store)
+    recorded = spark.read.parquet(store)
+    runs.replay(spark, str(place), target, recorded, batch_id="b1", tables=["bureau"])
+    once = spark.read.parquet(f"{target}/bronze_bureau")
+    assert [str(r[0]) for r in once.select(F.date_format("ingestion_ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")).distinct().collect()] == ["2024-01-01 04:06:07.000008"]
+    before = rows(once)
+    runs.replay(spark, str(place), target, recorded, batch_id="b1", tables=["bureau"])
+    assert rows(spark.read.parquet(f"{target}/bronze_bureau")) == before
+    with pytest.raises(q.GateFailure, match="landing_unchanged"):
+        runs.replay(spark, str(zone["landing"]), target, recorded, batch_id="b1", tables=["bureau"])
+    with pytest.raises(q.GateFailure):
+        runs.replay(spark, str(place), target, recorded, batch_id="unknown", tables=["bureau"])
+
+
 def test_drifting_batch_is_refused_before_bronze(spark, zone):
     write_batch(zone["landing"] / "b3")
     path = zone["landing"] / "b3" / "bureau.csv"
