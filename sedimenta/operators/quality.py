@@ -56,6 +56,14 @@ def gate_counts(gates: Sequence[Gate]) -> DataFrame:
     return reduce(DataFrame.unionByName, rows)
 
 
+def gate_results(gates: Sequence[Gate]) -> DataFrame:
+    """Gates as check rows, for recording: no violation is expected."""
+    return gate_counts(gates).select(
+        F.col("gate").alias("check_name"), "severity", F.col("violations").alias("observed"),
+        F.lit(0).cast("bigint").alias("expected"), (F.col("violations") == 0).alias("passed"),
+    )
+
+
 def enforce(gates: Sequence[Gate]) -> dict[str, int]:
     """Evaluate all gates in one job; raise if a blocking one is violated."""
     if not gates:
@@ -154,21 +162,38 @@ def measure(df: DataFrame, checks: Mapping[str, tuple[str, Column, object]]) ->
     return totals.select(F.inline(rows)).withColumn("passed", F.col("observed").eqNullSafe(F.col("expected")))
 
 
-def bronze_checks(df: DataFrame, keys: Sequence[str], ts: str = "ingestion_ts",
-                  expected_rows: int | None = None) -> DataFrame:
-    """Row count, missing timestamps, missing keys and repeated keys, in one pass."""
+def _key_checks(keys: Sequence[str], ts: str) -> dict[str, tuple[str, Column, object]]:
     missing = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    complete = ~missing
-    checks = {
+    return {
         "missing_timestamps": ("CRITICAL", F.count_if(F.col(ts).isNull()), 0),
         "missing_keys": ("CRITICAL", F.count_if(missing), 0),
-        "repeated_keys": ("HIGH", F.count_if(complete) - F.count_distinct(*keys), 0),
+        "repeated_keys": ("HIGH", F.count_if(~missing) - F.count_distinct(*keys), 0),
     }
+
+
+def bronze_checks(df: DataFrame, keys: Sequence[str], ts: str = "ingestion_ts",
+                  expected_rows: int | None = None) -> DataFrame:
+    """Row count, missing timestamps, missing keys and repeated keys, in one pass."""
+    checks = _key_checks(keys, ts)
     if expected_rows is not None:
         checks["row_count"] = ("CRITICAL", F.count(F.lit(1)), expected_rows)
     return measure(df, checks)
 
 
+def silver_checks(df: DataFrame, keys: Sequence[str], rules: Mapping[str, str], masked: Sequence[str] = (),
+                  sentinels: Mapping[str, object] | None = None, ts: str = "ingestion_ts",
+                  suffix: str = "_MASKED") -> DataFrame:
+    """Keys, domain rules, raw columns and sentinel digests of a silver table, in one pass."""
+    checks = _key_checks(keys, ts)
+    checks.update({name: ("HIGH", F.count_if(F.expr(predicate)), 0) for name, predicate in rules.items()})
+    for column in masked:
+        checks[f"raw_{column}"] = ("CRITICAL", F.max(F.lit(int(column in df.columns))), 0)
+        if column in (sentinels or {}):
+            leaked = F.col(f"{column}{suffix}") == fn.sha256_text(F.lit(sentinels[column]))
+            checks[f"sentinel_digest_{column}"] = ("CRITICAL", F.count_if(leaked), 0)
+    return measure(df, checks)
+
+
 def mask_checks(raw: DataFrame, masked: DataFrame, keys: Sequence[str], column: str, sentinel=None,
                 suffix: str = "_MASKED") -> DataFrame:
     """Verify a masked column against its input, row by row on the key.

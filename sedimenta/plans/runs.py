@@ -144,6 +144,17 @@ def silver_manifest(spark: SparkSession, tables: Sequence[str] | None = None) ->
     return parity.manifests({s.silver: (spark.table(s.silver), s.keys, INGESTION_TS) for s in _specs(tables)})
 
 
+def check_silver(spark: SparkSession, run_id: str, tables: Sequence[str] | None = None) -> DataFrame:
+    """Check results of the published silver tables, one pass each."""
+    checks = {}
+    for spec in _specs(tables):
+        df = spark.table(spec.silver)
+        rules = {name: predicate for name, (column, predicate) in spec.rules.items() if column in df.columns}
+        masked = [c for c in spec.masked if f"{c}_MASKED" in df.columns]
+        checks[spec.silver] = q.silver_checks(df, spec.keys, rules, masked, spec.sentinels)
+    return q.check_results(run_id, checks)
+
+
 def check_references(spark: SparkSession, tables: Sequence[str] | None = None) -> dict[str, DataFrame]:
     """Orphans per silver table that declares a parent."""
     return {
@@ -187,21 +198,15 @@ def build_gold(spark: SparkSession, root: str, as_of: datetime | str, *, batch_i
     }
     applicants = spark.table("dim_applicant").filter("is_current")
     facts = {
-        "fact_loan_application": (gold.fact_loan_application(loans(application)), gold.LOAN_GRAIN, q.LOAN_GRAIN),
-        "fact_bureau_credit": (gold.fact_bureau_credit(arrived("silver_bureau")), gold.BUREAU_GRAIN, q.BUREAU_GRAIN),
-        "fact_installment_payment": (
-            gold.fact_installment_payment(arrived("silver_installments_payments")), gold.INSTALMENT_GRAIN,
-            q.INSTALMENT_GRAIN,
-        ),
+        "fact_loan_application": gold.fact_loan_application(loans(application)),
+        "fact_bureau_credit": gold.fact_bureau_credit(arrived("silver_bureau")),
+        "fact_installment_payment": gold.fact_installment_payment(arrived("silver_installments_payments")),
     }
-    for name, (fact, grain, code) in facts.items():
+    for name, fact in facts.items():
+        grain, code = GRAINS[name]
 
         def gates(staged: DataFrame, name=name, grain=grain, code=code) -> list[q.Gate]:
-            reference = q.orphans(staged, "SK_ID_CURR", applicants, "SK_ID_CURR")
-            # A loan without its applicant is an error of this build; bureau and
-            # instalment rows of applicants outside this extract are only counted.
-            severity = "CRITICAL" if name == "fact_loan_application" else "HIGH"
-            return [*q.fact_gates(staged, name, grain, code), q.Gate(f"{name}_applicant", reference, severity)]
+            return _fact_gates(staged, name, grain, code, applicants)
 
         layout = layouts.get(name, sinks.Layout())
         rows = layout.apply(schemas.fit(fact, schemas.gold_schema(name)))
@@ -220,6 +225,31 @@ def build_gold(spark: SparkSession, root: str, as_of: datetime | str, *, batch_i
     return counts
 
 
+GRAINS = {
+    "fact_loan_application": (gold.LOAN_GRAIN, q.LOAN_GRAIN),
+    "fact_bureau_credit": (gold.BUREAU_GRAIN, q.BUREAU_GRAIN),
+    "fact_installment_payment": (gold.INSTALMENT_GRAIN, q.INSTALMENT_GRAIN),
+}
+
+
+def check_gold(spark: SparkSession, run_id: str) -> DataFrame:
+    """Check results of the published gold tables: grains, references, one current version, intervals."""
+    dim = spark.table("dim_applicant")
+    source = gold.int_applicant_attributes(gold.stg_application(spark.table("silver_application")))
+    checks = {"dim_applicant": q.gate_results(sinks.dimension_gates(source)(dim))}
+    for name, (grain, code) in GRAINS.items():
+        checks[name] = q.gate_results(_fact_gates(spark.table(name), name, grain, code, dim.filter("is_current")))
+    return q.check_results(run_id, checks)
+
+
+def _fact_gates(fact: DataFrame, name: str, grain: Sequence[str], code: int, applicants: DataFrame) -> list[q.Gate]:
+    # A loan without its applicant is an error of the build; bureau and
+    # instalment rows of applicants outside this extract are only counted.
+    severity = "CRITICAL" if name == "fact_loan_application" else "HIGH"
+    reference = q.orphans(fact, "SK_ID_CURR", applicants, "SK_ID_CURR")
+    return [*q.fact_gates(fact, name, grain, code), q.Gate(f"{name}_applicant", reference, severity)]
+
+
 def build_marts(spark: SparkSession, root: str) -> dict[str, dict[str, int]]:
     """Applicant risk features and the per-loan-type summary, from published tables only."""
     fact, bureau = spark.table("fact_loan_application"), spark.table("fact_bureau_credit")

@@ -120,6 +120,15 @@ def test_gold_tables_have_their_fixed_columns(spark, zone):
         assert got == [(f.name, f.dataType) for f in schemas.gold_schema(table).fields], table
 
 
+def test_layer_checks_pass_and_report_unknown_applicants(spark, zone):
+    results = runs.check_silver(spark, "run1").unionByName(runs.check_gold(spark, "run1")).collect()
+    failed = {(r["table_name"], r["check_name"]): r["observed"] for r in results if not r["passed"]}
+    assert failed == {("fact_bureau_credit", "fact_bureau_credit_applicant"): 13, ("fact_installment_payment", "fact_installment_payment_applicant"): 2}
+    names = {(r["table_name"], r["check_name"]) for r in results}
+    assert {("silver_application", "credit_not_positive"), ("silver_application", "sentinel_digest_DAYS_EMPLOYED"),
+            ("silver_application", "raw_DAYS_BIRTH"), ("dim_applicant", "one_current_none")} <= names
+
+
 def test_marts_and_indicators_from_published_tables(spark, zone, rows):
     runs.build_marts(spark, zone["root"])
     features = spark.table("int_credit_risk_features")
