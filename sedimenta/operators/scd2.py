@@ -44,8 +44,14 @@ class DimensionSpec:
 DIM_APPLICANT = DimensionSpec()
 
 
+# A sliced dimension is partitioned by this column: one slice of current rows, and closed ones per run.
+SLICE_COLUMN, CURRENT_SLICE = "version_slice", "current"
+
+
 def current_rows(dim: DataFrame, spec: DimensionSpec = DIM_APPLICANT) -> DataFrame:
-    return dim.filter(F.col(spec.current))
+    """Current versions; of a sliced dimension only the current slice is read."""
+    rows = dim.filter(F.col(spec.current))
+    return rows.filter(F.col(SLICE_COLUMN) == CURRENT_SLICE) if SLICE_COLUMN in dim.columns else rows
 
 
 def _sides(dim: DataFrame, src: DataFrame, spec: DimensionSpec) -> tuple[DataFrame, DataFrame]:

@@ -3,45 +3,56 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import columns as fn
 
 
-def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Matched rows are replaced, unmatched rows are inserted, the rest is kept.
+def upsert_parts(target: DataFrame, updates: DataFrame, keys: Sequence[str],
+                 order: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(target rows that stay, updates that take effect); their union is the upserted table.
 
-    ``updates`` must be unique on non-NULL keys (``latest_per_key`` and
-    ``split_null_keys`` first; the publishing sink gates it). Written as an
-    anti-join plus a union: when the update keys are small the engine
-    broadcasts them and the target is not shuffled at all; when they are not, a
-    target bucketed on the key is read in place and only the updates move.
+    Both are anti-joins against key (and order) columns only. When the update
+    keys are small the engine broadcasts them and the target is not shuffled at
+    all; when they are not, a target bucketed on the key is read in place and
+    only the updates move.
     """
     if set(target.columns) != set(updates.columns):
         missing = sorted(set(target.columns) ^ set(updates.columns))
         raise ValueError(f"upsert needs equal columns; differing: {missing}")
-    kept = target.join(updates.select(*keys), list(keys), "left_anti")
-    return kept.select(*target.columns).unionByName(updates)
+    if order is None:
+        return target.join(updates.select(*keys), list(keys), "left_anti").select(*target.columns), updates
 
+    def ranked(df: DataFrame) -> DataFrame:
+        return df.select(*keys, F.struct(*order).alias("_rank"))  # structs compare NULLs as lowest
 
-def not_older(target: DataFrame, updates: DataFrame, keys: Sequence[str],
-              order: Sequence[str] = ("ingestion_ts",)) -> DataFrame:
-    """Updates at least as recent as the row they meet, and those that meet none.
+    def same_key(a: str, b: str) -> Column:
+        return reduce(lambda x, y: x & y, [F.col(f"{a}.{k}") == F.col(f"{b}.{k}") for k in keys])
 
-    A NULL order is older than any other. Only key and order columns of the
-    target are read, and only those of rows the updates meet are kept.
-    """
-    stored = (
-        target.select(*keys, F.struct(*order).alias("_stored"))
-        .join(updates.select(*keys), list(keys), "left_semi")
+    def rank_of(side: str) -> Column:
+        return F.struct(*[F.col(f"{side}.{c}") for c in order])
+
+    met = ranked(target).join(updates.select(*keys), list(keys), "left_semi")
+    kept = target.alias("t").join(
+        ranked(updates).alias("u"), same_key("t", "u") & (F.col("u._rank") >= rank_of("t")), "left_anti"
     )
-    return (
-        updates.join(stored, list(keys), "left")
-        .filter(F.col("_stored").isNull() | (F.struct(*order) >= F.col("_stored")))
-        .select(*updates.columns)
+    accepted = updates.alias("u").join(
+        met.alias("m"), same_key("u", "m") & (F.col("m._rank") > rank_of("u")), "left_anti"
     )
+    return kept, accepted
+
+
+def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Matched rows are replaced, unmatched rows are inserted, the rest is kept.
+
+    ``updates`` must be unique on non-NULL keys (``latest_per_key`` and
+    ``split_null_keys`` first; the publishing sink gates it).
+    """
+    kept, incoming = upsert_parts(target, updates, keys)
+    return kept.unionByName(incoming)
 
 
 def upsert_latest(target: DataFrame, updates: DataFrame, keys: Sequence[str],
@@ -49,9 +60,11 @@ def upsert_latest(target: DataFrame, updates: DataFrame, keys: Sequence[str],
     """Upsert in which an older update never replaces a newer row.
 
     For replays and late batches. An update as old as the stored row replaces
-    it, so a corrected replay of the same batch takes effect.
+    it, so a corrected replay of the same batch takes effect; a NULL order is
+    older than any other.
     """
-    return upsert(target, not_older(target, updates, keys, order), keys)
+    kept, incoming = upsert_parts(target, updates, keys, order)
+    return kept.unionByName(incoming)
 
 
 def lookup_rows(df: DataFrame, code: str, id_name: str, code_name: str,

@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import parity
+from ..operators import parity, scd2
 from ..operators import quality as q
 from ..sources import files, landing, sinks
 from ..sources.registry import INGESTION_DATE, INGESTION_TS, TABLES, TableSpec
@@ -173,12 +173,14 @@ def loans(application: DataFrame) -> DataFrame:
 
 
 def build_gold(spark: SparkSession, root: str, as_of: datetime | str, *, batch_ids: Sequence[str] | None = None,
-               close_missing: bool = False, layouts: Mapping[str, sinks.Layout] | None = None) -> dict[str, dict[str, int]]:
+               close_missing: bool = False, sliced: bool = False,
+               layouts: Mapping[str, sinks.Layout] | None = None) -> dict[str, dict[str, int]]:
     """Applicant dimension first, then the facts that refer to it, each behind its gates.
 
     Without ``batch_ids`` facts are reloaded whole. With them, only the silver
     rows those batches left behind are read: the dimension sees them as its
-    source and the facts are upserted, so cost follows what changed.
+    source and the facts are upserted, so cost follows what changed. ``sliced``
+    keeps closed versions in partitions of their own, which a run leaves alone.
     """
     if batch_ids is not None and close_missing:
         raise ValueError("closing missing applicants needs the whole source")
@@ -190,13 +192,15 @@ def build_gold(spark: SparkSession, root: str, as_of: datetime | str, *, batch_i
 
     application = arrived("silver_application")
     attributes = gold.int_applicant_attributes(gold.stg_application(application))
-    counts = {
-        "dim_applicant": sinks.publish_dimension(
+    if sliced:
+        versions = sinks.publish_dimension_sliced(spark, "dim_applicant", attributes, as_of, root, close_missing=close_missing)
+    else:
+        versions = sinks.publish_dimension(
             spark, "dim_applicant", attributes, as_of, root, close_missing=close_missing,
             buckets=layouts.get("dim_applicant", sinks.Layout()).buckets,
         )
-    }
-    applicants = spark.table("dim_applicant").filter("is_current")
+    counts = {"dim_applicant": versions}
+    applicants = scd2.current_rows(spark.table("dim_applicant"))
     facts = {
         "fact_loan_application": gold.fact_loan_application(loans(application)),
         "fact_bureau_credit": gold.fact_bureau_credit(arrived("silver_bureau")),
@@ -238,7 +242,7 @@ def check_gold(spark: SparkSession, run_id: str) -> DataFrame:
     source = gold.int_applicant_attributes(gold.stg_application(spark.table("silver_application")))
     checks = {"dim_applicant": q.gate_results(sinks.dimension_gates(source)(dim))}
     for name, (grain, code) in GRAINS.items():
-        checks[name] = q.gate_results(_fact_gates(spark.table(name), name, grain, code, dim.filter("is_current")))
+        checks[name] = q.gate_results(_fact_gates(spark.table(name), name, grain, code, scd2.current_rows(dim)))
     return q.check_results(run_id, checks)
 
 
@@ -268,7 +272,7 @@ def build_marts(spark: SparkSession, root: str) -> dict[str, dict[str, int]]:
 def indicators(spark: SparkSession) -> dict[str, DataFrame]:
     """The risk indicators, each from gold (masked presence from silver, where the mask is)."""
     fact = spark.table("fact_loan_application")
-    applicants = spark.table("dim_applicant").filter("is_current")
+    applicants = scd2.current_rows(spark.table("dim_applicant"))
     return {
         "default_rate": kpis.default_rate(fact),
         "avg_credit": kpis.avg_credit(fact),

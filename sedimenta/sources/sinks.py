@@ -23,11 +23,10 @@ from pyspark.sql import types as T
 from ..functions import columns as fn
 from ..operators import quality as q
 from ..operators import scd2
-from ..operators.upsert import not_older, upsert
+from ..operators.upsert import upsert_parts
 
 GateList = Callable[[DataFrame], Sequence[q.Gate]]
 
-CURRENT_SLICE = "current"
 _SAFE_PARTITION = re.compile(r"[A-Za-z0-9_.\-]+")
 
 
@@ -204,13 +203,14 @@ def publish_upsert(spark: SparkSession, name: str, updates: DataFrame, keys: Seq
     if target is not None and partition_by is not None:
         touched = [r[0] for r in updates.select(partition_by).distinct().collect()]  # one row per partition
         target = target.filter(F.col(partition_by).isin(touched))
-    if target is not None and order:
-        updates = not_older(target, updates, keys, order)
+    kept = None
+    if target is not None:
+        kept, updates = upsert_parts(target, updates, keys, order)
     if buckets is not None:
         # Rows kept from the target are read bucket by bucket; with the updates
         # laid out alike, each task writes one bucket and nothing else moves.
         updates = updates.repartition(buckets.count, *buckets.keys)
-    merged = updates if target is None else upsert(target, updates, keys)
+    merged = updates if kept is None else kept.unionByName(updates)
     if partition_by is not None:
         return publish_partitions(spark, name, merged, partition_by, root, gates=checks)
     return publish(spark, name, merged, root, gates=checks, buckets=buckets, clustered=True)
@@ -279,8 +279,8 @@ def publish_dimension(spark: SparkSession, name: str, src: DataFrame, as_of: str
 
 
 def publish_dimension_sliced(spark: SparkSession, name: str, src: DataFrame, as_of: str | datetime, root: str,
-                             spec: scd2.DimensionSpec = scd2.DIM_APPLICANT, *, close_missing: bool = False,
-                             slice_column: str = "version_slice") -> dict[str, int]:
+                             spec: scd2.DimensionSpec = scd2.DIM_APPLICANT, *,
+                             close_missing: bool = False) -> dict[str, int]:
     """Apply a source at a cost that follows current rows, not all history.
 
     The table is partitioned into ``current`` and one closed slice per
@@ -295,13 +295,12 @@ def publish_dimension_sliced(spark: SparkSession, name: str, src: DataFrame, as_
     exists = spark.catalog.tableExists(name)
     if exists:
         dim = spark.table(name)
-        live = dim.filter(F.col(slice_column) == CURRENT_SLICE)
-        rows = scd2.version_changes(live, src, as_of, spec, close_missing=close_missing)
+        rows = scd2.version_changes(dim, src, as_of, spec, close_missing=close_missing)
     else:
         rows = scd2.first_versions(src, as_of, spec)
-    rows = rows.withColumn(slice_column, F.when(F.col(spec.current), F.lit(CURRENT_SLICE)).otherwise(F.lit(closed_slice)))
-    if exists and f"{slice_column}={closed_slice}" in {r[0] for r in spark.sql(f"SHOW PARTITIONS {_quoted(name)}").collect()}:
-        held = dim.filter(F.col(slice_column) == closed_slice)
+    rows = rows.withColumn(scd2.SLICE_COLUMN, F.when(F.col(spec.current), F.lit(scd2.CURRENT_SLICE)).otherwise(F.lit(closed_slice)))
+    if exists and f"{scd2.SLICE_COLUMN}={closed_slice}" in {r[0] for r in spark.sql(f"SHOW PARTITIONS {_quoted(name)}").collect()}:
+        held = dim.filter(F.col(scd2.SLICE_COLUMN) == closed_slice)
         closing = rows.filter(~F.col(spec.current)).select(spec.key, spec.start)
         rows = rows.unionByName(held.join(closing, [spec.key, spec.start], "left_anti"))
 
@@ -314,4 +313,4 @@ def publish_dimension_sliced(spark: SparkSession, name: str, src: DataFrame, as_
             q.Gate("closed_interval", closed.filter(~(F.col(spec.end) > F.col(spec.start)))),
         ]
 
-    return publish_partitions(spark, name, rows, slice_column, root, gates=checks, last=CURRENT_SLICE)
+    return publish_partitions(spark, name, rows, scd2.SLICE_COLUMN, root, gates=checks, last=scd2.CURRENT_SLICE)

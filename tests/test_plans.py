@@ -121,6 +121,29 @@ def test_applying_a_source_joins_once_and_leaves_history_alone(spark, tmp_path):
     assert "IsNotNull(is_current), Not(EqualTo(is_current,true))" in detail
 
 
+def test_consumers_of_a_sliced_dimension_read_its_current_slice_only(spark, tmp_path):
+    dim = spark.sql("SELECT 1L AS applicant_id, TRUE AS is_current, 'x' AS a, 'current' AS version_slice"
+                    " UNION ALL SELECT 1L, FALSE, 'w', 'closed_2024'")
+    dim.write.partitionBy("version_slice").parquet(str(tmp_path / "dim"))
+    fact = spark.sql("SELECT 1L AS applicant_id")
+    plan = physical(scd2.join_current(fact, spark.read.parquet(str(tmp_path / "dim")), ["a"]))
+    assert "PartitionFilters: [isnotnull(version_slice" in plan
+
+
+def test_order_aware_upsert_reads_narrow_columns_to_decide(spark, tmp_path):
+    from sedimenta.operators.upsert import upsert_latest
+
+    spark.range(100).selectExpr("id AS k", "id AS ingestion_ts", "CAST(id AS STRING) AS wide").write.parquet(str(tmp_path / "t"))
+    spark.range(50).selectExpr("id AS k", "id AS ingestion_ts", "'u' AS wide").write.parquet(str(tmp_path / "u"))
+    target, updates = spark.read.parquet(str(tmp_path / "t")), spark.read.parquet(str(tmp_path / "u"))
+    merged = upsert_latest(target, updates, ["k"])
+    small = physical(merged)
+    assert "Exchange hashpartitioning" not in small and small.count("BroadcastHashJoin") == 3  # target is not shuffled
+    with conf(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        large = physical(upsert_latest(target, updates, ["k"]))
+    assert large.count("ReadSchema: struct<k:bigint,ingestion_ts:bigint,wide:string>") == 2  # one wide scan per side
+
+
 def test_scans_read_only_what_is_used(spark):
     fact = spark.read.parquet(f"{SF}/orders.parquet").selectExpr(
         "o_orderkey AS SK_ID_CURR", "o_orderpriority AS NAME_CONTRACT_TYPE", "IF(o_orderstatus = 'F', 1, 0) AS TARGET", "*"

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sedimenta.operators import parity
 from sedimenta.operators import quality as q
-from sedimenta.plans import runs, schemas
+from sedimenta.plans import gold, runs, schemas
 from sedimenta.sources import files, landing, sinks
 from sedimenta.sources.registry import TABLES
 
@@ -165,6 +165,9 @@ def test_rerun_is_idempotent(spark, zone, rows):
 
 
 def test_second_batch_updates_inserts_and_versions(spark, zone, rows):
+    earlier = spark.table("silver_application").filter("SK_ID_CURR BETWEEN 50 AND 59")
+    earlier.write.parquet(f"{zone['root']}/_earlier")
+    earlier = spark.read.schema(earlier.schema).parquet(f"{zone['root']}/_earlier")
     write_batch(zone["landing"] / "b2", children=lambda k: 9, applicants=range(50, 70))
     runs.ingest(spark, str(zone["landing"] / "b2"), zone["bronze"], batch_id="b2", env="dev", ingestion_ts="2024-02-01T00:00:00")
     runs.build_silver(spark, zone["bronze"], zone["root"], batch_ids=["b2"], layouts=LAYOUTS)
@@ -179,6 +182,18 @@ def test_second_batch_updates_inserts_and_versions(spark, zone, rows):
     incremental = {t: rows(spark.table(t)) for t in facts}
     runs.build_gold(spark, zone["root"], "2024-02-02 00:00:00")
     assert {t: rows(spark.table(t)) for t in facts} == incremental
+    # and a sliced dimension holds the same versions
+    spark.sql("DROP TABLE dim_applicant")
+    for as_of, batch in (("2024-01-01 00:00:00", ["b1"]), ("2024-02-01 00:00:00", ["b2"])):
+        if batch == ["b1"]:
+            first = spark.table("silver_application").filter("batch_id = 'b1'").unionByName(earlier)
+            attributes = gold.int_applicant_attributes(gold.stg_application(first))
+            sinks.publish_dimension_sliced(spark, "dim_applicant", attributes, as_of, zone["root"])
+        else:
+            runs.build_gold(spark, zone["root"], as_of, batch_ids=batch, sliced=True)
+    columns = [f.name for f in schemas.gold_schema("dim_applicant").fields]
+    assert rows(spark.table("dim_applicant"), *columns) == incremental["dim_applicant"]
+    assert runs.check_gold(spark, "run3").filter("NOT passed AND severity = 'CRITICAL'").count() == 0
     # replaying the first batch does not bring its older rows back
     runs.build_silver(spark, zone["bronze"], zone["root"], batch_ids=["b1"], layouts=LAYOUTS)
     assert spark.table("silver_application").filter("SK_ID_CURR = 55 AND CNT_CHILDREN = 9").count() == 1
@@ -224,8 +239,6 @@ def test_results_are_recorded_once_per_run(spark, zone):
 
 
 def test_gold_gate_stops_a_fact_with_repeated_grain(spark, zone):
-    from sedimenta.plans import gold
-
     good = spark.table("fact_loan_application")
     n = good.count()
     with pytest.raises(q.GateFailure, match="51012"):
