@@ -92,6 +92,11 @@ def row_digest(columns: list[str]) -> Column:
     return F.md5(F.concat_ws(KEY_SEPARATOR, *parts))
 
 
+def hash_halves(value: Column) -> tuple[Column, Column]:
+    """A 64-bit hash as two 32-bit numbers, whose sums over many rows stay within BIGINT."""
+    return F.shiftrightunsigned(value, 32), value.bitwiseAND(F.lit(0xFFFFFFFF))
+
+
 def utc_naive(moment: datetime) -> datetime:
     return moment if moment.tzinfo is None else moment.astimezone(timezone.utc).replace(tzinfo=None)
 

@@ -112,7 +112,7 @@ def row_hash_diff(left: DataFrame, right: DataFrame, keys: Sequence[str] = (),
         # NULL flags are hashed along: a NULL value alone leaves a hash as it was.
         row_hash = F.xxhash64(*used, *[F.col(c).isNull() for c in used])
         hashed = sides.withColumn("_hash", row_hash).withColumn("_range", F.pmod("_hash", F.lit(screen)))
-        high, low = F.shiftrightunsigned("_hash", 32), F.col("_hash").bitwiseAND(F.lit(0xFFFFFFFF))
+        high, low = fn.hash_halves(F.col("_hash"))
         differing = (
             hashed.groupBy("_range")
             .agg(F.sum("_side").alias("_n"), F.sum(high * F.col("_side")).alias("_h"), F.sum(low * F.col("_side")).alias("_w"))

@@ -193,44 +193,36 @@ def join_as_of(fact: DataFrame, dim: DataFrame, at: str, attributes: Sequence[st
 def interval_violations(dim: DataFrame, spec: DimensionSpec = DIM_APPLICANT) -> DataFrame:
     """Entities whose versions do not form one gap-free chain with one open end.
 
-    Needs no ordering: if every interval is positive, starts are unique, every
-    end meets a start of the same entity, and exactly one version is open, the
-    versions can only be a single chain. Counts are grouped by (entity,
-    boundary) before they are grouped by entity, so an entity with very many
-    versions spreads over many tasks.
+    If every interval is positive, exactly one version is open, and the ends
+    are the starts without the earliest one (as multisets), the versions can
+    only be a single chain: nothing can follow the latest start, so only the
+    open version has it; one version ends there, and so on downwards. The
+    multisets are compared by sums of hashes, so the check is one aggregation
+    without any ordering, however many versions an entity has.
     """
     start, end = F.col(spec.start), F.col(spec.end)
+    start_high, start_low = fn.hash_halves(F.xxhash64(start))
+    end_high, end_low = fn.hash_halves(F.xxhash64(end))
+    first_high, first_low = fn.hash_halves(F.xxhash64("_first"))
 
-    def side(at: Column, starts: Column, ends: Column, opened: Column, empty: Column, mismatch: Column) -> Column:
-        return F.struct(
-            at.alias("_at"), starts.alias("_starts"), ends.alias("_ends"), opened.alias("_open"),
-            empty.alias("_empty"), mismatch.alias("_mismatch"),
-        )
+    def surplus(of_start: Column, of_end: Column) -> Column:
+        return F.sum(of_start - F.when(end.isNotNull(), of_end).otherwise(0))
 
-    zero, one = F.lit(0), F.lit(1)
-    is_open = end.isNull()
-    begins = side(start, one, zero, is_open.cast("int"), F.coalesce(end <= start, F.lit(False)).cast("int"),
-                  (~F.col(spec.current).eqNullSafe(is_open)).cast("int"))
-    finishes = side(end, zero, one, zero, zero, zero)
-    boundaries = F.inline(F.array_compact(F.array(begins, F.when(end.isNotNull(), finishes))))
-    measures = ("_starts", "_ends", "_open", "_empty", "_mismatch")
     return (
-        dim.select(F.col(spec.key), boundaries)
-        .groupBy(spec.key, "_at")
-        .agg(*[F.sum(m).alias(m) for m in measures])
-        .groupBy(spec.key)
+        dim.groupBy(spec.key)
         .agg(
-            F.sum(F.greatest(F.col("_starts") - 1, F.lit(0))).alias("repeated_starts"),
-            F.sum(F.greatest(F.col("_ends") - F.col("_starts"), F.lit(0))).alias("unmatched_ends"),
-            F.sum("_open").alias("open_versions"),
-            F.sum("_empty").alias("empty_intervals"),
-            F.sum("_mismatch").alias("flag_mismatches"),
+            F.count(F.lit(1)).alias("versions"),
+            F.count_if(end.isNull()).alias("open_versions"),
+            F.count_if(start.isNull() | F.coalesce(end <= start, F.lit(False))).alias("empty_intervals"),
+            F.count_if(~F.col(spec.current).eqNullSafe(end.isNull())).alias("flag_mismatches"),
+            F.min(start).alias("_first"),
+            surplus(start_high, end_high).alias("_high"),
+            surplus(start_low, end_low).alias("_low"),
         )
+        .withColumn("broken_chain", (F.col("_high") != first_high) | (F.col("_low") != first_low))
+        .drop("_first", "_high", "_low")
         .filter(
-            (F.col("repeated_starts") > 0)
-            | (F.col("unmatched_ends") > 0)
-            | (F.col("open_versions") != 1)
-            | (F.col("empty_intervals") > 0)
-            | (F.col("flag_mismatches") > 0)
+            (F.col("open_versions") != 1) | (F.col("empty_intervals") > 0) | (F.col("flag_mismatches") > 0)
+            | F.col("broken_chain")
         )
     )

@@ -115,9 +115,36 @@ def test_as_of_join_respects_half_open_intervals(spark, rows):
         ([(T0, T0), (T0, None)], True),  # empty interval
         ([(T0, T1), (T0, T1), (T1, None)], True),  # repeated
         ([(T0, None)], False),
+        ([(T0, T2), (T1, T2), (T2, None)], True),  # two versions meet one start
+        ([(T0, T1), (T1, T2), (T2, None)], False),
+        ([(T0, T2), (T1, T1), (T2, None)], True),
     ],
 )
 def test_interval_check(spark, versions, bad):
     df = spark.createDataFrame([(1, a, b, b is None) for a, b in versions],
                                "applicant_id long, start_date timestamp_ntz, end_date timestamp_ntz, is_current boolean")
     assert (scd2.interval_violations(df).count() > 0) is bad
+
+
+def test_interval_check_against_sorted_chains(spark):
+    """Random version sets, judged by walking each entity's versions in order."""
+    rng = random.Random(3)
+    days = [datetime(2024, 1, d) for d in range(1, 5)]
+    versions, expected = [], set()
+    for key in range(3000):
+        own = []
+        for _ in range(rng.randint(1, 4)):
+            start = rng.choice(days)
+            own.append((start, rng.choice([*days, None])))
+        if rng.random() < 0.3:
+            cuts = sorted(rng.sample(days, rng.randint(1, 4)))
+            own = list(zip(cuts, [*cuts[1:], None]))
+            rng.shuffle(own)
+        versions += [(key, a, b, b is None) for a, b in own]
+        chain = sorted(own, key=lambda v: (v[0], v[1] or datetime.max))
+        sound = all(b is not None and a < b == nxt for (a, b), (nxt, _) in zip(chain, chain[1:])) and chain[-1][1] is None
+        if not sound:
+            expected.add(key)
+    df = spark.createDataFrame(versions, "applicant_id long, start_date timestamp_ntz, end_date timestamp_ntz, is_current boolean")
+    assert {r[0] for r in scd2.interval_violations(df).collect()} == expected
+    assert 0 < len(expected) < 3000

@@ -468,22 +468,14 @@ oracle("dq_scd2_intervals", "v_dim_v2", """
                CASE WHEN name_family_status = 'Single' THEN end_date - INTERVAL 1 DAY ELSE end_date END AS end_date
         FROM v_dim_v2 WHERE NOT (is_current AND name_income_type IS NULL)),
     broken AS (SELECT * FROM moved UNION ALL SELECT * FROM moved WHERE is_current AND cnt_children IS NULL),
-    starts AS (SELECT applicant_id, start_date AS at, COUNT(*) AS n FROM broken GROUP BY 1, 2),
-    ends AS (SELECT applicant_id, end_date AS at, COUNT(*) AS n FROM broken WHERE end_date IS NOT NULL GROUP BY 1, 2),
     verdict AS (
-        SELECT b.applicant_id,
-               COALESCE((SELECT SUM(s.n - 1) FROM starts s WHERE s.applicant_id = b.applicant_id), 0) AS repeated_starts,
-               COALESCE((SELECT SUM(GREATEST(e.n - COALESCE(s.n, 0), 0))
-                         FROM ends e LEFT JOIN starts s ON s.applicant_id = e.applicant_id AND s.at = e.at
-                         WHERE e.applicant_id = b.applicant_id), 0) AS unmatched_ends,
-               COUNT(*) FILTER (WHERE end_date IS NULL) AS open_versions,
+        SELECT applicant_id, COUNT(*) AS versions, COUNT(*) FILTER (WHERE end_date IS NULL) AS open_versions,
                COUNT(*) FILTER (WHERE end_date <= start_date) AS empty_intervals,
-               COUNT(*) FILTER (WHERE is_current <> (end_date IS NULL)) AS flag_mismatches
-        FROM broken b GROUP BY b.applicant_id)
-    SELECT applicant_id, CAST(repeated_starts AS BIGINT) AS repeated_starts, CAST(unmatched_ends AS BIGINT) AS unmatched_ends,
-           open_versions, empty_intervals, flag_mismatches
-    FROM verdict
-    WHERE repeated_starts > 0 OR unmatched_ends > 0 OR open_versions <> 1 OR empty_intervals > 0 OR flag_mismatches > 0""")
+               COUNT(*) FILTER (WHERE is_current <> (end_date IS NULL)) AS flag_mismatches,
+               list_sort(list(start_date))[2:] IS DISTINCT FROM
+                   COALESCE(list_sort(list(end_date) FILTER (WHERE end_date IS NOT NULL)), []) AS broken_chain
+        FROM broken GROUP BY 1)
+    SELECT * FROM verdict WHERE open_versions <> 1 OR empty_intervals > 0 OR flag_mismatches > 0 OR broken_chain""")
 
 
 def column_profile(column: str, name: str) -> str:
