@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from .views import WIDENED
+
 TS = "'%Y-%m-%d %H:%M:%S.%f'"
 LOAN_BAD = "(TARGET IS NULL OR TARGET NOT IN (0, 1) OR AMT_CREDIT IS NULL OR AMT_CREDIT <= 0)"
 
@@ -134,7 +136,9 @@ def oracle(name: str, views: str, body: str) -> None:
     for view in views.split():
         ordered += [n for n in [*NEEDS.get(view, []), view] if n not in ordered]
     ctes = ", ".join(f"{view} AS ({VIEWS[view]})" for view in ordered)
-    ORACLES[name] = f"WITH {ctes} {body}" if ctes else body
+    sql = f"WITH {ctes} {body}" if ctes else body
+    widened = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in WIDENED.get(name, []))
+    ORACLES[name] = f"SELECT * REPLACE ({widened}) FROM ({sql})" if widened else sql
 
 
 def text(column: str, alias: str | None = None) -> str:
@@ -445,7 +449,7 @@ MASK_CHECKS = """
     FROM pairs"""
 PAIRS = """, pairs AS (SELECT a.DAYS_EMPLOYED, m.DAYS_EMPLOYED_MASKED FROM v_applicant a JOIN v_masked m USING (applicant_id))"""
 
-JUDGED = "*, observed = expected AS passed"
+JUDGED = "* REPLACE (CAST(expected AS BIGINT) AS expected), observed = expected AS passed"
 oracle("dq_bronze", "v_instalment", f"SELECT {JUDGED} FROM ({bronze_checks('v_instalment', 'SK_ID_PREV, NUM_INSTALMENT_NUMBER', 60000)})")
 oracle("dq_mask", "v_masked", f"{PAIRS} SELECT {JUDGED} FROM ({MASK_CHECKS})")
 oracle("dq_results", "v_application v_instalment v_masked", f"""{PAIRS}
@@ -567,5 +571,5 @@ _BEFORE = digest("applicant_id", "DAYS_BIRTH", "DAYS_EMPLOYED", "ORGANIZATION_TY
 _AFTER = digest("applicant_id", "DAYS_BIRTH", "DAYS_EMPLOYED", "CASE WHEN DAYS_EMPLOYED <> 365243 THEN ORGANIZATION_TYPE END",
                 "segment")
 oracle("row_hash_diff_screened", "v_applicant", f"""
-    SELECT applicant_id, {_BEFORE} AS row_digest, 1 AS n_left, 0 AS n_right FROM v_applicant WHERE DAYS_EMPLOYED = 365243
+    SELECT applicant_id, {_BEFORE} AS row_digest, 1::BIGINT AS n_left, 0::BIGINT AS n_right FROM v_applicant WHERE DAYS_EMPLOYED = 365243
     UNION ALL SELECT applicant_id, {_AFTER}, 0, 1 FROM v_applicant WHERE DAYS_EMPLOYED = 365243""")

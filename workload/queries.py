@@ -24,7 +24,7 @@ LOAN_TYPES = {"SK_ID_CURR": "bigint", "AMT_CREDIT": "double", "DAYS_DECISION": "
 
 
 def register(fn):
-    QUERIES[fn.__name__] = lambda spark, sf_dir: v.comparable(fn(spark, sf_dir))
+    QUERIES[fn.__name__] = lambda spark, sf_dir: v.comparable(fn(spark, sf_dir), fn.__name__)
     return fn
 
 
@@ -129,7 +129,7 @@ def _silver(source: str, view, tiebreak=("arrival",)) -> None:
 
     def query(spark, sf):
         prepared = silver.prepare(silver.keyed(view(spark, sf), spec), spec, tiebreak=tiebreak)
-        return v.comparable(prepared.withColumn(silver.FAILED, F.array_join(silver.FAILED, ",")))
+        return v.comparable(prepared.withColumn(silver.FAILED, F.array_join(silver.FAILED, ",")), spec.silver)
 
     QUERIES[spec.silver] = query
 

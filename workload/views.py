@@ -21,14 +21,36 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def comparable(df: DataFrame) -> DataFrame:
-    """Times as text, so that a result reads the same in any engine."""
+# Integer columns with NULLs, per query. Clients read them as integers or as
+# floats, depending on the engine; both sides give them as doubles.
+WIDENED = {
+    "sample_limit": ["TARGET"],
+    "stratified_sample": ["TARGET"],
+    "scd_prep": ["TARGET"],
+    "typed_cast": ["DAYS_DECISION"],
+    "null_sentinel": ["DAYS_EMPLOYED"],
+    "silver_application": ["CNT_CHILDREN", "TARGET"],
+    "silver_bureau": ["DAYS_CREDIT"],
+    "silver_previous_application": ["DAYS_DECISION"],
+    "bureau_with_balance": ["earliest_month", "latest_month"],
+    **dict.fromkeys(
+        ["scd2_expire", "scd2_insert", "scd2_apply", "scd2_close_missing", "scd2_idempotent", "fact_join_current",
+         "fact_join_asof"],
+        ["cnt_children"],
+    ),
+}
+
+
+def comparable(df: DataFrame, query: str) -> DataFrame:
+    """Times as text and NULL-bearing integers as doubles, so that a result reads the same in any engine."""
     out = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
             out.append(F.date_format(f.name, TIME_TEXT).alias(f.name))
         elif isinstance(f.dataType, T.DateType):
             out.append(F.col(f.name).cast("string").alias(f.name))
+        elif f.name in WIDENED.get(query, []):
+            out.append(F.col(f.name).cast("double").alias(f.name))
         else:
             out.append(F.col(f.name))
     return df.select(*out)
