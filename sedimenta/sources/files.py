@@ -82,8 +82,13 @@ def scan_source(spark: SparkSession, landing_dir: str, spec: TableSpec, *, inges
 
 def scan_layer(spark: SparkSession, path: str, *, batch_ids: Sequence[str] | None = None,
                since: str | None = None) -> DataFrame:
-    """Layer table by path; batch and date filters prune its partition folders."""
-    df = spark.read.parquet(path)
+    """Layer table by path; batch and date filters prune its partition folders.
+
+    Batch names are read as the text they are, also where they look like numbers.
+    """
+    found = spark.read.parquet(path).schema
+    fields = [T.StructField(f.name, T.StringType()) if f.name == "batch_id" else f for f in found.fields]
+    df = spark.read.schema(T.StructType(fields)).parquet(path)
     if since is not None:
         df = df.filter(F.col(INGESTION_DATE) >= F.lit(since).cast("date"))
     if batch_ids is not None:

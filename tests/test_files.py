@@ -113,6 +113,20 @@ def test_replay_replaces_its_own_batch_only(spark, tmp_path, rows):
     assert files.scan_layer(spark, path, since="2024-01-02").count() == 0
 
 
+def test_batch_names_that_look_like_numbers_stay_text(spark, tmp_path, rows):
+    path = str(tmp_path / "bronze")
+    for batch_id in ("0012", "13"):
+        df = files.tag_audit(spark.range(2), ingestion_ts="2024-01-01", batch_id=batch_id, env="dev", source_file="f")
+        sinks.replace_partitions(df, path, ["ingestion_date", "batch_id"])
+    assert rows(files.scan_layer(spark, path), "batch_id") == [("0012",), ("0012",), ("13",), ("13",)]
+    assert files.scan_layer(spark, path, batch_ids=["0012"]).count() == 2
+
+
+def test_view_follows_its_table(spark, rows):
+    sinks.create_view(spark.range(3).filter("id > 0"), "v_test_files")
+    assert rows(spark.sql("SELECT * FROM v_test_files")) == [(1,), (2,)]
+
+
 def test_declared_types_cover_keys_and_casts():
     for spec in TABLES.values():
         types = declared_types(spec)

@@ -348,7 +348,7 @@ oracle("credit_risk_features", "v_applicant v_loans v_records", """
     SELECT a.applicant_id, COALESCE(l.n, 0) AS application_count, COALESCE(r.n, 0) AS bureau_records,
            CAST(COALESCE(r.late, 0) AS BIGINT) AS overdue_records, CAST(COALESCE(r.months, 0) AS BIGINT) AS balance_months,
            COALESCE(r.deepest, 0) AS deepest_history, ROUND(COALESCE(l.credit, 0.0), 2) AS total_credit,
-           ROUND(a.AMT_INCOME_TOTAL / NULLIF(l.credit, 0.0), 6) AS income_to_credit,
+           ROUND(a.AMT_INCOME_TOTAL / NULLIF(l.credit, 0.0), 6) + 0.0::DOUBLE AS income_to_credit,
            ROUND(100.0::DOUBLE * CAST(r.late AS DOUBLE) / CAST(NULLIF(r.n, 0) AS DOUBLE), 6) AS delinquency_rate
     FROM v_applicant a LEFT JOIN loans l USING (applicant_id) LEFT JOIN records r USING (applicant_id)""")
 oracle("credit_risk_summary", "v_loans v_applicant v_dim_v2", f"""
