@@ -99,6 +99,16 @@ def _check_columns(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
     return df.select(*spark.table(name).columns)
 
 
+def _stored_layout(spark: SparkSession, name: str) -> tuple[list[str], Buckets | None]:
+    """(partition columns, bucketing) a published table was created with."""
+    partitions = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+    detail = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {_quoted(name)}").collect()}
+    if "Num Buckets" not in detail:
+        return partitions, None
+    keys = tuple(k.strip(" `") for k in detail["Bucket Columns"].strip("[]").split(","))
+    return partitions, Buckets(keys, int(detail["Num Buckets"]))
+
+
 @contextmanager
 def _staged(spark: SparkSession, df: DataFrame, name: str, location: str, partition_by: Sequence[str] = (),
             buckets: Buckets | None = None, clustered: bool = False):
@@ -133,6 +143,12 @@ def publish(spark: SparkSession, name: str, df: DataFrame, root: str, *, gates:
     exists = spark.catalog.tableExists(name)
     if exists:
         df = _check_columns(spark, name, df)
+        partitions, stored = _stored_layout(spark, name)
+        if partitions:
+            raise ValueError(f"{name} is partitioned by {partitions}; publish its partitions")
+        if buckets is not None and buckets != stored:
+            raise ValueError(f"{name} was created with {stored}, not {buckets}")
+        clustered, buckets = clustered and buckets is not None, stored
     location = _new_location(root, name)
     with _staged(spark, df, name, location, buckets=buckets, clustered=clustered) as staged:
         counts = q.enforce(gates(staged)) if gates else {}
@@ -146,17 +162,23 @@ def publish(spark: SparkSession, name: str, df: DataFrame, root: str, *, gates:
 
 
 def publish_partitions(spark: SparkSession, name: str, df: DataFrame, partition_by: str, root: str, *,
-                       gates: GateList | None = None, last: str | None = None) -> dict[str, int]:
+                       gates: GateList | None = None, last: str | None = None, rebalance: bool = False) -> dict[str, int]:
     """Replace only the partitions that ``df`` contains; the others are not read or written.
 
     Each partition changes in one metadata step. ``last`` names the partition
-    to switch after all others.
+    to switch after all others. ``rebalance`` gathers the rows of a partition
+    before they are written, into as many even tasks as its size calls for;
+    without it every task writes a file into every partition it meets.
     """
     if not isinstance(df.schema[partition_by].dataType, T.StringType):
         raise TypeError(f"partition column {partition_by} must be a string")
     exists = spark.catalog.tableExists(name)
     if exists:
         df = _check_columns(spark, name, df)
+        if _stored_layout(spark, name) != ([partition_by], None):
+            raise ValueError(f"{name} is not partitioned by {partition_by} alone")
+    if rebalance:
+        df = df.hint("rebalance", partition_by)
     location = _new_location(root, name)
     with _staged(spark, df, name, location, [partition_by]) as staged:
         counts = q.enforce(gates(staged)) if gates else {}
@@ -196,6 +218,9 @@ def publish_upsert(spark: SparkSession, name: str, updates: DataFrame, keys: Seq
     only the partitions the updates fall into are read, joined and rewritten;
     an interrupted run is completed by running it again.
     """
+    if partition_by is not None and buckets is not None:
+        raise ValueError("a table is laid out in key ranges or in buckets, not both")
+
     def checks(staged: DataFrame) -> list[q.Gate]:
         return [*key_gates(name, keys)(staged), *(gates(staged) if gates else [])]
 
@@ -212,7 +237,7 @@ def publish_upsert(spark: SparkSession, name: str, updates: DataFrame, keys: Seq
         updates = updates.repartition(buckets.count, *buckets.keys)
     merged = updates if kept is None else kept.unionByName(updates)
     if partition_by is not None:
-        return publish_partitions(spark, name, merged, partition_by, root, gates=checks)
+        return publish_partitions(spark, name, merged, partition_by, root, gates=checks, rebalance=True)
     return publish(spark, name, merged, root, gates=checks, buckets=buckets, clustered=True)
 
 
@@ -232,7 +257,9 @@ class Layout:
     def apply(self, df: DataFrame) -> DataFrame:
         if self.range_key is None:
             return df
-        return df.withColumn(self.column, F.format_string("r%d", F.floor(F.col(self.range_key) / self.range_width)))
+        key = f"`{self.range_key}`"
+        number = F.expr(f"({key} - pmod({key}, {self.range_width})) DIV {self.range_width}")  # exact for large keys
+        return df.withColumn(self.column, F.concat(F.lit("r"), number.cast("string")))
 
     @property
     def partition_by(self) -> str | None:
@@ -271,11 +298,13 @@ def publish_dimension(spark: SparkSession, name: str, src: DataFrame, as_of: str
                       buckets: Buckets | None = None) -> dict[str, int]:
     """Apply a source to a dimension and publish it whole, in one atomic step."""
     _require_unique_source(src, spec)
-    if spark.catalog.tableExists(name):
+    exists = spark.catalog.tableExists(name)
+    if exists:
         rows = scd2.apply_scd2(spark.table(name), src, as_of, spec, close_missing=close_missing)
     else:
         rows = scd2.first_versions(src, as_of, spec)
-    return publish(spark, name, rows, root, gates=dimension_gates(src, spec), buckets=buckets)
+    # A bucketed dimension is joined and passed through bucket by bucket.
+    return publish(spark, name, rows, root, gates=dimension_gates(src, spec), buckets=buckets, clustered=exists)
 
 
 def publish_dimension_sliced(spark: SparkSession, name: str, src: DataFrame, as_of: str | datetime, root: str,
@@ -298,8 +327,10 @@ def publish_dimension_sliced(spark: SparkSession, name: str, src: DataFrame, as_
         rows = scd2.version_changes(dim, src, as_of, spec, close_missing=close_missing)
     else:
         rows = scd2.first_versions(src, as_of, spec)
-    rows = rows.withColumn(scd2.SLICE_COLUMN, F.when(F.col(spec.current), F.lit(scd2.CURRENT_SLICE)).otherwise(F.lit(closed_slice)))
-    if exists and f"{scd2.SLICE_COLUMN}={closed_slice}" in {r[0] for r in spark.sql(f"SHOW PARTITIONS {_quoted(name)}").collect()}:
+    slice_of = F.when(F.col(spec.current), F.lit(scd2.CURRENT_SLICE)).otherwise(F.lit(closed_slice))
+    rows = rows.withColumn(scd2.SLICE_COLUMN, slice_of)
+    slices = {r[0] for r in spark.sql(f"SHOW PARTITIONS {_quoted(name)}").collect()} if exists else set()
+    if f"{scd2.SLICE_COLUMN}={closed_slice}" in slices:
         held = dim.filter(F.col(scd2.SLICE_COLUMN) == closed_slice)
         closing = rows.filter(~F.col(spec.current)).select(spec.key, spec.start)
         rows = rows.unionByName(held.join(closing, [spec.key, spec.start], "left_anti"))

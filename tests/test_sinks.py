@@ -10,6 +10,8 @@ from sedimenta.sources import sinks
 
 SRC = "applicant_id long, SK_ID_CURR long, name_income_type string, name_education_type string, name_family_status string, cnt_children int"
 
+T0, T1, T2 = "2024-01-01 00:00:00", "2024-02-01 00:00:00", "2024-03-01 00:00:00"
+
 
 @contextlib.contextmanager
 def broadcast_off(spark):
@@ -126,10 +128,62 @@ def test_repeated_upserts_into_buckets_keep_few_files(spark, tmp_path, name, row
     assert rows(table.groupBy("v").count()) == [("b3", 500)]
 
 
+def test_a_table_keeps_the_layout_it_was_created_with(spark, tmp_path, name, rows):
+    root, buckets = str(tmp_path), sinks.Buckets(("k",), 2)
+    sinks.publish(spark, name, frame(spark, [(1, "a", 1), (2, "b", 1)]), root, buckets=buckets)
+    sinks.publish(spark, name, frame(spark, [(3, "c", 1)]), root)  # still written in its buckets
+    assert rows(spark.table(name)) == [(3, "c", 1)]
+    assert rows(spark.table(name).groupBy("k").count()) == [(3, 1)]
+    with pytest.raises(ValueError, match="created with"):
+        sinks.publish(spark, name, frame(spark, [(3, "c", 1)]), root, buckets=sinks.Buckets(("k",), 3))
+    with pytest.raises(ValueError, match="not partitioned"):
+        sinks.publish_partitions(spark, name, frame(spark, [(3, "c", 1)]), "v", root)
+    parts = f"{name}_p"
+    sinks.publish_partitions(spark, parts, frame(spark, [(3, "c", 1)]), "v", root)
+    with pytest.raises(ValueError, match="partitioned by"):
+        sinks.publish(spark, parts, spark.table(parts), root)
+    with pytest.raises(ValueError, match="not both"):
+        sinks.publish_upsert(spark, parts, spark.table(parts), ["k"], root, buckets=buckets, partition_by="v")
+
+
+def test_range_partitions_are_written_in_few_files_and_a_hot_one_is_split(spark, tmp_path, name):
+    """A third of the keys share one range; its rows are written by several tasks, the small ranges by one each."""
+    df = spark.range(0, 60000, 1, 6).selectExpr(
+        "id AS k", "sha2(CAST(id AS STRING), 256) AS v", "1L AS ingestion_ts",
+        "IF(id % 3 = 0, 'hot', CONCAT('r', id % 20)) AS key_range",
+    )
+    settings = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "300KB", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1KB",
+                "spark.sql.shuffle.partitions": "30"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, value in settings.items():
+        spark.conf.set(k, value)
+    try:
+        sinks.publish_upsert(spark, name, df, ["k"], str(tmp_path), partition_by="key_range")
+    finally:
+        for k, value in before.items():
+            spark.conf.unset(k) if value is None else spark.conf.set(k, value)
+    files = spark.table(name).selectExpr("key_range", "input_file_name() AS f").distinct().groupBy("key_range").count()
+    counts = {r["key_range"]: r["count"] for r in files.collect()}
+    assert counts.pop("hot") > 1 and max(counts.values()) <= 2
+    assert spark.table(name).count() == 60000
+
+
+def test_bucketed_dimension_runs(spark, tmp_path, name, rows):
+    root, buckets = str(tmp_path), sinks.Buckets(("applicant_id",), 3)
+    plain = f"{name}_plain"
+    for as_of, items in ((T0, [(k, "a", k % 2) for k in range(30)]), (T1, [(k, "a" if k % 3 else "b", k % 2) for k in range(40)])):
+        with broadcast_off(spark):
+            sinks.publish_dimension(spark, name, source(spark, items), as_of, root, buckets=buckets)
+        sinks.publish_dimension(spark, plain, source(spark, items), as_of, root)
+    assert rows(spark.table(name)) == rows(spark.table(plain))
+    files = spark.table(name).selectExpr("input_file_name() AS f").distinct().count()
+    assert files <= 9
+
+
 def test_range_layout_names_partitions(spark, rows):
     layout = sinks.Layout(range_key="k", range_width=100)
-    df = spark.sql("SELECT * FROM VALUES (0L), (99L), (100L), (-1L) AS t(k)")
-    assert rows(layout.apply(df)) == [(-1, "r-1"), (0, "r0"), (100, "r1"), (99, "r0")]
+    df = spark.sql("SELECT * FROM VALUES (0L), (99L), (100L), (-1L), (9007199254740993L) AS t(k)")
+    assert rows(layout.apply(df)) == [(-1, "r-1"), (0, "r0"), (100, "r1"), (9007199254740993, "r90071992547409"), (99, "r0")]
     assert sinks.Layout().apply(df) is df and sinks.Layout().partition_by is None
 
 
@@ -165,8 +219,6 @@ def test_partitioned_upsert_rewrites_touched_partitions_only(spark, tmp_path, na
     assert spark.table(name).count() == 32
 
 
-T0, T1, T2 = "2024-01-01 00:00:00", "2024-02-01 00:00:00", "2024-03-01 00:00:00"
-
 
 def test_dimension_runs(spark, tmp_path, name, rows):
     root = str(tmp_path)
