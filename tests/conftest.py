@@ -14,7 +14,8 @@ def spark(tmp_path_factory):
     base = tmp_path_factory.mktemp("spark")
     session = local_session(
         4, "sedimenta-tests", "4g",
-        **{"spark.sql.warehouse.dir": str(base / "warehouse"), "spark.checkpoint.dir": str(base / "checkpoint")},
+        **{"spark.sql.warehouse.dir": str(base / "warehouse"), "spark.checkpoint.dir": str(base / "checkpoint"),
+           "spark.sql.shuffle.partitions": "2"},
     )
     yield session
     session.stop()
