@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sedimenta.llm import bpe, exact_dedup, language, mixing, neighbours
+from sedimenta.llm import bpe, exact_dedup, html, language, mixing, neighbours, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,16 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels").filter(remainder(4) != 2))
+    return toxicity.score(docs, model).select("doc_id", (remainder(4) == 2).alias("held_out"), "score", "predicted")
+
+
+def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language.train(docs.filter(remainder(3) != 1))
@@ -43,6 +53,8 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_mixing": op2_mixing,
+    "op5_toxicity": op5_toxicity,
+    "op7_html": op7_html,
     "op8_language": op8_language,
     "op9_bpe": op9_bpe,
     "op10_neighbours": op10_neighbours,
