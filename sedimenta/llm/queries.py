@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sedimenta.llm import bpe, exact_dedup, html, language, mixing, neighbours, toxicity
+from sedimenta.llm import bpe, context_tree, exact_dedup, html, language, mixing, neighbours, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +32,11 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select("doc_id", (remainder(4) == 2).alias("held_out"), "score", "predicted")
 
 
+def op6_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = context_tree.score(table(spark, sf_dir, "documents"), remainder(7) != 2)
+    return scored.select("doc_id", (remainder(7) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages"))
 
@@ -54,6 +59,7 @@ QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_mixing": op2_mixing,
     "op5_toxicity": op5_toxicity,
+    "op6_context_tree": op6_context_tree,
     "op7_html": op7_html,
     "op8_language": op8_language,
     "op9_bpe": op9_bpe,
