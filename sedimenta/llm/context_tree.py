@@ -212,7 +212,7 @@ def _counted(depth: int):
 
 def _scored(depth: int):
     def scored(docs: pa.Table, values: pa.Table) -> pa.Table:
-        (gram_key, gram_value), (word_key, word_value) = shardedcounts.dictionaries(values, [(GRAM, np.float32), (WORD, np.float64)])
+        (gram_key, gram_value), (word_key, word_value) = shardedcounts.dictionaries(values, [(GRAM, np.float32), (WORD, np.int64)])
         grams, words = Lookup(gram_key, gram_value), Lookup(word_key, word_value)
         texts = docs.column("_text").cast(pa.large_binary()).to_pylist()
         n = len(texts)
@@ -225,20 +225,20 @@ def _scored(depth: int):
             for i, (ws, _) in enumerate(some):
                 at = part.start + i
                 tokens[at] = len(ws) + 1
-                base[at], known[at] = np.log10(end + 1), end > 0
+                base[at], known[at] = np.log10(end + 1.0), end > 0
             counts = np.fromiter((len(ws) for ws, _ in some), np.int64, len(some))
             flat = [w for ws, _ in some for w in ws]
             owner = np.repeat(np.arange(len(some)), counts)
             for run in runs(len(flat), 4 * WORDS):
                 c = words(word_hashes(flat[run]))
-                base[part] += np.bincount(owner[run], weights=np.log10(c + 1), minlength=len(some))
+                base[part] += np.bincount(owner[run], weights=np.log10(c + 1.0), minlength=len(some))
                 known[part] += np.bincount(owner[run], weights=c > 0, minlength=len(some)).astype(np.int64)
         return pa.table({"_row": docs.column("_row"), "_id": docs.column("_id"), "n_tokens": tokens, "n_known": known, "_base": base, "score": score})
 
     return scored
 
 
-def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", depth: int = 4) -> DataFrame:
+def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", depth: int = 5) -> DataFrame:
     """Per row of ``docs``: the id, n_tokens, n_known, train_tokens, base_score, score.
 
     Texts (NULL: empty) are taken as their words, A-Z in lower case, with one space between them, and then an end. ``score`` is the
@@ -277,7 +277,7 @@ def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
     top = spark.sparkContext.broadcast(top_of(children, by_byte))
 
     def value(kind: int, keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        return counts.astype(np.float64) if kind == WORD else log_probabilities(keys, counts, depth, top.value).astype(np.float32)
+        return counts if kind == WORD else log_probabilities(keys, counts, depth, top.value).astype(np.float32)
 
     values = shardedcounts.values_per_block(packed, value)
     id_type = rows.schema["_id"].dataType.simpleString()

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sedimenta.llm import bpe, context_tree, exact_dedup, html, language, mixing, neighbours, toxicity
+from sedimenta.llm import bpe, context_tree, exact_dedup, html, kneser_ney, language, mixing, neighbours, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,11 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = kneser_ney.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "perplexity", "threshold", "kept")
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.train(docs, table(spark, sf_dir, "labels").filter(remainder(4) != 2))
@@ -58,6 +63,7 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_mixing": op2_mixing,
+    "op4_quality": op4_quality,
     "op5_toxicity": op5_toxicity,
     "op6_context_tree": op6_context_tree,
     "op7_html": op7_html,

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sedimenta.llm.textscan import mixed, summed
+from sedimenta.llm.textscan import mixed, pack, summed, unpack
 from sedimenta.llm.work import stage
 
 PACKED = "_shard long, _block long, _kind int, keys binary, counts binary"
@@ -49,21 +49,23 @@ def packed_counts(docs: DataFrame, columns: list[str], counted: Callable[[dict],
                 part = order[cut[s]: cut[s + 1]]
                 if len(part):
                     yield pa.record_batch([pa.array([s * 2 + kind], pa.int64()), pa.array([block], pa.int64()), pa.array([kind], pa.int32()),
-                                           pa.array([keys[part].tobytes()], pa.binary()), pa.array([counts[part].astype(np.uint32).tobytes()], pa.binary())],
+                                           pa.array([pack(keys[part], rising=True)], pa.binary()), pa.array([pack(counts[part].astype(np.uint32))], pa.binary())],
                                           names=["_shard", "_block", "_kind", "keys", "counts"])
 
     return rows.mapInArrow(packed, PACKED)
 
 
+def joined(column: pa.ChunkedArray, dtype: type, rising: bool = False) -> np.ndarray:
+    return np.concatenate([np.empty(0, dtype), *(unpack(x, dtype, rising) for x in column.to_pylist())])
+
+
 def shard_counts(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys of a shard in order, with their counts over all blocks."""
-    keys = np.frombuffer(b"".join(rows.column("keys").to_pylist()), np.uint64)
-    counts = np.frombuffer(b"".join(rows.column("counts").to_pylist()), np.uint32).astype(np.int64)
-    return summed(keys, counts)
+    return summed(joined(rows.column("keys"), np.uint64, rising=True), joined(rows.column("counts"), np.uint32).astype(np.int64))
 
 
 def values_per_block(packed: DataFrame, value: Callable[[int, np.ndarray, np.ndarray], np.ndarray]) -> DataFrame:
-    """Rows (_block, _kind, keys, vals): for each block the float32 or float64 ``value(kind, keys, counts)`` of its keys."""
+    """Rows (_block, _kind, keys, vals): for each block the ``value(kind, keys, counts)`` of its keys."""
 
     def valued(rows: pa.Table) -> pa.Table:
         kind = rows.column("_kind")[0].as_py()
@@ -71,7 +73,7 @@ def values_per_block(packed: DataFrame, value: Callable[[int, np.ndarray, np.nda
         found = value(kind, keys, counts)
         own = rows.column("keys").to_pylist()
         return pa.table({"_block": rows.column("_block"), "_kind": rows.column("_kind"), "keys": rows.column("keys"),
-                         "vals": pa.array([found[np.searchsorted(keys, np.frombuffer(k, np.uint64))].tobytes() for k in own], pa.binary())})
+                         "vals": pa.array([pack(found[np.searchsorted(keys, unpack(k, np.uint64, rising=True))]) for k in own], pa.binary())})
 
     return packed.groupBy("_shard").applyInArrow(valued, VALUES)
 
@@ -82,7 +84,7 @@ def dictionaries(values: pa.Table, kinds: list[tuple[int, type]]) -> list[tuple[
     kind = np.asarray(values.column("_kind")) if values.num_rows else np.empty(0, int)
     for wanted, dtype in kinds:
         rows = values.take(pa.array(np.flatnonzero(kind == wanted)))
-        out.append((np.frombuffer(b"".join(rows.column("keys").to_pylist()), np.uint64), np.frombuffer(b"".join(rows.column("vals").to_pylist()), dtype)))
+        out.append((joined(rows.column("keys"), np.uint64, rising=True), joined(rows.column("vals"), dtype)))
     return out
 
 

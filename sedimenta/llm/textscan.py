@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import zstandard
 
 #: Bytes (or words) taken up at a time; a longer text is taken up in parts.
 SEGMENT, WORDS = 2_000_000, 200_000
@@ -157,3 +158,19 @@ class Lookup:
         if len(keys):
             raise LookupError("a key of the documents is not in their block's dictionary: the documents changed between two reads")
         return np.empty(0)
+
+
+def pack(values: np.ndarray, rising: bool = False) -> bytes:
+    """An array as compressed planes of bytes; ``rising`` numbers as their differences."""
+    if rising and len(values):
+        values = np.concatenate([values[:1], np.diff(values)])
+    planes = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), -1).T
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes()) if len(values) else b""
+
+
+def unpack(data: bytes, dtype: type, rising: bool = False) -> np.ndarray:
+    if not data:
+        return np.empty(0, dtype)
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(np.dtype(dtype).itemsize, -1)
+    values = np.ascontiguousarray(planes.T).reshape(-1).view(dtype)
+    return np.cumsum(values, dtype=dtype) if rising else values
