@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sedimenta.llm import bpe, context_tree, exact_dedup, html, kneser_ney, language, mixing, neighbours, toxicity
+from sedimenta.llm import bpe, context_tree, exact_dedup, html, jaccard, kneser_ney, language, mixing, neighbours, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,11 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard.groups(table(spark, sf_dir, "documents"), width=4, num=85, den=100)
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = kneser_ney.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return judged.select("doc_id", "perplexity", "threshold", "kept")
@@ -63,6 +68,7 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_mixing": op2_mixing,
+    "op3_jaccard": op3_jaccard,
     "op4_quality": op4_quality,
     "op5_toxicity": op5_toxicity,
     "op6_context_tree": op6_context_tree,
@@ -99,4 +105,16 @@ ORACLES = {
         SELECT doc_id, size, source_size, target,
                (size * (floor(rate * k + 0.3819660112501051) - floor(rate * (k - 1) + 0.3819660112501051)))::BIGINT AS taken
         FROM r""",
+    "op3_jaccard": r"""
+        WITH RECURSIVE d AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+            FROM documents),
+        s AS (SELECT doc_id, CASE WHEN len(w) >= 4 THEN list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')))
+                                  WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS g FROM d),
+        n AS (SELECT doc_id, len(g) AS n FROM s),
+        e AS (SELECT doc_id, unnest(g) AS g FROM s),
+        p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM e a JOIN e b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+        l AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * k >= 85 * (a.n + b.n - k)),
+        r AS (SELECT doc_id, doc_id AS c FROM n UNION SELECT r.doc_id, l.y FROM r JOIN l ON l.x = r.c)
+        SELECT n.doc_id, n.n::BIGINT AS n_shingles, min(r.c) AS component_id FROM n JOIN r USING (doc_id) GROUP BY 1, 2""",
 }
