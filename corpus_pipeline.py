@@ -5,17 +5,27 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sedimenta.llm import bpe, exact_dedup, mixing
+from sedimenta.llm import bpe, exact_dedup, jaccard, kneser_ney, mixing
 from sedimenta.llm.work import stage
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose perplexity under trusted text is usual for their language stay."""
+    return kneser_ney.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts stays."""
     return exact_dedup.dedup(docs)
 
 
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group linked by a Jaccard similarity of 0.8 over five-word n-grams stays."""
+    return jaccard.one_of_each(docs)
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it."""
+    """Each document as often as the mix of sources takes it."""
     return mixing.mixed_rows(docs)
 
 
@@ -25,7 +35,9 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("quality_classifier", quality),
     ("exact_dedup", exact),
+    ("ngram_jaccard", near),
     ("mixing", mix),
     ("bpe", tokens),
 ]
