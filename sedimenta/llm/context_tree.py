@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sedimenta.llm import shardedcounts
-from sedimenta.llm.textscan import Counts, Lookup, WORDS, gathered, gram_keys, runs, shard_of_context, word_hashes
+from sedimenta.llm.textscan import TOGETHER, WORDS, Counts, Lookup, gathered, gram_keys, runs, shard_of_context, word_hashes
 from sedimenta.llm.work import with_row_number
 
 GRAM, WORD = 0, 1
@@ -190,16 +190,16 @@ def _counted(depth: int):
     def counted(batches: Iterator[list[list]]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
         grams, words = Counts(), Counts()
         for texts, learn in batches:
-            for weight in (0, 1):
-                some = [canonical(t) for t, x in zip(texts, learn) if x == bool(weight)]
-                for keys, _, _ in gram_keys([t for _, t in some], depth):
-                    grams.add(keys, weight)
-                for part in gathered([len(w) + 1 for w, _ in some], WORDS):
-                    flat = [w for ws, _ in some[part] for w in ws]
+            for part in gathered([len(t) for t in texts], TOGETHER):
+                for weight in (0, 1):
+                    some = [canonical(t) for t, x in zip(texts[part], learn[part]) if x == bool(weight)]
+                    for keys, _, _ in gram_keys([t for _, t in some], depth):
+                        grams.add(keys, weight)
+                    flat = [w for ws, _ in some for w in ws]
                     for run in runs(len(flat), 4 * WORDS):
                         words.add(word_hashes(flat[run]), weight)
-                if some:
-                    words.add(np.full(len(some), END_WORD), weight)
+                    if some:
+                        words.add(np.full(len(some), END_WORD), weight)
         keys, counts = grams.total()
         if len(keys):
             yield GRAM, keys, counts, shard_of_context(keys, depth)
@@ -218,7 +218,7 @@ def _scored(depth: int):
         n = len(texts)
         score, base, tokens, known = np.zeros(n), np.zeros(n), np.zeros(n, np.int64), np.zeros(n, np.int64)
         end = words(np.array([END_WORD]))[0] if n else 0.0
-        for part in gathered([len(t) for t in texts], 4_000_000):
+        for part in gathered([len(t) for t in texts], TOGETHER):
             some = [canonical(t) for t in texts[part]]
             for keys, owner, start in gram_keys([t for _, t in some], depth):
                 np.add.at(score, part.start + owner, np.add.reduceat(grams(keys).astype(float), start))

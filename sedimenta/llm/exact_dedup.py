@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sedimenta.llm.work import ROW, stage, with_row_number
+from sedimenta.llm.work import ROW, chosen_rows, stage, with_row_number
 
 WHITE_SPACE = "[\\x20\\x09-\\x0D]+"
 
@@ -54,6 +54,4 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    kept = exact_groups(docs, id_col, text_col).filter("kept").select(F.col(ROW).alias("_kept_row"))
-    numbered = with_row_number(docs)
-    return numbered.join(kept, numbered[ROW] == kept["_kept_row"], "left_semi").drop(ROW)
+    return chosen_rows(docs, exact_groups(docs, id_col, text_col).filter("kept"))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from sedimenta.llm.components import connected
 from sedimenta.llm.textscan import gathered, mixed, pack, unpack, word_hashes
-from sedimenta.llm.work import ROW, stage, with_row_number
+from sedimenta.llm.work import ROW, chosen_rows, stage, with_row_number
 
 #: Counters of n-grams by hash; they only choose an order of columns, any order gives the same links.
 SKETCH_BITS, SKETCH_CHUNKS, FAN_IN = 22, 16, 256
@@ -219,6 +219,4 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", widt
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, num: int = 4, den: int = 5) -> DataFrame:
     """The rows of ``docs`` that stand for their component, with all their columns."""
-    kept = groups(docs, id_col, text_col, width, num, den).filter("first").select(F.col(ROW).alias("_kept_row"))
-    numbered = with_row_number(docs)
-    return numbered.join(kept, numbered[ROW] == kept["_kept_row"], "left_semi").drop(ROW)
+    return chosen_rows(docs, groups(docs, id_col, text_col, width, num, den).filter("first"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from sedimenta.llm.work import ROW, stage, with_row_number
+from sedimenta.llm.work import ROW, chosen_rows, stage, with_row_number
 
 WORD = "[^\\x20\\x09-\\x0D]+"
 #: Start of the cumulative rounding. Any value in [0, 1) is right; this one is far from multiples of simple rates.
@@ -139,7 +139,4 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
 def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it."""
-    taken = mix(docs, id_col, text_col, source_col).filter("copies > 0").select(F.col(ROW).alias("_taken_row"), "copies")
-    numbered = with_row_number(docs)
-    return numbered.join(taken, numbered[ROW] == taken["_taken_row"]).withColumn(
-        "_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*[numbered[c] for c in docs.columns])
+    return chosen_rows(docs, mix(docs, id_col, text_col, source_col), "copies")

@@ -9,6 +9,8 @@ import zstandard
 
 #: Bytes (or words) taken up at a time; a longer text is taken up in parts.
 SEGMENT, WORDS = 2_000_000, 200_000
+#: Bytes of texts whose words are held as objects at a time.
+TOGETHER = 3_000_000
 #: Bytes that no UTF-8 text holds: what stands before a text, and its end.
 BEFORE, END = 0xFE, 0xFF
 
@@ -90,7 +92,7 @@ def shard_of_context(keys: np.ndarray, depth: int) -> np.ndarray:
 class Counts:
     """Keys with the sum of their counts, gathered bit by bit."""
 
-    def __init__(self, most: int = 4_000_000):
+    def __init__(self, most: int = 2_000_000):
         self.parts: list[tuple[np.ndarray, np.ndarray]] = []
         self.held, self.most = 0, most
 
@@ -162,10 +164,12 @@ class Lookup:
 
 def pack(values: np.ndarray, rising: bool = False) -> bytes:
     """An array as compressed planes of bytes; ``rising`` numbers as their differences."""
-    if rising and len(values):
+    if not len(values):
+        return b""
+    if rising:
         values = np.concatenate([values[:1], np.diff(values)])
     planes = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), -1).T
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes()) if len(values) else b""
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
 
 
 def unpack(data: bytes, dtype: type, rising: bool = False) -> np.ndarray:

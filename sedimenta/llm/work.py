@@ -36,6 +36,12 @@ def with_row_number(df: DataFrame) -> DataFrame:
     return df.withColumn(ROW, F.monotonically_increasing_id())
 
 
-def text_bytes(df: DataFrame, column: str) -> int:
-    """Bytes of text in ``column``; 0 for an empty table."""
-    return df.agg(F.sum(F.octet_length(F.col(column)))).first()[0] or 0
+def chosen_rows(df: DataFrame, chosen: DataFrame, copies: str | None = None) -> DataFrame:
+    """The rows of ``df`` whose number is in ``chosen._row``, with all columns of ``df``, whatever their names; with ``copies``
+    each as often as that column of ``chosen`` says."""
+    row, times = f"_row_{uuid.uuid4().hex}", f"_times_{uuid.uuid4().hex}"
+    numbered = df.withColumn(row, F.monotonically_increasing_id())
+    if copies is None:
+        return numbered.join(chosen.select(F.col(ROW).alias(row)), row, "left_semi").select(df.columns)
+    some = chosen.filter(F.col(copies) > 0).select(F.col(ROW).alias(row), F.col(copies).cast("int").alias(times))
+    return numbered.join(some, row).withColumn(times, F.explode(F.sequence(F.lit(1), F.col(times)))).select(df.columns)

@@ -1,0 +1,94 @@
+import base64
+import hashlib
+import random
+
+import public_tokenizers
+import pytest
+import regex
+import tiktoken
+
+from sedimenta.llm import bpe
+from tests.llm.conftest import ODD
+
+PATH, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+
+
+@pytest.fixture(scope="module")
+def reference():
+    with open(PATH, "rb") as file:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
+    return tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+@pytest.fixture(scope="module")
+def vocabulary():
+    with open(PATH, "rb") as file:
+        return bpe.Vocabulary.from_bytes(file.read())
+
+
+def samples(n=400):
+    rng = random.Random(3)
+    letters = "ab 'rest\n\t  1.2é漢🙂 THE the ing \xa0\x1c 'll<|endoftext|>"
+    return ["", " ", "a", "x" * 300, "ab" * 200, " " * 50, *("".join(rng.choice(letters) for _ in range(rng.randint(0, 60))) for _ in range(n))]
+
+
+def test_encodes_as_the_reference_does(vocabulary, reference):
+    encoder = bpe.Encoder(vocabulary, PATTERN)
+    for text in samples():
+        ids = encoder.encode(text)
+        assert ids == reference.encode_ordinary(text)
+        assert encoder.decode(ids) == text.encode()
+
+
+def test_every_prefix_of_a_table_is_encoded(vocabulary, reference):
+    data = b"unbelievably interesting indeed"
+    table = bpe.PrefixTable(vocabulary)
+    for i in range(len(data)):
+        table.append(data[i: i + 1])
+        assert table.tokens() == bpe.PrefixTable(vocabulary, data[: i + 1]).tokens() == list(bpe.encode_together(vocabulary, [data[: i + 1]])[0])
+    assert reference.decode_bytes(table.tokens()) == data
+
+
+def test_edits(vocabulary, reference):
+    rng, pattern = random.Random(5), regex.compile(PATTERN)
+    for text in samples(120):
+        encoding = bpe.TextEncoding(vocabulary, pattern, text)
+        for _ in range(3):
+            i = rng.randint(0, len(text))
+            j = rng.randint(i, min(len(text), i + 5))
+            new = rng.choice(["", " ", "re", "  the", "\n", "é"])
+            text = text[:i] + new + text[j:]
+            encoding.replace(i, j, new)
+            assert encoding.text == text and encoding.tokens() == reference.encode_ordinary(text)
+
+
+def test_an_edit_of_a_long_piece_is_local(vocabulary):
+    table = bpe.PrefixTable(vocabulary, b"thequickbrown" * 4000)
+    assert table.replace(1000, 1003, b"zz") <= 4 * vocabulary.longest
+    assert table.tokens() == bpe.PrefixTable(vocabulary, table.data).tokens()
+
+
+def test_unreachable_tokens():
+    ranks = {bytes([i]): i for i in range(256)} | {b"ab": 256, b"abc": 257, b"bcd": 258}
+    vocabulary = bpe.Vocabulary(ranks)  # nothing joins to bcd: bc is no token
+    assert bpe.PrefixTable(vocabulary, b"abcd").tokens() == [257, ord("d")]
+    assert bpe.PrefixTable(vocabulary, b"bcd").tokens() == [ord("b"), ord("c"), ord("d")]
+    with pytest.raises(ValueError):
+        bpe.Vocabulary({b"a": 0})
+
+
+def test_documents(odd, clashing, empty, reference, stored):
+    for frame in (odd, clashing):
+        got = sorted((tuple(r) for r in bpe.encode_digests(frame, PATH, PATTERN).collect()), key=repr)
+        want = []
+        for r in ODD:
+            ids = reference.encode_ordinary(r[1] or "")
+            want.append((r[0], len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256((r[1] or "").encode()).hexdigest()))
+        assert got == sorted(want, key=repr)
+    encoded = bpe.encode(odd, PATH, PATTERN)
+    for r in bpe.decode(encoded, PATH).collect():
+        assert r["ids"] == reference.encode_ordinary(r["text"] or "") and bytes(r["decoded"]) == (r["text"] or "").encode()
+    assert bpe.encode_digests(empty, PATH, PATTERN).count() == bpe.encode(empty, PATH, PATTERN).count() == 0
+    texts = stored([(i, t) for i, t in enumerate(samples())], "doc_id long, text string")
+    for r in bpe.encode_digests(texts, PATH, PATTERN).collect():
+        assert r["n_tokens"] == len(reference.encode_ordinary(samples()[r["doc_id"]]))
