@@ -15,22 +15,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sedimenta.llm.components import connected
-from sedimenta.llm.textscan import gathered, mixed, pack, unpack, word_hashes
+from sedimenta.llm.textscan import TOGETHER, gathered, mixed, pack, unpack, word_hashes
 from sedimenta.llm.work import ROW, chosen_rows, stage, with_row_number
 
 #: Counters of n-grams by hash; they only choose an order of columns, any order gives the same links.
 SKETCH_BITS, SKETCH_CHUNKS, FAN_IN = 22, 16, 256
-#: Words whose hashes are made together.
-TOGETHER = 400_000
 
 
 def shingle_sets(texts: list[bytes], width: int, salt: int) -> Iterator[np.ndarray]:
     """The sorted distinct 64-bit hashes of each text's word n-grams (A-Z in lower case); fewer words than ``width`` are one n-gram,
     no words none."""
     factors = mixed(np.arange(1, width + 2, dtype=np.uint64) + np.uint64(1000 * salt)) | np.uint64(1)
-    words = [t.lower().split() for t in texts]
-    for part in gathered([len(w) + 1 for w in words], TOGETHER):
-        some = words[part]
+    for part in gathered([len(t) for t in texts], TOGETHER):
+        some = [t.lower().split() for t in texts[part]]
         flat = word_hashes([w for ws in some for w in ws])
         sums = np.zeros(max(0, len(flat) - width + 1), np.uint64)
         for j in range(width):
