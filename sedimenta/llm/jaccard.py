@@ -20,6 +20,8 @@ from sedimenta.llm.work import ROW, chosen_rows, stage, with_row_number
 
 #: Counters of n-grams by hash; they only choose an order of columns, any order gives the same links.
 SKETCH_BITS, SKETCH_CHUNKS, FAN_IN = 22, 16, 256
+#: Blocks of columns whose sizes bound an overlap.
+BLOCKS = 256
 
 
 def shingle_sets(texts: list[bytes], width: int, salt: int) -> Iterator[np.ndarray]:
@@ -85,12 +87,12 @@ def sketch_of(rows: DataFrame, width: int, salt: int) -> np.ndarray:
 
 
 def _described(width: int, salt: int, num: int, den: int, sketch):
-    """Per row: size of its set, two hashes of the set, and the first columns of its row: rare buckets first, then by hash."""
+    """Per row: size of its set, two hashes of the set, the first columns of its row (rare buckets first, then by hash), sizes of its blocks."""
 
     def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common = sketch.value
         for batch in batches:
-            n, first, second, heads = [], [], [], []
+            n, first, second, heads, blocks = [], [], [], [], []
             for found in shingle_sets(batch.column(2).cast(pa.binary()).to_pylist(), width, salt):
                 size = len(found)
                 n.append(size)
@@ -99,8 +101,9 @@ def _described(width: int, salt: int, num: int, den: int, sketch):
                 head = size - -(-num * size // den) + 1 if size else 0
                 order = np.lexsort((found, common[(found >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]))
                 heads.append(found[order[:head]].view(np.int64))
+                blocks.append(pack(np.minimum(np.bincount((found % np.uint64(BLOCKS)).astype(np.int64), minlength=BLOCKS), 255).astype(np.uint8)))
             yield pa.record_batch([batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(np.array(first, np.int64)), pa.array(np.array(second, np.int64)),
-                                   pa.array(heads, pa.list_(pa.int64()))], names=[ROW, "_id", "n", "_set", "_set2", "_head"])
+                                   pa.array(heads, pa.list_(pa.int64())), pa.array(blocks, pa.binary())], names=[ROW, "_id", "n", "_set", "_set2", "_head", "_blocks"])
 
     return described
 
@@ -133,16 +136,42 @@ def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 x, y = y, x
             at = np.searchsorted(y, x)
             shared.append(int((y[np.minimum(at, len(y) - 1)] == x).sum()))
-        yield pa.record_batch([batch.column(0), batch.column(1), pa.array(shared, pa.int64())], names=["a", "b", "shared"])
+        yield pa.record_batch([*(batch.column(i) for i in (0, 1, 4, 5)), pa.array(shared, pa.int64())], names=["a", "b", "na", "nb", "shared"])
 
 
-def links_of(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) whose overlap reaches the bound: ``den * shared >= num * joint``."""
-    left = sets.select(F.col("_set").alias("a"), F.col("_columns").alias("x"))
-    right = sets.select(F.col("_set").alias("b"), F.col("_columns").alias("y"))
-    counted = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(_overlaps, "a long, b long, shared long")
-    # A pair's sizes are known from before; they travel with it.
-    return counted.join(pairs, ["a", "b"]).filter(F.col("shared") * (den + num) >= num * (F.col("na") + F.col("nb"))).select("a", "b")
+def _bounded(num: int, den: int):
+    """Keeps the pairs whose block sizes allow enough overlap: two rows share no more columns of a block than either has there."""
+
+    def sizes(column: pa.Array) -> np.ndarray:
+        held = np.stack([unpack(x, np.uint8) for x in column.to_pylist()]).astype(np.int64)
+        held[held == 255] = 1 << 40  # 255 and more
+        return held
+
+    def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 4096):
+                some = batch.slice(at, 4096)
+                most = np.minimum(sizes(some.column(4)), sizes(some.column(5))).sum(axis=1)
+                total = np.asarray(some.column(2)) + np.asarray(some.column(3))
+                yield some.filter(pa.array(most * (den + num) >= num * total)).select(["a", "b", "na", "nb"])
+
+    return bounded
+
+
+def links_of(pairs: DataFrame, classes: DataFrame, rows: DataFrame, width: int, salt: int, num: int, den: int) -> DataFrame:
+    """Of pairs (a, b, na, nb) those whose overlap reaches the bound: ``den * shared >= num * joint``.
+
+    The sizes of ``BLOCKS`` blocks of columns rule most pairs out; of the others both rows are made again from their texts.
+    """
+    blocks = classes.select("_set", "_blocks")
+    left, right = blocks.toDF("a", "x"), blocks.toDF("b", "y")
+    open_pairs = stage(pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "x", "y").mapInArrow(_bounded(num, den), "a long, b long, na long, nb long"))
+    wanted = open_pairs.select(F.explode(F.array("a", "b")).alias("_set")).distinct()
+    at = stage(wanted.join(classes.select("_set", F.col("_best.r").alias("_at")), "_set"))
+    sets = stage(rows.join(at, rows[ROW] == at["_at"]).select("_set", "_text").mapInArrow(_packed_sets(width, salt), "_set long, _columns binary"))
+    left, right = sets.toDF("a", "x"), sets.toDF("b", "y")
+    counted = open_pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y", "na", "nb").mapInArrow(_overlaps, "a long, b long, na long, nb long, shared long")
+    return stage(counted.filter(F.col("shared") * (den + num) >= num * (F.col("na") + F.col("nb"))).select("a", "b"))
 
 
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, num: int = 4, den: int = 5, salt: int = 0) -> DataFrame:
@@ -162,16 +191,17 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", widt
     rows = with_row_number(docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))).select(ROW, "_id", "_text")
     sketch = spark.sparkContext.broadcast(sketch_of(rows, width, salt))
     id_type = rows.schema["_id"].dataType.simpleString()
-    described = stage(rows.mapInArrow(_described(width, salt, num, den, sketch), f"{ROW} long, _id {id_type}, n long, _set long, _set2 long, _head array<long>"))
+    described = stage(rows.mapInArrow(_described(width, salt, num, den, sketch), f"{ROW} long, _id {id_type}, n long, _set long, _set2 long, _head array<long>, _blocks binary"))
     best = F.min(F.struct(F.col("_id").isNull().alias("z"), F.col("_id").alias("i"), F.col(ROW).alias("r")))
-    classes = stage(described.filter("n > 0").groupBy("_set").agg(best.alias("_best"), F.min("n").alias("n"), F.max("n").alias("_n2"), F.min("_set2").alias("_s"), F.max("_set2").alias("_s2")))
+    classes = stage(described.filter("n > 0").groupBy("_set").agg(best.alias("_best"), F.min("n").alias("n"), F.max("n").alias("_n2"), F.min("_set2").alias("_s"), F.max("_set2").alias("_s2"), F.any_value("_blocks").alias("_blocks")))
     if not classes.filter("n != _n2 or _s != _s2").isEmpty():  # two sets with one hash
         return groups(docs, id_col, text_col, width, num, den, salt + 1)
 
-    posts = described.filter("n > 0").select("_set", "n", F.explode("_head").alias("_column"))
+    posts = described.filter("n > 0").select("_set", F.explode("_head").alias("_column"))
     columns = posts.groupBy("_column").agg(F.min("_set").alias("_least"), F.max("_set").alias("_most")).filter("_least != _most").select("_column", "_least")
     columns = stage(columns)
-    posts = stage(posts.join(columns, "_column").select("_column", "_set", "n", "_least").distinct())
+    posts = posts.join(columns, "_column").distinct().join(classes.select("_set", "n"), "_set")
+    posts = stage(posts.select("_column", "_set", "n", "_least"))
     near = (F.least("na", "nb") * den >= F.greatest("na", "nb") * num)
 
     def sized(pairs: DataFrame) -> DataFrame:
@@ -181,11 +211,7 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", widt
     least = posts.filter("_set = _least").select("_column", F.col("n").alias("nb")).distinct()
     first = posts.filter("_set != _least").join(least, "_column").select(F.col("_set").alias("a"), F.col("_least").alias("b"), F.col("n").alias("na"), "nb")
     first = stage(sized(first))
-    wanted = stage(posts.select("_set").distinct())
-    at = wanted.join(classes.select("_set", F.col("_best.r").alias("_at")), "_set").select("_set", "_at")
-    texts = rows.join(at, rows[ROW] == at["_at"]).select("_set", "_text")
-    sets = stage(texts.mapInArrow(_packed_sets(width, salt), "_set long, _columns binary"))
-    links = stage(links_of(first, sets, num, den))
+    links = links_of(first, classes, rows, width, salt, num, den)
     labels = stage(connected(links))
 
     placed = posts.join(labels.withColumnRenamed("node", "_set"), "_set", "left").select("_column", "_set", "n", F.coalesce("label", "_set").alias("_part"))
@@ -202,7 +228,7 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", widt
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"), F.when(F.col("a") > F.col("b"), F.col("na")).otherwise(F.col("nb")).alias("na"),
         F.when(F.col("a") > F.col("b"), F.col("nb")).otherwise(F.col("na")).alias("nb"))
     second = stage(sized(cross).join(first.select("a", "b"), ["a", "b"], "left_anti"))
-    more = stage(links_of(second, sets, num, den))
+    more = links_of(second, classes, rows, width, salt, num, den)
     labels = stage(connected(links.union(more))) if not more.isEmpty() else labels
 
     known = classes.select("_set", "_best").join(labels.withColumnRenamed("node", "_set"), "_set", "left").select("_set", "_best", F.coalesce("label", "_set").alias("_part"))
