@@ -91,23 +91,22 @@ def compare_runs(first: DataFrame, second: DataFrame) -> DataFrame:
 
 
 def row_hash_diff(left: DataFrame, right: DataFrame, keys: Sequence[str] = (),
-                  columns: Sequence[str] | None = None, screen: int | None = 4096) -> DataFrame:
+                  columns: Sequence[str] | None = None, screen: int | None = None) -> DataFrame:
     """Rows that differ between two tables, as multisets: (keys, digest, n_left, n_right).
 
     Both sides are reduced to (key, digest) counts by one aggregation over
     their union, so identical copies of a row never meet in one task.
 
-    Tables that should agree mostly do, so rows are first summed up in
-    ``screen`` hash ranges, and only ranges whose sums differ go through the
-    exact comparison: this reads both tables twice but shuffles ``screen`` rows
-    per task instead of every row. At most ``screen`` range numbers are
-    broadcast. ``None`` goes straight to the exact comparison.
+    The comparison is exact. ``screen`` asks for a cheaper one that can miss
+    rows: they are first summed up in that many hash ranges, and only ranges
+    whose sums differ are compared, so differences whose 64-bit hashes add up
+    alike on both sides of a range stay unseen. It reads both tables twice but
+    shuffles ``screen`` rows per task instead of every row. Range numbers are
+    broadcast only as far as the engine's size check allows.
     """
     columns = list(columns or left.columns)
     used = list(dict.fromkeys([*keys, *columns]))
     sides = left.select(*used, F.lit(1).alias("_side")).unionByName(right.select(*used, F.lit(-1).alias("_side")))
-    if screen and screen > 1_000_000:
-        raise ValueError("screen numbers are broadcast; keep them under a million")
     if screen:
         # NULL flags are hashed along: a NULL value alone leaves a hash as it was.
         row_hash = F.xxhash64(*used, *[F.col(c).isNull() for c in used])
@@ -118,7 +117,7 @@ def row_hash_diff(left: DataFrame, right: DataFrame, keys: Sequence[str] = (),
             .agg(F.sum("_side").alias("_n"), F.sum(high * F.col("_side")).alias("_h"), F.sum(low * F.col("_side")).alias("_w"))
             .filter((F.col("_n") != 0) | (F.col("_h") != 0) | (F.col("_w") != 0))
         )
-        sides = hashed.join(F.broadcast(differing.select("_range")), ["_range"], "left_semi")
+        sides = hashed.join(differing.select("_range"), ["_range"], "left_semi")
     return (
         sides.select(*keys, fn.row_digest(columns).alias("row_digest"), "_side")
         .groupBy(*keys, "row_digest")

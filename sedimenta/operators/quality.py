@@ -68,6 +68,9 @@ def enforce(gates: Sequence[Gate]) -> dict[str, int]:
     """Evaluate all gates in one job; raise if a blocking one is violated."""
     if not gates:
         return {}
+    names = [g.name for g in gates]
+    if repeated := sorted({n for n in names if names.count(n) > 1}):
+        raise ValueError(f"gates need names of their own: {repeated}")
     counts = {r["gate"]: r["violations"] for r in gate_counts(gates).collect()}  # one row per gate
     failed = [g for g in gates if g.severity in BLOCKING and counts[g.name] > 0]
     if failed:
@@ -222,6 +225,14 @@ def mask_checks(raw: DataFrame, masked: DataFrame, keys: Sequence[str], column:
     return measure(pairs, checks)
 
 
+def enforce_checks(results: DataFrame) -> None:
+    """Raise if a blocking check of ``check_results`` failed; the others stay recorded only."""
+    failed = results.filter(~F.col("passed") & F.col("severity").isin(*BLOCKING)).select("table_name", "check_name", "observed", "expected")
+    found = failed.collect()  # at most one row per table and check
+    if found:
+        raise GateFailure({f"{r['table_name']}.{r['check_name']}": abs((r["observed"] or 0) - (r["expected"] or 0)) for r in found})
+
+
 def check_results(run_id: str, checks: Mapping[str, DataFrame]) -> DataFrame:
     """Rows for the ``dq_results`` table: one per check, tagged with run and table."""
     parts = [
@@ -235,9 +246,12 @@ def check_results(run_id: str, checks: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def threshold_breaches(metrics: DataFrame, thresholds: DataFrame) -> DataFrame:
-    """``metrics(metric, value)`` against ``thresholds(metric, low, high)``; NULL bound = open."""
+    """``metrics(metric, value)`` against ``thresholds(metric, low, high)``; NULL bound = open.
+
+    One row per threshold and value; a threshold whose metric is missing is breached.
+    """
     value = F.col("value")
-    return metrics.join(thresholds, ["metric"], "inner").select(
+    return metrics.join(thresholds, ["metric"], "right_outer").select(
         "metric", "value", "low", "high",
         (F.coalesce(value < F.col("low"), F.lit(False)) | F.coalesce(value > F.col("high"), F.lit(False))
          | value.isNull()).alias("breached"),

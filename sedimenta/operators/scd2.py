@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as fn
@@ -139,8 +139,11 @@ def version_changes(dim: DataFrame, src: DataFrame, as_of: str | datetime, spec:
 
 def apply_scd2(dim: DataFrame, src: DataFrame, as_of: str | datetime, spec: DimensionSpec = DIM_APPLICANT,
                *, close_missing: bool = False) -> DataFrame:
-    """The whole dimension after a run at ``as_of``; history passes through unshuffled."""
-    history = dim.filter(~F.col(spec.current)).select(*spec.columns)
+    """The whole dimension after a run at ``as_of``; history passes through unshuffled.
+
+    A version whose state is NULL counts as history here; the publishing runs refuse such a dimension.
+    """
+    history = dim.filter(F.col(spec.current).isNull() | ~F.col(spec.current)).select(*spec.columns)
     return history.unionByName(version_changes(dim, src, as_of, spec, close_missing=close_missing))
 
 
@@ -190,39 +193,32 @@ def join_as_of(fact: DataFrame, dim: DataFrame, at: str, attributes: Sequence[st
     return joined.select("f.*", *[F.col(f"v.{c}").alias(c) for c in attributes])
 
 
-def interval_violations(dim: DataFrame, spec: DimensionSpec = DIM_APPLICANT) -> DataFrame:
-    """Entities whose versions do not form one gap-free chain with one open end.
+def interval_violations(dim: DataFrame, spec: DimensionSpec = DIM_APPLICANT, *, absences: bool = False) -> DataFrame:
+    """Entities whose versions, taken in order of their start, do not form one gap-free chain with one open end.
 
-    If every interval is positive, exactly one version is open, and the ends
-    are the starts without the earliest one (as multisets), the versions can
-    only be a single chain: nothing can follow the latest start, so only the
-    open version has it; one version ends there, and so on downwards. The
-    multisets are compared by sums of hashes, so the check is one aggregation
-    without any ordering, however many versions an entity has.
+    With ``absences`` an entity may have been closed because its source no longer offered it: then no version need be open, and
+    the next version may start later than the one before it ended, but never earlier. The comparison is exact; an entity's versions,
+    one per load at most, are ordered in one task.
     """
     start, end = F.col(spec.start), F.col(spec.end)
-    start_high, start_low = fn.hash_halves(F.xxhash64(start))
-    end_high, end_low = fn.hash_halves(F.xxhash64(end))
-    first_high, first_low = fn.hash_halves(F.xxhash64("_first"))
+    order = Window.partitionBy(spec.key).orderBy(start.asc_nulls_first(), end.asc_nulls_last())
+    versions = dim.select(spec.key, spec.start, spec.end, spec.current).withColumn("_next", F.lead(start).over(order)).withColumn(
+        "_followed", F.lead(F.lit(True), 1, False).over(order))
+    if absences:
+        broken = F.col("_followed") & ~F.coalesce(end <= F.col("_next"), F.lit(False))
+    else:
+        broken = F.when(F.col("_followed"), ~end.eqNullSafe(F.col("_next"))).otherwise(end.isNotNull())
+    found = versions.groupBy(spec.key).agg(
+        F.count(F.lit(1)).alias("versions"),
+        F.count_if(end.isNull()).alias("open_versions"),
+        F.count_if(start.isNull() | F.coalesce(end <= start, F.lit(False))).alias("empty_intervals"),
+        F.count_if(~F.col(spec.current).eqNullSafe(end.isNull())).alias("flag_mismatches"),
+        F.bool_or(broken).alias("broken_chain"),
+    )
+    open_ends = F.col("open_versions") > 1 if absences else F.col("open_versions") != 1
+    return found.filter(open_ends | (F.col("empty_intervals") > 0) | (F.col("flag_mismatches") > 0) | F.col("broken_chain"))
 
-    def surplus(of_start: Column, of_end: Column) -> Column:
-        return F.sum(of_start - F.when(end.isNotNull(), of_end).otherwise(0))
 
-    return (
-        dim.groupBy(spec.key)
-        .agg(
-            F.count(F.lit(1)).alias("versions"),
-            F.count_if(end.isNull()).alias("open_versions"),
-            F.count_if(start.isNull() | F.coalesce(end <= start, F.lit(False))).alias("empty_intervals"),
-            F.count_if(~F.col(spec.current).eqNullSafe(end.isNull())).alias("flag_mismatches"),
-            F.min(start).alias("_first"),
-            surplus(start_high, end_high).alias("_high"),
-            surplus(start_low, end_low).alias("_low"),
-        )
-        .withColumn("broken_chain", (F.col("_high") != first_high) | (F.col("_low") != first_low))
-        .drop("_first", "_high", "_low")
-        .filter(
-            (F.col("open_versions") != 1) | (F.col("empty_intervals") > 0) | (F.col("flag_mismatches") > 0)
-            | F.col("broken_chain")
-        )
-    )
+def unknown_state(dim: DataFrame, spec: DimensionSpec = DIM_APPLICANT) -> DataFrame:
+    """Versions that do not say whether they are current; a run can neither keep nor close them."""
+    return dim.filter(F.col(spec.current).isNull()).select(spec.key)

@@ -26,23 +26,23 @@ def upsert_parts(target: DataFrame, updates: DataFrame, keys: Sequence[str],
     if order is None:
         return target.join(updates.select(*keys), list(keys), "left_anti").select(*target.columns), updates
 
-    def ranked(df: DataFrame) -> DataFrame:
-        return df.select(*keys, F.struct(*order).alias("_rank"))  # structs compare NULLs as lowest
+    accepted = accepted_updates(target, updates, keys, order)
+    return target.join(accepted.select(*keys), list(keys), "left_anti").select(*target.columns), accepted
+
+
+def accepted_updates(target: DataFrame, updates: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Updates that no newer row of the target stands against.
+
+    Reads only keys and order columns of the target. Once these are known, the target rows they replace are those with
+    their keys, without any comparison of ranks on the wide side.
+    """
 
     def same_key(a: str, b: str) -> Column:
         return reduce(lambda x, y: x & y, [F.col(f"{a}.{k}") == F.col(f"{b}.{k}") for k in keys])
 
-    def rank_of(side: str) -> Column:
-        return F.struct(*[F.col(f"{side}.{c}") for c in order])
-
-    met = ranked(target).join(updates.select(*keys), list(keys), "left_semi")
-    kept = target.alias("t").join(
-        ranked(updates).alias("u"), same_key("t", "u") & (F.col("u._rank") >= rank_of("t")), "left_anti"
-    )
-    accepted = updates.alias("u").join(
-        met.alias("m"), same_key("u", "m") & (F.col("m._rank") > rank_of("u")), "left_anti"
-    )
-    return kept, accepted
+    stored = target.select(*keys, F.struct(*order).alias("_rank"))  # structs compare NULLs as lowest
+    rank = F.struct(*[F.col(f"u.{c}") for c in order])
+    return updates.alias("u").join(stored.alias("m"), same_key("u", "m") & (F.col("m._rank") > rank), "left_anti")
 
 
 def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -140,16 +140,19 @@ def prev_app_count(applicants: DataFrame, previous: DataFrame, key: str = "appli
 
 
 def credit_risk_features(applicants: DataFrame, fact: DataFrame, bureau: DataFrame, records: DataFrame,
-                         key: str = "applicant_id", income: str = "AMT_INCOME_TOTAL") -> DataFrame:
+                         key: str = "applicant_id", income: str = "AMT_INCOME_TOTAL", previous: DataFrame | None = None) -> DataFrame:
     """One row per applicant: application volume, income to credit, bureau delinquency, balance depth.
 
     ``records`` is bureau with its folded balance. Each many side is reduced to
-    one row per applicant first; all joins are on that same key.
+    one row per applicant first; all joins are on that same key. Applications are counted in ``previous``, the
+    applicant's earlier ones, or in ``fact`` where none is given.
     """
-    applications = fact.groupBy(key).agg(
-        F.count(F.lit(1)).alias("application_count"),
-        F.sum(money("AMT_CREDIT")).cast("double").alias("total_credit"),
-    )
+    credits = F.sum(money("AMT_CREDIT")).cast("double").alias("total_credit")
+    number = F.count(F.lit(1)).alias("application_count")
+    if previous is None:
+        applications = fact.groupBy(key).agg(number, credits)
+    else:
+        applications = fact.groupBy(key).agg(credits).join(previous.groupBy(key).agg(number), [key], "full_outer")
     credit = bureau.groupBy(key).agg(
         F.count(F.lit(1)).alias("bureau_records"),
         F.count_if(F.col("CREDIT_DAY_OVERDUE") > 0).alias("overdue_records"),

@@ -88,6 +88,7 @@ def masked_presence(applicants: DataFrame, masked: str = "DAYS_EMPLOYED_MASKED",
 
 
 def balance_trend(balance: DataFrame, amount: str = "AMT_BALANCE", period: str = "MONTHS_BALANCE") -> DataFrame:
+    """Accounts, total and average balance per period."""
     return balance.groupBy(period).agg(
         F.count(F.lit(1)).alias("accounts"),
         F.round(F.sum(money(amount)).cast("double"), 2).alias("total_balance"),
@@ -102,3 +103,14 @@ def delinquency_trend(balance: DataFrame, delinquent: Column, period: str = "MON
         F.count_if(delinquent).alias("delinquent_accounts"),
         _rate(F.count_if(delinquent), F.count(F.lit(1))).alias("delinquency_rate"),
     )
+
+
+def pos_trend(pos: DataFrame, overdue: str = "SK_DPD", period: str = "MONTHS_BALANCE") -> DataFrame:
+    """Accounts per period and the share of them past due; NULL where the source does not say how many days."""
+    late = F.col(overdue) > 0 if overdue in pos.columns else F.lit(None).cast("boolean")
+    known = F.count(late)
+    return pos.groupBy(period).agg(
+        F.count(F.lit(1)).alias("accounts"),
+        F.count_if(late).alias("delinquent_accounts"),
+        _rate(F.count_if(late), F.nullif(known, F.lit(0))).alias("delinquency_rate"),
+    )

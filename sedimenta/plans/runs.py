@@ -39,7 +39,7 @@ def ingest(spark: SparkSession, landing_dir: str, bronze_root: str, *, batch_id:
            ingestion_ts: datetime | str, tables: Sequence[str] | None = None, replay: bool = True) -> dict[str, dict]:
     """Load every landed table of a batch into bronze, tagged.
 
-    A batch owns its partition, so loading it again replaces it. ``replay=False``
+    A batch owns its partition, so loading it again replaces it, on whatever day. ``replay=False``
     appends instead and keeps every copy. Returns per table the rows written,
     the rows without a complete key and the lines that did not parse, counted
     while writing.
@@ -57,6 +57,8 @@ def ingest(spark: SparkSession, landing_dir: str, bronze_root: str, *, batch_id:
                         F.count(files.CORRUPT).alias("unparsed_lines"))
         if replay:
             sinks.replace_partitions(df, path, BRONZE_PARTITIONS)
+            day = files.utc(ingestion_ts).date().isoformat()
+            sinks.drop_folders(spark, f"{path}/{INGESTION_DATE}=*/batch_id={batch_id}", keep=f"/{INGESTION_DATE}={day}/")
         else:
             sinks.append_partitioned(df, path, BRONZE_PARTITIONS)
         written[spec.bronze] = seen.get
@@ -80,9 +82,11 @@ def replay(spark: SparkSession, landing_dir: str, bronze_root: str, recorded: Da
 
 
 def check_bronze(spark: SparkSession, bronze_root: str, run_id: str, *, batch_id: str,
-                 expected_rows: dict[str, int] | None = None, tables: Sequence[str] | None = None) -> DataFrame:
+                 expected_rows: dict[str, int] | None = None, tables: Sequence[str] | None = None,
+                 enforce: bool = False) -> DataFrame:
+    """Check results of a batch's bronze rows; with ``enforce`` a failed CRITICAL one raises, HIGH ones are only returned."""
     expected_rows = expected_rows or {}
-    return q.check_results(
+    return _checked(enforce, q.check_results(
         run_id,
         {
             spec.bronze: q.bronze_checks(
@@ -92,7 +96,13 @@ def check_bronze(spark: SparkSession, bronze_root: str, run_id: str, *, batch_id
             )
             for spec in _specs(tables)
         },
-    )
+    ))
+
+
+def _checked(enforce: bool, results: DataFrame) -> DataFrame:
+    if enforce:
+        q.enforce_checks(results)
+    return results
 
 
 # --- silver ---------------------------------------------------------------------------------------
@@ -103,8 +113,8 @@ def build_silver(spark: SparkSession, bronze_root: str, root: str, *, batch_ids:
                  layouts: Mapping[str, sinks.Layout] | None = None) -> dict[str, dict[str, int]]:
     """Upsert each table's cleaned rows; rows that break a rule go to quarantine.
 
-    With ``batch_ids`` only those bronze partitions are read. The cleaned batch
-    is written once to a shared work folder, so the good and the bad rows do not
+    Afterwards the published tables are checked; a failed CRITICAL check raises. With ``batch_ids`` only
+    those bronze partitions are read. The cleaned batch is written once to a shared work folder, so the good and the bad rows do not
     each repeat the dedup shuffle. ``layouts`` lays out tables by silver name.
     """
     counts = {}
@@ -127,6 +137,7 @@ def build_silver(spark: SparkSession, bronze_root: str, root: str, *, batch_ids:
                         batch_ids)
         finally:
             sinks.drop_work_dir(spark, work)
+    check_silver(spark, "build_silver", tables, enforce=True)
     return counts
 
 
@@ -135,24 +146,27 @@ def _quarantine(rows: DataFrame, path: str, batch_ids: Sequence[str] | None) ->
     if batch_ids is None:
         rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("batch_id").parquet(path)
         return
-    for batch_id in batch_ids:
-        part = rows.filter(F.col("batch_id") == batch_id).drop("batch_id")
-        part.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    sinks.replace_partitions(rows.filter(F.col("batch_id").isin(*batch_ids)), path, ["batch_id"])
+    filled = {r[0] for r in rows.sparkSession.read.schema(rows.schema).parquet(path).select("batch_id").distinct().collect()}  # one row per batch
+    for batch_id in set(batch_ids) & filled:
+        # Rows of a batch that has none now are those of an earlier run.
+        if rows.filter(F.col("batch_id") == batch_id).isEmpty():
+            sinks.drop_folders(rows.sparkSession, f"{path}/batch_id={batch_id}")
 
 
 def silver_manifest(spark: SparkSession, tables: Sequence[str] | None = None) -> DataFrame:
     return parity.manifests({s.silver: (spark.table(s.silver), s.keys, INGESTION_TS) for s in _specs(tables)})
 
 
-def check_silver(spark: SparkSession, run_id: str, tables: Sequence[str] | None = None) -> DataFrame:
-    """Check results of the published silver tables, one pass each."""
+def check_silver(spark: SparkSession, run_id: str, tables: Sequence[str] | None = None, *, enforce: bool = False) -> DataFrame:
+    """Check results of the published silver tables, one pass each; with ``enforce`` a failed CRITICAL one raises."""
     checks = {}
     for spec in _specs(tables):
         df = spark.table(spec.silver)
         rules = {name: predicate for name, (column, predicate) in spec.rules.items() if column in df.columns}
         masked = [c for c in spec.masked if f"{c}_MASKED" in df.columns]
         checks[spec.silver] = q.silver_checks(df, spec.keys, rules, masked, spec.sentinels)
-    return q.check_results(run_id, checks)
+    return _checked(enforce, q.check_results(run_id, checks))
 
 
 def check_references(spark: SparkSession, tables: Sequence[str] | None = None) -> dict[str, DataFrame]:
@@ -240,7 +254,8 @@ def check_gold(spark: SparkSession, run_id: str) -> DataFrame:
     """Check results of the published gold tables: grains, references, one current version, intervals."""
     dim = spark.table("dim_applicant")
     source = gold.int_applicant_attributes(gold.stg_application(spark.table("silver_application")))
-    checks = {"dim_applicant": q.gate_results(sinks.dimension_gates(source)(dim))}
+    absences = sinks.closes_missing(spark, "dim_applicant")
+    checks = {"dim_applicant": q.gate_results(sinks.dimension_gates(source, absences=absences)(dim))}
     for name, (grain, code) in GRAINS.items():
         checks[name] = q.gate_results(_fact_gates(spark.table(name), name, grain, code, scd2.current_rows(dim)))
     return q.check_results(run_id, checks)
@@ -258,15 +273,15 @@ def build_marts(spark: SparkSession, root: str) -> dict[str, dict[str, int]]:
     """Applicant risk features and the per-loan-type summary, from published tables only."""
     fact, bureau = spark.table("fact_loan_application"), spark.table("fact_bureau_credit")
     records = gold.bureau_with_balance(bureau, spark.table("silver_bureau_balance"))
-    features = gold.credit_risk_features(fact, fact, bureau, records, key="SK_ID_CURR")
+    features = gold.credit_risk_features(fact, fact, bureau, records, key="SK_ID_CURR", previous=spark.table("silver_previous_application"))
     summary = gold.credit_risk_summary(fact, spark.table("dim_applicant"))
-    return {
-        name: sinks.publish(spark, name, rows, root, gates=sinks.key_gates(name, keys))
-        for name, rows, keys in (
-            ("int_credit_risk_features", features, ["SK_ID_CURR"]),
-            ("mart_credit_risk_summary", summary, ["NAME_CONTRACT_TYPE"]),
-        )
-    }
+    marts = [("int_credit_risk_features", features, ["SK_ID_CURR"]), ("mart_credit_risk_summary", summary, ["NAME_CONTRACT_TYPE"])]
+    for name, source, trend in (
+        ("mart_card_balance_trend", "silver_credit_card_balance", kpis.balance_trend),
+        ("mart_pos_trend", "silver_pos_cash_balance", kpis.pos_trend),
+    ):
+        marts.append((name, trend(spark.table(source)), ["MONTHS_BALANCE"]))
+    return {name: sinks.publish(spark, name, rows, root, gates=sinks.key_gates(name, keys)) for name, rows, keys in marts}
 
 
 def indicators(spark: SparkSession) -> dict[str, DataFrame]:
@@ -282,6 +297,15 @@ def indicators(spark: SparkSession) -> dict[str, DataFrame]:
     }
 
 
+def check_thresholds(spark: SparkSession, thresholds: DataFrame) -> DataFrame:
+    """The published indicators' single figures against ``thresholds(metric, low, high)``."""
+    found = indicators(spark)
+    rate = found["default_rate"]
+    metrics = rate.select(F.concat(F.lit("default_rate:"), "loan_type").alias("metric"), F.col("default_rate").alias("value")).unionByName(
+        found["delinquency_rate"].select(F.lit("delinquency_rate").alias("metric"), F.col("delinquency_rate").alias("value")))
+    return q.threshold_breaches(metrics, thresholds)
+
+
 def record_results(results: DataFrame, path: str) -> None:
     """Store check results; a run's own rows are replaced when it is repeated."""
     sinks.replace_partitions(results, path, ["run_id"])

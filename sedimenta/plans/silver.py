@@ -30,25 +30,32 @@ def clean(bronze: DataFrame, spec: TableSpec, *, order: Sequence[str] = (INGESTI
     return conform(cleanse.latest_per_key(bronze, spec.keys, order, tiebreak), spec, ts=order[0], **options)
 
 
-def prepare(bronze: DataFrame, spec: TableSpec, *, order: Sequence[str] = (INGESTION_TS,),
-            tiebreak: Sequence[str] | None = None, **options) -> DataFrame:
-    """``clean`` plus ``failed_rules``: names of the rules each surviving row breaks.
+def judged(bronze: DataFrame, spec: TableSpec, *, order: Sequence[str] = (INGESTION_TS,), **options) -> DataFrame:
+    """``bronze`` as it came, with ``failed_rules``: names of the rules each arrival breaks.
 
-    Cast rules look at the arriving text and domain rules at the result, in the
-    one pass that cleans. Masked columns are hashed before a row is diverted,
-    so quarantine holds no raw sensitive value.
+    Cast rules look at the arriving text and domain rules at the conformed row. Only what the rules read is computed.
     """
-    latest = cleanse.latest_per_key(bronze, spec.keys, order, tiebreak)
-    cast_rules = cleanse.failed_cast_rules(latest, options.get("casts") or spec.casts)
-    if CORRUPT in latest.columns:
+    cast_rules = cleanse.failed_cast_rules(bronze, options.get("casts") or spec.casts)
+    if CORRUPT in bronze.columns:
         cast_rules["unparsed_line"] = f"`{CORRUPT}` IS NOT NULL"
-    tagged = with_failed_rules(latest, cast_rules, "_cast_failures").drop(CORRUPT)  # that line is unmasked
+    tagged = with_failed_rules(bronze, cast_rules, "_cast_failures").withColumn("_arrived", F.struct(*bronze.columns))
     out = conform(tagged, spec, ts=order[0], **options)
     domain = {name: predicate for name, (column, predicate) in spec.rules.items() if column in out.columns}
     out = with_failed_rules(out, domain, "_domain_failures")
-    return out.withColumn(FAILED, F.concat("_cast_failures", "_domain_failures")).drop(
-        "_cast_failures", "_domain_failures"
-    )
+    return out.select("_arrived.*", F.concat("_cast_failures", "_domain_failures").alias(FAILED))
+
+
+def prepare(bronze: DataFrame, spec: TableSpec, *, order: Sequence[str] = (INGESTION_TS,),
+            tiebreak: Sequence[str] | None = None, **options) -> DataFrame:
+    """The latest good row per key and every bad arrival, conformed, with ``failed_rules``.
+
+    Rules come before ranking: a bad arrival never hides an earlier good row, so a rebuild over all batches and a build batch
+    by batch give the same tables. Masked columns are hashed before a row is diverted, so quarantine holds no raw
+    sensitive value.
+    """
+    rows = judged(bronze, spec, order=order, **options)
+    good = cleanse.latest_per_key(rows.filter(~is_bad()), spec.keys, order, tiebreak)
+    return conform(good.unionByName(rows.filter(is_bad())).drop(CORRUPT), spec, ts=order[0], **options)  # that line is unmasked
 
 
 def keyless(bronze: DataFrame, spec: TableSpec, **options) -> DataFrame:

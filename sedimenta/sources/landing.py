@@ -2,46 +2,20 @@
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Iterator
-from urllib.parse import quote, unquote
+from urllib.parse import unquote
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .files import utc
 
-# A file up to this size is hashed from memory in its task; a larger one is
-# hashed from a stream, so task memory does not grow with the file.
-IN_MEMORY_BYTES = 128 * 1024 * 1024
-_CHUNK = 8 * 1024 * 1024
 
+def landing_manifest(spark: SparkSession, landing_dir: str, *, pattern: str = "*") -> DataFrame:
+    """``file_name, path, bytes, sha256`` for each file under ``landing_dir``.
 
-def _open_stream(path: str):
-    from pyarrow import fs
-
-    if path.startswith("file:"):
-        return fs.LocalFileSystem().open_input_stream("/" + path.removeprefix("file:").lstrip("/"))
-    filesystem, location = fs.FileSystem.from_uri(quote(path, safe="/:@"))
-    return filesystem.open_input_stream(location)
-
-
-def _stream_sha256(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        digests = []
-        for path in batch["path"]:
-            digest = hashlib.sha256()
-            with _open_stream(path) as stream:
-                while chunk := stream.read(_CHUNK):
-                    digest.update(chunk)
-            digests.append(digest.hexdigest())
-        yield batch.assign(sha256=digests)
-
-
-def landing_manifest(spark: SparkSession, landing_dir: str, *, in_memory_bytes: int = IN_MEMORY_BYTES,
-                     pattern: str = "*") -> DataFrame:
-    """``file_name, path, bytes, sha256`` for each file under ``landing_dir``."""
+    Every file, whatever its size, is read and hashed by the session's own binary reader, in any store the session can read.
+    A task holds one file; the reader refuses one above 2 GiB, so larger deliveries must arrive in parts.
+    """
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
@@ -49,14 +23,7 @@ def landing_manifest(spark: SparkSession, landing_dir: str, *, in_memory_bytes:
         .load(landing_dir)
     )
     file_name = F.element_at(F.split("path", "/"), -1).alias("file_name")
-    small = files.filter(F.col("length") <= in_memory_bytes).select(
-        file_name, "path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256")
-    )
-    # The length filter reaches the source, so a large file is only listed here.
-    listed = files.filter(F.col("length") > in_memory_bytes).select(file_name, "path", F.col("length").alias("bytes"))
-    large = listed.repartition(F.col("path")).mapInPandas(
-        _stream_sha256, "file_name string, path string, bytes bigint, sha256 string"
-    )
+    hashed = files.select(file_name, "path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
     # The scan skips empty files. The session's own listing, one short path per
     # file, has them too; what it holds beyond the scan is empty.
     paths = [(unquote(p).replace("file:///", "file:/"),) for p in files.inputFiles()]
@@ -65,7 +32,7 @@ def landing_manifest(spark: SparkSession, landing_dir: str, *, in_memory_bytes:
         .join(files.select("path"), ["path"], "left_anti")
         .select(file_name, "path", F.lit(0).cast("bigint").alias("bytes"), F.sha2(F.lit(""), 256).alias("sha256"))
     )
-    return small.unionByName(large).unionByName(empty)
+    return hashed.unionByName(empty)
 
 
 def record_landing(manifest: DataFrame, *, batch_id: str, env: str, ingestion_ts: str) -> DataFrame:

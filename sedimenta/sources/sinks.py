@@ -10,6 +10,7 @@ written tables in the warehouse, so no step depends on executor-local state.
 from __future__ import annotations
 
 import re
+import time
 import uuid
 from collections.abc import Callable, Sequence
 from contextlib import contextmanager
@@ -23,10 +24,12 @@ from pyspark.sql import types as T
 from ..functions import columns as fn
 from ..operators import quality as q
 from ..operators import scd2
-from ..operators.upsert import upsert_parts
+from ..operators.upsert import accepted_updates, upsert_parts
 
 GateList = Callable[[DataFrame], Sequence[q.Gate]]
 
+_PARTITIONS_PER_STATEMENT = 500
+_CLOSES_MISSING = "sedimenta.closes_missing"
 _SAFE_PARTITION = re.compile(r"[A-Za-z0-9_.\-]+")
 
 
@@ -64,10 +67,9 @@ def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) ->
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
 
 
-def write_json(df: DataFrame, path: str, single_file_rows: int = 10_000) -> None:
-    """JSON result; one file when the result is small, part files otherwise."""
-    small = len(df.limit(single_file_rows + 1).select(F.lit(1)).take(single_file_rows + 1)) <= single_file_rows
-    (df.coalesce(1) if small else df).write.mode("overwrite").json(path)
+def write_json(df: DataFrame, path: str) -> None:
+    """JSON result as part files, one per task."""
+    df.write.mode("overwrite").json(path)
 
 
 def create_view(df: DataFrame, name: str) -> None:
@@ -162,11 +164,13 @@ def publish(spark: SparkSession, name: str, df: DataFrame, root: str, *, gates:
 
 
 def publish_partitions(spark: SparkSession, name: str, df: DataFrame, partition_by: str, root: str, *,
-                       gates: GateList | None = None, last: str | None = None, rebalance: bool = False) -> dict[str, int]:
+                       gates: GateList | None = None, last: str | None = None, rebalance: bool = False,
+                       emptied: Sequence[str] = ()) -> dict[str, int]:
     """Replace only the partitions that ``df`` contains; the others are not read or written.
 
-    Each partition changes in one metadata step. ``last`` names the partition
-    to switch after all others. ``rebalance`` gathers the rows of a partition
+    Each partition changes in one metadata step; new ones are added many to a statement. ``last`` names the partition
+    to switch after all others. ``emptied`` names partitions that the run covers: one that ``df`` has no row of is removed, after all
+    others have been switched. ``rebalance`` gathers the rows of a partition
     before they are written, into as many even tasks as its size calls for;
     without it every task writes a file into every partition it meets.
     """
@@ -189,10 +193,23 @@ def publish_partitions(spark: SparkSession, name: str, df: DataFrame, partition_
         raise ValueError(f"{name}: partition values must be plain names, got {unsafe[:5]}")
     if not exists:
         create_table(spark, name, schema, f"{location}_base", [partition_by])
-    for value in sorted(values, key=lambda v: (v == last, v)):
-        where, spec = f"{location}/{partition_by}={value}", f"PARTITION (`{partition_by}` = '{value}')"
-        spark.sql(f"ALTER TABLE {_quoted(name)} ADD IF NOT EXISTS {spec} LOCATION '{where}'")
-        spark.sql(f"ALTER TABLE {_quoted(name)} {spec} SET LOCATION '{where}'")
+    known = {r[0].split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {_quoted(name)}").collect()}  # one row per partition
+
+    def at(value: str) -> str:
+        return f"PARTITION (`{partition_by}` = '{value}')"
+
+    added = [v for v in sorted(values) if v not in known and v != last]
+    for begin in range(0, len(added), _PARTITIONS_PER_STATEMENT):
+        some = " ".join(f"{at(v)} LOCATION '{location}/{partition_by}={v}'" for v in added[begin: begin + _PARTITIONS_PER_STATEMENT])
+        spark.sql(f"ALTER TABLE {_quoted(name)} ADD IF NOT EXISTS {some}")
+    for value in sorted((v for v in values if v in known or v == last), key=lambda v: (v == last, v)):
+        where = f"'{location}/{partition_by}={value}'"
+        if value in known:
+            spark.sql(f"ALTER TABLE {_quoted(name)} {at(value)} SET LOCATION {where}")
+        else:
+            spark.sql(f"ALTER TABLE {_quoted(name)} ADD {at(value)} LOCATION {where}")
+    for value in sorted((set(emptied) & known) - set(values)):
+        spark.sql(f"ALTER TABLE {_quoted(name)} DROP IF EXISTS {at(value)}")  # external: the files stay
     spark.catalog.refreshTable(name)
     return counts
 
@@ -212,33 +229,73 @@ def publish_upsert(spark: SparkSession, name: str, updates: DataFrame, keys: Seq
                    buckets: Buckets | None = None, partition_by: str | None = None) -> dict[str, int]:
     """Upsert ``updates`` into a published table, creating it on the first run.
 
-    The staged result must be unique on non-NULL ``keys``, which also rejects
-    updates that repeat a key. With ``order`` a late batch cannot replace newer
-    rows. With ``partition_by``, a string column that is a function of the key,
+    The updates must be unique on non-NULL ``keys``; the rows that stay were
+    gated when they came and share no key with them. With ``order`` a late batch
+    cannot replace newer rows: which updates take effect is decided once and
+    written to the shared work folder. With ``partition_by``, a string column that is a function of the key,
     only the partitions the updates fall into are read, joined and rewritten;
     an interrupted run is completed by running it again.
     """
     if partition_by is not None and buckets is not None:
         raise ValueError("a table is laid out in key ranges or in buckets, not both")
 
-    def checks(staged: DataFrame) -> list[q.Gate]:
-        return [*key_gates(name, keys)(staged), *(gates(staged) if gates else [])]
-
+    counts = q.enforce(key_gates(name, keys)(updates))
     target = spark.table(name) if spark.catalog.tableExists(name) else None
     if target is not None and partition_by is not None:
         touched = [r[0] for r in updates.select(partition_by).distinct().collect()]  # one row per partition
         target = target.filter(F.col(partition_by).isin(touched))
-    kept = None
-    if target is not None:
-        kept, updates = upsert_parts(target, updates, keys, order)
+    if target is not None and set(target.columns) != set(updates.columns):
+        raise ValueError(f"{name}: schema evolution is off; differing columns: {sorted(set(target.columns) ^ set(updates.columns))}")
+    work = shared_work_dir(spark, root)
+    try:
+        kept = None
+        if target is not None and order is not None:
+            accepted = accepted_updates(target, updates, keys, order)
+            accepted.write.parquet(work)
+            updates = spark.read.schema(accepted.schema).parquet(work)
+        if target is not None:
+            kept, updates = upsert_parts(target, updates, keys)
+        return counts | _publish_merged(spark, name, kept, updates, root, gates, buckets, partition_by)
+    finally:
+        drop_work_dir(spark, work)
+
+
+def _publish_merged(spark: SparkSession, name: str, kept: DataFrame | None, updates: DataFrame, root: str, gates: GateList | None,
+                    buckets: Buckets | None, partition_by: str | None) -> dict[str, int]:
     if buckets is not None:
         # Rows kept from the target are read bucket by bucket; with the updates
         # laid out alike, each task writes one bucket and nothing else moves.
         updates = updates.repartition(buckets.count, *buckets.keys)
     merged = updates if kept is None else kept.unionByName(updates)
     if partition_by is not None:
-        return publish_partitions(spark, name, merged, partition_by, root, gates=checks, rebalance=True)
-    return publish(spark, name, merged, root, gates=checks, buckets=buckets, clustered=True)
+        return publish_partitions(spark, name, merged, partition_by, root, gates=gates, rebalance=True)
+    return publish(spark, name, merged, root, gates=gates, buckets=buckets, clustered=True)
+
+
+def remove_superseded(spark: SparkSession, names: Sequence[str], root: str, older_than_s: float) -> list[str]:
+    """Delete version folders of published tables that no table or partition refers to and that are older than an age.
+
+    What is live comes from the catalog: the table's own location and every file the session would read for it, so key
+    ranges and closed slices that live in old folders stay. The age must exceed the longest run and the longest query. Folders
+    without data files are left. Returns the folders removed.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    conf, now = spark._jsc.hadoopConfiguration(), time.time()
+    removed = []
+    for name in names:
+        spark.catalog.refreshTable(name)
+        detail = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {_quoted(name)}").collect()}
+        live = {part for path in [*spark.table(name).inputFiles(), detail["Location"]] for part in path.split("/") if part.startswith("v_")}
+        base = hadoop.Path(f"{root.rstrip('/')}/{name.split('.')[-1]}")
+        system = base.getFileSystem(conf)
+        for status in system.listStatus(base) if system.exists(base) else []:
+            folder = status.getPath()
+            version = folder.getName().removesuffix("_base")
+            aged = now - status.getModificationTime() / 1000 > older_than_s
+            if version.startswith("v_") and version not in live and aged and system.getContentSummary(folder).getFileCount():
+                system.delete(folder, True)
+                removed.append(folder.toString())
+    return removed
 
 
 @dataclass(frozen=True)
@@ -266,6 +323,15 @@ class Layout:
         return self.column if self.range_key else None
 
 
+def drop_folders(spark: SparkSession, pattern: str, keep: str = "") -> None:
+    """Remove the folders that a glob pattern matches, but for those whose path holds ``keep``."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    system = found.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in system.globStatus(found) or []:
+        if not keep or keep not in f"{status.getPath().toString()}/":
+            system.delete(status.getPath(), True)
+
+
 def drop_work_dir(spark: SparkSession, path: str) -> None:
     """Remove an intermediate table made under ``shared_work_dir``; anything else is refused."""
     if not path.rsplit("/", 1)[-1].startswith("work_"):
@@ -277,34 +343,65 @@ def drop_work_dir(spark: SparkSession, path: str) -> None:
 # --- versioned dimensions -------------------------------------------------------------------------
 
 
-def dimension_gates(src: DataFrame, spec: scd2.DimensionSpec = scd2.DIM_APPLICANT) -> GateList:
-    """Exactly one current version per source entity, and sound intervals."""
+def dimension_gates(src: DataFrame, spec: scd2.DimensionSpec = scd2.DIM_APPLICANT, *, absences: bool = False) -> GateList:
+    """Exactly one current version per source entity, and sound intervals (with gaps where ``absences`` were closed)."""
     return lambda staged: [
         q.Gate("one_current_too_many", q.multiple_current(staged, spec), code=q.MULTIPLE_CURRENT),
         q.Gate("one_current_none", q.no_current(staged, src, spec), code=q.NO_CURRENT),
-        q.Gate("intervals", scd2.interval_violations(staged, spec)),
+        q.Gate("intervals", scd2.interval_violations(staged, spec, absences=absences)),
+    ]
+
+
+def closes_missing(spark: SparkSession, name: str) -> bool:
+    """Whether a run has ever closed entities of this dimension because they were missing; their histories may have gaps."""
+    found = spark.sql(f"SHOW TBLPROPERTIES {_quoted(name)}").filter(F.col("key") == _CLOSES_MISSING).collect()
+    return bool(found) and found[0]["value"] == "true"
+
+
+def _note_closing(spark: SparkSession, name: str) -> None:
+    spark.sql(f"ALTER TABLE {_quoted(name)} SET TBLPROPERTIES ('{_CLOSES_MISSING}' = 'true')")
+
+
+def _require_sound(src: DataFrame, current: DataFrame | None, spec: scd2.DimensionSpec) -> None:
+    """Source keys present and unique; the stored versions a run reads all say whether they are current."""
+    per_key = src.groupBy(spec.key).agg(F.count(F.lit(1)).alias("n"))
+    gates = [
+        q.Gate("source_unique", per_key.filter(F.col(spec.key).isNotNull() & (F.col("n") > 1)), code=q.MULTIPLE_CURRENT),
+        q.Gate("source_key_not_null", per_key.filter(F.col(spec.key).isNull())),
     ]
+    if current is not None:
+        gates.append(q.Gate("state_known", scd2.unknown_state(current, spec)))
+    q.enforce(gates)
 
 
-def _require_unique_source(src: DataFrame, spec: scd2.DimensionSpec) -> None:
-    q.enforce([
-        q.Gate("source_unique", q.duplicate_keys(src, [spec.key]), code=q.MULTIPLE_CURRENT),
-        q.Gate("source_key_not_null", q.null_keys(src, [spec.key])),
-    ])
+@contextmanager
+def _narrow_source(spark: SparkSession, src: DataFrame, root: str, spec: scd2.DimensionSpec):
+    """The source columns a dimension reads, written once: its gates and the join do not each run the plan behind it."""
+    work = shared_work_dir(spark, root)
+    narrow = src.select(*spec.source_columns)
+    try:
+        narrow.write.parquet(work)
+        yield spark.read.schema(narrow.schema).parquet(work)
+    finally:
+        drop_work_dir(spark, work)
 
 
 def publish_dimension(spark: SparkSession, name: str, src: DataFrame, as_of: str | datetime, root: str,
                       spec: scd2.DimensionSpec = scd2.DIM_APPLICANT, *, close_missing: bool = False,
                       buckets: Buckets | None = None) -> dict[str, int]:
     """Apply a source to a dimension and publish it whole, in one atomic step."""
-    _require_unique_source(src, spec)
     exists = spark.catalog.tableExists(name)
-    if exists:
-        rows = scd2.apply_scd2(spark.table(name), src, as_of, spec, close_missing=close_missing)
-    else:
-        rows = scd2.first_versions(src, as_of, spec)
-    # A bucketed dimension is joined and passed through bucket by bucket.
-    return publish(spark, name, rows, root, gates=dimension_gates(src, spec), buckets=buckets, clustered=exists)
+    with _narrow_source(spark, src, root, spec) as src:
+        _require_sound(src, spark.table(name) if exists else None, spec)
+        if exists:
+            if close_missing:
+                _note_closing(spark, name)
+            rows = scd2.apply_scd2(spark.table(name), src, as_of, spec, close_missing=close_missing)
+        else:
+            rows = scd2.first_versions(src, as_of, spec)
+        gates = dimension_gates(src, spec, absences=exists and closes_missing(spark, name))
+        # A bucketed dimension is joined and passed through bucket by bucket.
+        return publish(spark, name, rows, root, gates=gates, buckets=buckets, clustered=exists)
 
 
 def publish_dimension_sliced(spark: SparkSession, name: str, src: DataFrame, as_of: str | datetime, root: str,
@@ -319,29 +416,35 @@ def publish_dimension_sliced(spark: SparkSession, name: str, src: DataFrame, as_
     is what it already held plus this run's closures, unique on (entity,
     start), so running again at the same ``as_of`` repairs it.
     """
-    _require_unique_source(src, spec)
     closed_slice = f"closed_{fn.instant_label(as_of)}"
     exists = spark.catalog.tableExists(name)
-    if exists:
-        dim = spark.table(name)
-        rows = scd2.version_changes(dim, src, as_of, spec, close_missing=close_missing)
-    else:
-        rows = scd2.first_versions(src, as_of, spec)
-    slice_of = F.when(F.col(spec.current), F.lit(scd2.CURRENT_SLICE)).otherwise(F.lit(closed_slice))
-    rows = rows.withColumn(scd2.SLICE_COLUMN, slice_of)
-    slices = {r[0] for r in spark.sql(f"SHOW PARTITIONS {_quoted(name)}").collect()} if exists else set()
-    if f"{scd2.SLICE_COLUMN}={closed_slice}" in slices:
-        held = dim.filter(F.col(scd2.SLICE_COLUMN) == closed_slice)
-        closing = rows.filter(~F.col(spec.current)).select(spec.key, spec.start)
-        rows = rows.unionByName(held.join(closing, [spec.key, spec.start], "left_anti"))
-
-    def checks(staged: DataFrame) -> list[q.Gate]:
-        closed = staged.filter(~F.col(spec.current))
-        return [
-            q.Gate("one_current_too_many", q.multiple_current(staged, spec), code=q.MULTIPLE_CURRENT),
-            q.Gate("one_current_none", q.no_current(staged, src, spec), code=q.NO_CURRENT),
-            q.Gate("closed_unique", q.duplicate_keys(closed, [spec.key, spec.start])),
-            q.Gate("closed_interval", closed.filter(~(F.col(spec.end) > F.col(spec.start)))),
-        ]
-
-    return publish_partitions(spark, name, rows, scd2.SLICE_COLUMN, root, gates=checks, last=scd2.CURRENT_SLICE)
+    with _narrow_source(spark, src, root, spec) as src:
+        if exists:
+            dim = spark.table(name)
+            _require_sound(src, dim.filter(F.col(scd2.SLICE_COLUMN) == scd2.CURRENT_SLICE), spec)
+            if close_missing:
+                _note_closing(spark, name)
+            rows = scd2.version_changes(dim, src, as_of, spec, close_missing=close_missing)
+        else:
+            _require_sound(src, None, spec)
+            rows = scd2.first_versions(src, as_of, spec)
+        slice_of = F.when(F.col(spec.current), F.lit(scd2.CURRENT_SLICE)).otherwise(F.lit(closed_slice))
+        rows = rows.withColumn(scd2.SLICE_COLUMN, slice_of)
+        slices = {r[0] for r in spark.sql(f"SHOW PARTITIONS {_quoted(name)}").collect()} if exists else set()
+        if f"{scd2.SLICE_COLUMN}={closed_slice}" in slices:
+            held = dim.filter(F.col(scd2.SLICE_COLUMN) == closed_slice)
+            closing = rows.filter(~F.col(spec.current)).select(spec.key, spec.start)
+            rows = rows.unionByName(held.join(closing, [spec.key, spec.start], "left_anti"))
+
+        def checks(staged: DataFrame) -> list[q.Gate]:
+            closed = staged.filter(~F.col(spec.current))
+            return [
+                q.Gate("one_current_too_many", q.multiple_current(staged, spec), code=q.MULTIPLE_CURRENT),
+                q.Gate("one_current_none", q.no_current(staged, src, spec), code=q.NO_CURRENT),
+                q.Gate("closed_unique", q.duplicate_keys(closed, [spec.key, spec.start])),
+                q.Gate("closed_interval", closed.filter(~(F.col(spec.end) > F.col(spec.start)))),
+            ]
+
+        # Where every current row closes, no current row is left to replace the slice.
+        return publish_partitions(spark, name, rows, scd2.SLICE_COLUMN, root, gates=checks, last=scd2.CURRENT_SLICE,
+                                  emptied=[scd2.CURRENT_SLICE] if exists else [])

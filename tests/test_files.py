@@ -69,14 +69,13 @@ def test_schema_drift_counts_what_would_be_lost(spark):
     files.require_no_drift(df.schema, df.schema, "t")
 
 
-@pytest.mark.parametrize("in_memory_bytes", [landing.IN_MEMORY_BYTES, 3])
-def test_landing_manifest(spark, tmp_path, in_memory_bytes):
+def test_landing_manifest(spark, tmp_path):
     zone = tmp_path / "landing" / "dev" / "b1"
     zone.mkdir(parents=True)
     contents = {"a.csv": b"k\n1\n", "b with space.csv": bytes(range(256)) * 50, "empty.csv": b""}
     for file_name, data in contents.items():
         (zone / file_name).write_bytes(data)
-    found = landing.landing_manifest(spark, str(tmp_path / "landing"), in_memory_bytes=in_memory_bytes)
+    found = landing.landing_manifest(spark, str(tmp_path / "landing"))
     got = {r["file_name"]: (r["bytes"], r["sha256"]) for r in found.collect()}
     assert got == {n: (len(d), hashlib.sha256(d).hexdigest()) for n, d in contents.items()}
 

@@ -118,7 +118,7 @@ def test_applying_a_source_joins_once_and_leaves_history_alone(spark, tmp_path):
     )
     # history passes through on its own scan; only current rows and the source are shuffled
     assert "IsNotNull(is_current), EqualTo(is_current,true)" in detail
-    assert "IsNotNull(is_current), Not(EqualTo(is_current,true))" in detail
+    assert "Or(IsNull(is_current),Not(EqualTo(is_current,true)))" in detail
 
 
 def test_consumers_of_a_sliced_dimension_read_its_current_slice_only(spark, tmp_path):

@@ -55,7 +55,7 @@ def zone(spark, tmp_path_factory):
     assert not list((base / "tables").glob("_work/*"))
     for table in [*(s.silver for s in TABLES.values()), "dim_applicant", "dim_loan_type", "dim_credit_status",
                   "fact_loan_application", "fact_bureau_credit", "fact_installment_payment", "int_credit_risk_features",
-                  "mart_credit_risk_summary"]:
+                  "mart_credit_risk_summary", "mart_card_balance_trend", "mart_pos_trend"]:
         spark.sql(f"DROP TABLE IF EXISTS {table}")
 
 
@@ -133,7 +133,15 @@ def test_marts_and_indicators_from_published_tables(spark, zone, rows):
     runs.build_marts(spark, zone["root"])
     features = spark.table("int_credit_risk_features")
     assert features.count() == N - 3 and features.filter("bureau_records > 0 AND balance_months > 0").count() > 0
-    assert features.agg({"application_count": "sum"}).first()[0] == N - 3
+    assert {r["SK_ID_CURR"]: r["application_count"] for r in features.collect()} == {
+        k: sum(p % N == k for p in range(80)) for k in range(N) if k % 20 != 7}
+    card = {r["MONTHS_BALANCE"]: (r["accounts"], r["total_balance"]) for r in spark.table("mart_card_balance_trend").collect()}
+    latest = {(i % 50, -(i % 6)): float(i) for i in range(300)}
+    assert card == {m: (sum(k[1] == m for k in latest), sum(v for k, v in latest.items() if k[1] == m)) for m in range(-5, 1)}
+    pos = {r["MONTHS_BALANCE"]: (r["accounts"], r["delinquency_rate"]) for r in spark.table("mart_pos_trend").collect()}
+    assert pos == {m: (card[m][0], None) for m in card}
+    limits = spark.sql("SELECT * FROM VALUES ('delinquency_rate', 0.0D, 50.0D), ('default_rate:ALL', 0.0D, 100.0D), ('missing', 0.0D, 1.0D) AS t(metric, low, high)")
+    assert {r["metric"]: r["breached"] for r in runs.check_thresholds(spark, limits).collect()} == {"delinquency_rate": True, "default_rate:ALL": False, "missing": True}
     got = {name: rows(df) for name, df in runs.indicators(spark).items()}
     good = [k for k in range(N) if k % 20 != 7]
     share = lambda ks: round(100.0 * sum(k % 2 for k in ks) / len(ks), 6)

@@ -282,11 +282,11 @@ def test_sliced_dimension_survives_a_crash_between_its_two_steps(spark, tmp_path
     assert rows(spark.table(table), *columns) == rows(spark.table(name), *columns)
 
 
-def test_json_sink_folds_small_results_only(spark, tmp_path):
+def test_json_sink_has_one_layout_at_every_size(spark, tmp_path):
     def parts(path):
         return len([p for p in path.iterdir() if p.name.startswith("part-")])
 
     sinks.write_json(spark.range(100).repartition(3), str(tmp_path / "small"))
-    sinks.write_json(spark.range(100).repartition(3), str(tmp_path / "large"), single_file_rows=99)
-    assert parts(tmp_path / "small") == 1 and parts(tmp_path / "large") == 3
-    assert spark.read.json(str(tmp_path / "large")).count() == 100
+    sinks.write_json(spark.range(100_000).repartition(3), str(tmp_path / "large"))
+    assert parts(tmp_path / "small") == 3 and parts(tmp_path / "large") == 3
+    assert spark.read.json(str(tmp_path / "large")).count() == 100_000

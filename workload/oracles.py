@@ -56,21 +56,21 @@ VIEWS = {
                    MIN(MONTHS_BALANCE) AS earliest_month, COUNT(*) FILTER (WHERE STATUS = 'error') AS overdue_months
             FROM v_balance_latest GROUP BY 1) f USING (SK_ID_BUREAU)""",
     "v_batch": """
-        SELECT o_orderstatus, c_custkey AS applicant_id, c_custkey AS SK_ID_CURR,
+        SELECT CASE o_orderstatus WHEN 'O' THEN 'O' ELSE 'F' END AS batch, c_custkey AS applicant_id, c_custkey AS SK_ID_CURR,
                CASE o_orderpriority WHEN '1-URGENT' THEN 'Working' WHEN '2-HIGH' THEN 'Working'
                     WHEN '4-NOT SPECIFIED' THEN NULL ELSE 'Pensioner' END AS name_income_type,
                n_name AS name_education_type,
                CASE WHEN o_totalprice < 250000 THEN 'Single' ELSE 'Married' END AS name_family_status,
                CASE WHEN o_totalprice < 50000 THEN NULL WHEN o_totalprice < 250000 THEN 0 ELSE 1 END AS cnt_children
         FROM (SELECT * FROM orders QUALIFY row_number() OVER (
-                  PARTITION BY o_orderstatus, o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1)
+                  PARTITION BY CASE o_orderstatus WHEN 'O' THEN 'O' ELSE 'F' END, o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1)
         JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey""",
     "v_dim_v1": """
         SELECT sha256(CAST(applicant_id AS VARCHAR) || '|2024-01-01T00:00:00.000000') AS applicant_sk,
-               * EXCLUDE o_orderstatus, TIMESTAMP '2024-01-01 00:00:00' AS start_date,
+               * EXCLUDE batch, TIMESTAMP '2024-01-01 00:00:00' AS start_date,
                CAST(NULL AS TIMESTAMP) AS end_date, TRUE AS is_current
-        FROM v_batch WHERE o_orderstatus = 'F'""",
-    "v_dim_src": "SELECT * EXCLUDE o_orderstatus FROM v_batch WHERE o_orderstatus = 'O'",
+        FROM v_batch WHERE batch = 'F'""",
+    "v_dim_src": "SELECT * EXCLUDE batch FROM v_batch WHERE batch = 'O'",
     "v_changed": """
         SELECT d.applicant_id,
                d.name_income_type IS DISTINCT FROM s.name_income_type
@@ -97,12 +97,12 @@ VIEWS = {
                TIMESTAMP '2024-01-01 00:00:00' AS ingestion_ts
         FROM customer JOIN nation ON c_nationkey = n_nationkey""",
     "v_latest_loan": """
-        SELECT o_orderstatus, o_custkey AS applicant_id, o_orderkey AS SK_ID_CURR, o_orderpriority AS NAME_CONTRACT_TYPE,
+        SELECT CASE o_orderstatus WHEN 'O' THEN 'O' ELSE 'F' END AS batch, o_custkey AS applicant_id, o_orderkey AS SK_ID_CURR, o_orderpriority AS NAME_CONTRACT_TYPE,
                CAST(o_totalprice AS DECIMAL(18,2)) AS AMT_CREDIT, o_orderdate AS ingestion_ts
         FROM orders QUALIFY row_number() OVER (
-            PARTITION BY o_orderstatus, o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1""",
-    "v_target": "SELECT * EXCLUDE o_orderstatus FROM v_latest_loan WHERE o_orderstatus = 'F'",
-    "v_updates": "SELECT * EXCLUDE o_orderstatus FROM v_latest_loan WHERE o_orderstatus = 'O'",
+            PARTITION BY CASE o_orderstatus WHEN 'O' THEN 'O' ELSE 'F' END, o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1""",
+    "v_target": "SELECT * EXCLUDE batch FROM v_latest_loan WHERE batch = 'F'",
+    "v_updates": "SELECT * EXCLUDE batch FROM v_latest_loan WHERE batch = 'O'",
     "v_upserted": """
         SELECT * FROM v_target WHERE applicant_id NOT IN (SELECT applicant_id FROM v_updates)
         UNION ALL SELECT * FROM v_updates""",
@@ -224,10 +224,19 @@ def latest(source: str, keys: str, ties: str = "arrival") -> str:
         PARTITION BY {keys} ORDER BY ingestion_ts DESC, {', '.join(f"{t} DESC" for t in ties.split(', '))}) = 1"""
 
 
+def good_latest_or_bad(source: str, keys: str, ties: str = "arrival") -> str:
+    """The latest good row per key, and every bad one; ``source`` has ``failed_rules``."""
+    good = latest(f"SELECT * FROM ({source}) WHERE failed_rules = ''", keys, ties)
+    return f"({good}) UNION ALL SELECT * FROM ({source}) WHERE failed_rules <> ''"
+
+
 oracle("silver_application", "", f"""
-    WITH b AS ({latest('''
+    WITH b AS ({good_latest_or_bad('''
         SELECT o_custkey AS SK_ID_CURR, o_orderdate AS ingestion_ts, o_orderkey AS arrival, o_orderstatus,
-               o_orderpriority, o_totalprice
+               o_orderpriority, o_totalprice,
+               concat_ws(',', CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 'bad_CNT_CHILDREN' END,
+                         CASE WHEN o_orderstatus = 'P' THEN 'target_missing' END,
+                         CASE WHEN o_totalprice < 50000 THEN 'credit_not_positive' END) AS failed_rules
         FROM orders''', 'SK_ID_CURR')})
     SELECT SK_ID_CURR, CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 0 END AS TARGET,
            o_orderpriority AS NAME_CONTRACT_TYPE,
@@ -240,35 +249,35 @@ oracle("silver_application", "", f"""
            o_orderpriority = '2-HIGH' AS DAYS_EMPLOYED_IS_SENTINEL,
            o_orderpriority = '5-LOW' AS ORGANIZATION_TYPE_IS_SENTINEL,
            TRUE AS is_current, CAST(CAST(ingestion_ts AS DATE) AS VARCHAR) AS start_date,
-           CAST(NULL AS VARCHAR) AS end_date,
-           concat_ws(',', CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 'bad_CNT_CHILDREN' END,
-                     CASE WHEN o_orderstatus = 'P' THEN 'target_missing' END,
-                     CASE WHEN o_totalprice < 50000 THEN 'credit_not_positive' END) AS failed_rules
+           CAST(NULL AS VARCHAR) AS end_date, failed_rules
     FROM b""")
 oracle("silver_bureau", "", f"""
-    WITH b AS ({latest('SELECT *, ts AS ingestion_ts, event_id AS arrival FROM events', 'user_id')})
+    WITH b AS ({good_latest_or_bad('''
+        SELECT *, ts AS ingestion_ts, event_id AS arrival, CASE WHEN event_type = 'error' THEN 'bad_DAYS_CREDIT' ELSE '' END AS failed_rules
+        FROM events''', 'user_id')})
     SELECT user_id AS SK_ID_BUREAU, event_id AS SK_ID_CURR,
            CASE WHEN event_type <> 'error' THEN CAST(-(arrival % 900) AS INT) END AS DAYS_CREDIT,
            CAST(CAST(value AS DECIMAL(18,2)) AS DOUBLE) AS AMT_CREDIT_SUM, value AS AMT_CREDIT_SUM_DEBT,
-           {text('ingestion_ts')}, arrival,
-           CASE WHEN event_type = 'error' THEN 'bad_DAYS_CREDIT' ELSE '' END AS failed_rules
+           {text('ingestion_ts')}, arrival, failed_rules
     FROM b""")
 oracle("silver_previous_application", "", f"""
-    WITH b AS ({latest('SELECT *, l_shipdate AS ingestion_ts FROM lineitem', 'l_partkey',
-                       'l_orderkey, l_linenumber, l_suppkey')})
+    WITH b AS ({good_latest_or_bad('''
+        SELECT *, l_shipdate AS ingestion_ts, CASE WHEN l_returnflag = 'N' THEN 'bad_DAYS_DECISION' ELSE '' END AS failed_rules
+        FROM lineitem''', 'l_partkey', 'l_orderkey, l_linenumber, l_suppkey')})
     SELECT l_partkey AS SK_ID_PREV, l_suppkey AS SK_ID_CURR,
            CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DOUBLE) AS AMT_CREDIT,
            CASE WHEN l_returnflag <> 'N' THEN -CAST(l_quantity AS INT) END AS DAYS_DECISION,
            {text('ingestion_ts')}, l_orderkey AS arrival, l_linenumber AS arrival_line, l_suppkey AS arrival_supplier,
-           CASE WHEN l_returnflag = 'N' THEN 'bad_DAYS_DECISION' ELSE '' END AS failed_rules
+           failed_rules
     FROM b""")
 oracle("silver_installments_payments", "", f"""
-    WITH b AS ({latest('SELECT *, l_shipdate AS ingestion_ts FROM lineitem', 'l_orderkey, l_linenumber',
-                       'l_partkey, l_suppkey')})
+    WITH b AS ({good_latest_or_bad('''
+        SELECT *, l_shipdate AS ingestion_ts, CASE WHEN l_returnflag = 'R' THEN 'bad_AMT_INSTALMENT' ELSE '' END AS failed_rules
+        FROM lineitem''', 'l_orderkey, l_linenumber', 'l_partkey, l_suppkey')})
     SELECT l_orderkey AS SK_ID_PREV, l_linenumber AS NUM_INSTALMENT_NUMBER, l_partkey AS SK_ID_CURR,
            CASE WHEN l_returnflag <> 'R' THEN CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DOUBLE) END AS AMT_INSTALMENT,
            l_extendedprice AS AMT_PAYMENT, {text('ingestion_ts')}, l_partkey AS arrival, l_suppkey AS arrival_supplier,
-           CASE WHEN l_returnflag = 'R' THEN 'bad_AMT_INSTALMENT' ELSE '' END AS failed_rules
+           failed_rules
     FROM b""")
 for _table, _key in (("bureau_balance", "SK_ID_BUREAU"), ("pos_cash_balance", "SK_ID_PREV"),
                      ("credit_card_balance", "SK_ID_PREV")):
@@ -293,6 +302,27 @@ oracle("scd2_close_missing", "v_dim_v2", f"""
                  THEN TIMESTAMP '2024-02-01 00:00:00' ELSE end_date END AS end_date,
             is_current AND applicant_id IN (SELECT applicant_id FROM v_dim_src) AS is_current)
         FROM v_dim_v2)""")
+oracle("scd2_return", "v_dim_v2", f"""
+    -- After the second batch and a closure of the missing, the first batch is offered again with closures.
+    , closed AS (
+        SELECT * REPLACE (
+            CASE WHEN is_current AND applicant_id NOT IN (SELECT applicant_id FROM v_dim_src)
+                 THEN TIMESTAMP '2024-02-01 00:00:00' ELSE end_date END AS end_date,
+            is_current AND applicant_id IN (SELECT applicant_id FROM v_dim_src) AS is_current)
+        FROM v_dim_v2),
+    again AS (SELECT * EXCLUDE batch FROM v_batch WHERE batch = 'F'),
+    same AS (SELECT c.applicant_id FROM closed c JOIN again a USING (applicant_id) WHERE c.is_current
+             AND c.name_income_type IS NOT DISTINCT FROM a.name_income_type AND c.name_education_type IS NOT DISTINCT FROM a.name_education_type
+             AND c.name_family_status IS NOT DISTINCT FROM a.name_family_status AND c.cnt_children IS NOT DISTINCT FROM a.cnt_children)
+    SELECT {DIM} FROM (
+        SELECT * REPLACE (
+            CASE WHEN is_current AND applicant_id NOT IN (SELECT applicant_id FROM same) THEN TIMESTAMP '2024-03-01 00:00:00' ELSE end_date END AS end_date,
+            is_current AND applicant_id IN (SELECT applicant_id FROM same) AS is_current)
+        FROM closed
+        UNION ALL
+        SELECT sha256(CAST(applicant_id AS VARCHAR) || '|2024-03-01T00:00:00.000000'), applicant_id, SK_ID_CURR, name_income_type, name_education_type,
+               name_family_status, cnt_children, TIMESTAMP '2024-03-01 00:00:00', NULL, TRUE
+        FROM again WHERE applicant_id NOT IN (SELECT applicant_id FROM same))""")
 oracle("fact_join_current", "v_application v_dim_v2", f"""
     SELECT a.applicant_id, a.SK_ID_CURR, a.AMT_CREDIT, d.applicant_sk, d.name_income_type, d.cnt_children,
            {text('d.start_date')}
@@ -423,7 +453,7 @@ oracle("dq_orphans", "v_loans", """
     WHERE NOT EXISTS (SELECT 1 FROM v_loans WHERE SK_ID_CURR = l_orderkey) GROUP BY 2""")
 
 
-def bronze_checks(view: str, keys: str, expected: int | None = None) -> str:
+def bronze_checks(view: str, keys: str, expected: str | None = None) -> str:
     first = f"{keys.split(',')[0]}"
     rows = "" if expected is None else f"""
         UNION ALL SELECT 'row_count', 'CRITICAL', COUNT(*), {expected} FROM {view}"""
@@ -450,7 +480,11 @@ MASK_CHECKS = """
 PAIRS = """, pairs AS (SELECT a.DAYS_EMPLOYED, m.DAYS_EMPLOYED_MASKED FROM v_applicant a JOIN v_masked m USING (applicant_id))"""
 
 JUDGED = "* REPLACE (CAST(expected AS BIGINT) AS expected), observed = expected AS passed"
-oracle("dq_bronze", "v_instalment", f"SELECT {JUDGED} FROM ({bronze_checks('v_instalment', 'SK_ID_PREV, NUM_INSTALMENT_NUMBER', 60000)})")
+oracle("dq_bronze", "v_instalment", f"SELECT {JUDGED} FROM ({bronze_checks('v_instalment', 'SK_ID_PREV, NUM_INSTALMENT_NUMBER', '(SELECT COUNT(*) FROM lineitem)')})")
+oracle("dq_silver", "v_instalment_latest", f"""
+    SELECT {JUDGED} FROM ({bronze_checks('v_instalment_latest', 'SK_ID_PREV, NUM_INSTALMENT_NUMBER')}
+        UNION ALL SELECT 'payment_negative', 'HIGH', COUNT(*) FILTER (WHERE AMT_PAYMENT < 0), 0 FROM v_instalment_latest
+        UNION ALL SELECT 'amount_high', 'HIGH', COUNT(*) FILTER (WHERE AMT_INSTALMENT > 50000), 0 FROM v_instalment_latest)""")
 oracle("dq_mask", "v_masked", f"{PAIRS} SELECT {JUDGED} FROM ({MASK_CHECKS})")
 oracle("dq_results", "v_application v_instalment v_masked", f"""{PAIRS}
     SELECT 'run_001' AS run_id, {JUDGED} FROM (
@@ -472,13 +506,14 @@ oracle("dq_scd2_intervals", "v_dim_v2", """
                CASE WHEN name_family_status = 'Single' THEN end_date - INTERVAL 1 DAY ELSE end_date END AS end_date
         FROM v_dim_v2 WHERE NOT (is_current AND name_income_type IS NULL)),
     broken AS (SELECT * FROM moved UNION ALL SELECT * FROM moved WHERE is_current AND cnt_children IS NULL),
+    chained AS (SELECT *, lead(start_date) OVER w AS next_start, lead(TRUE, 1, FALSE) OVER w AS followed FROM broken
+                WINDOW w AS (PARTITION BY applicant_id ORDER BY start_date, end_date NULLS LAST)),
     verdict AS (
         SELECT applicant_id, COUNT(*) AS versions, COUNT(*) FILTER (WHERE end_date IS NULL) AS open_versions,
                COUNT(*) FILTER (WHERE end_date <= start_date) AS empty_intervals,
                COUNT(*) FILTER (WHERE is_current <> (end_date IS NULL)) AS flag_mismatches,
-               list_sort(list(start_date))[2:] IS DISTINCT FROM
-                   COALESCE(list_sort(list(end_date) FILTER (WHERE end_date IS NOT NULL)), []) AS broken_chain
-        FROM broken GROUP BY 1)
+               bool_or(CASE WHEN followed THEN end_date IS DISTINCT FROM next_start ELSE end_date IS NOT NULL END) AS broken_chain
+        FROM chained GROUP BY 1)
     SELECT * FROM verdict WHERE open_versions <> 1 OR empty_intervals > 0 OR flag_mismatches > 0 OR broken_chain""")
 
 
@@ -492,7 +527,8 @@ def column_profile(column: str, name: str) -> str:
 oracle("profile", "v_applicant", " UNION ALL ".join([
     column_profile("applicant_id", "applicant_id"), column_profile("DAYS_BIRTH", "DAYS_BIRTH"),
     column_profile("NULLIF(DAYS_EMPLOYED, 365243)", "DAYS_EMPLOYED"),
-    column_profile("NULLIF(ORGANIZATION_TYPE, 'XNA')", "ORGANIZATION_TYPE"), column_profile("segment", "segment"),
+    column_profile("NULLIF(ORGANIZATION_TYPE, 'XNA')", "ORGANIZATION_TYPE"), column_profile("AMT_INCOME_TOTAL", "AMT_INCOME_TOTAL"),
+    column_profile("segment", "segment"),
 ]))
 oracle("metric_threshold", "v_loans v_bureau", f"""
     , metrics AS (
@@ -502,10 +538,10 @@ oracle("metric_threshold", "v_loans v_bureau", f"""
         UNION ALL SELECT 'delinquency_rate', {pct('COUNT(*) FILTER (WHERE CREDIT_DAY_OVERDUE > 0)', 'COUNT(*)')} FROM v_bureau),
     thresholds(metric, low, high) AS (VALUES ('default_rate:ALL', 45.0::DOUBLE, 55.0::DOUBLE),
         ('default_rate:1-URGENT', 0.0::DOUBLE, 50.0::DOUBLE), ('default_rate:5-LOW', 50.0::DOUBLE, NULL),
-        ('delinquency_rate', NULL, 20.0::DOUBLE))
-    SELECT m.metric, m.value, t.low, t.high,
+        ('delinquency_rate', NULL, 20.0::DOUBLE), ('never_published', 0.0::DOUBLE, 1.0::DOUBLE))
+    SELECT t.metric, m.value, t.low, t.high,
            COALESCE(m.value < t.low, FALSE) OR COALESCE(m.value > t.high, FALSE) OR m.value IS NULL AS breached
-    FROM metrics m JOIN thresholds t USING (metric)""")
+    FROM metrics m RIGHT JOIN thresholds t USING (metric)""")
 
 # --- parity ---------------------------------------------------------------------------------------
 
@@ -537,7 +573,8 @@ oracle("parity_manifest", "v_instalment_latest v_balance_latest v_application v_
     p AS (SELECT COALESCE(a.table_name, b.table_name) AS table_name, a.table_name IS NOT NULL AS in_a,
                  b.table_name IS NOT NULL AS in_b, a.row_count AS a_rows, b.row_count AS b_rows,
                  b.key_distinct, b.key_nulls,
-                 CASE COALESCE(a.table_name, b.table_name) WHEN 'instalments' THEN 45832 WHEN 'balance' THEN 4006 END AS stated
+                 CASE COALESCE(a.table_name, b.table_name) WHEN 'instalments' THEN (SELECT COUNT(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem))
+                      WHEN 'balance' THEN (SELECT COUNT(*) FROM (SELECT DISTINCT user_id, CAST(ts AS DATE) FROM events)) END AS stated
           FROM a FULL OUTER JOIN b ON a.table_name = b.table_name)
     SELECT table_name, 'T0' AS tier, CAST(in_a AS BIGINT) AS expected, CAST(in_b AS BIGINT) AS observed,
            in_a AND in_b AS passed FROM p
@@ -560,16 +597,16 @@ def digest(*columns: str) -> str:
     return f"md5(concat_ws('|', {', '.join(parts)}))"
 
 
-DIGEST = digest("applicant_id", "SK_ID_CURR", "NAME_CONTRACT_TYPE", "AMT_CREDIT")
+DIGEST = digest("applicant_id", "SK_ID_CURR", "NAME_CONTRACT_TYPE", "AMT_CREDIT", "ingestion_ts")
 oracle("row_hash_diff", "v_upserted", f"""
     SELECT applicant_id, row_digest, CAST(SUM(l) AS BIGINT) AS n_left, CAST(SUM(r) AS BIGINT) AS n_right
     FROM (SELECT applicant_id, {DIGEST} AS row_digest, 1 AS l, 0 AS r FROM v_target
           UNION ALL SELECT applicant_id, {DIGEST}, 0, 1 FROM v_upserted)
     GROUP BY 1, 2 HAVING SUM(l) <> SUM(r)""")
 
-_BEFORE = digest("applicant_id", "DAYS_BIRTH", "DAYS_EMPLOYED", "ORGANIZATION_TYPE", "segment")
+_BEFORE = digest("applicant_id", "DAYS_BIRTH", "DAYS_EMPLOYED", "ORGANIZATION_TYPE", "CAST(AMT_INCOME_TOTAL AS DECIMAL(18,2))", "segment")
 _AFTER = digest("applicant_id", "DAYS_BIRTH", "DAYS_EMPLOYED", "CASE WHEN DAYS_EMPLOYED <> 365243 THEN ORGANIZATION_TYPE END",
-                "segment")
+                "CAST(AMT_INCOME_TOTAL AS DECIMAL(18,2))", "segment")
 oracle("row_hash_diff_screened", "v_applicant", f"""
     SELECT applicant_id, {_BEFORE} AS row_digest, 1::BIGINT AS n_left, 0::BIGINT AS n_right FROM v_applicant WHERE DAYS_EMPLOYED = 365243
     UNION ALL SELECT applicant_id, {_AFTER}, 0, 1 FROM v_applicant WHERE DAYS_EMPLOYED = 365243""")

@@ -13,6 +13,7 @@ TIME_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 SNAPSHOT_DAY = "2024-01-30"
 DIM_START = "2024-01-01 00:00:00"
 AS_OF = "2024-02-01 00:00:00"
+RETURN = "2024-03-01 00:00:00"
 LATER = "2024-03-01 00:00:00"
 EVENT_STATUSES = {"error": "failed attempt", "purchase": "completed purchase"}
 
@@ -34,7 +35,7 @@ WIDENED = {
     "silver_previous_application": ["DAYS_DECISION"],
     "bureau_with_balance": ["earliest_month", "latest_month"],
     **dict.fromkeys(
-        ["scd2_expire", "scd2_insert", "scd2_apply", "scd2_close_missing", "scd2_idempotent", "fact_join_current",
+        ["scd2_expire", "scd2_insert", "scd2_apply", "scd2_close_missing", "scd2_return", "scd2_idempotent", "fact_join_current",
          "fact_join_asof"],
         ["cnt_children"],
     ),
@@ -111,14 +112,14 @@ def balance(spark, sf):
     )
 
 
-FIRST_BATCH, SECOND_BATCH = "F", "O"  # order status; the third, 'P', is quarantined
+FIRST_BATCH, SECOND_BATCH = ("F", "P"), ("O",)  # order statuses; together they are all orders
 
 
 def batch(spark, sf, status):
     """Latest application of each applicant within one batch, with the applicant's attributes."""
     from sedimenta.operators.cleanse import latest_per_key
 
-    arrived = table(spark, sf, "orders").filter(F.col("o_orderstatus") == status)
+    arrived = table(spark, sf, "orders").filter(F.col("o_orderstatus").isin(*status))
     latest = latest_per_key(arrived, ["o_custkey"], ["o_orderdate"], ["o_orderkey"])
     customer, nation = table(spark, sf, "customer"), table(spark, sf, "nation")
     return latest.join(customer, F.col("o_custkey") == F.col("c_custkey")).join(
@@ -164,7 +165,7 @@ def _latest_loan(status):
     def view(spark, sf):
         from sedimenta.operators.cleanse import latest_per_key
 
-        arrived = table(spark, sf, "orders").filter(F.col("o_orderstatus") == status)
+        arrived = table(spark, sf, "orders").filter(F.col("o_orderstatus").isin(*status))
         return latest_per_key(arrived, ["o_custkey"], ["o_orderdate"], ["o_orderkey"]).selectExpr(
             "o_custkey AS applicant_id", "o_orderkey AS SK_ID_CURR", "o_orderpriority AS NAME_CONTRACT_TYPE",
             "CAST(o_totalprice AS DECIMAL(18,2)) AS AMT_CREDIT", "o_orderdate AS ingestion_ts",
