@@ -11,6 +11,8 @@ from __future__ import annotations
 import base64
 import hashlib
 import itertools
+import struct
+import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -332,6 +334,10 @@ class Encoder:
         if short:
             held.update(zip([p for p, _ in short], encode_together(self.vocabulary, [d for _, d in short])))
 
+    def forms(self, ids: tuple[int, ...]) -> tuple[bytes, bytes, bytes]:
+        """Ids in decimal, the bytes they decode to, ids as 32-bit numbers."""
+        return " ".join(map(str, ids)).encode(), self.decode(ids), struct.pack(f"={len(ids)}i", *ids)
+
     def tidy(self) -> None:
         if len(self.piece_ids) >= MEMO_PIECES:
             self.piece_ids.clear()
@@ -358,7 +364,8 @@ class Encoder:
 
 
 class _Words(dict):
-    """What stands between two spaces, with the space before it -> its ids in decimal, joined by a space; the bytes they decode to.
+    """What stands between two spaces, with the space before it -> its ids in decimal, joined by a space; the bytes they decode to; the
+    ids as 32-bit numbers.
 
     A space between two other characters always begins a match, so a text can be cut there. A word that is empty or has white
     space at an end was not cut so and is never held.
@@ -377,7 +384,7 @@ class _Words(dict):
         encoder.tidy()
         pieces = encoder.pattern.findall(" " + " ".join(new))
         encoder.learn(pieces)
-        held, i, size = encoder.piece_ids, 0, encoder.vocabulary.token_bytes
+        held, i = encoder.piece_ids, 0
         for word in new:
             ids, left = held[pieces[i]], len(word) + 1 - len(pieces[i])
             i += 1
@@ -385,7 +392,7 @@ class _Words(dict):
                 ids += held[pieces[i]]
                 left -= len(pieces[i])
                 i += 1
-            self[word] = " ".join(map(str, ids)).encode(), b"".join([size[x] for x in ids])
+            self[word] = encoder.forms(ids)
 
 
 _ENCODERS: dict[tuple[str, str], tuple] = {}
@@ -400,35 +407,38 @@ def _encoder(content: bytes, pattern: str) -> tuple[Encoder, _Words]:
     return _ENCODERS[key]
 
 
-def _written(encoder: Encoder, pieces: list[str]) -> tuple[list[bytes], list[bytes]]:
-    """Ids in decimal and decoded bytes of matches of the pattern."""
+def _written(encoder: Encoder, pieces: list[str]) -> list[tuple[bytes, bytes, bytes]]:
+    """The forms of the ids of matches of the pattern."""
     encoder.tidy()
     encoder.learn(pieces)
-    ids = list(map(encoder.piece_ids.__getitem__, pieces))
-    return [" ".join(map(str, x)).encode() for x in ids], list(map(encoder.decode, ids))
+    return [encoder.forms(encoder.piece_ids[p]) for p in pieces]
 
 
-def _digests(texts: list[str], encoder: Encoder, known: _Words) -> Iterator[tuple[int, str, str]]:
-    """Number of ids, SHA-256 of the ids in decimal and of the bytes they decode to, for each text."""
+def _runs(texts: list[str], encoder: Encoder, known: _Words) -> Iterator[Iterable[list[tuple[bytes, bytes, bytes]]]]:
+    """For each text its pieces' forms, in runs."""
     cut = [text.split(" ") for text in texts]
     if len(known) >= MEMO_WORDS:
         known.clear()
     known.learn(itertools.chain.from_iterable(words[1:] for words in cut))
     for text, words in zip(texts, cut):
-        ids_hash, bytes_hash, n = hashlib.sha256(), hashlib.sha256(), 0
         try:
             if words[0] != words[0].strip() or not words[0]:
                 raise KeyError
             rest = list(map(known.__getitem__, words[1:]))
-            ids, raw = _written(encoder, encoder.pattern.findall(words[0]))
-            runs: Iterable = [(ids + [x for x, _ in rest], raw + [x for _, x in rest])]
+            yield [_written(encoder, encoder.pattern.findall(words[0])) + rest]
         except KeyError:
-            runs = (_written(encoder, pieces) for pieces in encoder.pieces(text))
-        for ids, raw in runs if text else ():
-            line = b" ".join(ids)
+            yield (_written(encoder, pieces) for pieces in encoder.pieces(text)) if text else ()
+
+
+def _digests(texts: list[str], encoder: Encoder, known: _Words) -> Iterator[tuple[int, str, str]]:
+    """Number of ids, SHA-256 of the ids in decimal and of the bytes they decode to, for each text."""
+    for runs in _runs(texts, encoder, known):
+        ids_hash, bytes_hash, n = hashlib.sha256(), hashlib.sha256(), 0
+        for forms in runs:
+            line = b" ".join([x for x, _, _ in forms])
             ids_hash.update(b" " + line if n else line)
             n += line.count(b" ") + 1
-            bytes_hash.update(b"".join(raw))
+            bytes_hash.update(b"".join([x for _, x, _ in forms]))
         yield n, ids_hash.hexdigest(), bytes_hash.hexdigest()
 
 
@@ -451,15 +461,30 @@ def _vocabulary_file(docs: DataFrame, path: str):
 
 
 def encode(docs: DataFrame, vocabulary_path: str, pattern: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
-    """``docs`` with the token ids of the whole text (NULL: empty) in ``ids_col``; a column of that name is replaced."""
-    content = _vocabulary_file(docs, vocabulary_path)
+    """``docs`` with the token ids of the whole text (NULL: empty) in ``ids_col``; a column of that name is replaced.
 
-    @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def ids(texts):
-        encoder = _encoder(content.value, pattern)[0]
-        return texts.map(lambda text: encoder.encode(text or ""))
+    Rows leave a task some megabytes of text at a time, whatever the number or the length of the texts.
+    """
+    content = _vocabulary_file(docs, vocabulary_path)
+    others = docs.drop(ids_col)
+    name = f"_text_{uuid.uuid4().hex}"
+    rows = others.withColumn(name, F.coalesce(F.col(text_col), F.lit("")))
+    schema = T.StructType([*others.schema.fields, T.StructField(ids_col, T.ArrayType(T.IntegerType()))])
+    names = schema.names
 
-    return docs.withColumn(ids_col, ids(F.coalesce(F.col(text_col), F.lit(""))))
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tools = _encoder(content.value, pattern)
+        for batch in batches:
+            begin = 0
+            for texts in _some(batch.column(batch.num_columns - 1).to_pylist()):
+                ids = [b"".join([x for forms in runs for _, _, x in forms]) for runs in _runs(texts, *tools)]
+                ends = np.cumsum([0, *(len(x) // 4 for x in ids)], dtype=np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), np.int32)))
+                part = batch.slice(begin, len(texts))
+                begin += len(texts)
+                yield pa.record_batch([*part.columns[:-1], lists], names=names)
+
+    return rows.mapInArrow(encoded, schema)
 
 
 def decode(encoded: DataFrame, vocabulary_path: str, ids_col: str = "ids", bytes_col: str = "decoded") -> DataFrame:
