@@ -16,7 +16,7 @@ WORD = "[^\\x20\\x09-\\x0D]+"
 #: Start of the cumulative rounding. Any value in [0, 1) is right; this one is far from multiples of simple rates.
 OFFSET = 0.3819660112501051
 #: Rows of one source and size whose order is settled in one task.
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 200
 
 
 def word_count(text: Column) -> Column:
