@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from sedimenta.llm.components import connected
 from sedimenta.llm.textscan import TOGETHER, gathered, mixed, pack, unpack, word_hashes
@@ -174,6 +175,22 @@ def links_of(pairs: DataFrame, classes: DataFrame, rows: DataFrame, width: int,
     return stage(counted.filter(F.col("shared") * (den + num) >= num * (F.col("na") + F.col("nb"))).select("a", "b"))
 
 
+def without_repeats(posts: DataFrame) -> DataFrame:
+    """Posts (_set, _at, _column, ..) without the columns whose rows all share an earlier column.
+
+    Every pair that meets in such a column meets in the earlier one too; a passage that many documents share is then met
+    in a few columns instead of all of its n-grams. All rows have their columns in one order, so what a column gives way to
+    comes before it, and a first one stays.
+    """
+    own = Window.partitionBy("_set").orderBy("_at")
+    placed = stage(posts.withColumn("_before", F.lag("_column").over(own)).withColumn("_first", F.first("_column").over(own)))
+    same = F.col("_no_first") & (F.col("_b") == F.col("_b2")) | (F.col("_f") == F.col("_f2")) & (F.col("_f") != F.col("_column"))
+    kept = placed.groupBy("_column").agg(
+        F.bool_and(F.col("_before").isNotNull()).alias("_no_first"), F.min("_before").alias("_b"), F.max("_before").alias("_b2"),
+        F.min("_first").alias("_f"), F.max("_first").alias("_f2")).filter(~F.coalesce(same, F.lit(False))).select("_column")
+    return placed.drop("_before", "_first", "_at").join(kept, "_column")
+
+
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, num: int = 4, den: int = 5, salt: int = 0) -> DataFrame:
     """Per row of ``docs``: _row, the id, n_shingles, component_id (smallest id reachable by links, NULL ids last), first (whether
     this row stands for its component).
@@ -197,11 +214,10 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", widt
     if not classes.filter("n != _n2 or _s != _s2").isEmpty():  # two sets with one hash
         return groups(docs, id_col, text_col, width, num, den, salt + 1)
 
-    posts = described.filter("n > 0").select("_set", F.explode("_head").alias("_column"))
+    posts = described.filter("n > 0").select("_set", F.posexplode("_head").alias("_at", "_column"))
     columns = posts.groupBy("_column").agg(F.min("_set").alias("_least"), F.max("_set").alias("_most")).filter("_least != _most").select("_column", "_least")
     columns = stage(columns)
-    posts = posts.join(columns, "_column").distinct().join(classes.select("_set", "n"), "_set")
-    posts = stage(posts.select("_column", "_set", "n", "_least"))
+    posts = stage(without_repeats(posts.join(columns, "_column").distinct()).join(classes.select("_set", "n"), "_set").select("_column", "_set", "n", "_least"))
     near = (F.least("na", "nb") * den >= F.greatest("na", "nb") * num)
 
     def sized(pairs: DataFrame) -> DataFrame:
