@@ -167,6 +167,8 @@ def links_of(pairs: DataFrame, classes: DataFrame, rows: DataFrame, width: int,
     blocks = classes.select("_set", "_blocks")
     left, right = blocks.toDF("a", "x"), blocks.toDF("b", "y")
     open_pairs = stage(pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "x", "y").mapInArrow(_bounded(num, den), "a long, b long, na long, nb long"))
+    if open_pairs.isEmpty():
+        return open_pairs.select("a", "b")
     wanted = open_pairs.select(F.explode(F.array("a", "b")).alias("_set")).distinct()
     at = stage(wanted.join(classes.select("_set", F.col("_best.r").alias("_at")), "_set"))
     sets = stage(rows.join(at, rows[ROW] == at["_at"]).select("_set", "_text").mapInArrow(_packed_sets(width, salt), "_set long, _columns binary"))
@@ -175,20 +177,28 @@ def links_of(pairs: DataFrame, classes: DataFrame, rows: DataFrame, width: int,
     return stage(counted.filter(F.col("shared") * (den + num) >= num * (F.col("na") + F.col("nb"))).select("a", "b"))
 
 
+def _sized_all(pairs: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs that their sizes allow."""
+    return pairs.filter(F.least("na", "nb") * den >= F.greatest("na", "nb") * num)
+
+
 def without_repeats(posts: DataFrame) -> DataFrame:
     """Posts (_set, _at, _column, ..) without the columns whose rows all share an earlier column.
 
     Every pair that meets in such a column meets in the earlier one too; a passage that many documents share is then met
-    in a few columns instead of all of its n-grams. All rows have their columns in one order, so what a column gives way to
-    comes before it, and a first one stays.
+    in a few columns instead of all of its n-grams. Tried are the column that most rows have just before and the one that most begin
+    with; whether all rows have it is counted. All rows have their columns in one order, so what a column gives way to comes
+    before it, and a first one stays.
     """
     own = Window.partitionBy("_set").orderBy("_at")
     placed = stage(posts.withColumn("_before", F.lag("_column").over(own)).withColumn("_first", F.first("_column").over(own)))
-    same = F.col("_no_first") & (F.col("_b") == F.col("_b2")) | (F.col("_f") == F.col("_f2")) & (F.col("_f") != F.col("_column"))
-    kept = placed.groupBy("_column").agg(
-        F.bool_and(F.col("_before").isNotNull()).alias("_no_first"), F.min("_before").alias("_b"), F.max("_before").alias("_b2"),
-        F.min("_first").alias("_f"), F.max("_first").alias("_f2")).filter(~F.coalesce(same, F.lit(False))).select("_column")
-    return placed.drop("_before", "_first", "_at").join(kept, "_column")
+    tried = placed.select("_column", F.explode(F.array_distinct(F.array("_before", "_first"))).alias("_earlier")).filter("_earlier is not null and _earlier != _column")
+    tried = tried.groupBy("_column", "_earlier").agg(F.count("*").alias("_both")).join(placed.groupBy("_column").agg(F.count("*").alias("_rows")), "_column")
+    # Only a column that at least half of the rows name can be in all of them often enough to be worth the count.
+    likely = stage(tried.filter("2 * _both >= _rows").select("_column", "_earlier", "_rows"))
+    pairs = placed.select("_set", "_column").join(likely, "_column").join(placed.select("_set", F.col("_column").alias("_earlier")), ["_set", "_earlier"])
+    needless = pairs.groupBy("_column", "_earlier", "_rows").agg(F.count("*").alias("_shared")).filter("_shared = _rows").select("_column").distinct()
+    return placed.drop("_before", "_first", "_at").join(stage(needless), "_column", "left_anti")
 
 
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, num: int = 4, den: int = 5, salt: int = 0) -> DataFrame:
@@ -200,8 +210,8 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", widt
     their own. Sets are of 64-bit hashes of n-grams; no link is lost or made but by a collision inside a pair's two sets.
 
     Documents with equal sets are one row of the matrix. Columns that several rows share are joined in two steps. First each row
-    meets the row with the smallest hash in each of its columns: that takes one pair per row and column, and near copies
-    fall into components. Then rows that share a column but no component meet, all of them. Rows of one component need not
+    is compared with one other: of the rows with the smallest hash in each of its columns, the one it meets most often. Near
+    copies fall into components by that. Then rows that share a column but no component meet, all of them. Rows of one component need not
     meet again, so a large group of near copies costs its size and not its square. ``docs`` must be a stored table.
     """
     spark = docs.sparkSession
@@ -218,34 +228,20 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", widt
     columns = posts.groupBy("_column").agg(F.min("_set").alias("_least"), F.max("_set").alias("_most")).filter("_least != _most").select("_column", "_least")
     columns = stage(columns)
     posts = stage(without_repeats(posts.join(columns, "_column").distinct()).join(classes.select("_set", "n"), "_set").select("_column", "_set", "n", "_least"))
-    near = (F.least("na", "nb") * den >= F.greatest("na", "nb") * num)
-
-    def sized(pairs: DataFrame) -> DataFrame:
-        """Distinct pairs that their sizes allow."""
-        return pairs.filter(near).distinct()
-
     least = posts.filter("_set = _least").select("_column", F.col("n").alias("nb")).distinct()
     first = posts.filter("_set != _least").join(least, "_column").select(F.col("_set").alias("a"), F.col("_least").alias("b"), F.col("n").alias("na"), "nb")
-    first = stage(sized(first))
+    # Of the rows it meets so, each is compared with the one it shares most columns with.
+    shared = _sized_all(first, num, den).groupBy("a", "b", "na", "nb").agg(F.count("*").alias("c"))
+    first = stage(shared.groupBy("a").agg(F.max(F.struct("c", "b", "na", "nb")).alias("best")).select("a", "best.b", "best.na", "best.nb"))
     links = links_of(first, classes, rows, width, salt, num, den)
     labels = stage(connected(links))
 
     placed = posts.join(labels.withColumnRenamed("node", "_set"), "_set", "left").select("_column", "_set", "n", F.coalesce("label", "_set").alias("_part"))
     several = placed.groupBy("_column").agg(F.min("_part").alias("x"), F.max("_part").alias("y")).filter("x != y").select("_column")
     placed = stage(placed.join(several, "_column"))
-    # Parts that meet in a column, then their rows; the sizes a part has there rule out most.
-    parts = placed.groupBy("_column", "_part").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
-    meet = parts.alias("p").join(parts.alias("q"), (F.col("p._column") == F.col("q._column")) & (F.col("p._part") < F.col("q._part")) &
-                                 (F.col("p.hi") * den >= F.col("q.lo") * num) & (F.col("q.hi") * den >= F.col("p.lo") * num)).select(
-        F.col("p._column").alias("_column"), F.col("p._part").alias("_pa"), F.col("q._part").alias("_pb"))
-    left = placed.select("_column", F.col("_part").alias("_pa"), F.col("_set").alias("a"), F.col("n").alias("na"))
-    right = placed.select("_column", F.col("_part").alias("_pb"), F.col("_set").alias("b"), F.col("n").alias("nb"))
-    cross = stage(meet).join(left, ["_column", "_pa"]).join(right, ["_column", "_pb"]).select(
-        F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"), F.when(F.col("a") > F.col("b"), F.col("na")).otherwise(F.col("nb")).alias("na"),
-        F.when(F.col("a") > F.col("b"), F.col("nb")).otherwise(F.col("na")).alias("nb"))
-    second = stage(sized(cross).join(first.select("a", "b"), ["a", "b"], "left_anti"))
-    more = links_of(second, classes, rows, width, salt, num, den)
-    labels = stage(connected(links.union(more))) if not more.isEmpty() else labels
+    if not placed.isEmpty():
+        more = links_of(_across(placed, first, num, den), classes, rows, width, salt, num, den)
+        labels = stage(connected(links.union(more))) if not more.isEmpty() else labels
 
     known = classes.select("_set", "_best").join(labels.withColumnRenamed("node", "_set"), "_set", "left").select("_set", "_best", F.coalesce("label", "_set").alias("_part"))
     known = stage(known)
@@ -256,6 +252,28 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", widt
                          F.coalesce(F.col("_first.r") == F.col(ROW), F.lit(True)).alias("first"))
 
 
+def _across(placed: DataFrame, first: DataFrame, num: int, den: int) -> DataFrame:
+    """Distinct pairs of rows that share a column but no part, without those that have met before."""
+    # Parts that meet in a column, then their rows; the sizes a part has there rule out most.
+    size = placed.select("_part", "_set").distinct().groupBy("_part").agg((F.count("*") == 1).alias("alone"))
+    parts = stage(placed.groupBy("_column", "_part").agg(F.min("n").alias("lo"), F.max("n").alias("hi")).join(size, "_part"))
+    meet = parts.alias("p").join(parts.alias("q"), (F.col("p._column") == F.col("q._column")) & (F.col("p._part") < F.col("q._part")) &
+                                 (F.col("p.hi") * den >= F.col("q.lo") * num) & (F.col("q.hi") * den >= F.col("p.lo") * num))
+    alone = F.col("p.alone") & F.col("q.alone")
+    meet = stage(meet.select(F.when(~alone, F.col("p._column")).alias("_column"), F.col("p._part").alias("_pa"), F.col("q._part").alias("_pb"),
+                             F.when(alone, F.col("p.lo")).alias("na"), F.when(alone, F.col("q.lo")).alias("nb")).distinct())
+    # A part of one row is named after it, so two of them are the pair itself, in however many columns they meet.
+    single = meet.filter("_column is null").select(F.col("_pa").alias("a"), F.col("_pb").alias("b"), "na", "nb")
+    left = placed.select("_column", F.col("_part").alias("_pa"), F.col("_set").alias("a"), F.col("n").alias("na"))
+    right = placed.select("_column", F.col("_part").alias("_pb"), F.col("_set").alias("b"), F.col("n").alias("nb"))
+    rest = meet.filter("_column is not null").select("_column", "_pa", "_pb").join(left, ["_column", "_pa"]).join(right, ["_column", "_pb"]).select("a", "b", "na", "nb")
+    cross = _sized_all(single.union(rest), num, den).select(
+        F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"), F.when(F.col("a") > F.col("b"), F.col("na")).otherwise(F.col("nb")).alias("na"),
+        F.when(F.col("a") > F.col("b"), F.col("nb")).otherwise(F.col("na")).alias("nb")).distinct()
+    met = first.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    return stage(cross.join(met, ["a", "b"], "left_anti"))
+
+
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, num: int = 4, den: int = 5) -> DataFrame:
     """The rows of ``docs`` that stand for their component, with all their columns."""
     return chosen_rows(docs, groups(docs, id_col, text_col, width, num, den).filter("first"))
