@@ -15,8 +15,6 @@ from sedimenta.llm.work import ROW, chosen_rows, stage, with_row_number
 WORD = "[^\\x20\\x09-\\x0D]+"
 #: Start of the cumulative rounding. Any value in [0, 1) is right; this one is far from multiples of simple rates.
 OFFSET = 0.3819660112501051
-#: Rows of one source and size whose order is settled in one task.
-BUCKET_ROWS = 200
 
 
 def word_count(text: Column) -> Column:
@@ -89,12 +87,13 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
     Sources in code point order (NULL is one source, last) weigh ``weights``, repeating. ``prior`` is a document's wanted rate
     before balancing (1 by default; NULL or negative counts as 0). Rates become whole copies by cumulative rounding along the
-    documents of a source in order of size, id and row: a source's taken words then miss the sum of its rates by no more than its
+    documents of a source in order of size, prior, id (NULL last) and row: a source's taken words then miss the sum of its rates by no more than its
     largest document, whatever its number of rows, and a document gets its rate rounded down or up. Reruns agree. NULL and
     wordless texts have size 0. An empty table gives an empty result. Only id, text and source are read.
 
-    The order is settled from counts: (source, size) cells and hash buckets inside large cells are ranked, then rows inside a
-    bucket; no task sorts a source. ``docs`` must be a stored table.
+    The order is a sort by ranges, whose bounds fall inside large (source, size, prior) cells too, down to the row: a row's number in
+    its cell is its place in its range and the rows of the cell in ranges before. No task sorts a source. ``docs`` must be a stored
+    table.
     """
     q = F.lit(1.0) if prior is None else F.greatest(F.coalesce(prior.cast("double"), F.lit(0.0)), F.lit(0.0))
     rows = with_row_number(docs.select(F.col(id_col).alias("_id"), F.col(source_col).alias("_source"), F.col(text_col), q.alias("_prior"))).select(
@@ -110,26 +109,22 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     known = stage(sources.alias("a").join(rates.alias("b"), F.col("a._source").eqNullSafe(F.col("b._source"))).select(
         "a._source", "source_size", "target", "_tilt"))
 
-    counts = rows.groupBy("_source", "size", "_prior").agg(F.count("*").alias("_rows"))
-    parts = F.ceil(F.col("_rows") / BUCKET_ROWS).cast("long")
-    cells = stage(counts.alias("c").join(known.alias("k"), F.col("c._source").eqNullSafe(F.col("k._source"))).select(
-        "c._source", "size", "_prior", "_rows", "source_size", "target", parts.alias("_parts"),
-        F.least(F.lit(float(cap)), F.coalesce(F.col("_prior") * F.exp("_tilt"), F.lit(0.0))).alias("_rate")))
+    cell = ["_source", "size", "_prior"]
+    order = [*cell, F.col("_id").asc_nulls_last(), ROW]
+    placed = stage(rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id()).withColumn("_place", F.monotonically_increasing_id()))
+    ranges = placed.groupBy(*cell, "_part").agg(F.count("*").alias("_rows"), F.min("_place").alias("_first"))
+    ahead = Window.partitionBy(*cell).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = stage(ranges.withColumn("_ahead", F.coalesce(F.sum("_rows").over(ahead), F.lit(0))))
+    cells = ranges.groupBy(*cell).agg(F.sum("_rows").alias("_rows")).alias("c").join(known.alias("k"), F.col("c._source").eqNullSafe(F.col("k._source"))).select(
+        "c._source", "size", "_prior", "_rows", "source_size", "target",
+        F.least(F.lit(float(cap)), F.coalesce(F.col("_prior") * F.exp("_tilt"), F.lit(0.0))).alias("_rate"))
     before = Window.partitionBy("_source").orderBy("size", "_prior").rowsBetween(Window.unboundedPreceding, -1)
-    cells = cells.withColumn("_before", F.coalesce(F.sum(F.col("_rate") * F.col("_rows")).over(before), F.lit(0.0)))
-    same = functools.reduce(operator.and_, [F.col(f"r.{c}").eqNullSafe(F.col(f"c.{c}")) for c in ("_source", "size", "_prior")])
-    placed = rows.alias("r").join(stage(cells).alias("c"), same).select(
-        ROW, "_id", "r._source", "r.size", "r._prior", "source_size", "target", "_rate", "_before",
-        F.pmod(F.xxhash64("_id", ROW), F.col("_parts")).alias("_part"))
-    placed = stage(placed)
-    key = ["_source", "size", "_prior", "_part"]
-    buckets = placed.groupBy(*key).agg(F.count("*").alias("_rows"))
-    ahead = Window.partitionBy("_source", "size", "_prior").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    buckets = stage(buckets.withColumn("_ahead", F.coalesce(F.sum("_rows").over(ahead), F.lit(0))))
-    same = functools.reduce(operator.and_, [F.col(f"p.{c}").eqNullSafe(F.col(f"b.{c}")) for c in key])
-    inside = Window.partitionBy(*[F.col(c) for c in key]).orderBy("_id", ROW)
-    placed = placed.alias("p").join(buckets.alias("b"), same).select("p.*", "_ahead")
-    placed = placed.withColumn("_index", F.row_number().over(inside) - 1 + F.col("_ahead"))
+    cells = stage(cells.withColumn("_before", F.coalesce(F.sum(F.col("_rate") * F.col("_rows")).over(before), F.lit(0.0))))
+    equal = lambda a, b, keys: functools.reduce(operator.and_, [F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")) for c in keys])
+    ranges = stage(ranges.alias("b").join(cells.alias("c"), equal("b", "c", cell)).select(
+        *[f"b.{c}" for c in cell], "_part", "_first", "_ahead", "source_size", "target", "_rate", "_before"))
+    placed = placed.alias("p").join(ranges.alias("b"), equal("p", "b", [*cell, "_part"])).select(
+        ROW, "_id", "p.size", "source_size", "target", "_rate", "_before", (F.col("_place") - F.col("_first") + F.col("_ahead")).alias("_index"))
     upto = lambda n: F.floor(F.col("_before") + F.col("_rate") * n + OFFSET)
     copies = F.when(F.col("size") == 0, F.least(F.lit(1), upto(F.col("_index") + 1) - upto(F.col("_index")))).otherwise(
         upto(F.col("_index") + 1) - upto(F.col("_index")))

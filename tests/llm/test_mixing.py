@@ -1,8 +1,10 @@
 from collections import defaultdict
 
+import duckdb
 from pyspark.sql import functions as F
 
 from sedimenta.llm.mixing import mix, mixed_rows
+from sedimenta.llm.queries import ORACLES
 from tests.llm.conftest import ODD
 
 
@@ -62,6 +64,18 @@ def test_many_rows_of_one_source_and_size(stored):
     assert sorted((r["doc_id"], r["taken"]) for r in got) == sorted((r["doc_id"], r["taken"]) for r in again)
 
 
+def test_large_cells_follow_the_order_of_the_sql(spark, stored, tmp_path):
+    sources = [*["hot"] * 6, *["warm"] * 3, None]
+    rows = [(None if i < 4 else i * 7919 % 100_003, "two words" if i % 10 else "a few more words", "en", sources[i // 7 % 10], 1) for i in range(9000)]
+    frame = stored(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(5)
+    frame.write.parquet(str(tmp_path / "documents"))
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents/*.parquet')")
+    want = connection.execute(f"SELECT doc_id, size, taken FROM ({ORACLES['op2_mixing']})").fetchall()
+    got = mix(spark.read.parquet(str(tmp_path / "documents"))).select("doc_id", "size", "taken").collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
+
+
 def test_rows_come_as_often_as_taken(odd, empty):
     out = mixed_rows(odd)
     assert out.columns == odd.columns
