@@ -252,6 +252,7 @@ def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
     spark = docs.sparkSession
     rows = with_row_number(docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"), F.coalesce(learn, F.lit(False)).alias("_learn")))
     shards = shardedcounts.shards_for(rows)
+    rows = shardedcounts.in_blocks(rows)
     packed = shardedcounts.staged_counts(rows, ["_text", "_learn"], _counted(depth), shards)
 
     def summarised(table: pa.Table) -> pa.Table:
@@ -281,7 +282,7 @@ def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
 
     values = shardedcounts.values_per_block(packed, value)
     id_type = rows.schema["_id"].dataType.simpleString()
-    out = shardedcounts.in_blocks(rows).select("_block", "_row", "_id", "_text").groupBy("_block").cogroup(values.groupBy("_block")).applyInArrow(
+    out = rows.select("_block", "_row", "_id", "_text").groupBy("_block").cogroup(values.groupBy("_block")).applyInArrow(
         _scored(depth), f"_row long, _id {id_type}, n_tokens long, n_known long, _base double, score double")
     return out.select("_row", F.col("_id").alias(id_col), "n_tokens", "n_known", F.lit(int(total)).cast("long").alias("train_tokens"),
                       (F.col("_base") - F.col("n_tokens") * float(np.log10(total + distinct + 1))).alias("base_score"), "score")

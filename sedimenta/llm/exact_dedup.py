@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sedimenta.llm.work import ROW, chosen_rows, stage, with_row_number
+from sedimenta.llm.work import ROW, chosen_rows, stage, stored, with_row_number
 
 WHITE_SPACE = "[\\x20\\x09-\\x0D]+"
 
@@ -54,4 +54,5 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
+    docs = stored(docs)
     return chosen_rows(docs, exact_groups(docs, id_col, text_col).filter("kept"))

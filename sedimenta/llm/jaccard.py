@@ -17,7 +17,7 @@ from pyspark.sql.window import Window
 
 from sedimenta.llm.components import connected
 from sedimenta.llm.textscan import TOGETHER, gathered, mixed, pack, unpack, word_hashes
-from sedimenta.llm.work import ROW, chosen_rows, stage, with_row_number
+from sedimenta.llm.work import ROW, chosen_rows, stage, stored, with_row_number
 
 #: Counters of n-grams by hash; they only choose an order of columns, any order gives the same links.
 SKETCH_BITS, SKETCH_CHUNKS, FAN_IN = 22, 16, 256
@@ -276,4 +276,5 @@ def _across(placed: DataFrame, first: DataFrame, num: int, den: int) -> DataFram
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, num: int = 4, den: int = 5) -> DataFrame:
     """The rows of ``docs`` that stand for their component, with all their columns."""
+    docs = stored(docs)
     return chosen_rows(docs, groups(docs, id_col, text_col, width, num, den).filter("first"))

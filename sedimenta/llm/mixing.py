@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from sedimenta.llm.work import ROW, chosen_rows, stage, with_row_number
+from sedimenta.llm.work import ROW, chosen_rows, stage, stored, with_row_number
 
 WORD = "[^\\x20\\x09-\\x0D]+"
 #: Start of the cumulative rounding. Any value in [0, 1) is right; this one is far from multiples of simple rates.
@@ -134,4 +134,5 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
 def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it."""
+    docs = stored(docs)
     return chosen_rows(docs, mix(docs, id_col, text_col, source_col), "copies")

@@ -1,6 +1,6 @@
 """Counts of all documents, joined back to the documents that need them, without a row per document and n-gram.
 
-A block is a partition of the stored documents. Each block sends the distinct keys it holds to shards of the key space, once, with
+A block is about a partition of the stored documents. Each block sends the distinct keys it holds to shards of the key space, once, with
 its counts from the documents to learn from. A shard sums the counts of all blocks, works out a value per key, and sends every block
 the values of its own keys; there they meet the block's texts. What moves grows with the distinct keys per block.
 """
@@ -8,6 +8,7 @@ the values of its own keys; there they meet the block's texts. What moves grows
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -15,42 +16,48 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sedimenta.llm.textscan import mixed, pack, summed, unpack
-from sedimenta.llm.work import stage
+from sedimenta.llm.work import ROW, stage
 
+#: Rows of a file whose block is stored together, as a power of two.
+STRETCH = 9
 PACKED = "_shard long, _block long, _kind int, keys binary, counts binary"
 VALUES = "_block long, _kind int, keys binary, vals binary"
 
 
 def in_blocks(docs: DataFrame) -> DataFrame:
-    """``docs`` with its block in ``_block``: the partition of the scan, which is the same at every read of a stored table."""
-    return docs.withColumn("_block", F.spark_partition_id().cast("long"))
+    """``docs`` (with row numbers) with its block in ``_block``: the partition of the scan as it is split now. Blocks are stored by
+    stretches of rows, so later reads find the same ones, however they are split."""
+    stretch = F.shiftright(F.col(ROW), STRETCH)
+    blocks = docs.select(stretch.alias("_stretch"), F.spark_partition_id().cast("long").alias("_part")).groupBy("_stretch").agg(F.min("_part").alias("_block"))
+    return docs.withColumn("_stretch", stretch).join(F.broadcast(stage(blocks)), "_stretch").drop("_stretch")
 
 
 def packed_counts(docs: DataFrame, columns: list[str], counted: Callable[[dict], Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]], shards: int) -> DataFrame:
-    """Rows (_shard, _block, _kind, keys, counts): ``counted`` gets the columns of all batches of a block and yields
-    (kind, keys, counts, what to shard by)."""
-    rows = in_blocks(docs).select("_block", *columns)
+    """Rows (_shard, _block, _kind, keys, counts) of ``docs`` with their blocks: ``counted`` gets the columns of a block's rows that
+    follow each other in a task, and yields (kind, keys, counts, what to shard by)."""
+    rows = docs.select("_block", *columns)
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = None
-
-        def columns_of() -> Iterator[list[list]]:
-            nonlocal block
+        def runs() -> Iterator[tuple[int, list[list]]]:
             for batch in batches:
-                if batch.num_rows:
-                    block = batch.column(0)[0].as_py()
-                    yield [(c.cast(pa.binary()) if pa.types.is_string(c.type) else c).to_pylist() for c in batch.columns[1:]]
-
-        for kind, keys, counts, near in counted(columns_of()):
-            shard = (mixed(near.astype(np.uint64)) % np.uint64(shards)).astype(np.int64)
-            order = np.argsort(shard, kind="stable")
-            cut = np.searchsorted(shard[order], np.arange(shards + 1))
-            for s in range(shards):
-                part = order[cut[s]: cut[s + 1]]
-                if len(part):
-                    yield pa.record_batch([pa.array([s * 2 + kind], pa.int64()), pa.array([block], pa.int64()), pa.array([kind], pa.int32()),
-                                           pa.array([pack(keys[part], rising=True)], pa.binary()), pa.array([pack(counts[part].astype(np.uint32))], pa.binary())],
-                                          names=["_shard", "_block", "_kind", "keys", "counts"])
+                block = np.asarray(batch.column(0))
+                cut = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), len(block)]
+                for begin, end in zip(cut, cut[1:]):
+                    if end > begin:
+                        columns = batch.slice(begin, end - begin).columns[1:]
+                        yield int(block[begin]), [(c.cast(pa.binary()) if pa.types.is_string(c.type) else c).to_pylist() for c in columns]
+
+        for block, run in groupby(runs(), lambda x: x[0]):
+            for kind, keys, counts, near in counted(columns for _, columns in run):
+                shard = (mixed(near.astype(np.uint64)) % np.uint64(shards)).astype(np.int64)
+                order = np.argsort(shard, kind="stable")
+                cut = np.searchsorted(shard[order], np.arange(shards + 1))
+                for s in range(shards):
+                    part = order[cut[s]: cut[s + 1]]
+                    if len(part):
+                        yield pa.record_batch([pa.array([s * 2 + kind], pa.int64()), pa.array([block], pa.int64()), pa.array([kind], pa.int32()),
+                                               pa.array([pack(keys[part], rising=True)], pa.binary()), pa.array([pack(counts[part].astype(np.uint32))], pa.binary())],
+                                              names=["_shard", "_block", "_kind", "keys", "counts"])
 
     return rows.mapInArrow(packed, PACKED)
 

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ROW = "_row"
+#: Bits for the place of a row in its file.
+FILE_ROWS = 40
 
 
 def work_dir(spark: SparkSession) -> str:
@@ -27,20 +30,40 @@ def stage(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def with_row_number(df: DataFrame) -> DataFrame:
-    """``df`` with a unique number per row in ``_row``.
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` itself where it only selects and filters columns of Parquet files, else ``df`` staged."""
+    node = df._jdf.queryExecution().analyzed()
+    while node.nodeName() in ("Project", "Filter", "SubqueryAlias") and node.deterministic():
+        node = node.children().head()
+    if node.nodeName() == "LogicalRelation":
+        try:
+            if "row_index" in df.select(df.metadataColumn("_metadata").alias("m")).schema["m"].dataType.names:
+                return df
+        except AnalysisException:
+            pass
+    return stage(df)
 
-    The number depends on the partition and the place in it, so ``df`` must be a plain read of stored files (or a staged table):
-    reading it again then gives the same numbers.
+
+def with_row_number(df: DataFrame, name: str = ROW) -> DataFrame:
+    """``df`` with a unique number per row in ``name``: its file, numbered by path, and its place in the file.
+
+    Every read of the same files gives the same numbers, however a scan is split over tasks. What is no plain read of Parquet files
+    is staged first, so a caller that numbers such a frame twice must call ``stored`` itself.
     """
-    return df.withColumn(ROW, F.monotonically_increasing_id())
+    df = stored(df)
+    path, place, file = (f"_{x}_{uuid.uuid4().hex}" for x in ("path", "place", "file"))
+    own = df.metadataColumn("_metadata")
+    paths = sorted(r[0] for r in df.select(own["file_path"]).distinct().collect())  # the scan's own file list is larger
+    files = df.sparkSession.createDataFrame([(x, i) for i, x in enumerate(paths)], f"{path} string, {file} long")
+    numbered = df.withColumns({path: own["file_path"], place: own["row_index"]}).join(F.broadcast(files), path)
+    return numbered.withColumn(name, F.shiftleft(F.col(file), FILE_ROWS) + F.col(place)).drop(path, place, file)
 
 
 def chosen_rows(df: DataFrame, chosen: DataFrame, copies: str | None = None) -> DataFrame:
-    """The rows of ``df`` whose number is in ``chosen._row``, with all columns of ``df``, whatever their names; with ``copies``
-    each as often as that column of ``chosen`` says."""
+    """The rows of ``df`` (see ``stored``) whose number is in ``chosen._row``, with all columns of ``df``, whatever their names; with
+    ``copies`` each as often as that column of ``chosen`` says."""
     row, times = f"_row_{uuid.uuid4().hex}", f"_times_{uuid.uuid4().hex}"
-    numbered = df.withColumn(row, F.monotonically_increasing_id())
+    numbered = with_row_number(df, row)
     if copies is None:
         return numbered.join(chosen.select(F.col(ROW).alias(row)), row, "left_semi").select(df.columns)
     some = chosen.filter(F.col(copies) > 0).select(F.col(ROW).alias(row), F.col(copies).cast("int").alias(times))
