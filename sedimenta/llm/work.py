@@ -7,6 +7,7 @@ import uuid
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 ROW = "_row"
 #: Bits for the place of a row in its file.
@@ -68,3 +69,19 @@ def chosen_rows(df: DataFrame, chosen: DataFrame, copies: str | None = None) ->
         return numbered.join(chosen.select(F.col(ROW).alias(row)), row, "left_semi").select(df.columns)
     some = chosen.filter(F.col(copies) > 0).select(F.col(ROW).alias(row), F.col(copies).cast("int").alias(times))
     return numbered.join(some, row).withColumn(times, F.explode(F.sequence(F.lit(1), F.col(times)))).select(df.columns)
+
+
+def ranked(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """``rows`` with their place (from 0) in their group in ``_index`` and the group's size in ``_total``.
+
+    Rows are sorted by ranges whose bounds may fall inside a group, so no task holds a large one. Keys are not NULL; ``order`` ends
+    in a unique column.
+    """
+    by = [*keys, *order]
+    placed = stage(rows.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("_part", F.spark_partition_id()).withColumn("_place", F.monotonically_increasing_id()))
+    ranges = placed.groupBy(*keys, "_part").agg(F.count("*").alias("_n"), F.min("_place").alias("_first"))
+    group = Window.partitionBy(*keys)
+    ahead = F.coalesce(F.sum("_n").over(group.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranges = stage(ranges.select(*keys, "_part", "_first", ahead.alias("_ahead"), F.sum("_n").over(group).alias("_total")))
+    found = placed.join(ranges, [*keys, "_part"]).withColumn("_index", F.col("_place") - F.col("_first") + F.col("_ahead"))
+    return found.select(*rows.columns, "_index", "_total")

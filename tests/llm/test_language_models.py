@@ -219,3 +219,23 @@ def test_remainder_is_that_of_the_id_as_text(spark):
 
     rows = spark.range(20).withColumnRenamed("id", "doc_id").select("doc_id", remainder(7).alias("r")).collect()
     assert all(r["r"] == zlib.crc32(str(r["doc_id"]).encode()) % 7 for r in rows)
+
+
+def test_thresholds_of_a_rare_language_outlive_the_training_bound(stored):
+    words = [f"word{i}" for i in range(40)]
+    other = [f"\u0436\u0437{chr(0x430 + i)}\u043b" for i in range(30)]
+    rows = [(i, " ".join((other if i % 6 == 0 else words)[(i * k) % 30] for k in range(1, 12)), "xx" if i % 6 == 0 else "en", "s", 1) for i in range(1800)]
+    docs = stored(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    labels = stored([(i, 1) for i in range(1800)], "doc_id long, quality int")
+    lang = {r[0]: r[2] for r in rows}
+    cuts = {}
+    for r in kneser_ney.judge(docs, labels, trusted=100).collect():
+        cuts.setdefault(lang[r["doc_id"]], set()).add(r["threshold"])
+    assert len(cuts["xx"]) == len(cuts["en"]) == 1 and cuts["xx"] != cuts["en"]
+
+
+def test_quantiles_are_exact(stored):
+    frame = stored([("a" if i % 3 else "b", float(i * 37 % 1009 // 2), i) for i in range(1000)], "g string, _drawn double, _row long")
+    values = {g: [float(i * 37 % 1009 // 2) for i in range(1000) if ("a" if i % 3 else "b") == g] for g in "ab"}
+    got = {r["g"]: r["_value"] for r in kneser_ney.quantiles(frame, "g", 0.995).collect()}
+    assert all(abs(got[g] - np.quantile(values[g], 0.995)) < 1e-9 for g in "ab")
