@@ -6,7 +6,21 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sedimenta.llm import bpe, context_tree, exact_dedup, html, jaccard, kneser_ney, language, mixing, neighbours, toxicity
+from sedimenta.llm import (
+    alignment,
+    bpe,
+    context_tree,
+    exact_dedup,
+    html,
+    importance,
+    jaccard,
+    kneser_ney,
+    language,
+    mixing,
+    neighbours,
+    order_minhash,
+    toxicity,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,6 +79,19 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op11_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.compare_edited(table(spark, sf_dir, "documents"))
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment.link_counts(table(spark, sf_dir, "documents"), *paths)
+
+
+def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_mixing": op2_mixing,
@@ -76,6 +103,9 @@ QUERIES = {
     "op8_language": op8_language,
     "op9_bpe": op9_bpe,
     "op10_neighbours": op10_neighbours,
+    "op11_order_minhash": op11_order_minhash,
+    "op12_alignment": op12_alignment,
+    "op13_importance": op13_importance,
 }
 
 ORACLES = {
@@ -117,4 +147,33 @@ ORACLES = {
         l AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * k >= 85 * (a.n + b.n - k)),
         r AS (SELECT doc_id, doc_id AS c FROM n UNION SELECT r.doc_id, l.y FROM r JOIN l ON l.x = r.c)
         SELECT n.doc_id, n.n::BIGINT AS n_shingles, min(r.c) AS component_id FROM n JOIN r USING (doc_id) GROUP BY 1, 2""",
+    "op13_importance": r"""
+        WITH
+        -- CRC-32 by half bytes, the low one first; a table entry is four steps of the polynomial.
+        steps AS (SELECT i, list_reduce(range(4), lambda c, j: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) AS v FROM range(16) t(i)),
+        half AS (SELECT list(v ORDER BY i) AS t FROM steps),
+        texts AS (
+            SELECT 0 AS side, doc_id, text FROM documents UNION ALL SELECT 1, NULL, text FROM benchmark),
+        words AS MATERIALIZED (
+            SELECT side, doc_id, row_number() OVER () AS r,
+                   regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+            FROM texts),
+        each AS (SELECT side, r, unnest(w) AS word FROM words),
+        bytes AS (SELECT word, hex(encode(word)) AS h FROM (SELECT DISTINCT word FROM each)),
+        halves AS (
+            SELECT word, list_transform(range(2 * (length(h) // 2)), lambda i: strpos('0123456789ABCDEF', h[i + 2 - 2 * (i % 2)]) - 1) AS n FROM bytes),
+        hashed AS (
+            SELECT word, xor(list_reduce(n, lambda c, x: xor(c >> 4, t[1 + (xor(c, x) & 15)]), 4294967295), 4294967295) % 10000 AS bucket FROM halves, half),
+        counts AS (SELECT bucket, sum((1 - side)::BIGINT) AS s, sum(side::BIGINT) AS t FROM each JOIN hashed USING (word) GROUP BY bucket),
+        sums AS (SELECT coalesce(sum(s), 0)::DOUBLE AS all_s, coalesce(sum(t), 0)::DOUBLE AS all_t FROM counts),
+        gains AS (SELECT bucket, floor(1000 * ln((t + 1)::DOUBLE * (all_s + 10000) / ((s + 1)::DOUBLE * (all_t + 10000))))::BIGINT AS gain FROM counts, sums),
+        weights AS (SELECT r, sum(gain)::BIGINT AS weight FROM each JOIN hashed USING (word) JOIN gains USING (bucket) WHERE side = 0 GROUP BY r),
+        scored AS (
+            SELECT doc_id, len(w)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+                   (coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || sha256('2024:' || coalesce(doc_id::VARCHAR, ''))[1:8])::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE))))::BIGINT AS score
+            FROM words LEFT JOIN weights USING (r) WHERE side = 0),
+        placed AS (
+            SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id NULLS LAST, n_features) AS k,
+                   count(*) FILTER (n_features >= 20) OVER () AS n FROM scored)
+        SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND k <= 10 * n // 100 THEN k END::BIGINT AS rank FROM placed""",
 }
