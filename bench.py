@@ -54,11 +54,11 @@ def ingest(spark, root: str, tag: str) -> None:
 def publish_silver(spark, sf_dir: str, root: str, tag: str) -> None:
     """Instalments: dedup, casts and rule tags, then a gated upsert into a published table."""
     spec = TABLES["installments_payments"]
-    rows = silver.prepare(views.bronze_instalments(spark, sf_dir), spec, tiebreak=["arrival", "arrival_supplier"])
-    sinks.publish_upsert(spark, f"bench_silver_{tag}", rows.drop(silver.FAILED), spec.keys, root, order=[INGESTION_TS])
+    good, _ = silver.prepared(views.bronze_instalments(spark, sf_dir), spec, tiebreak=["arrival", "arrival_supplier"])
+    sinks.publish_upsert(spark, f"bench_silver_{tag}", good.drop(silver.FAILED), spec.keys, root, order=[INGESTION_TS])
 
 
-APPLICANTS = 300_000
+APPLICANTS = int(os.environ.get("BENCH_APPLICANTS", "300000"))
 
 
 def applicants(spark, sf_dir: str, root: str) -> tuple[int, int]:
@@ -68,7 +68,7 @@ def applicants(spark, sf_dir: str, root: str) -> tuple[int, int]:
         batch = views.batch(spark, sf_dir, status)
         times = -(-APPLICANTS // max(1, batch.count()))
         copies = batch.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(times - 1))))
-        key = (F.col("applicant_id") * 1000 + F.col("_copy")).cast("bigint")
+        key = (F.col("applicant_id") * times + F.col("_copy")).cast("bigint")
         copies.withColumns({"applicant_id": key, "SK_ID_CURR": key}).drop("_copy").write.parquet(f"{root}/applicants/{name}")
         counts.append(spark.read.parquet(f"{root}/applicants/{name}").count())
     return counts[0], counts[1]

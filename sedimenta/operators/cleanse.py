@@ -10,6 +10,8 @@ from pyspark.sql import types as T
 
 from ..functions import columns as fn
 
+# What tells which of two rows of one moment arrived later.
+ARRIVAL = ("batch_id", "source_line")
 _UNORDERABLE = (T.MapType, T.VariantType)
 _INEXACT_TEXT = (T.FloatType, T.DoubleType)
 
@@ -19,20 +21,24 @@ def latest_per_key(
     keys: Sequence[str],
     order: Sequence[str] = ("ingestion_ts",),
     tiebreak: Sequence[str] | None = None,
+    *,
+    types: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """The latest row per key, by ``order`` and then ``tiebreak``, all descending.
 
-    Without ``tiebreak`` every other sortable column breaks ties, so rows still
-    tied are identical and the result is reproducible. The ranking filter is
+    Without ``tiebreak`` the arrival breaks ties, where the rows still know it: the later batch, then the later line. After
+    that every other sortable column does, so rows still tied are identical and the result is reproducible. Columns named in
+    ``types`` rank as values of that type first, so that "249.0" comes after "99.0". The ranking filter is
     planned as a group limit on both sides of the shuffle: a key that holds a
     third of the table sends one row per map task, not all of its rows.
     """
     if tiebreak is None:
         used = {*keys, *order}
-        tiebreak = [
-            f.name for f in df.schema.fields if f.name not in used and not isinstance(f.dataType, _UNORDERABLE)
-        ]
-    ranking = [F.col(c).desc_nulls_last() for c in (*order, *tiebreak)]
+        sortable = [f.name for f in df.schema.fields if f.name not in used and not isinstance(f.dataType, _UNORDERABLE)]
+        arrival = [c for c in ARRIVAL if c in sortable]
+        tiebreak = [*arrival, *(c for c in sortable if c not in arrival)]
+    typed = {c: fn.typed(c, t) for c, t in (types or {}).items()}
+    ranking = [x.desc_nulls_last() for c in (*order, *tiebreak) for x in ([typed[c]] if c in typed else []) + [F.col(c)]]
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*ranking))
     return df.withColumn("_rank", rank).filter(F.col("_rank") == 1).drop("_rank")
 

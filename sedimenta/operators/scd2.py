@@ -153,6 +153,82 @@ def first_versions(src: DataFrame, as_of: str | datetime, spec: DimensionSpec =
     return src.alias("src").select(*[opened[c].alias(c) for c in spec.columns])
 
 
+# --- several versions in one run ------------------------------------------------------------------
+
+
+def version_chains(statements: DataFrame, at: str, spec: DimensionSpec = DIM_APPLICANT) -> DataFrame:
+    """Every version that a set of statements makes: each says what an entity's attributes are from its moment ``at`` on.
+
+    Of an entity's statements in order of time only those that differ from the one before (NULL-safe) open a version, and a version
+    ends where the next begins. Statements of one entity at one moment that agree in the tracked attributes are one; they must
+    not contradict each other (``contradictions``). An entity's statements, one per load at most, are ordered in one task.
+    """
+    moment = F.col(at).cast("timestamp_ntz")
+    order = Window.partitionBy(spec.key).orderBy("_at", *[F.col(c).asc_nulls_first() for c in (*spec.tracked, *spec.carried)])
+    told = F.struct(*[F.struct(F.col(c)) for c in spec.tracked])  # a struct of structs compares NULL-safely
+    points = (
+        statements.select(*spec.source_columns, moment.alias("_at"))
+        .withColumn("_told", told)
+        .withColumn("_before", F.lag("_told").over(order))
+        .filter(~F.col("_told").eqNullSafe(F.col("_before")))
+    )
+    ends = F.lead("_at").over(Window.partitionBy(spec.key).orderBy("_at"))
+    made = {
+        spec.surrogate: fn.version_key(F.col(spec.key), F.col("_at")),
+        spec.start: F.col("_at"),
+        spec.end: F.col("_end"),
+        spec.current: F.col("_end").isNull(),
+    }
+    return points.withColumn("_end", ends).select(*[made.get(c, F.col(c)).alias(c) for c in spec.columns])
+
+
+def contradictions(statements: DataFrame, at: str, spec: DimensionSpec = DIM_APPLICANT) -> DataFrame:
+    """Entities and moments for which statements disagree, or that lack an entity or a moment."""
+    told = F.struct(*[F.struct(F.col(c)) for c in spec.tracked])
+    return (
+        statements.groupBy(spec.key, F.col(at).alias("at"))
+        .agg(F.min(told).alias("_least"), F.max(told).alias("_most"))
+        .filter(~F.col("_least").eqNullSafe(F.col("_most")) | F.col(spec.key).isNull() | F.col("at").isNull())
+        .select(spec.key, "at")
+    )
+
+
+def late_entities(known: DataFrame, arrivals: DataFrame, at: str, known_at: str, spec: DimensionSpec = DIM_APPLICANT) -> DataFrame:
+    """Keys with an arrival that is not after all that is known of them; ``known`` has a key and a moment."""
+    first = arrivals.groupBy(spec.key).agg(F.min(F.col(at).cast("timestamp_ntz")).alias("_first"))
+    last = known.groupBy(spec.key).agg(F.max(F.col(known_at).cast("timestamp_ntz")).alias("_last"))
+    return first.join(last, [spec.key]).filter(F.col("_first") <= F.col("_last")).select(spec.key)
+
+
+def apply_arrivals(dim: DataFrame, arrivals: DataFrame, at: str, earlier: DataFrame | None = None,
+                   spec: DimensionSpec = DIM_APPLICANT) -> DataFrame:
+    """The whole dimension after any number of arrivals per entity, each with a moment of its own.
+
+    Arrivals that are after all their entity has told before continue its chain, as one run of ``apply_scd2`` per moment would, in
+    one pass: the current version stands for what was told before. Other entities pass through.
+    A late arrival cuts into stored versions, and which neighbour opens again after it depends on statements that opened
+    none because they changed nothing. So ``earlier`` holds all statements made before these arrivals (bronze keeps them), with the same
+    columns; they are read for entities with a late arrival, which are rebuilt. Any order of arrival then gives the same
+    dimension. Without ``earlier`` there must be no late arrival; ``late_entities`` tells. Entities closed because their source no longer
+    offered them are not for this operator.
+    """
+    told = arrivals.select(*spec.source_columns, F.col(at).cast("timestamp_ntz").alias("_told_at"))
+    rebuilt = None
+    if earlier is not None:
+        late = late_entities(earlier, arrivals, at, at, spec)
+        before = earlier.select(*spec.source_columns, F.col(at).cast("timestamp_ntz").alias("_told_at"))
+        rebuilt = version_chains(before.unionByName(told).join(late, [spec.key], "left_semi"), "_told_at", spec)
+        told = told.join(late, [spec.key], "left_anti")
+        dim = dim.join(late, [spec.key], "left_anti")
+    touched = told.select(spec.key).distinct()
+    history = dim.filter(F.col(spec.current).isNull() | ~F.col(spec.current)).select(*spec.columns)
+    current = current_rows(dim, spec)
+    untouched = current.join(touched, [spec.key], "left_anti").select(*spec.columns)
+    standing = current.join(touched, [spec.key], "left_semi").select(*spec.source_columns, F.col(spec.start).alias("_told_at"))
+    out = history.unionByName(untouched).unionByName(version_chains(standing.unionByName(told), "_told_at", spec))
+    return out if rebuilt is None else out.unionByName(rebuilt)
+
+
 def join_current(fact: DataFrame, dim: DataFrame, attributes: Sequence[str], spec: DimensionSpec = DIM_APPLICANT,
                  how: str = "left") -> DataFrame:
     """Fact rows with attributes of the current version of their entity."""

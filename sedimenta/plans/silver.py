@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators import cleanse
 from ..operators.quality import Gate, sentinel_leaks, with_failed_rules
-from ..sources.files import CORRUPT
+from ..sources.files import CORRUPT, SOURCE_LINE
 from ..sources.registry import INGESTION_TS, TableSpec
 
 FAILED = "failed_rules"
@@ -26,8 +26,9 @@ def conform(rows: DataFrame, spec: TableSpec, *, ts: str = INGESTION_TS, drop_ra
 
 def clean(bronze: DataFrame, spec: TableSpec, *, order: Sequence[str] = (INGESTION_TS,),
           tiebreak: Sequence[str] | None = None, **options) -> DataFrame:
-    """A silver table from bronze: the latest row per key, conformed."""
-    return conform(cleanse.latest_per_key(bronze, spec.keys, order, tiebreak), spec, ts=order[0], **options)
+    """A silver table from bronze: the latest row per key, conformed. Of rows of one moment the last to arrive counts."""
+    latest = cleanse.latest_per_key(bronze, spec.keys, order, tiebreak, types=options.get("casts") or spec.casts)
+    return conform(latest.drop(SOURCE_LINE), spec, ts=order[0], **options)
 
 
 def judged(bronze: DataFrame, spec: TableSpec, *, order: Sequence[str] = (INGESTION_TS,), **options) -> DataFrame:
@@ -53,9 +54,17 @@ def prepare(bronze: DataFrame, spec: TableSpec, *, order: Sequence[str] = (INGES
     by batch give the same tables. Masked columns are hashed before a row is diverted, so quarantine holds no raw
     sensitive value.
     """
+    good, bad = prepared(bronze, spec, order=order, tiebreak=tiebreak, **options)
+    return good.unionByName(bad)
+
+
+def prepared(bronze: DataFrame, spec: TableSpec, *, order: Sequence[str] = (INGESTION_TS,),
+             tiebreak: Sequence[str] | None = None, **options) -> tuple[DataFrame, DataFrame]:
+    """``prepare`` as (good rows, one per key; bad arrivals), each with ``failed_rules``."""
     rows = judged(bronze, spec, order=order, **options)
-    good = cleanse.latest_per_key(rows.filter(~is_bad()), spec.keys, order, tiebreak)
-    return conform(good.unionByName(rows.filter(is_bad())).drop(CORRUPT), spec, ts=order[0], **options)  # that line is unmasked
+    good = cleanse.latest_per_key(rows.filter(~is_bad()), spec.keys, order, tiebreak, types=options.get("casts") or spec.casts)
+    # The unparsed line is unmasked, and a place in a file is of use in bronze only.
+    return tuple(conform(side.drop(CORRUPT, SOURCE_LINE), spec, ts=order[0], **options) for side in (good, rows.filter(is_bad())))
 
 
 def keyless(bronze: DataFrame, spec: TableSpec, **options) -> DataFrame:
@@ -64,7 +73,7 @@ def keyless(bronze: DataFrame, spec: TableSpec, **options) -> DataFrame:
     They are split off before dedup, which would merge them into one row.
     """
     _, missing = cleanse.split_null_keys(bronze, spec.keys)
-    return conform(missing.drop(CORRUPT), spec, **options).withColumn(FAILED, F.array(F.lit("key_missing")))
+    return conform(missing.drop(CORRUPT, SOURCE_LINE), spec, **options).withColumn(FAILED, F.array(F.lit("key_missing")))
 
 
 def keyed(bronze: DataFrame, spec: TableSpec) -> DataFrame:

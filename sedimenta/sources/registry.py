@@ -102,8 +102,11 @@ TABLES: dict[str, TableSpec] = {
 }
 
 # Columns whose type is known before a file is opened. Key columns are BIGINT
-# unless a cast above says otherwise; any column not named here arrives as text.
+# unless a cast above says otherwise; a column not named here has the type of its
+# prefix, any other arrives as text.
 KEY_TYPE = "bigint"
+# Amounts and counts (written with a decimal point in some tables), days past due.
+TYPES_BY_PREFIX = {"AMT_": MONEY, "CNT_": MONEY, "SK_DPD": "int"}
 
 
 def declared_types(spec: TableSpec) -> dict[str, str]:

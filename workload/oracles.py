@@ -65,6 +65,23 @@ VIEWS = {
         FROM (SELECT * FROM orders QUALIFY row_number() OVER (
                   PARTITION BY CASE o_orderstatus WHEN 'O' THEN 'O' ELSE 'F' END, o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1)
         JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey""",
+    "v_told": """
+        SELECT o_custkey AS applicant_id, o_orderkey AS SK_ID_CURR,
+               CASE o_orderpriority WHEN '1-URGENT' THEN 'Working' WHEN '2-HIGH' THEN 'Working'
+                    WHEN '4-NOT SPECIFIED' THEN NULL ELSE 'Pensioner' END AS name_income_type,
+               'Higher' AS name_education_type,
+               CASE WHEN o_totalprice < 250000 THEN 'Single' ELSE 'Married' END AS name_family_status,
+               CASE WHEN o_totalprice >= 50000 THEN CAST(floor(o_totalprice / 250000) AS INT) END AS cnt_children, o_orderdate AS told_at
+        FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey, o_orderdate ORDER BY o_orderkey DESC) = 1""",
+    "v_chain": """
+        SELECT sha256(CAST(applicant_id AS VARCHAR) || '|' || strftime(told_at, '%Y-%m-%dT%H:%M:%S.%f')) AS applicant_sk,
+               * EXCLUDE (told_at, k, differs), told_at AS start_date, lead(told_at) OVER w AS end_date, lead(told_at) OVER w IS NULL AS is_current
+        FROM (SELECT *, row_number() OVER w AS k,
+                     (lag(name_income_type) OVER w) IS DISTINCT FROM name_income_type
+                     OR (lag(name_family_status) OVER w) IS DISTINCT FROM name_family_status
+                     OR (lag(cnt_children) OVER w) IS DISTINCT FROM cnt_children AS differs
+              FROM v_told WINDOW w AS (PARTITION BY applicant_id ORDER BY told_at))
+        WHERE k = 1 OR differs WINDOW w AS (PARTITION BY applicant_id ORDER BY told_at)""",
     "v_dim_v1": """
         SELECT sha256(CAST(applicant_id AS VARCHAR) || '|2024-01-01T00:00:00.000000') AS applicant_sk,
                * EXCLUDE batch, TIMESTAMP '2024-01-01 00:00:00' AS start_date,
@@ -118,6 +135,7 @@ NEEDS = {
     "v_instalment_latest": ["v_instalment"],
     "v_balance_latest": ["v_balance"],
     "v_records": ["v_bureau", "v_balance", "v_balance_latest"],
+    "v_chain": ["v_told"],
     "v_dim_v1": ["v_batch"],
     "v_dim_src": ["v_batch"],
     "v_changed": ["v_batch", "v_dim_v1", "v_dim_src"],
@@ -215,6 +233,10 @@ oracle("balance_snapshot", "v_balance_latest", f"""
 
 oracle("latest_instalment", "v_instalment_latest", f"""
     SELECT * EXCLUDE ingestion_ts, {text('ingestion_ts')} FROM v_instalment_latest""")
+oracle("latest_by_arrival", "", """
+    SELECT user_id AS SK_ID_PREV, event_type AS STATUS, CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) AS AMT_BALANCE,
+           '2024-01-01 00:00:00.000000' AS ingestion_ts, 'batch_001' AS batch_id
+    FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS k FROM events) WHERE k = 1""")
 oracle("latest_balance", "v_balance_latest", f"""
     SELECT * EXCLUDE ingestion_ts, {text('ingestion_ts')} FROM v_balance_latest""")
 
@@ -295,6 +317,8 @@ oracle("scd2_insert", "v_dim_v2", f"""
     WHERE start_date = TIMESTAMP '2024-02-01 00:00:00' AND applicant_id NOT IN (SELECT applicant_id FROM v_dim_v1)""")
 oracle("scd2_apply", "v_dim_v2", f"SELECT {DIM} FROM v_dim_v2")
 oracle("scd2_idempotent", "v_dim_v2", f"SELECT {DIM} FROM v_dim_v2")
+oracle("scd2_chain", "v_chain", f"SELECT {DIM} FROM v_chain")
+oracle("scd2_late", "v_chain", f"SELECT {DIM} FROM v_chain")
 oracle("scd2_close_missing", "v_dim_v2", f"""
     SELECT {DIM} FROM (
         SELECT * REPLACE (
@@ -607,6 +631,7 @@ oracle("row_hash_diff", "v_upserted", f"""
 _BEFORE = digest("applicant_id", "DAYS_BIRTH", "DAYS_EMPLOYED", "ORGANIZATION_TYPE", "CAST(AMT_INCOME_TOTAL AS DECIMAL(18,2))", "segment")
 _AFTER = digest("applicant_id", "DAYS_BIRTH", "DAYS_EMPLOYED", "CASE WHEN DAYS_EMPLOYED <> 365243 THEN ORGANIZATION_TYPE END",
                 "CAST(AMT_INCOME_TOTAL AS DECIMAL(18,2))", "segment")
-oracle("row_hash_diff_screened", "v_applicant", f"""
-    SELECT applicant_id, {_BEFORE} AS row_digest, 1::BIGINT AS n_left, 0::BIGINT AS n_right FROM v_applicant WHERE DAYS_EMPLOYED = 365243
-    UNION ALL SELECT applicant_id, {_AFTER}, 0, 1 FROM v_applicant WHERE DAYS_EMPLOYED = 365243""")
+for _name in ("row_hash_diff_screened", "row_hash_diff_sketched"):
+    oracle(_name, "v_applicant", f"""
+        SELECT applicant_id, {_BEFORE} AS row_digest, 1::BIGINT AS n_left, 0::BIGINT AS n_right FROM v_applicant WHERE DAYS_EMPLOYED = 365243
+        UNION ALL SELECT applicant_id, {_AFTER}, 0, 1 FROM v_applicant WHERE DAYS_EMPLOYED = 365243""")

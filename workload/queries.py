@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sedimenta.operators import cleanse, parity, scd2, upsert
+from sedimenta.operators import cleanse, parity, reconcile, scd2, upsert
 from sedimenta.operators import quality as q
 from sedimenta.plans import gold, kpis, silver
 from sedimenta.sources import files
@@ -124,6 +124,15 @@ def latest_balance(spark, sf):
     return _latest_balance(spark, sf)
 
 
+@register
+def latest_by_arrival(spark, sf):
+    """All events are one batch of one moment: the row that stands last in the file counts, whatever its values."""
+    arrived = files.with_source_line(v.table(spark, sf, "events")).selectExpr(
+        "user_id AS SK_ID_PREV", "event_type AS STATUS", "CAST(CAST(value AS DECIMAL(18,2)) AS STRING) AS AMT_BALANCE",
+        f"TIMESTAMP_NTZ '{v.DIM_START}' AS ingestion_ts", "'batch_001' AS batch_id", "source_line")
+    return cleanse.latest_per_key(arrived, ["SK_ID_PREV"]).drop("source_line")
+
+
 def _silver(source: str, view, tiebreak=("arrival",)) -> None:
     spec = TABLES[source]
 
@@ -187,6 +196,23 @@ def scd2_idempotent(spark, sf):
     return scd2.apply_scd2(_applied(spark, sf), v.dim_source(spark, sf), v.LATER)
 
 
+@register
+def scd2_chain(spark, sf):
+    """Every order is an arrival of its own moment: one run over all of them, after a first load of each applicant's earliest."""
+    told = v.statements(spark, sf)
+    first = told.filter("k = 1").drop("k")
+    later = told.filter("k > 1").drop("k")
+    return scd2.apply_arrivals(scd2.version_chains(first, "told_at"), later, "told_at")
+
+
+@register
+def scd2_late(spark, sf):
+    """The same arrivals, those of odd orders a run too late: they are cut into the versions that the even ones made."""
+    told = v.statements(spark, sf).drop("k")
+    even, odd = told.filter("SK_ID_CURR % 2 = 0"), told.filter("SK_ID_CURR % 2 = 1")
+    return scd2.apply_arrivals(scd2.version_chains(even, "told_at"), odd, "told_at", earlier=even)
+
+
 @register
 def fact_join_current(spark, sf):
     fact = v.application(spark, sf).select("SK_ID_CURR", "applicant_id", "AMT_CREDIT")
@@ -504,9 +530,18 @@ def row_hash_diff(spark, sf):
     return parity.row_hash_diff(v.upsert_target(spark, sf), _upserted(spark, sf), ["applicant_id"])
 
 
-@register
-def row_hash_diff_screened(spark, sf):
-    """The applicant table against its re-masked copy in which a few rows lost their organisation."""
+def _remasked(spark, sf):
+    """The applicant table and its re-masked copy, in which a few rows lost their organisation."""
     before = v.applicant(spark, sf).withColumn("AMT_INCOME_TOTAL", F.col("AMT_INCOME_TOTAL").cast("decimal(18,2)"))
     after = before.withColumn("ORGANIZATION_TYPE", F.expr("CASE WHEN DAYS_EMPLOYED <> 365243 THEN ORGANIZATION_TYPE END"))
-    return parity.row_hash_diff(before, after, ["applicant_id"], screen=256)
+    return before, after
+
+
+@register
+def row_hash_diff_screened(spark, sf):
+    return parity.row_hash_diff(*_remasked(spark, sf), ["applicant_id"], screen=256)
+
+
+@register
+def row_hash_diff_sketched(spark, sf):
+    return reconcile.row_hash_diff(*_remasked(spark, sf), ["applicant_id"])

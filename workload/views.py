@@ -35,7 +35,7 @@ WIDENED = {
     "silver_previous_application": ["DAYS_DECISION"],
     "bureau_with_balance": ["earliest_month", "latest_month"],
     **dict.fromkeys(
-        ["scd2_expire", "scd2_insert", "scd2_apply", "scd2_close_missing", "scd2_return", "scd2_idempotent", "fact_join_current",
+        ["scd2_expire", "scd2_insert", "scd2_apply", "scd2_close_missing", "scd2_return", "scd2_idempotent", "scd2_chain", "scd2_late", "fact_join_current",
          "fact_join_asof"],
         ["cnt_children"],
     ),
@@ -142,6 +142,25 @@ def dim_v1(spark, sf):
     return first_versions(batch(spark, sf, FIRST_BATCH), DIM_START)
 
 
+def statements(spark, sf):
+    """Every order as what it says about its applicant from its moment on, the k-th of that applicant; the last order of a moment counts."""
+    from pyspark.sql import Window
+
+    from sedimenta.operators.cleanse import latest_per_key
+
+    last = latest_per_key(table(spark, sf, "orders"), ["o_custkey", "o_orderdate"], ["o_orderkey"], [])
+    told = last.selectExpr(
+        "o_custkey AS applicant_id",
+        "o_orderkey AS SK_ID_CURR",
+        "CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'Working' WHEN o_orderpriority <> '4-NOT SPECIFIED' THEN 'Pensioner' END AS name_income_type",
+        "'Higher' AS name_education_type",
+        "CASE WHEN o_totalprice < 250000 THEN 'Single' ELSE 'Married' END AS name_family_status",
+        "CASE WHEN o_totalprice >= 50000 THEN CAST(floor(o_totalprice / 250000) AS INT) END AS cnt_children",
+        "CAST(o_orderdate AS TIMESTAMP_NTZ) AS told_at",
+    )
+    return told.withColumn("k", F.row_number().over(Window.partitionBy("applicant_id").orderBy("told_at")))
+
+
 def dim_source(spark, sf):
     """The second batch: some applicants new, some missing, most changed, some not."""
     return batch(spark, sf, SECOND_BATCH)
