@@ -147,11 +147,10 @@ def _quarantine(rows: DataFrame, path: str, batch_ids: Sequence[str] | None) ->
         rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("batch_id").parquet(path)
         return
     sinks.replace_partitions(rows.filter(F.col("batch_id").isin(*batch_ids)), path, ["batch_id"])
-    filled = {r[0] for r in rows.sparkSession.read.schema(rows.schema).parquet(path).select("batch_id").distinct().collect()}  # one row per batch
-    for batch_id in set(batch_ids) & filled:
+    filled = {r[0] for r in rows.select("batch_id").distinct().collect()}  # one row per batch
+    for batch_id in set(batch_ids) - filled:
         # Rows of a batch that has none now are those of an earlier run.
-        if rows.filter(F.col("batch_id") == batch_id).isEmpty():
-            sinks.drop_folders(rows.sparkSession, f"{path}/batch_id={batch_id}")
+        sinks.drop_folders(rows.sparkSession, f"{path}/batch_id={batch_id}")
 
 
 def silver_manifest(spark: SparkSession, tables: Sequence[str] | None = None) -> DataFrame:

@@ -229,30 +229,33 @@ def publish_upsert(spark: SparkSession, name: str, updates: DataFrame, keys: Seq
                    buckets: Buckets | None = None, partition_by: str | None = None) -> dict[str, int]:
     """Upsert ``updates`` into a published table, creating it on the first run.
 
-    The updates must be unique on non-NULL ``keys``; the rows that stay were
+    The updates are computed once, into the shared work folder, for their gates, the pruning and the write all read them. They
+    must be unique on non-NULL ``keys``; the rows that stay were
     gated when they came and share no key with them. With ``order`` a late batch
-    cannot replace newer rows: which updates take effect is decided once and
-    written to the shared work folder. With ``partition_by``, a string column that is a function of the key,
+    cannot replace newer rows: which updates take effect is decided once too.
+    With ``partition_by``, a string column that is a function of the key,
     only the partitions the updates fall into are read, joined and rewritten;
     an interrupted run is completed by running it again.
     """
     if partition_by is not None and buckets is not None:
         raise ValueError("a table is laid out in key ranges or in buckets, not both")
-
-    counts = q.enforce(key_gates(name, keys)(updates))
     target = spark.table(name) if spark.catalog.tableExists(name) else None
-    if target is not None and partition_by is not None:
-        touched = [r[0] for r in updates.select(partition_by).distinct().collect()]  # one row per partition
-        target = target.filter(F.col(partition_by).isin(touched))
     if target is not None and set(target.columns) != set(updates.columns):
         raise ValueError(f"{name}: schema evolution is off; differing columns: {sorted(set(target.columns) ^ set(updates.columns))}")
     work = shared_work_dir(spark, root)
     try:
+        updates.write.parquet(f"{work}/updates")
+        updates = spark.read.schema(updates.schema).parquet(f"{work}/updates")
+        counts = q.enforce(key_gates(name, keys)(updates))
+        if target is not None and partition_by is not None:
+            target = touched_partitions(target, updates, partition_by)
         kept = None
         if target is not None and order is not None:
             accepted = accepted_updates(target, updates, keys, order)
-            accepted.write.parquet(work)
-            updates = spark.read.schema(accepted.schema).parquet(work)
+            accepted.write.parquet(f"{work}/accepted")
+            updates = spark.read.schema(accepted.schema).parquet(f"{work}/accepted")
+            if partition_by is not None:
+                target = touched_partitions(spark.table(name), updates, partition_by)
         if target is not None:
             kept, updates = upsert_parts(target, updates, keys)
         return counts | _publish_merged(spark, name, kept, updates, root, gates, buckets, partition_by)
@@ -260,6 +263,17 @@ def publish_upsert(spark: SparkSession, name: str, updates: DataFrame, keys: Seq
         drop_work_dir(spark, work)
 
 
+def touched_partitions(target: DataFrame, updates: DataFrame, partition_by: str) -> DataFrame:
+    """Rows of the partitions that ``updates`` fall into; the scan prunes the others at run time, when it knows them.
+
+    The values go to the executors as a semi-join, never to the driver's plan. They are broadcast, which pruning at run time
+    needs: one short name for each folder that the update will write.
+    """
+    # Pruning at run time is planned only behind a condition that looks selective; every value meets this one.
+    values = updates.select(partition_by).filter(F.col(partition_by) >= "").distinct()
+    return target.join(F.broadcast(values), [partition_by], "left_semi").select(*target.columns)
+
+
 def _publish_merged(spark: SparkSession, name: str, kept: DataFrame | None, updates: DataFrame, root: str, gates: GateList | None,
                     buckets: Buckets | None, partition_by: str | None) -> dict[str, int]:
     if buckets is not None:

@@ -4,6 +4,7 @@ import shutil
 import pytest
 from pyspark.sql import functions as F
 
+from sedimenta.operators.cleanse import latest_per_key
 from sedimenta.sources import files, landing, sinks
 from sedimenta.sources.registry import TABLES, declared_types
 
@@ -131,3 +132,73 @@ def test_declared_types_cover_keys_and_casts():
         types = declared_types(spec)
         assert set(spec.keys) | set(spec.casts) <= set(types)
     assert declared_types(TABLES["installments_payments"])["NUM_INSTALMENT_NUMBER"] == "int"
+
+
+def test_later_line_wins_whatever_the_splits(spark, tmp_path, rows):
+    """One batch, one moment, ties everywhere: values as text would rank 99 above 249."""
+    folder = tmp_path / "cards.csv"
+    folder.mkdir()
+    n = 3_000
+    for part in range(2):
+        (folder / f"part-{part}.csv").write_text("\n".join(["k,AMT_X,note", *(f"{i % 50},{(i * 7919) % 1000}.0,{part}-{i}" for i in range(n))]) + "\n")
+    want = sorted((k, f"1-{max(i for i in range(n) if i % 50 == k)}") for k in range(50))
+    want = sorted(want, key=repr)
+    for size in ("64m", "4k", "700"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        try:
+            scan = files.with_source_line(files.read_csv(spark, str(folder), {"k": "bigint"}))
+            if size == "700":
+                assert scan.rdd.getNumPartitions() > 20
+            tagged = files.tag_audit(scan, ingestion_ts="2024-01-01", batch_id="b1", env="dev")
+            tagged.write.parquet(str(tmp_path / f"bronze{size}"))
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+        bronze = spark.read.parquet(str(tmp_path / f"bronze{size}"))
+        assert bronze.schema["AMT_X"].dataType.simpleString() == "double"
+        assert rows(latest_per_key(bronze.repartition(7), ["k"]), "k", "note") == want
+        assert rows(latest_per_key(bronze.withColumn("batch_id", F.expr("IF(note LIKE '0-%', 'b2', 'b1')")), ["k"]), "k", "note") == sorted(((k, "0" + v[1:]) for k, v in want), key=repr)
+
+
+def test_numbers_in_text_rank_as_numbers(spark, rows):
+    df = spark.createDataFrame([(1, "t", "99.0"), (1, "t", "249.0"), (2, "t", "x"), (2, "t", "5")], "k long, ingestion_ts string, v string")
+    assert rows(latest_per_key(df, ["k"], types={"v": "double"}), "k", "v") == [(1, "249.0"), (2, "5")]
+    assert rows(latest_per_key(df, ["k"]), "k", "v") == [(1, "99.0"), (2, "x")]
+
+
+def test_landing_manifest_hashes_files_of_any_size(spark, tmp_path):
+    zone = tmp_path / "landing" / "b1" / "deep"
+    zone.mkdir(parents=True)
+    (tmp_path / "landing" / "_hidden").write_text("no")
+    (tmp_path / "landing" / "b1" / ".tmp").write_text("no")
+    (tmp_path / "landing" / "empty.csv").touch()
+    (zone / "a b%20ü.csv").write_bytes(b"x" * (landing.PIECE + 3))
+    large = 2**31 + 12_345  # beyond what fits one array of the JVM; a sparse file
+    with open(zone / "large.bin", "wb") as file:
+        file.truncate(large)
+    got = {r["file_name"]: (r["bytes"], r["sha256"], r["path"]) for r in landing.landing_manifest(spark, str(tmp_path / "landing")).collect()}
+    assert {k: v[0] for k, v in got.items()} == {"empty.csv": 0, "a b%20ü.csv": landing.PIECE + 3, "large.bin": large}
+    zeros = hashlib.sha256()
+    for _ in range(large // 2**20):
+        zeros.update(bytes(2**20))
+    zeros.update(bytes(large % 2**20))
+    assert got["large.bin"][1] == zeros.hexdigest() and got["empty.csv"][1] == hashlib.sha256(b"").hexdigest()
+    assert got["a b%20ü.csv"][1] == hashlib.sha256(b"x" * (landing.PIECE + 3)).hexdigest()
+    assert got["empty.csv"][2] == f"file:{tmp_path}/landing/empty.csv"
+    only = landing.landing_manifest(spark, str(tmp_path / "landing"), pattern="*.csv")
+    assert sorted(r["file_name"] for r in only.collect()) == ["a b%20ü.csv", "empty.csv"]
+    single = landing.landing_manifest(spark, str(tmp_path / "landing" / "empty.csv")).collect()
+    assert [(r["file_name"], r["bytes"]) for r in single] == [("empty.csv", 0)]
+
+
+def test_landing_manifest_through_another_store(spark, tmp_path):
+    (tmp_path / "x.csv").write_text("1")
+
+    def store(uri):
+        from pyarrow import fs
+
+        return fs.SubTreeFileSystem(str(tmp_path), fs.LocalFileSystem()), "/"
+
+    got = landing.landing_manifest(spark, str(tmp_path), stores={"file": store}).collect()
+    assert [(r["path"], r["bytes"]) for r in got] == [(f"file:{tmp_path}/x.csv", 1)]

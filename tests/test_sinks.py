@@ -290,3 +290,52 @@ def test_json_sink_has_one_layout_at_every_size(spark, tmp_path):
     sinks.write_json(spark.range(100_000).repartition(3), str(tmp_path / "large"))
     assert parts(tmp_path / "small") == 3 and parts(tmp_path / "large") == 3
     assert spark.read.json(str(tmp_path / "large")).count() == 100_000
+
+
+def scan_figures(df):
+    """Figures of the executed scans of partitioned tables: (partitions read, files known, files read)."""
+    found = []
+
+    def walk(node):
+        if node.nodeName() == "AdaptiveSparkPlan":
+            return walk(node.executedPlan())
+        if node.nodeName().endswith("QueryStage"):
+            return walk(node.plan())
+        metrics = node.metrics()
+        if node.nodeName().startswith("Scan") and metrics.contains("numPartitions"):
+            found.append(tuple(int(metrics.apply(m).value()) for m in ("numPartitions", "staticFilesNum", "numFiles")))
+        children = node.children()
+        for i in range(children.size()):
+            walk(children.apply(i))
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return found
+
+
+def test_upsert_prunes_partitions_at_run_time(spark, tmp_path, name):
+    layout = sinks.Layout(range_key="k", range_width=10)
+    table = layout.apply(spark.range(200).selectExpr("id AS k", "id AS v"))
+    sinks.publish_upsert(spark, name, table, ["k"], str(tmp_path), partition_by=layout.partition_by)
+    layout.apply(spark.range(42, 55).selectExpr("id AS k", "id * 2 AS v")).write.parquet(str(tmp_path / "updates"))
+    updates = spark.read.parquet(str(tmp_path / "updates"))
+    touched = sinks.touched_partitions(spark.table(name), updates, "key_range")
+    assert len(touched.collect()) == 20
+    assert "dynamicpruningexpression" in touched._jdf.queryExecution().executedPlan().toString()
+    assert [(p, known) for p, known, _ in scan_figures(touched)] == [(2, 20)]
+    sinks.publish_upsert(spark, name, updates, ["k"], str(tmp_path), partition_by="key_range")
+    assert spark.table(name).agg(F.sum("v")).first()[0] == sum(range(200)) + sum(range(42, 55))
+
+
+def test_updates_are_computed_once(spark, tmp_path, name):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    sinks.publish_upsert(spark, name, spark.range(30).selectExpr("id AS k", "id % 3 AS ts"), ["k"], str(tmp_path), order=["ts"])
+    updates = spark.range(10, 40).selectExpr("id AS k", "5L AS ts").mapInArrow(counted, "k long, ts long")
+    sinks.publish_upsert(spark, name, updates, ["k"], str(tmp_path), order=["ts"])
+    assert seen.value == 30 and spark.table(name).filter("ts = 5").count() == 30
+    assert not list(tmp_path.glob("_work/*"))
