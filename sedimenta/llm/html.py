@@ -37,15 +37,29 @@ WORDS = re.compile(r"[a-z]+")
 RAW_END = {name: re.compile(rf"</{name}\b[^>]*>", re.I) for name in RAW.split()}
 
 
-def _marks(attrs: str) -> tuple[str, bool]:
-    """(classes with digits generalised, whether the element is no part of an article)."""
+#: Elements of running text: their ids are anchors, and only a whole class sets them apart.
+RUNNING = frozenset("h1 h2 h3 h4 h5 h6 p li ul ol dl dt dd blockquote pre figure figcaption table thead tbody tfoot tr th td hr".split())
+
+
+def _marks(tag: str, attrs: str, inside: bool) -> tuple[str, bool]:
+    """(classes with digits generalised, whether the element is no part of an article).
+
+    Outside an article any word of class, id or role can say so. ``inside`` one a word of class or role can, and an id as a whole, as ids there
+    name what a section is about; elements of running text are marked by a whole class or role only.
+    """
     kind, aside = "", False
     for name, *values in ATTRIBUTE.findall(attrs):
         value, name = "".join(values).lower(), name.lower()
         if name == "hidden":
             aside = True
         elif name != "itemprop":
-            aside = aside or not ASIDE_WORDS.isdisjoint(WORDS.findall(value))
+            if tag in RUNNING:
+                marked = name != "id" and not ASIDE_WORDS.isdisjoint(value.split())
+            elif inside and name == "id":
+                marked = value.strip() in ASIDE_WORDS
+            else:
+                marked = not ASIDE_WORDS.isdisjoint(WORDS.findall(value))
+            aside = aside or marked
             if name == "class":
                 kind = ".".join(sorted(re.sub(r"\d+", "#", value).split()))
     return kind, aside
@@ -143,8 +157,9 @@ class Page:
                 continue
             _, aside, container, path = opened[-1]
             if tag in CONTAINERS or tag in CLOSES_PARAGRAPH:
-                kind, marked = _marks(found.group("attrs"))
-                aside = aside or marked and tag not in ("body", "html", "article", "main") or tag in ASIDE_TAGS and not (tag == "header" and container >= 0 and self.whole[container] >= 0)
+                inside = container >= 0 and self.whole[container] >= 0
+                kind, marked = _marks(tag, found.group("attrs"), inside)
+                aside = aside or marked and tag not in ("body", "html", "article", "main") or tag in ASIDE_TAGS and not (tag == "header" and inside)
                 path = f"{path}>{tag}{'.' + kind if kind else ''}"
                 if tag in CONTAINERS:
                     self.paths.append(path)

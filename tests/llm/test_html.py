@@ -21,6 +21,10 @@ def own(source):
     ("<body><article><p>a</p><!-- c --><p>b<footer>f</footer>", "a\nb"), ("<script>only()", ""), ("<!-- never closed", ""),
     ("<div>1 < 2 and 3 > 2</div>", "1 < 2 and 3 > 2"), ("<DIV><P>Upper</P></DIV>", "Upper"), ("<div hidden>no</div><div>yes</div>", "yes"),
     ("<p>x &amp;amp; y&nbsp;z</p>", "x &amp; y z"), ('<div title="a > b">t</div>', "t"), ("</div></p>odd</x>", "odd"),
+    ("<article><h2 id='side-effects'>Side effects</h2><p>a</p><section id='related-work'><p>b</p></section><p class='notice-period'>c</p></article>", "Side effects\na\nb\nc"),
+    ("<div><h3 id=search-algorithms>S</h3><ul id='menu-of-the-day'><li>m</ul><p class='ad'>x</p><p>t</p></div>", "S\nm\nt"),
+    ("<article><div id='sidebar'>x</div><div class='ad-slot'>y</div><div role='navigation'>z</div><p>t</p></article>", "t"),
+    ("<div id='cookie-notice'>x</div><div><p>t</p></div>", "t"),
     ("<main><div class=story><h2>H</h2><blockquote>Q</blockquote><pre>a\n b</pre></div></main>", "H\nQ\na b"),
 ])
 def test_main_text(source, text):
