@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -77,14 +78,11 @@ def hilbert(points: np.ndarray, bits: int) -> np.ndarray:
 
 
 def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
-    """(_id, _vec, _asks) of the rows that take part: id not NULL; vector neither NULL, empty nor zero, all components finite, and as long
-    as most vectors are (the longer length on a tie)."""
+    """(_id, _vec, _asks) of the rows that take part: id not NULL; vector neither NULL, empty nor zero, all components finite."""
     rows = vectors.select(F.col(id_col).alias("_id"), F.col(vec_col).alias("_vec"), "_asks")
     good = F.col("_id").isNotNull() & F.col("_vec").isNotNull() & F.forall(
         "_vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("_vec", lambda x: x != 0)
-    rows = rows.filter(F.coalesce(good, F.lit(False)))
-    size = rows.groupBy(F.size("_vec").alias("n")).agg(F.count("*").alias("c")).orderBy(F.desc("c"), F.desc("n")).first()
-    return rows.filter(F.size("_vec") == (size["n"] if size else 0))
+    return rows.filter(F.coalesce(good, F.lit(False)))
 
 
 def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
@@ -164,7 +162,8 @@ def search(vectors: DataFrame, asks: Column, k: int = 5, id_col: str = "vec_id",
     Nearness is the cosine in double precision on the original vectors; ties go to the smaller id. Rows as in ``usable`` take
     part. Of equal vectors the ``k + 1`` smallest ids stand as candidates, which is enough for every list, and one stands for all
     queries with that vector; so a vector that a third of the rows share costs no more than another. A repeated id is one row
-    if its vector is the same. Fewer than ``k`` candidates give shorter lists, an empty table none.
+    if its vector is the same. Fewer than ``k`` candidates give shorter lists, an empty table none. Vectors of each length
+    are a space of their own, searched one after another (a table has few lengths): a cosine is between vectors of one length.
 
     A window holds ``window_share`` of the rows of a curve, half on either side. Without structure in the vectors the share that has
     to be seen for a given recall does not fall with their number; with it, a smaller share does. The curves are cut into blocks of
@@ -172,6 +171,13 @@ def search(vectors: DataFrame, asks: Column, k: int = 5, id_col: str = "vec_id",
     """
     flagged = vectors.select(F.col(id_col), F.col(vec_col), F.coalesce(asks, F.lit(False)).alias("_asks"))
     rows = stage(usable(flagged, id_col, vec_col).dropDuplicates(["_id", "_vec"]))
+    lengths = [r[0] for r in rows.groupBy(F.size("_vec")).count().orderBy("count").collect()]  # one row per length
+    spaces = [rows if len(lengths) < 2 else rows.filter(F.size("_vec") == n) for n in lengths] or [rows]
+    return reduce(DataFrame.unionByName, [_search(space, k, id_col, curves, dims, bits, window_share, sample, seed) for space in spaces])
+
+
+def _search(rows: DataFrame, k: int, id_col: str, curves: int, dims: int, bits: int, window_share: float, sample: int, seed: int) -> DataFrame:
+    """``search`` among staged rows with vectors of one length."""
     same = Window.partitionBy("_vec").orderBy("_id")
     ranked = rows.withColumn("_n", F.row_number().over(same)).filter(F.col("_n") <= k + 1)
     candidates = stage(ranked.groupBy("_vec").agg(F.sort_array(F.collect_list("_id")).alias("_ids")).select(F.col("_ids")[0].alias("_id"), "_ids", "_vec"))
@@ -186,7 +192,7 @@ def search(vectors: DataFrame, asks: Column, k: int = 5, id_col: str = "vec_id",
                            T.StructField("_curve", T.IntegerType()), T.StructField("_key", T.LongType())])
     out = T.StructType([T.StructField("_query", kinds["_id"]), T.StructField("_id", kinds["_id"]), T.StructField("_score", T.DoubleType())])
     if index is None:
-        found = vectors.sparkSession.createDataFrame([], out)
+        found = rows.sparkSession.createDataFrame([], out)
     else:
         placed = heads.mapInArrow(_placed(index), schema)
         # Sorted along the curves over ranges of keys; a row's place is the rows of the ranges before plus its place in its own.

@@ -14,13 +14,13 @@ SCHEMA = "vec_id long, embedding array<float>, label int"
 def brute(rows, k, asks):
     ok = {}
     for i, v, *_ in rows:
-        if i is not None and v and all(x is not None and np.isfinite(x) for x in v) and any(v) and len(v) == 4:
+        if i is not None and v and all(x is not None and np.isfinite(x) for x in v) and any(v):
             x = np.array(v, np.float32).astype(float)
             ok[i] = x / np.sqrt((x * x).sum())
     out = {}
     for q in ok:
         if asks(q):
-            near = sorted(((-round(float(ok[q] @ ok[i]), 12), i) for i in ok if i != q))[:k]
+            near = sorted(((-round(float(ok[q] @ ok[i]), 12), i) for i in ok if i != q and len(ok[i]) == len(ok[q])))[:k]
             out[q] = [i for _, i in near]
     return out
 
@@ -47,8 +47,10 @@ def test_full_windows_equal_brute_force(stored):
     rows += [(1000 + i, same, 0) for i in range(40)]  # one vector many times
     rows += [(500, None, 0), (501, [0.0] * 4, 0), (502, [float("nan"), 1.0, 1.0, 1.0], 0), (503, [1.0, None, 1.0, 1.0], 0), (504, [float("inf"), 1.0, 1.0, 1.0], 0), (505, [], 0), (506, [1.0, 2.0], 0), (None, [1.0] * 4, 0)]
     rows += [rows[0], (510, [1e30, 2e30, 1e30, 3e30], 0), (515, [1e-30, 2e-30, 1e-30, 3e-30], 0)]
+    rows += [(600 + i, rng.normal(size=6).astype(np.float32).tolist(), 0) for i in range(30)] + [(700, [3.0, 1.0], 0), (900, [1.0] * 7, 0)]
     frame = stored([(*r, 1) for r in rows], SCHEMA + ", _score int")
     want = brute(rows, 5, lambda q: q % 5 == 0)
+    assert want[700] == [506] and want.pop(900) == [] and len(want[600]) == 5
     assert found(frame, window_share=2.5, curves=2) == want
 
 
