@@ -193,14 +193,14 @@ def judged(stored):
     rows = [(i, good(i), "en" if i % 2 else None, "s", 0) for i in range(260)]
     junk = ["THE HOUSE!! STANDS!! ON!! HILLS!! RUN!! AND!!", "the%%% house### stands$$$ on&&& hills*** and%%%", "run run run run run run run run run run run run run", "q7 | zx | vk | 88 | jj | qq | wv"]
     rows += [(1000 + i, t, "en", "s", 0) for i, t in enumerate(junk)]
-    docs = stored([*rows, *ODD], DOCS)
-    labels = stored([(i, 1) for i in range(240)] + [(1000, 0), (None, 1), (7, None)], "doc_id long, quality int")
+    docs = stored([*rows, *((r[0] and 2000 + r[0], *r[1:]) for r in ODD)], DOCS)
+    labels = stored([(i, 1) for i in range(240)] + [(1000, 0), (None, 1), (2007, None)], "doc_id long, quality int")
     return docs, labels
 
 
 def test_quality_keeps_good_text_and_rejects_junk(judged, empty):
     docs, labels = judged
-    got = {r["doc_id"]: r for r in kneser_ney.judge(docs, labels, enough=10).collect()}
+    got = {r["doc_id"]: r for r in kneser_ney.judge(docs, labels).collect()}
     assert all(got[i]["kept"] for i in range(260))
     assert not any(got[1000 + i]["kept"] for i in range(4))
     kept = kneser_ney.keep_good(docs, labels)
@@ -208,6 +208,25 @@ def test_quality_keeps_good_text_and_rejects_junk(judged, empty):
     assert kneser_ney.judge(empty, labels).count() == 0
 
 
+def test_a_wrong_label_per_language_does_not_let_junk_in(judged, stored):
+    docs, labels = judged
+    before = {r["threshold"] for r in kneser_ney.judge(docs, labels).collect()}
+    odd = [(3000 + i, "".join(chr(33 + (i * 7 + j * 29) % 90) for j in range(60)), lang, "s", 0) for i in range(40) for lang in ("en", None)]
+    held = 0
+    for row in odd:  # one of each language that sets thresholds, whichever ids do
+        more = docs.unionByName(stored([row], DOCS, 1))
+        got = kneser_ney.judge(more, labels.unionByName(stored([(row[0], 1)], "doc_id long, quality int", 1)))
+        cuts = {r["doc_id"]: r for r in got.collect()}
+        if {r["threshold"] for r in cuts.values()} != before:
+            held += 1
+            assert max(r["threshold"] for r in cuts.values()) < 2 * max(before)
+            assert not any(cuts[1000 + i]["kept"] for i in range(4))
+            assert all(cuts[i]["kept"] for i in range(260))
+        if held == 2:
+            break
+    assert held
+
+
 def test_without_trusted_text_all_are_kept(odd, clashing, stored):
     none = stored([], "doc_id long, quality int", 1)
     assert kneser_ney.keep_good(odd, none).count() == len(ODD)
