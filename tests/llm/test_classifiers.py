@@ -37,6 +37,33 @@ def test_words_of_a_text(characters):
     assert toxicity.words_of("", characters, {}) == set()
 
 
+@pytest.mark.parametrize("text", ["a very long token " + "x-" * 115 + "m0r0n here", "m0r0n" + "," * 300, "a$$", "shi+", "idio+!", "morron", "m.o.r.o.n" + "." * 250, "s c u m"])
+def test_no_token_is_too_long_or_too_plain_to_be_decoded(text):
+    model = toxicity.CharacterModel({g: 50 for w in [*WORDS, "ass", "shit"] for g in (f"  {w} "[i: i + 3] for i in range(len(w) + 1))})
+    found = toxicity.words_of(text, model, {})
+    assert any(w.endswith(x) for w in found for x in ("moron", "ass", "shit", "idiot", "scum")), found
+
+
+def test_a_long_word_keeps_all_its_parts():
+    word = "ab" * 100
+    held = set(toxicity.features(word))
+    assert set(toxicity.features(word[:64])) <= held and set(toxicity.features("xyz")) == set(toxicity.features("xyz")[:1])
+    assert toxicity.features("q" * 500 + "moron")[-3] == toxicity.features("moron" * 20)[-3]
+
+
+def test_words_of_whole_texts_equal_decoding_every_token(characters):
+    """Against the definition: each token and spaced run restored apart, without memo or prefilter."""
+    text = "You m0r0n, 1d10t!! Stuuupid p@thet!c people... i d i o t and w.o.r.t.h.l.e.s.s (loser) l0ser 2023 good letter's end-of-line"
+    want = toxicity.plain_words(set(text.lower().split()))
+    for token in text.lower().split():
+        words = toxicity.restore(token.strip(toxicity.AROUND), characters).split()
+        want |= {*words, "".join(words)}
+    for run in toxicity.SPACED.findall(text.lower()):
+        words = toxicity.restore(run, characters).split()
+        want |= {*words, "".join(words)}
+    assert toxicity.words_of(text, characters, {}) == want - {""}
+
+
 def test_the_best_path_is_the_least_of_all_paths(characters):
     """Viterbi against all choices of letters for a short token without separators or repetitions."""
     token, choices = "1d1", ["il", "d", "il"]
