@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as fn
 from . import parity
+from .checkpoints import held
 
 THIRDS = 3
 WORDS = ("w0", "w1", "w2", "w3", "check")
@@ -79,28 +80,20 @@ def given_away(cells: DataFrame, size: int) -> DataFrame:
     return alone.filter(checked).select("_high", "_low", "n").distinct()
 
 
-def _held(df: DataFrame) -> DataFrame:
-    """``df`` computed once into the session's checkpoint folder."""
-    context = df.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(f"{df.sparkSession.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints")
-    return df.checkpoint(eager=True)
-
-
 def peeled(cells: DataFrame, size: int) -> tuple[DataFrame, bool]:
     """(rows found, whether these are all): takes rows out of the cells until none is left or none holds a row alone.
 
     Every step works on at most ``size`` rows; there are about as many as the logarithm of that.
     """
-    cells = _held(cells)
+    cells = held(cells)
     found: list[DataFrame] = []
     while True:
-        alone = _held(given_away(cells, size))
+        alone = held(given_away(cells, size))
         if alone.isEmpty():
             break
         found.append(alone)
         taken = _spread(alone.select("_high", "_low", (-F.col("n")).alias("n")), size)
-        cells = _held(_totals(cells.unionByName(taken)))
+        cells = held(_totals(cells.unionByName(taken)))
     rows = reduce(DataFrame.unionByName, found) if found else _none(cells.sparkSession)
     # A row can turn up in two steps when a mistaken find was put right.
     rows = rows.groupBy("_high", "_low").agg(F.sum("n").alias("n")).filter("n <> 0")

@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import cast_failed
+from ..functions.columns import cast_failed, row_digest
 from .registry import INGESTION_DATE, INGESTION_TS, TYPES_BY_PREFIX, TableSpec, declared_types
 
 CORRUPT = "_corrupt_record"
@@ -140,6 +140,34 @@ def stratified_sample(df: DataFrame, key: str, stratum: str, fractions: Mapping[
     return df.filter(ticket < bound)
 
 
+def stratified_sample_exact(df: DataFrame, key: str, stratum: str, fractions: Mapping[object, float] | float, seed: int = 42) -> DataFrame:
+    """As ``stratified_sample``, but of a stratum's n rows exactly floor(n fraction + 0.5): those with the smallest hashes of their keys.
+
+    Rows are first counted by stratum and the first four digits of the hash. All rows below the digits at which a stratum's share is
+    reached are taken, and of the rows with those digits, one in 65,536, the smallest; only these are ranked, so no
+    stratum is gathered. Rows of one key follow a digest of all columns; NULL is a stratum like any other.
+    """
+    ticket = F.md5(F.concat_ws("|", F.lit(seed), F.col(key).cast("string")))
+    if isinstance(fractions, Mapping):
+        share = F.lit(0.0)
+        for value, fraction in fractions.items():
+            share = F.when(F.col("_stratum").eqNullSafe(F.lit(value)), F.lit(float(fraction))).otherwise(share)
+    else:
+        share = F.lit(float(fractions))
+    rows = df.withColumns({"_ticket": ticket, "_head": F.substring(ticket, 1, 4), "_stratum": F.col(stratum)})
+    counts = rows.groupBy("_stratum", "_head").agg(F.count(F.lit(1)).alias("_n"))
+    whole, ahead = Window.partitionBy("_stratum"), Window.partitionBy("_stratum").orderBy("_head").rowsBetween(Window.unboundedPreceding, -1)
+    wanted = F.floor(F.sum("_n").over(whole) * share + 0.5)
+    cuts = counts.select("_stratum", "_head", "_n", wanted.alias("_wanted"), F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_ahead")).filter(
+        (F.col("_ahead") < F.col("_wanted")) & (F.col("_ahead") + F.col("_n") >= F.col("_wanted")))
+    cuts = cuts.select(F.col("_stratum").alias("_of"), F.col("_head").alias("_cut"), (F.col("_wanted") - F.col("_ahead")).alias("_left"))
+    near = rows.join(cuts, F.col("_stratum").eqNullSafe(F.col("_of"))).filter(F.col("_head") <= F.col("_cut"))
+    below = near.filter(F.col("_head") < F.col("_cut"))
+    order = Window.partitionBy("_of").orderBy("_ticket", key, row_digest(df.columns))
+    edge = near.filter(F.col("_head") == F.col("_cut")).withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= F.col("_left"))
+    return below.select(*df.columns).unionByName(edge.select(*df.columns))
+
+
 # --- schema drift ---------------------------------------------------------------------------------
 
 

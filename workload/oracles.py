@@ -186,6 +186,10 @@ oracle("sample_limit", "v_application", f"""
 oracle("stratified_sample", "v_application", f"""
     SELECT * EXCLUDE ingestion_ts, {text('ingestion_ts')} FROM v_application
     WHERE substr(md5('42|' || CAST(SK_ID_CURR AS VARCHAR)), 1, 8) < '03d70a3d'""")
+oracle("stratified_sample_exact", "v_application", f"""
+    SELECT * EXCLUDE ingestion_ts, {text('ingestion_ts')} FROM v_application
+    QUALIFY row_number() OVER (PARTITION BY TARGET ORDER BY md5('42|' || CAST(SK_ID_CURR AS VARCHAR)), SK_ID_CURR)
+            <= floor(count(*) OVER (PARTITION BY TARGET) * 0.015::DOUBLE + 0.5)""")
 oracle("schema_drift", "", """
     WITH t AS (SELECT COUNT(*) AS n,
                       COUNT(*) FILTER (WHERE o_orderstatus IS NOT NULL AND TRY_CAST(o_orderstatus AS INT) IS NULL) AS bad,
@@ -351,7 +355,8 @@ oracle("fact_join_current", "v_application v_dim_v2", f"""
     SELECT a.applicant_id, a.SK_ID_CURR, a.AMT_CREDIT, d.applicant_sk, d.name_income_type, d.cnt_children,
            {text('d.start_date')}
     FROM v_application a LEFT JOIN v_dim_v2 d ON a.applicant_id = d.applicant_id AND d.is_current""")
-oracle("fact_join_asof", "v_dim_v2", f"""
+for _name in ("fact_join_asof", "fact_join_asof_sorted"):
+    oracle(_name, "v_dim_v2", f"""
     SELECT f.SK_ID_CURR, f.applicant_id, {text('f.applied_at')}, d.applicant_sk, d.name_income_type, d.cnt_children,
            {text('d.start_date')}
     FROM (SELECT o_orderkey AS SK_ID_CURR, o_custkey AS applicant_id,
@@ -466,7 +471,8 @@ oracle("dq_multi_current", "v_dim_v1", """
 oracle("dq_zero_current", "v_dim_v1 v_dim_src", """
     SELECT s.applicant_id FROM v_dim_src s LEFT JOIN v_dim_v1 d ON d.applicant_id = s.applicant_id AND d.is_current
     WHERE d.applicant_id IS NULL""")
-oracle("dq_orphans", "v_loans", """
+for _name in ("dq_orphans", "dq_orphans_by_blocks"):
+    oracle(_name, "v_loans", """
     SELECT 'customer_without_events' AS reference, c_custkey AS key, COUNT(*) AS child_rows FROM customer
     WHERE NOT EXISTS (SELECT 1 FROM events WHERE user_id = c_custkey) GROUP BY 2
     UNION ALL

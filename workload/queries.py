@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sedimenta.operators import cleanse, parity, reconcile, scd2, upsert
+from sedimenta.operators import asof, cleanse, keysets, parity, reconcile, scd2, upsert
 from sedimenta.operators import quality as q
 from sedimenta.plans import gold, kpis, silver
 from sedimenta.sources import files
@@ -47,6 +47,11 @@ def stratified_sample(spark, sf):
     return files.stratified_sample(v.application(spark, sf), "SK_ID_CURR", "TARGET", 0.015, seed=42)
 
 
+@register
+def stratified_sample_exact(spark, sf):
+    return files.stratified_sample_exact(v.application(spark, sf), "SK_ID_CURR", "TARGET", 0.015, seed=42)
+
+
 @register
 def schema_drift(spark, sf):
     expected = {"o_orderkey": "bigint", "o_custkey": "int", "o_orderstatus": "int", "o_totalprice": "double",
@@ -220,16 +225,25 @@ def fact_join_current(spark, sf):
     return scd2.join_current(fact, dim, ["applicant_sk", "name_income_type", "cnt_children", "start_date"])
 
 
-@register
-def fact_join_asof(spark, sf):
-    fact = v.table(spark, sf, "orders").selectExpr(
+def _applications_over_time(spark, sf):
+    return v.table(spark, sf, "orders").selectExpr(
         "o_orderkey AS SK_ID_CURR", "o_custkey AS applicant_id",
         "CAST(date_add(DATE '2024-01-01', CAST(o_orderkey % 60 AS INT)) AS TIMESTAMP_NTZ) AS applied_at",
     )
-    dim = _applied(spark, sf)
+
+
+@register
+def fact_join_asof(spark, sf):
+    fact, dim = _applications_over_time(spark, sf), _applied(spark, sf)
     return scd2.join_as_of(fact, dim, "applied_at", ["applicant_sk", "name_income_type", "cnt_children", "start_date"])
 
 
+@register
+def fact_join_asof_sorted(spark, sf):
+    fact, dim = _applications_over_time(spark, sf), _applied(spark, sf)
+    return asof.join_as_of(fact, dim, "applied_at", ["applicant_sk", "name_income_type", "cnt_children", "start_date"])
+
+
 # --- upserts --------------------------------------------------------------------------------------
 
 
@@ -388,18 +402,27 @@ def dq_zero_current(spark, sf):
     return q.no_current(v.dim_v1(spark, sf), v.dim_source(spark, sf))
 
 
-@register
-def dq_orphans(spark, sf):
+def _references(spark, sf, orphans):
     customer, orders = v.table(spark, sf, "customer"), v.table(spark, sf, "orders")
     found = {
-        "customer_without_events": q.orphans(customer, "c_custkey", v.table(spark, sf, "events"), "user_id"),
-        "order_without_lines": q.orphans(orders, "o_orderkey", v.table(spark, sf, "lineitem"), "l_orderkey"),
-        "line_of_quarantined_order": q.orphans(v.table(spark, sf, "lineitem"), "l_orderkey", _loans(spark, sf), "SK_ID_CURR"),
+        "customer_without_events": orphans(customer, "c_custkey", v.table(spark, sf, "events"), "user_id"),
+        "order_without_lines": orphans(orders, "o_orderkey", v.table(spark, sf, "lineitem"), "l_orderkey"),
+        "line_of_quarantined_order": orphans(v.table(spark, sf, "lineitem"), "l_orderkey", _loans(spark, sf), "SK_ID_CURR"),
     }
     parts = [rows.select(F.lit(name).alias("reference"), "key", "child_rows") for name, rows in found.items()]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+@register
+def dq_orphans(spark, sf):
+    return _references(spark, sf, q.orphans)
+
+
+@register
+def dq_orphans_by_blocks(spark, sf):
+    return _references(spark, sf, keysets.orphans_by_blocks)
+
+
 @register
 def dq_bronze(spark, sf):
     return q.bronze_checks(v.bronze_instalments(spark, sf), gold.INSTALMENT_GRAIN, expected_rows=v.table(spark, sf, "lineitem").count())

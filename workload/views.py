@@ -27,6 +27,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 WIDENED = {
     "sample_limit": ["TARGET"],
     "stratified_sample": ["TARGET"],
+    "stratified_sample_exact": ["TARGET"],
     "scd_prep": ["TARGET"],
     "typed_cast": ["DAYS_DECISION"],
     "null_sentinel": ["DAYS_EMPLOYED"],
@@ -36,7 +37,7 @@ WIDENED = {
     "bureau_with_balance": ["earliest_month", "latest_month"],
     **dict.fromkeys(
         ["scd2_expire", "scd2_insert", "scd2_apply", "scd2_close_missing", "scd2_return", "scd2_idempotent", "scd2_chain", "scd2_late", "fact_join_current",
-         "fact_join_asof"],
+         "fact_join_asof", "fact_join_asof_sorted"],
         ["cnt_children"],
     ),
 }
