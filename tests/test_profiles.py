@@ -1,0 +1,70 @@
+"""Profiles from sketches against exact ones, and renamed columns found by their values."""
+
+import itertools
+import random
+
+from pyspark.sql import functions as F
+
+from sedimenta.operators import profiles
+from sedimenta.operators import quality as q
+
+
+def table(spark, n=20_000):
+    return spark.range(n).selectExpr(
+        "id AS k", "id % 1000 AS small", "IF(id % 4 = 0, NULL, id * 0.5D) AS amount", "CAST(id % 37 AS STRING) AS code", "CAST(NULL AS STRING) AS nothing",
+        "IF(id % 3 = 0, DOUBLE('NaN'), 1.0D) AS odd", "CONCAT('b', id % 5) AS batch")
+
+
+def test_profile_of_all_batches_reads_sketches_only(spark, tmp_path):
+    df = table(spark)
+    profiles.profile_sketches(df, by=["batch"]).write.partitionBy("batch").parquet(str(tmp_path / "sketches"))
+    stored = spark.read.parquet(str(tmp_path / "sketches"))
+    assert stored.count() == 5 * 6
+    got = {r["column_name"]: r for r in profiles.profile_of(profiles.merged(stored)).collect()}
+    for r in q.profile(df.drop("batch"), exact=True).collect():
+        mine = got[r["column_name"]]
+        for c in ("row_count", "null_count", "null_rate", "completeness"):
+            assert mine[c] == r[c], (r["column_name"], c)
+        assert abs(mine["distinct_values"] - r["distinct_values"]) <= 0.03 * r["distinct_values"] + 1
+    exact = df.agg(*[F.percentile("amount", x).alias(str(x)) for x in (0.25, 0.5, 0.75)]).first()
+    for name, share in (("q25", 0.25), ("q50", 0.5), ("q75", 0.75)):
+        below = df.filter(F.col("amount") <= got["amount"][name]).count() / df.filter("amount IS NOT NULL").count()
+        assert abs(below - share) < 0.02 and abs(got["amount"][name] - exact[str(share)]) < 0.03 * 10_000
+    assert got["code"]["q50"] is None and got["nothing"]["q50"] is None and got["odd"]["q50"] == 1.0
+    some = profiles.profile_of(profiles.merged(stored.filter("batch IN ('b0', 'b3')"))).filter("column_name = 'k'").first()
+    assert some["row_count"] == 8_000 and abs(some["distinct_values"] - 8_000) < 240
+
+
+def test_sketches_do_not_grow(spark):
+    sizes = [profiles.profile_sketches(table(spark, n)).agg(F.max(F.length("distinct")), F.max(F.length("ranks")), F.max(F.length("hashes"))).first() for n in (50_000, 200_000)]
+    assert all(b <= a * 1.3 for a, b in zip(*sizes))
+
+
+def test_empty_tables(spark):
+    none = table(spark).filter("false")
+    got = profiles.profile_of(profiles.profile_sketches(none)).collect()
+    assert len(got) == 7 and all(r["row_count"] == 0 and r["null_rate"] is None for r in got)
+    assert profiles.profile_sketches(none, by=["batch"]).count() == 0
+
+
+def test_planted_renames_are_found(spark):
+    before = table(spark).drop("nothing", "odd", "batch")
+    after = before.withColumnsRenamed({"amount": "AMT", "code": "status"}).filter("k % 10 <> 3").withColumn("fresh", F.expr("uuid()")).drop("small")
+    found = profiles.renamed_columns(profiles.profile_sketches(before), profiles.profile_sketches(after))
+    assert {a: b for a, (b, _) in found.items()} == {"amount": "AMT", "code": "status"}
+    assert found["code"][1] == 1.0 and 0.8 < found["amount"][1] < 1
+    assert profiles.renamed_columns(profiles.profile_sketches(before), profiles.profile_sketches(before)) == {}
+    assert profiles.renamed_columns(profiles.profile_sketches(before), profiles.profile_sketches(after.filter("false"))) == {}
+
+
+def test_assignment_is_the_best_of_all():
+    draw = random.Random(1)
+    for _ in range(200):
+        n, m = draw.randrange(1, 5), draw.randrange(1, 5)
+        weight = {(f"a{i}", f"b{j}"): draw.choice([0.5, 0.6, 0.75, 0.9, 1.0]) for i in range(n) for j in range(m) if draw.random() < 0.7}
+        got = profiles._assigned(weight)
+        assert len(set(got.values())) == len(got) and all(p in weight for p in got.items())
+        left = sorted({a for a, _ in weight})
+        right = [*sorted({b for _, b in weight}), *[None] * len(left)]
+        best = max((sum(weight.get((a, b), 0.0) for a, b in zip(left, order)) for order in itertools.permutations(right, len(left))), default=0.0)
+        assert abs(sum(weight[p] for p in got.items()) - best) < 1e-9

@@ -641,3 +641,22 @@ for _name in ("row_hash_diff_screened", "row_hash_diff_sketched"):
     oracle(_name, "v_applicant", f"""
         SELECT applicant_id, {_BEFORE} AS row_digest, 1::BIGINT AS n_left, 0::BIGINT AS n_right FROM v_applicant WHERE DAYS_EMPLOYED = 365243
         UNION ALL SELECT applicant_id, {_AFTER}, 0, 1 FROM v_applicant WHERE DAYS_EMPLOYED = 365243""")
+
+# --- profiles from sketches -----------------------------------------------------------------------
+
+_PROFILED = " UNION ALL ".join(f"SELECT '{c}' AS column_name, COUNT(*) AS n, COUNT({c}) AS present FROM v_application"
+                               for c in ("SK_ID_CURR", "applicant_id", "AMT_CREDIT", "TARGET", "ingestion_ts"))
+oracle("profile_merged", "v_application", f"""
+    SELECT column_name, n AS row_count, n - present AS null_count, ROUND(CAST(n - present AS DOUBLE) / n, 6) AS null_rate,
+           ROUND(CAST(present AS DOUBLE) / n, 6) AS completeness, TRUE AS distinct_within_bound
+    FROM ({_PROFILED})""")
+_KNOWN = " UNION ".join(f"SELECT '{c}' AS c, CAST({c} AS VARCHAR) AS x FROM v_application" for c in ("applicant_id", "NAME_CONTRACT_TYPE", "AMT_CREDIT"))
+_ARRIVING = " UNION ".join(
+    f"SELECT '{c}' AS c, CAST({e} AS VARCHAR) AS x FROM v_application WHERE TARGET IS NOT NULL"
+    for c, e in (("client", "applicant_id"), ("contract", "NAME_CONTRACT_TYPE"), ("amount", "AMT_CREDIT"), ("fresh", "-SK_ID_CURR - 1")))
+oracle("schema_renames", "v_application", f"""
+    SELECT known, arriving FROM (
+        SELECT k.c AS known, a.c AS arriving, COUNT(*) AS n FROM ({_KNOWN}) k JOIN ({_ARRIVING}) a USING (x) GROUP BY 1, 2)
+    JOIN (SELECT c AS known, COUNT(*) AS n_known FROM ({_KNOWN}) GROUP BY 1) USING (known)
+    JOIN (SELECT c AS arriving, COUNT(*) AS n_arriving FROM ({_ARRIVING}) GROUP BY 1) USING (arriving)
+    WHERE 2 * n >= n_known + n_arriving - n""")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sedimenta.operators import asof, cleanse, keysets, parity, reconcile, scd2, upsert
+from sedimenta.operators import asof, cleanse, keysets, parity, profiles, reconcile, scd2, upsert
 from sedimenta.operators import quality as q
 from sedimenta.plans import gold, kpis, silver
 from sedimenta.sources import files
@@ -413,6 +413,25 @@ def _references(spark, sf, orphans):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+@register
+def profile_merged(spark, sf):
+    """A profile of all applications from the sketches of each loan type; distinct counts against exact ones."""
+    rows = v.application(spark, sf)
+    sketched = profiles.profile_of(profiles.merged(profiles.profile_sketches(rows, by=["NAME_CONTRACT_TYPE"])))
+    exact = q.profile(rows.drop("NAME_CONTRACT_TYPE"), exact=True).select("column_name", F.col("distinct_values").alias("_exact"))
+    near = F.abs(F.col("distinct_values") - F.col("_exact")) <= 1 + 0.04 * F.col("_exact")
+    return sketched.join(exact, ["column_name"]).select("column_name", "row_count", "null_count", "null_rate", "completeness", near.alias("distinct_within_bound"))
+
+
+@register
+def schema_renames(spark, sf):
+    """Applications whose next delivery lacks the undecided ones and names three columns anew; a fourth column is new."""
+    known = v.application(spark, sf)
+    arriving = known.filter("TARGET IS NOT NULL").withColumnsRenamed({"applicant_id": "client", "NAME_CONTRACT_TYPE": "contract", "AMT_CREDIT": "amount"})
+    found = profiles.renamed_columns(profiles.profile_sketches(known), profiles.profile_sketches(arriving.withColumn("fresh", -F.col("SK_ID_CURR") - 1)))
+    return spark.createDataFrame([(a, b) for a, (b, _) in found.items()], "known string, arriving string")  # one row per renamed column
+
+
 @register
 def dq_orphans(spark, sf):
     return _references(spark, sf, q.orphans)
