@@ -45,6 +45,17 @@ def accepted_updates(target: DataFrame, updates: DataFrame, keys: Sequence[str],
     return updates.alias("u").join(stored.alias("m"), same_key("u", "m") & (F.col("m._rank") > rank), "left_anti")
 
 
+def signed_changes(target: DataFrame | None, accepted: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """What an upsert changes, as rows with a ``sign``: -1 for each target row that is replaced, 1 for each update that takes effect.
+
+    Sums of any measure over a table change by the signed sum over these rows, so what is kept of such sums needs no other row.
+    """
+    added = accepted.select(*columns, F.lit(1).alias("sign"))
+    if target is None:
+        return added
+    return target.join(accepted.select(*keys), list(keys), "left_semi").select(*columns, F.lit(-1).alias("sign")).unionByName(added)
+
+
 def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Matched rows are replaced, unmatched rows are inserted, the rest is kept.
 

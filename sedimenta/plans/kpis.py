@@ -96,6 +96,50 @@ def balance_trend(balance: DataFrame, amount: str = "AMT_BALANCE", period: str =
     )
 
 
+# --- trends kept up to date from changes ----------------------------------------------------------
+
+#: What a trend is made of, per period: sums that a change adds to or takes from.
+TREND_SUMS = ("accounts", "amounts", "total", "known", "late")
+
+
+def trend_sums(rows: DataFrame, sign: Column | int = 1, amount: str = "AMT_BALANCE", overdue: str = "SK_DPD",
+               period: str = "MONTHS_BALANCE") -> DataFrame:
+    """Per period the sums behind ``balance_trend`` and ``pos_trend``, each row counted ``sign`` times.
+
+    ``accounts`` rows, ``amounts`` and ``total`` known amounts and their exact sum, ``known`` and ``late`` rows that say how many days they are
+    overdue, and that are. A column the rows lack adds nothing.
+    """
+    sign = sign if isinstance(sign, Column) else F.lit(sign)
+    value = money(amount) if amount in rows.columns else F.lit(None).cast("decimal(18,2)")
+    days = F.col(overdue) if overdue in rows.columns else F.lit(None).cast("int")
+    none = F.lit(0)
+    return rows.groupBy(period).agg(
+        F.sum(sign).cast("bigint").alias("accounts"),
+        F.sum(F.when(value.isNotNull(), sign).otherwise(none)).cast("bigint").alias("amounts"),
+        F.coalesce(F.sum(value * sign.cast("decimal(1,0)")), F.lit(0)).cast("decimal(38,2)").alias("total"),
+        F.sum(F.when(days.isNotNull(), sign).otherwise(none)).cast("bigint").alias("known"),
+        F.sum(F.when(days > 0, sign).otherwise(none)).cast("bigint").alias("late"),
+    )
+
+
+def changed_sums(sums: DataFrame, changes: DataFrame, period: str = "MONTHS_BALANCE") -> DataFrame:
+    """Sums after the signed sums of what changed; periods without rows are gone. Reads one row per period and change."""
+    both = sums.unionByName(changes)
+    found = both.groupBy(period).agg(*[F.sum(c).alias(c) for c in TREND_SUMS])
+    return found.filter("accounts <> 0").select(period, *[F.col(c).cast(sums.schema[c].dataType).alias(c) for c in TREND_SUMS])
+
+
+def balance_trend_of(sums: DataFrame, period: str = "MONTHS_BALANCE") -> DataFrame:
+    """``balance_trend`` from its sums."""
+    total = F.when(F.col("amounts") > 0, F.col("total").cast("double"))
+    return sums.select(period, "accounts", F.round(total, 2).alias("total_balance"), F.round(total / F.nullif(F.col("amounts"), F.lit(0)).cast("double"), 6).alias("avg_balance"))
+
+
+def pos_trend_of(sums: DataFrame, period: str = "MONTHS_BALANCE") -> DataFrame:
+    """``pos_trend`` from its sums."""
+    return sums.select(period, "accounts", F.col("late").alias("delinquent_accounts"), _rate(F.col("late"), F.nullif(F.col("known"), F.lit(0))).alias("delinquency_rate"))
+
+
 def delinquency_trend(balance: DataFrame, delinquent: Column, period: str = "MONTHS_BALANCE") -> DataFrame:
     """Share of accounts for which ``delinquent`` holds, per period."""
     return balance.groupBy(period).agg(

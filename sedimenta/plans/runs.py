@@ -13,6 +13,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators import parity, scd2
 from ..operators import quality as q
@@ -130,7 +131,7 @@ def build_silver(spark: SparkSession, bronze_root: str, root: str, *, batch_ids:
             bad = staged.filter(F.col("_bad")).drop("_bad")
             counts[spec.silver] = sinks.publish_upsert(
                 spark, spec.silver, layout.apply(good), spec.keys, root, order=[INGESTION_TS], buckets=layout.buckets,
-                partition_by=layout.partition_by,
+                partition_by=layout.partition_by, changes=spec.trend,
                 gates=(lambda rows, spec=spec: silver.mask_gates(rows, spec)) if drop_raw else None,
             )
             _quarantine(bad.unionByName(silver.keyless(bronze, spec, drop_raw=drop_raw)), f"{root}/{spec.quarantine}",
@@ -268,19 +269,59 @@ def _fact_gates(fact: DataFrame, name: str, grain: Sequence[str], code: int, app
     return [*q.fact_gates(fact, name, grain, code), q.Gate(f"{name}_applicant", reference, severity)]
 
 
+#: Trend mart -> (silver table, how the mart follows from its sums).
+TRENDS = {
+    "mart_card_balance_trend": ("silver_credit_card_balance", kpis.balance_trend_of),
+    "mart_pos_trend": ("silver_pos_cash_balance", kpis.pos_trend_of),
+}
+
+
+def refresh_trend(spark: SparkSession, name: str, root: str) -> tuple[dict[str, int], bool]:
+    """Bring a trend up to date; (gate counts, whether that was done from changes alone).
+
+    The sums behind the trend are a small table of their own that says which version of silver it reflects. If all changes since
+    are known, only these are read and added up; silver itself is not. Otherwise (the first run, an interrupted upsert, a table
+    written some other way) the sums are made anew.
+    """
+    source, trend_of = TRENDS[name]
+    state = f"{name}_sums"
+    silver_now = sinks.table_version(spark, source)
+    reflected = sinks.reflects(spark, state)
+    steps = sinks.changes_since(spark, source, root, reflected) if reflected else None
+    if steps is None:
+        sums = kpis.trend_sums(spark.table(source))
+    else:
+        paths, silver_now = steps
+        sums = spark.table(state)
+        if paths:
+            changes = spark.read.schema(_change_schema(spark, source)).parquet(*paths)
+            sums = kpis.changed_sums(sums, kpis.trend_sums(changes, F.col("sign")))
+    if reflected:
+        sinks.note_reflects(spark, state, "")  # until the new sums are in place they reflect no version
+    counts = sinks.publish(spark, state, sums, root, gates=sinks.key_gates(state, ["MONTHS_BALANCE"]))
+    sinks.note_reflects(spark, state, silver_now or "")
+    sinks.forget_changes(spark, source, root)  # a trend is all that follows them
+    counts |= sinks.publish(spark, name, trend_of(spark.table(state)), root, gates=sinks.key_gates(name, ["MONTHS_BALANCE"]))
+    return counts, steps is not None
+
+
+def _change_schema(spark: SparkSession, source: str) -> T.StructType:
+    fields = {f.name: f for f in spark.table(source).schema.fields}
+    trend = next(s.trend for s in TABLES.values() if s.silver == source)
+    return T.StructType([*(fields[c] for c in trend if c in fields), T.StructField("sign", T.IntegerType())])
+
+
 def build_marts(spark: SparkSession, root: str) -> dict[str, dict[str, int]]:
-    """Applicant risk features and the per-loan-type summary, from published tables only."""
+    """Applicant risk features, the per-loan-type summary and the balance trends, from published tables only.
+
+    Trends follow the changes that the silver upserts kept, where these are complete."""
     fact, bureau = spark.table("fact_loan_application"), spark.table("fact_bureau_credit")
     records = gold.bureau_with_balance(bureau, spark.table("silver_bureau_balance"))
     features = gold.credit_risk_features(fact, fact, bureau, records, key="SK_ID_CURR", previous=spark.table("silver_previous_application"))
     summary = gold.credit_risk_summary(fact, spark.table("dim_applicant"))
     marts = [("int_credit_risk_features", features, ["SK_ID_CURR"]), ("mart_credit_risk_summary", summary, ["NAME_CONTRACT_TYPE"])]
-    for name, source, trend in (
-        ("mart_card_balance_trend", "silver_credit_card_balance", kpis.balance_trend),
-        ("mart_pos_trend", "silver_pos_cash_balance", kpis.pos_trend),
-    ):
-        marts.append((name, trend(spark.table(source)), ["MONTHS_BALANCE"]))
-    return {name: sinks.publish(spark, name, rows, root, gates=sinks.key_gates(name, keys)) for name, rows, keys in marts}
+    counts = {name: sinks.publish(spark, name, rows, root, gates=sinks.key_gates(name, keys)) for name, rows, keys in marts}
+    return counts | {name: refresh_trend(spark, name, root)[0] for name in TRENDS}
 
 
 def indicators(spark: SparkSession) -> dict[str, DataFrame]:

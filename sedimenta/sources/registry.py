@@ -25,6 +25,7 @@ class TableSpec:
     masked: tuple[str, ...] = ()
     versioned: bool = False
     parent: tuple[str, str] | None = None  # (silver table, shared key)
+    trend: tuple[str, ...] = ()  # columns whose changes keep a trend up to date
     rules: dict[str, tuple[str, str]] = field(default_factory=dict)  # rule -> (column, predicate of a BAD row)
 
     @property
@@ -91,12 +92,14 @@ TABLES: dict[str, TableSpec] = {
             silver="silver_pos_cash_balance",
             keys=("SK_ID_PREV", "MONTHS_BALANCE"),
             casts={"MONTHS_BALANCE": "int"},
+            trend=("MONTHS_BALANCE", "SK_DPD"),
         ),
         TableSpec(
             source="credit_card_balance",
             silver="silver_credit_card_balance",
             keys=("SK_ID_PREV", "MONTHS_BALANCE"),
             casts={"MONTHS_BALANCE": "int"},
+            trend=("MONTHS_BALANCE", "AMT_BALANCE"),
         ),
     )
 }

@@ -24,12 +24,13 @@ from pyspark.sql import types as T
 from ..functions import columns as fn
 from ..operators import quality as q
 from ..operators import scd2
-from ..operators.upsert import accepted_updates, upsert_parts
+from ..operators.upsert import accepted_updates, signed_changes, upsert_parts
 
 GateList = Callable[[DataFrame], Sequence[q.Gate]]
 
 _PARTITIONS_PER_STATEMENT = 500
 _CLOSES_MISSING = "sedimenta.closes_missing"
+_VERSION, _REFLECTS = "sedimenta.version", "sedimenta.reflects"
 _SAFE_PARTITION = re.compile(r"[A-Za-z0-9_.\-]+")
 
 
@@ -156,6 +157,7 @@ def publish(spark: SparkSession, name: str, df: DataFrame, root: str, *, gates:
         counts = q.enforce(gates(staged)) if gates else {}
         schema = staged.schema
     if exists:
+        _note_change(spark, name)
         spark.sql(f"ALTER TABLE {_quoted(name)} SET LOCATION '{location}'")
         spark.catalog.refreshTable(name)
     else:
@@ -193,6 +195,8 @@ def publish_partitions(spark: SparkSession, name: str, df: DataFrame, partition_
         raise ValueError(f"{name}: partition values must be plain names, got {unsafe[:5]}")
     if not exists:
         create_table(spark, name, schema, f"{location}_base", [partition_by])
+    else:
+        _note_change(spark, name)
     known = {r[0].split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {_quoted(name)}").collect()}  # one row per partition
 
     def at(value: str) -> str:
@@ -226,7 +230,7 @@ def key_gates(name: str, keys: Sequence[str]) -> GateList:
 
 def publish_upsert(spark: SparkSession, name: str, updates: DataFrame, keys: Sequence[str], root: str, *,
                    order: Sequence[str] | None = None, gates: GateList | None = None,
-                   buckets: Buckets | None = None, partition_by: str | None = None) -> dict[str, int]:
+                   buckets: Buckets | None = None, partition_by: str | None = None, changes: Sequence[str] = ()) -> dict[str, int]:
     """Upsert ``updates`` into a published table, creating it on the first run.
 
     The updates are computed once, into the shared work folder, for their gates, the pruning and the write all read them. They
@@ -236,6 +240,9 @@ def publish_upsert(spark: SparkSession, name: str, updates: DataFrame, keys: Seq
     With ``partition_by``, a string column that is a function of the key,
     only the partitions the updates fall into are read, joined and rewritten;
     an interrupted run is completed by running it again.
+
+    With ``changes`` these columns of the rows replaced and added are kept beside the tables, as a step from one version of the
+    table to the next (``changes_since``).
     """
     if partition_by is not None and buckets is not None:
         raise ValueError("a table is laid out in key ranges or in buckets, not both")
@@ -258,11 +265,86 @@ def publish_upsert(spark: SparkSession, name: str, updates: DataFrame, keys: Seq
                 target = touched_partitions(spark.table(name), updates, partition_by)
         if target is not None:
             kept, updates = upsert_parts(target, updates, keys)
-        return counts | _publish_merged(spark, name, kept, updates, root, gates, buckets, partition_by)
+        if not changes:
+            return counts | _publish_merged(spark, name, kept, updates, root, gates, buckets, partition_by)
+        old, new = table_version(spark, name) or _FIRST, uuid.uuid4().hex
+        changed = signed_changes(target, updates, keys, [c for c in changes if c in updates.columns])
+        changed.write.parquet(f"{_changes_dir(root, name)}/{old}__{new}")
+        counts |= _publish_merged(spark, name, kept, updates, root, gates, buckets, partition_by)
+        _set_version(spark, name, new)
+        return counts
     finally:
         drop_work_dir(spark, work)
 
 
+# A table whose changes are kept has a version of its own, set when a publish has ended; while one is under way it has none that
+# anything could have been built from. So whatever is interrupted, or written without keeping changes, breaks the chain of versions.
+_FIRST, _CHANGING = "none", "changing"
+
+
+def _changes_dir(root: str, name: str) -> str:
+    return f"{root.rstrip('/')}/_changes/{name.split('.')[-1]}"
+
+
+def table_version(spark: SparkSession, name: str) -> str | None:
+    """The version of a published table whose changes are kept."""
+    if not spark.catalog.tableExists(name):
+        return None
+    found = spark.sql(f"SHOW TBLPROPERTIES {_quoted(name)}").filter(F.col("key") == _VERSION).collect()
+    return found[0]["value"] if found else None
+
+
+def _set_version(spark: SparkSession, name: str, version: str) -> None:
+    spark.sql(f"ALTER TABLE {_quoted(name)} SET TBLPROPERTIES ('{_VERSION}' = '{version}')")
+
+
+def _note_change(spark: SparkSession, name: str) -> None:
+    if table_version(spark, name) is not None:
+        _set_version(spark, name, _CHANGING)
+
+
+def changes_since(spark: SparkSession, name: str, root: str, version: str) -> tuple[list[str], str] | None:
+    """Folders of the signed changes that lead from a version of a table to its present one, and that one; None if they are not all known.
+
+    The rows of a folder have the columns asked for when they were kept, and ``sign``.
+    """
+    present = table_version(spark, name)
+    if present is None or present == _CHANGING or version == _CHANGING:
+        return None
+    top = spark._jvm.org.apache.hadoop.fs.Path(_changes_dir(root, name))
+    system = top.getFileSystem(spark._jsc.hadoopConfiguration())
+    steps: dict[str, list[tuple[str, str]]] = {}
+    for status in system.listStatus(top) if system.exists(top) else []:  # one folder per upsert
+        path = status.getPath().toString()
+        old, _, new = path.rsplit("/", 1)[1].partition("__")
+        steps.setdefault(old, []).append((new, path))
+    found: list[str] = []
+    while version != present:
+        following = steps.get(version, [])
+        if len(following) != 1:  # two: an upsert was interrupted after it had kept its changes
+            return None
+        version, path = following[0]
+        found.append(path)
+    return found, present
+
+
+def reflects(spark: SparkSession, name: str) -> str | None:
+    """The version of its source that a derived table was last brought up to."""
+    if not spark.catalog.tableExists(name):
+        return None
+    found = spark.sql(f"SHOW TBLPROPERTIES {_quoted(name)}").filter(F.col("key") == _REFLECTS).collect()
+    return found[0]["value"] or None if found else None
+
+
+def note_reflects(spark: SparkSession, name: str, version: str) -> None:
+    spark.sql(f"ALTER TABLE {_quoted(name)} SET TBLPROPERTIES ('{_REFLECTS}' = '{version}')")
+
+
+def forget_changes(spark: SparkSession, name: str, root: str) -> None:
+    """Drop the kept changes of a table, once all that is built from it is up to date."""
+    drop_folders(spark, f"{_changes_dir(root, name)}/*__*")
+
+
 def touched_partitions(target: DataFrame, updates: DataFrame, partition_by: str) -> DataFrame:
     """Rows of the partitions that ``updates`` fall into; the scan prunes the others at run time, when it knows them.
 

@@ -55,7 +55,7 @@ def zone(spark, tmp_path_factory):
     assert not list((base / "tables").glob("_work/*"))
     for table in [*(s.silver for s in TABLES.values()), "dim_applicant", "dim_loan_type", "dim_credit_status",
                   "fact_loan_application", "fact_bureau_credit", "fact_installment_payment", "int_credit_risk_features",
-                  "mart_credit_risk_summary", "mart_card_balance_trend", "mart_pos_trend"]:
+                  "mart_credit_risk_summary", "mart_card_balance_trend", "mart_pos_trend", "mart_card_balance_trend_sums", "mart_pos_trend_sums"]:
         spark.sql(f"DROP TABLE IF EXISTS {table}")
 
 

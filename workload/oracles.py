@@ -444,7 +444,8 @@ oracle("kpi_masked_presence", "v_masked", f"""
            COUNT(*) AS applicants, COUNT(DAYS_EMPLOYED_MASKED) AS with_masked_value,
            {pct('COUNT(DAYS_EMPLOYED_MASKED)', 'COUNT(*)')} AS presence_rate
     FROM v_masked GROUP BY 1""")
-oracle("balance_trend", "v_balance_latest", f"""
+for _name in ("balance_trend", "balance_trend_incremental"):
+    oracle(_name, "v_balance_latest", f"""
     SELECT MONTHS_BALANCE, COUNT(*) AS accounts,
            ROUND(CAST(SUM(CAST(AMT_BALANCE AS DECIMAL(18,2))) AS DOUBLE), 2) AS total_balance,
            {exact_avg('AMT_BALANCE')} AS avg_balance

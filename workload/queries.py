@@ -371,6 +371,17 @@ def balance_trend(spark, sf):
     return kpis.balance_trend(_latest_balance(spark, sf))
 
 
+@register
+def balance_trend_incremental(spark, sf):
+    """The trend after half of the balances, brought up to date from what an upsert of the other half replaced and added."""
+    keys, order = ["SK_ID_BUREAU", "MONTHS_BALANCE"], ["ingestion_ts", "tie_1"]
+    stored, arrived = (cleanse.latest_per_key(v.balance(spark, sf).filter(f"tie_1 % 2 = {i}"), keys, order) for i in (0, 1))
+    accepted = upsert.accepted_updates(stored, arrived, keys, order)
+    changes = upsert.signed_changes(stored, accepted, keys, ["MONTHS_BALANCE", "AMT_BALANCE"])
+    sums = kpis.changed_sums(kpis.trend_sums(stored), kpis.trend_sums(changes, F.col("sign")))
+    return kpis.balance_trend_of(sums)
+
+
 @register
 def delinquency_trend(spark, sf):
     return kpis.delinquency_trend(_latest_balance(spark, sf), F.col("STATUS") == "error")
