@@ -111,17 +111,20 @@ def _checked(enforce: bool, results: DataFrame) -> DataFrame:
 
 def build_silver(spark: SparkSession, bronze_root: str, root: str, *, batch_ids: Sequence[str] | None = None,
                  tables: Sequence[str] | None = None, drop_raw: bool = True,
-                 layouts: Mapping[str, sinks.Layout] | None = None) -> dict[str, dict[str, int]]:
+                 layouts: Mapping[str, sinks.Layout] | None = None, snapshots: Mapping[str, int] | None = None) -> dict[str, dict[str, int]]:
     """Upsert each table's cleaned rows; rows that break a rule go to quarantine.
 
     Afterwards the published tables are checked; a failed CRITICAL check raises. With ``batch_ids`` only
     those bronze partitions are read. The cleaned batch is written once to a shared work folder, so the good and the bad rows do not
-    each repeat the dedup shuffle. ``layouts`` lays out tables by silver name.
+    each repeat the dedup shuffle. ``layouts`` lays out tables by silver name. ``snapshots`` names, by source, the one month whose
+    balances a table keeps; the filter reaches the scan of bronze.
     """
     counts = {}
     for spec in _specs(tables):
         layout = (layouts or {}).get(spec.silver, sinks.Layout())
         bronze = files.scan_layer(spark, f"{bronze_root}/{spec.bronze}", batch_ids=batch_ids)
+        if spec.source in (snapshots or {}):
+            bronze = bronze.filter(F.col("MONTHS_BALANCE") == snapshots[spec.source])
         prepared = silver.prepare(silver.keyed(bronze, spec), spec, drop_raw=drop_raw).withColumn("_bad", silver.is_bad())
         work = sinks.shared_work_dir(spark, root)
         try:
@@ -188,12 +191,13 @@ def loans(application: DataFrame) -> DataFrame:
 
 def build_gold(spark: SparkSession, root: str, as_of: datetime | str, *, batch_ids: Sequence[str] | None = None,
                close_missing: bool = False, sliced: bool = False,
-               layouts: Mapping[str, sinks.Layout] | None = None) -> dict[str, dict[str, int]]:
+               layouts: Mapping[str, sinks.Layout] | None = None, bronze_root: str | None = None) -> dict[str, dict[str, int]]:
     """Applicant dimension first, then the facts that refer to it, each behind its gates.
 
     Without ``batch_ids`` facts are reloaded whole. With them, only the silver
     rows those batches left behind are read: the dimension sees them as its
-    source and the facts are upserted, so cost follows what changed. ``sliced``
+    source and the facts are upserted, so cost follows what changed. Silver tables that ``layouts`` names with key ranges are read
+    in the ranges only that the batches' rows in ``bronze_root`` fall into. ``sliced``
     keeps closed versions in partitions of their own, which a run leaves alone.
     """
     if batch_ids is not None and close_missing:
@@ -202,7 +206,14 @@ def build_gold(spark: SparkSession, root: str, as_of: datetime | str, *, batch_i
 
     def arrived(name: str) -> DataFrame:
         df = spark.table(name)
-        return df if batch_ids is None else df.filter(F.col("batch_id").isin(*batch_ids))
+        if batch_ids is None:
+            return df
+        layout = layouts.get(name, sinks.Layout())
+        if bronze_root and layout.partition_by:
+            spec = next(s for s in TABLES.values() if s.silver == name)
+            landed = files.scan_layer(spark, f"{bronze_root}/{spec.bronze}", batch_ids=batch_ids)
+            df = sinks.touched_partitions(df, layout.apply(landed), layout.partition_by)
+        return df.filter(F.col("batch_id").isin(*batch_ids))
 
     application = arrived("silver_application")
     attributes = gold.int_applicant_attributes(gold.stg_application(application))

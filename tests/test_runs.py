@@ -179,7 +179,7 @@ def test_second_batch_updates_inserts_and_versions(spark, zone, rows):
     write_batch(zone["landing"] / "b2", children=lambda k: 9, applicants=range(50, 70))
     runs.ingest(spark, str(zone["landing"] / "b2"), zone["bronze"], batch_id="b2", env="dev", ingestion_ts="2024-02-01T00:00:00")
     runs.build_silver(spark, zone["bronze"], zone["root"], batch_ids=["b2"], layouts=LAYOUTS)
-    runs.build_gold(spark, zone["root"], "2024-02-01 00:00:00", batch_ids=["b2"])
+    runs.build_gold(spark, zone["root"], "2024-02-01 00:00:00", batch_ids=["b2"], layouts=LAYOUTS, bronze_root=zone["bronze"])
     dim = spark.table("dim_applicant")
     # applicant 67 has no target, so 9 of 10 new ones arrive; 47 was already quarantined
     assert spark.table("silver_application").count() == N - 3 + 9
@@ -246,6 +246,20 @@ def test_results_are_recorded_once_per_run(spark, zone):
     assert stored.filter("run_id = 'run1'").count() == 3 * len(TABLES) and stored.filter("run_id = 'run2'").count() == 3
 
 
+def test_a_snapshot_keeps_one_month(spark, zone, name):
+    """Built beside the table of all months, which is put back."""
+    everything = spark.table("silver_bureau_balance").count()
+    spark.sql(f"ALTER TABLE silver_bureau_balance RENAME TO {name}")
+    try:
+        runs.build_silver(spark, zone["bronze"], f"{zone['root']}_snapshot", batch_ids=["b1"], tables=["bureau_balance"], snapshots={"bureau_balance": -2})
+        found = spark.table("silver_bureau_balance")
+        assert {r[0] for r in found.select("MONTHS_BALANCE").distinct().collect()} == {-2} and 0 < found.count() < everything
+        assert found.count() == len({b % 100 for b in range(700) if b % 7 == 2})
+    finally:
+        spark.sql("DROP TABLE IF EXISTS silver_bureau_balance")
+        spark.sql(f"ALTER TABLE {name} RENAME TO silver_bureau_balance")
+
+
 def test_gold_gate_stops_a_fact_with_repeated_grain(spark, zone):
     good = spark.table("fact_loan_application")
     n = good.count()
