@@ -2,8 +2,8 @@
 
 Each side's cumulative token ends go into a dictionary from end to index. The ends that both dictionaries have, in order, cut both
 lists of ids into groups that cover the same bytes, and the links of each group are expanded from its two slices. Neither
-tokenizer merges anything across a single space between two other characters (which is checked against the vocabulary), so a long
-text is encoded in segments.
+tokenizer merges anything across a single space between two other characters (which is checked against the vocabulary), so a text is
+put together from its words, and words seen before need not be encoded again.
 """
 
 from __future__ import annotations
@@ -26,8 +26,10 @@ from pyspark.sql import types as T
 from sedimenta.llm.textscan import pack, unpack
 from sedimenta.llm.work import stage
 
-#: Bytes of text whose links share a dictionary, and characters encoded at a time.
-BLOCK, SEGMENT = 4_000_000, 100_000
+#: Bytes of text whose links share a dictionary, characters taken up at a time and characters of new words encoded at a time.
+BLOCK, SEGMENT, POOL = 4_000_000, 200_000, 20_000
+#: Words that a worker holds, and their characters, before it forgets them all.
+MEMO_WORDS, MEMO_CHARACTERS = 100_000, 4_000_000
 CUT = re.compile(r"(?<=\S) (?=\S)")
 SPACE_MARK = "▁"
 PAIR_BITS = 32
@@ -47,45 +49,92 @@ def piece_bytes(piece: str) -> bytes:
     return piece.replace(SPACE_MARK, " ").encode()
 
 
-def same_bytes(ids_a: Sequence[int], ids_b: Sequence[int], size_a: Callable[[int], int], size_b: Callable[[int], int]) -> tuple[list[int], list[int]]:
-    """Where the smallest groups of consecutive tokens that cover the same bytes end in each list. Tokens have at least one byte."""
+def same_bytes(ids_a: Sequence[int], ids_b: Sequence[int], size_a: Callable[[int], int], size_b: Callable[[int], int]) -> tuple[list[int], list[int], list[int]]:
+    """Where the smallest groups of consecutive tokens that cover the same bytes end in each list, and at which byte. Tokens have at least one byte."""
     index_a = dict(zip(accumulate(map(size_a, ids_a)), count(1)))
     index_b = dict(zip(accumulate(map(size_b, ids_b)), count(1)))
     ends = sorted(index_a.keys() & index_b.keys())
-    return list(map(index_a.__getitem__, ends)), list(map(index_b.__getitem__, ends))
+    return list(map(index_a.__getitem__, ends)), list(map(index_b.__getitem__, ends)), ends
 
 
-def ending_together(a: np.ndarray, b: np.ndarray, cut_a: np.ndarray, cut_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Links of groups: the tokens whose byte ranges end together, which are the last ones of each group."""
-    return a[cut_a - 1], b[cut_b - 1]
+def ending_together(a: np.ndarray, b: np.ndarray, cut_a: np.ndarray, cut_b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Links of groups, and how many each has: the tokens whose byte ranges end together, which are the last ones of each group."""
+    return a[cut_a - 1], b[cut_b - 1], np.ones(len(cut_a), np.int64)
 
 
-def whole_group(a: np.ndarray, b: np.ndarray, cut_a: np.ndarray, cut_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Links of groups: every token of one side with every token of the other."""
+def whole_group(a: np.ndarray, b: np.ndarray, cut_a: np.ndarray, cut_b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Links of groups, and how many each has: every token of one side with every token of the other."""
     size_a, size_b = np.diff(cut_a, prepend=0), np.diff(cut_b, prepend=0)
     size = size_a * size_b
     place = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
     across = np.repeat(size_b, size)
-    return a[np.repeat(cut_a - size_a, size) + place // across], b[np.repeat(cut_b - size_b, size) + place % across]
+    return a[np.repeat(cut_a - size_a, size) + place // across], b[np.repeat(cut_b - size_b, size) + place % across], size
 
 
 @dataclass
 class Part:
-    """A segment's tokens on both sides and where its groups end in each."""
+    """Tokens of a stretch of text on both sides, where its groups end in each, and at which byte."""
 
     a: np.ndarray
     b: np.ndarray
     cut_a: np.ndarray
     cut_b: np.ndarray
+    ends: np.ndarray
 
     def groups(self) -> list[dict[str, list[int]]]:
         return [{"a": x.tolist(), "b": y.tolist()} for x, y in zip(np.split(self.a, self.cut_a[:-1]), np.split(self.b, self.cut_b[:-1]))]
 
 
+@dataclass
+class Segment:
+    """What a segment's words add up to: tokens of each side, groups, the groups as text and all links."""
+
+    a: int
+    b: int
+    groups: int
+    written: bytes
+    links: np.ndarray
+
+
+class Words:
+    """Aligned words by number: their tokens of each side and groups, their groups as text, and their links one after another."""
+
+    def __init__(self):
+        self.number: dict[str, int] = {}
+        self.written: list[bytes] = []
+        self.bad: set[int] = set()
+        self.characters = 0
+        self.sizes = np.empty((4, 0), np.int64)  # tokens a, tokens b, groups, links
+        self.links = np.empty(0, np.int64)
+        self.begin = np.empty(0, np.int64)
+
+    def add(self, words: list[str], written: list[bytes], sizes: np.ndarray, links: np.ndarray, bad: bool = False) -> None:
+        first = len(self.written)
+        self.number.update(zip(words, count(first)))
+        self.bad.update(range(first, first + len(words)) if bad else ())
+        self.written += written
+        self.characters += sum(map(len, words))
+        self.sizes = np.concatenate([self.sizes, sizes], axis=1)
+        self.links = np.concatenate([self.links, links])
+        self.begin = np.cumsum(self.sizes[3]) - self.sizes[3]
+
+    def together(self, words: list[str]) -> Segment | None:
+        """The sum of words; None where one of them has no tokens."""
+        numbers = list(map(self.number.__getitem__, words))
+        if self.bad and not self.bad.isdisjoint(numbers):
+            return None
+        at = np.array(numbers)
+        size = self.sizes[:, at]
+        links = size[3]
+        place = np.arange(links.sum()) + np.repeat(self.begin[at] - (np.cumsum(links) - links), links)
+        a, b, groups, _ = size.sum(axis=1).tolist()
+        return Segment(a, b, groups, b"".join(map(self.written.__getitem__, numbers)), self.links[place])
+
+
 class Aligner:
-    """A byte-level BPE file (JSON) and a piece model."""
+    """A byte-level BPE file (JSON) and a piece model, with the words it has aligned."""
 
-    def __init__(self, byte_level: bytes, pieces: bytes):
+    def __init__(self, byte_level: bytes, pieces: bytes, links: Callable = ending_together):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task uses its own core only
         import sentencepiece
         from tokenizers import Tokenizer
@@ -106,18 +155,21 @@ class Aligner:
         # An id in decimal with what follows it: a comma, or the end of its side of a group.
         self.written = [f"{i}{x}".encode() for n, end in ((len(names), ";"), (len(self.bytes_a), "|")) for x in (",", end) for i in range(n)]
 
-    def parts(self, segments: list[str]) -> Iterator[Part | None]:
-        """Each segment with a space before it, in both encodings; None where the tokens are not its bytes."""
-        for segment, a, b in zip(segments, self.a.encode_batch_fast([" " + x for x in segments], add_special_tokens=False), self.b.encode(segments, num_threads=1)):
-            a, whole = a.ids, (" " + segment).encode()
+        self.width = np.array([len(x) for x in self.written])
+        self.links = links
+        self.words = Words()
+
+    def parts(self, texts: list[str]) -> Iterator[Part | None]:
+        """Each text with a space before it, in both encodings; None where the tokens are not its bytes."""
+        for text, a, b in zip(texts, self.a.encode_batch_fast([" " + x for x in texts], add_special_tokens=False), self.b.encode(texts, num_threads=1)):
+            a, whole = a.ids, (" " + text).encode()
             if b"".join(map(self.bytes_a.__getitem__, a)) != whole or b"".join(map(self.bytes_b.__getitem__, b)) != whole:
                 yield None
             else:
-                cuts = same_bytes(a, b, self.size_a.__getitem__, self.size_b.__getitem__)
-                yield Part(*(np.fromiter(x, np.int64, len(x)) for x in (a, b, *cuts)))
+                yield Part(*(np.fromiter(x, np.int64, len(x)) for x in (a, b, *same_bytes(a, b, self.size_a.__getitem__, self.size_b.__getitem__))))
 
-    def text_of(self, part: Part) -> bytes:
-        """The groups as ``a1,a2|b1;a3|b2,b3;``."""
+    def codes(self, part: Part) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers in ``written`` that spell the groups as ``a1,a2|b1;a3|b2,b3;``, and where each group ends among them."""
         n_a, n_b = len(self.bytes_a), len(self.bytes_b)
         code_a, code_b = part.a + 2 * n_b, part.b.copy()
         code_a[part.cut_a - 1] += n_a
@@ -126,7 +178,48 @@ class Aligner:
         size_a, size_b = np.diff(part.cut_a, prepend=0), np.diff(part.cut_b, prepend=0)
         code[np.arange(len(code_a)) + np.repeat(part.cut_b - size_b, size_a)] = code_a
         code[np.arange(len(code_b)) + np.repeat(part.cut_a, size_b)] = code_b
-        return b"".join(map(self.written.__getitem__, code.tolist()))
+        return code, part.cut_a + part.cut_b
+
+    def learn(self, words: Iterable[str]) -> None:
+        """Aligns words, those that begin and end with no white space many at a time: a single space between them is a border on both sides."""
+        pools: list[list[str]] = []
+        size = POOL
+        for word in words:
+            alone = word[0].isspace() or word[-1].isspace()
+            if alone or size >= POOL:
+                pools.append([])
+                size = POOL if alone else 0
+            pools[-1].append(word)
+            size += len(word)
+        while pools:
+            again: list[list[str]] = []
+            for pool, part in zip(pools, self.parts([" ".join(pool) for pool in pools])):
+                if part is not None:
+                    self._add(pool, part)
+                elif len(pool) > 1:  # one of them has no tokens
+                    again += [pool[: len(pool) // 2], pool[len(pool) // 2:]]
+                else:
+                    self.words.add(pool, [b""], np.zeros((4, 1), np.int64), np.empty(0, np.int64), bad=True)
+            pools = again
+
+    def _add(self, pool: list[str], part: Part) -> None:
+        ends = np.cumsum([len(w.encode()) + 1 for w in pool])
+        last = np.searchsorted(part.ends, ends) + 1  # groups up to the end of each word
+        code, group_end = self.codes(part)
+        text = b"".join(map(self.written.__getitem__, code.tolist()))
+        byte = np.cumsum(self.width[code])[group_end[last - 1] - 1].tolist()
+        written = [text[x:y] for x, y in zip([0, *byte], byte)]
+        first, second, each = self.links(part.a, part.b, part.cut_a, part.cut_b)
+        totals = np.stack([part.cut_a[last - 1], part.cut_b[last - 1], last, np.cumsum(each)[last - 1]])
+        self.words.add(pool, written, np.diff(totals, axis=1, prepend=0), first << PAIR_BITS | second)
+
+    def segments(self, texts: list[str]) -> list[Segment | None]:
+        """What each text's words add up to; None for a text without tokens."""
+        cut = [CUT.split(text) for text in texts]
+        if len(self.words.written) > MEMO_WORDS or self.words.characters > MEMO_CHARACTERS:
+            self.words = Words()
+        self.learn(dict.fromkeys(w for words in cut for w in words if w not in self.words.number))
+        return [self.words.together(words) for words in cut]
 
 
 def segments(text: str) -> Iterator[str]:
@@ -141,20 +234,20 @@ def segments(text: str) -> Iterator[str]:
     yield text[begin:]
 
 
-def aligned(aligner: Aligner, texts: Iterable[str]) -> Iterator[Iterator[Part | None]]:
-    """For each text an iterator over its aligned segments; short texts are encoded together."""
+def aligned(aligner: Aligner, texts: Iterable[str]) -> Iterator[Text]:
+    """What is known of each text; short texts are taken up together."""
     held: list[str] = []
     size = 0
 
-    def released() -> Iterator[Iterator[Part | None]]:
-        short = aligner.parts([t for t in held if t and len(t) <= SEGMENT])
+    def released() -> Iterator[Text]:
+        short = iter(aligner.segments([t for t in held if t and len(t) <= SEGMENT]))
         for text in held:
             if not text:
-                yield iter(())
+                yield Text(())
             elif len(text) <= SEGMENT:
-                yield iter([next(short)])
+                yield Text([next(short)])
             else:
-                yield (next(aligner.parts([x])) for x in segments(text))
+                yield Text(aligner.segments([x])[0] for x in segments(text))
 
     for text in texts:
         held.append(text)
@@ -168,27 +261,22 @@ def aligned(aligner: Aligner, texts: Iterable[str]) -> Iterator[Iterator[Part |
 class Text:
     """What is known of one text: its numbers of tokens and groups, the digest of its groups, how often it has each link."""
 
-    def __init__(self, aligner: Aligner, parts: Iterator[Part | None], links: Callable = ending_together):
+    def __init__(self, segments: Iterable[Segment | None]):
         self.a = self.b = self.groups = 0
         digest, ahead = hashlib.sha256(), b""
         counted: list[tuple[np.ndarray, np.ndarray]] = []
-        for part in parts:
-            if part is None:
+        for segment in segments:
+            if segment is None:
                 self.a = self.b = self.groups = 0
                 counted = []
                 break
-            written = aligner.text_of(part)
-            digest.update(ahead + written[:-1])
-            ahead = written[-1:]
-            self.a += len(part.a)
-            self.b += len(part.b)
-            self.groups += len(part.cut_a)
-            first, second = links(part.a, part.b, part.cut_a, part.cut_b)
-            counted.append(np.unique(first << PAIR_BITS | second, return_counts=True))
-        if len(counted) == 1:
-            self.links, self.times = counted[0]
-        else:
-            self.links, self.times = _summed(counted)
+            digest.update(ahead + segment.written[:-1])
+            ahead = segment.written[-1:]
+            self.a += segment.a
+            self.b += segment.b
+            self.groups += segment.groups
+            counted.append(np.unique(segment.links, return_counts=True))
+        self.links, self.times = counted[0] if len(counted) == 1 else _summed(counted)
         self.sha256 = digest.hexdigest() if self.groups else ""
 
 
@@ -197,15 +285,15 @@ def _summed(counted: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, n
     return keys, np.bincount(place, np.concatenate([np.empty(0, np.int64), *(n for _, n in counted)]), len(keys)).astype(np.int64)
 
 
-_ALIGNERS: dict[tuple[str, str], Aligner] = {}
+_ALIGNERS: dict[tuple, Aligner] = {}
 
 
-def _aligner(byte_level: bytes, pieces: bytes) -> Aligner:
+def _aligner(byte_level: bytes, pieces: bytes, links: Callable = ending_together) -> Aligner:
     """One per worker process."""
-    key = hashlib.sha256(byte_level).hexdigest(), hashlib.sha256(pieces).hexdigest()
+    key = hashlib.sha256(byte_level).hexdigest(), hashlib.sha256(pieces).hexdigest(), links.__name__
     if key not in _ALIGNERS:
         _ALIGNERS.clear()
-        _ALIGNERS[key] = Aligner(byte_level, pieces)
+        _ALIGNERS[key] = Aligner(byte_level, pieces, links)
     return _ALIGNERS[key]
 
 
@@ -240,8 +328,8 @@ def align(docs: DataFrame, byte_level_path: str, pieces_path: str, text_col: str
             for begin in range(0, batch.num_rows, 64):
                 some = batch.slice(begin, 64)
                 rows = []
-                for parts in aligned(aligner, (x.as_py() for x in some.column(some.num_columns - 1))):
-                    parts = list(parts)
+                for text in some.column(some.num_columns - 1).to_pylist():
+                    parts = [next(aligner.parts([x])) for x in segments(text)] if text else []
                     rows.append([] if any(x is None for x in parts) else [g for x in parts for g in x.groups()])
                 yield pa.record_batch([*some.columns[:-1], pa.array(rows, kind)], names=schema.names)
 
@@ -272,15 +360,15 @@ def link_counts(docs: DataFrame, byte_level_path: str, pieces_path: str, id_col:
     names = schema.names
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = _aligner(*(f.value for f in files))
+        aligner = _aligner(*(f.value for f in files), links)
         numbers = (TaskContext.get().partitionId() << 33 | i for i in count())
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1)
             sizes = iter(np.diff(np.frombuffer(texts.buffers()[1], np.int32, batch.num_rows + 1, 4 * texts.offset)))
             held: list[Text] = []
             begin = size = 0
-            for i, parts in enumerate(aligned(aligner, (x.as_py() for x in texts))):
-                held.append(Text(aligner, parts, links))
+            for i, text in enumerate(aligned(aligner, (x.as_py() for x in texts))):
+                held.append(text)
                 size += next(sizes)
                 if size >= BLOCK or i == batch.num_rows - 1:
                     yield block(next(numbers), ids.slice(begin, len(held)), held)
