@@ -28,7 +28,7 @@ from sedimenta.llm.work import stage
 
 #: Bytes of text whose links share a dictionary, characters taken up at a time and characters of new words encoded at a time.
 BLOCK, SEGMENT, POOL = 4_000_000, 200_000, 20_000
-#: Words that a worker holds, and their characters, before it forgets them all.
+#: Words that a worker holds, and their characters, before it forgets those that it has not met since it last held as many.
 MEMO_WORDS, MEMO_CHARACTERS = 100_000, 4_000_000
 CUT = re.compile(r"(?<=\S) (?=\S)")
 SPACE_MARK = "▁"
@@ -118,17 +118,26 @@ class Words:
         self.links = np.concatenate([self.links, links])
         self.begin = np.cumsum(self.sizes[3]) - self.sizes[3]
 
+    def take(self, other: "Words", words: list[str]) -> None:
+        """Words that another memo holds."""
+        at = np.fromiter(map(other.number.__getitem__, words), np.int64, len(words))
+        first = len(self.written)
+        self.add(words, [other.written[i] for i in at.tolist()], other.sizes[:, at], other.links_of(at))
+        self.bad.update(first + i for i, n in enumerate(at.tolist()) if n in other.bad)
+
+    def links_of(self, at: np.ndarray) -> np.ndarray:
+        """The links of words one after another."""
+        size = self.sizes[3, at]
+        return self.links[np.arange(size.sum()) + np.repeat(self.begin[at] - (np.cumsum(size) - size), size)]
+
     def together(self, words: list[str]) -> Segment | None:
         """The sum of words; None where one of them has no tokens."""
         numbers = list(map(self.number.__getitem__, words))
         if self.bad and not self.bad.isdisjoint(numbers):
             return None
         at = np.array(numbers)
-        size = self.sizes[:, at]
-        links = size[3]
-        place = np.arange(links.sum()) + np.repeat(self.begin[at] - (np.cumsum(links) - links), links)
-        a, b, groups, _ = size.sum(axis=1).tolist()
-        return Segment(a, b, groups, b"".join(map(self.written.__getitem__, numbers)), self.links[place])
+        a, b, groups, _ = self.sizes[:, at].sum(axis=1).tolist()
+        return Segment(a, b, groups, b"".join(map(self.written.__getitem__, numbers)), self.links_of(at))
 
 
 class Aligner:
@@ -157,7 +166,7 @@ class Aligner:
 
         self.width = np.array([len(x) for x in self.written])
         self.links = links
-        self.words = Words()
+        self.words, self.before = Words(), Words()
 
     def parts(self, texts: list[str]) -> Iterator[Part | None]:
         """Each text with a space before it, in both encodings; None where the tokens are not its bytes."""
@@ -217,8 +226,11 @@ class Aligner:
         """What each text's words add up to; None for a text without tokens."""
         cut = [CUT.split(text) for text in texts]
         if len(self.words.written) > MEMO_WORDS or self.words.characters > MEMO_CHARACTERS:
-            self.words = Words()
-        self.learn(dict.fromkeys(w for words in cut for w in words if w not in self.words.number))
+            self.before, self.words = self.words, Words()
+        unknown = dict.fromkeys(w for words in cut for w in words if w not in self.words.number)
+        if known := [w for w in unknown if w in self.before.number]:
+            self.words.take(self.before, known)
+        self.learn(w for w in unknown if w not in self.before.number)
         return [self.words.together(words) for words in cut]
 
 
