@@ -81,19 +81,29 @@ class LanguageModel:
         return out
 
 
+#: Parts of a language that are ranked apart.
+SHARES = 64
+
+
 def has_letter(text: Column) -> Column:
     return F.coalesce(text.rlike("\\p{L}"), F.lit(False))
 
 
 def training_rows(docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_language: int) -> DataFrame:
-    """At most ``per_language`` texts with a letter of each language, the first by a hash of the id.
+    """At most ``per_language`` texts with a letter of each language, the first by a hash of the id; a repeated row counts once.
 
-    Ranked with a group limit, so that a language with a third of all rows sends ``per_language`` rows per task.
+    Hashes alone are ranked, first in ``SHARES`` parts of each language, so a language with a third of all rows is gathered nowhere; then the
+    texts of the few chosen ones are read.
     """
     rows = docs.select(F.col(lang_col).cast("string").alias("lang"), F.xxhash64(F.col(id_col).cast("string")).alias("_h"), F.col(id_col).cast("string").alias("_i"),
-                       F.col(text_col).alias("text")).filter(F.col("lang").isNotNull() & has_letter(F.col("text")))
-    order = Window.partitionBy("lang").orderBy("_h", "_i", F.xxhash64("text"))
-    return rows.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= per_language).select("lang", "text")
+                       F.col(text_col).alias("text")).filter(F.col("lang").isNotNull() & has_letter(F.col("text"))).withColumn("_t", F.xxhash64("text"))
+    order = ["_h", "_i", "_t"]
+    parts = Window.partitionBy("lang", F.pmod(F.xxhash64("_h", "_t"), F.lit(SHARES))).orderBy(*order)
+    first = rows.select("lang", *order).withColumn("_n", F.row_number().over(parts)).filter(F.col("_n") <= per_language)
+    chosen = first.withColumn("_n", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).filter(F.col("_n") <= per_language).select(
+        "lang", "_h", F.coalesce("_i", F.lit("")).alias("_i"), "_t").distinct()
+    texts = rows.withColumn("_i", F.coalesce("_i", F.lit(""))).join(chosen, ["lang", *order])
+    return texts.groupBy("lang", *order).agg(F.min("text").alias("text")).select("lang", "text")
 
 
 def _examples(bits: int, fragments: int):
