@@ -9,6 +9,7 @@ new prefixes only, and after an edit the table is right again as soon as it agre
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
 import itertools
 import struct
@@ -25,6 +26,10 @@ from pyspark.sql import types as T
 MEMO_PIECES, MEMO_WORDS, MEMO_PAIRS = 200_000, 400_000, 2_000_000
 #: Pieces of a text taken up at a time, and characters of texts whose new words are encoded together.
 CHUNK, TOGETHER = 200_000, 4_000_000
+#: The same where ids leave the task as arrays, which need memory, too: words held, and characters taken up together.
+ENCODE_WORDS, ENCODE_TOGETHER = 150_000, 1_000_000
+#: Characters from which on a text's words are not held together; it is read piece by piece.
+LONG = 1_000_000
 #: Bytes of the longest piece that is encoded together with others.
 SHORT = 64
 NEVER = 1 << 60
@@ -414,10 +419,19 @@ def _written(encoder: Encoder, pieces: list[str]) -> list[tuple[bytes, bytes, by
     return [encoder.forms(encoder.piece_ids[p]) for p in pieces]
 
 
-def _runs(texts: list[str], encoder: Encoder, known: _Words) -> Iterator[Iterable[list[tuple[bytes, bytes, bytes]]]]:
+def _forget(encoder: Encoder, known: _Words) -> None:
+    """Give back what a task has held: its worker goes on to live beside other operators' tasks."""
+    known.clear()
+    encoder.piece_ids.clear()
+    encoder.vocabulary.pairs.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+
+
+def _runs(texts: list[str], encoder: Encoder, known: _Words, most: int = 0) -> Iterator[Iterable[list[tuple[bytes, bytes, bytes]]]]:
     """For each text its pieces' forms, in runs."""
-    cut = [text.split(" ") for text in texts]
-    if len(known) >= MEMO_WORDS:
+    cut = [text.split(" ") if len(text) <= LONG else [""] for text in texts]
+    if len(known) >= (most or MEMO_WORDS):
         known.clear()
     known.learn(itertools.chain.from_iterable(words[1:] for words in cut))
     for text, words in zip(texts, cut):
@@ -442,13 +456,14 @@ def _digests(texts: list[str], encoder: Encoder, known: _Words) -> Iterator[tupl
         yield n, ids_hash.hexdigest(), bytes_hash.hexdigest()
 
 
-def _some(texts: Iterable[str]) -> Iterator[list[str]]:
-    """Texts in lists of about ``TOGETHER`` characters."""
+def _some(texts: Iterable[str], together: int = 0) -> Iterator[list[str]]:
+    """Texts in lists of about ``together`` characters."""
+    together = together or TOGETHER
     held, n = [], 0
     for text in texts:
         held.append(text)
         n += len(text)
-        if n >= TOGETHER:
+        if n >= together:
             yield held
             held, n = [], 0
     yield held
@@ -476,13 +491,14 @@ def encode(docs: DataFrame, vocabulary_path: str, pattern: str, text_col: str =
         tools = _encoder(content.value, pattern)
         for batch in batches:
             begin = 0
-            for texts in _some(batch.column(batch.num_columns - 1).to_pylist()):
-                ids = [b"".join([x for forms in runs for _, _, x in forms]) for runs in _runs(texts, *tools)]
+            for texts in _some(batch.column(batch.num_columns - 1).to_pylist(), ENCODE_TOGETHER):
+                ids = [b"".join([x for forms in runs for _, _, x in forms]) for runs in _runs(texts, *tools, ENCODE_WORDS)]
                 ends = np.cumsum([0, *(len(x) // 4 for x in ids)], dtype=np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), np.int32)))
                 part = batch.slice(begin, len(texts))
                 begin += len(texts)
                 yield pa.record_batch([*part.columns[:-1], lists], names=names)
+        _forget(*tools)
 
     return rows.mapInArrow(encoded, schema)
 

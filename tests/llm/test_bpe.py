@@ -1,6 +1,9 @@
 import base64
 import hashlib
 import random
+import subprocess
+import sys
+from pathlib import Path
 
 import public_tokenizers
 import pytest
@@ -92,3 +95,24 @@ def test_documents(odd, clashing, empty, reference, stored):
     texts = stored([(i, t) for i, t in enumerate(samples())], "doc_id long, text string")
     for r in bpe.encode_digests(texts, PATH, PATTERN).collect():
         assert r["n_tokens"] == len(reference.encode_ordinary(samples()[r["doc_id"]]))
+
+
+MEASURED = """
+import resource, public_tokenizers as P
+from sedimenta.llm import bpe
+text = " ".join(f"word{i % 97} of {i % 31}" for i in range(2_600_000))
+tools = bpe._encoder(open(P.path("byte_bpe_50k.tiktoken"), "rb").read(), P.PATTERN)
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+n, _, raw = next(bpe._digests([text], *tools))
+import hashlib
+assert raw == hashlib.sha256(text.encode()).hexdigest()
+print(len(text), (resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1024)
+"""
+
+
+def test_a_text_of_tens_of_megabytes_takes_little_more_than_itself():
+    root = Path(__file__).resolve().parent.parent.parent
+    done = subprocess.run([sys.executable, "-c", MEASURED], cwd=root, capture_output=True, text=True, timeout=600)
+    assert done.returncode == 0, done.stderr[-1000:]
+    size, grown = map(int, done.stdout.split())
+    assert size > 30_000_000 and grown < 400
