@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from sedimenta.llm import shardedcounts
 from sedimenta.llm.textscan import TOGETHER, Counts, Lookup, gathered, gram_keys, shard_of_context
-from sedimenta.llm.work import ROW, chosen_rows, ranked, stage, stored, with_row_number
+from sedimenta.llm.work import ROW, chosen_rows, flagged, ranked, stage, stored, with_row_number
 
 #: Each byte's place in the alphabet of repeated words: the control characters that are no white space.
 CONTROL = [b for b in range(32) if not 9 <= b <= 13]
@@ -193,11 +193,12 @@ def quantiles(rows: DataFrame, group: str, quantile: float | Column, value: str
 
 
 def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", label_col: str = "quality", depth: int = 4,
-          trusted: int = 20_000, quantile: float = 0.995, margin: float = 1.25, prior_bytes: int = 30, spared: int = 4, prior_rows: int = 400) -> DataFrame:
+          trusted: int | None = None, quantile: float = 0.995, margin: float = 1.25, prior_bytes: int = 30, spared: int = 4, prior_rows: int = 400) -> DataFrame:
     """Per row of ``docs``: _row, the id, perplexity per byte, threshold, kept.
 
-    Trusted text: documents labelled 1. The model learns from four fifths of the first ``trusted`` of each language by a hash of the
-    id; all other trusted documents set the thresholds. A short text says little, so its perplexity is drawn towards its language's own, as if
+    Trusted text: documents labelled 1. The model learns from four fifths of them by a hash of the id, all others set the thresholds,
+    as what a model has learnt says nothing of how it takes new text. With ``trusted`` it learns from no more than the first so many of
+    each language, and the rest sets thresholds too. A short text says little, so its perplexity is drawn towards its language's own, as if
     ``prior_bytes`` of usual text came before it. A document is kept if this is at most ``margin`` times the ``quantile`` that the
     trusted documents of its language have.
 
@@ -211,9 +212,11 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     rows = with_row_number(docs.select(F.col(id_col).alias("_d"), F.col(text_col).alias("_t"), F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("_lang")))
     part = F.pmod(F.xxhash64("_key", F.lit("trusted")), F.lit(5))
     known = rows.select(ROW, F.col("_d").cast("string").alias("_key"), "_lang").join(labelled, "_key").select(ROW, "_lang", F.xxhash64("_key").alias("_hash"), "_key", part.alias("_fifth"))
-    known = stage(ranked(known, ["_lang"], ["_hash", "_key", ROW]).select(ROW, ((F.col("_fifth") > 0) & (F.col("_index") < trusted)).alias("_train")))
-    train = known.filter("_train").select(ROW, F.lit(True).alias("_fit"))  # at most ``trusted`` rows per language
-    rows = rows.join(F.broadcast(train), ROW, "left").fillna(False, ["_fit"])
+    learns = F.col("_fifth") > 0
+    if trusted is not None:
+        known, learns = ranked(known, ["_lang"], ["_hash", "_key", ROW]), learns & (F.col("_index") < trusted)
+    known = stage(known.select(ROW, learns.alias("_train")))
+    rows = flagged(rows, known.filter("_train"), "_fit")
     scored = stage(perplexity(rows, "_fit", "_d", "_t", ["_lang"], depth))
     held = stage(scored.join(known.filter("not _train").select(ROW), ROW).select(ROW, "_lang", "n_bytes", "score"))
     overall = F.broadcast(held.agg((F.sum("score") / F.sum("n_bytes")).alias("_usual_all")))  # one row

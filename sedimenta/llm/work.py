@@ -12,6 +12,8 @@ from pyspark.sql.window import Window
 ROW = "_row"
 #: Bits for the place of a row in its file.
 FILE_ROWS = 40
+#: Rows whose flags are one bitmap, as a power of two; ``bitmap_construct_agg`` makes them of this size.
+FLAG_BITS = 15
 
 
 def work_dir(spark: SparkSession) -> str:
@@ -60,6 +62,18 @@ def with_row_number(df: DataFrame, name: str = ROW) -> DataFrame:
     return numbered.withColumn(name, F.shiftleft(F.col(file), FILE_ROWS) + F.col(place)).drop(path, place, file)
 
 
+def flagged(rows: DataFrame, chosen: DataFrame, name: str) -> DataFrame:
+    """``rows`` (with row numbers) and, in the boolean column ``name``, whether the row's number is in ``chosen._row``.
+
+    The numbers are sent to the tasks as a bit per row, so rows stay where their scan reads them, however many are chosen.
+    """
+    block, place = F.shiftright(F.col(ROW), FLAG_BITS), F.col(ROW).bitwiseAND((1 << FLAG_BITS) - 1)
+    bits = stage(chosen.groupBy(block.alias("_flag_block")).agg(F.bitmap_construct_agg(place).alias("_flag_bits")))
+    byte = F.conv(F.hex(F.substring("_flag_bits", F.shiftright(place, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    flag = F.coalesce(F.getbit(byte, place.bitwiseAND(7).cast("int")) == 1, F.lit(False))
+    return rows.withColumn("_flag_block", block).join(F.broadcast(bits), "_flag_block", "left").withColumn(name, flag).drop("_flag_block", "_flag_bits")
+
+
 def chosen_rows(df: DataFrame, chosen: DataFrame, copies: str | None = None) -> DataFrame:
     """The rows of ``df`` (see ``stored``) whose number is in ``chosen._row``, with all columns of ``df``, whatever their names; with
     ``copies`` each as often as that column of ``chosen`` says."""

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from sedimenta.llm import context_tree, kneser_ney
 from sedimenta.llm.textscan import BEFORE, END, Counts, Lookup, gram_keys, pack, unpack, word_hashes
+from sedimenta.llm.work import ROW, flagged, with_row_number
 from tests.llm.conftest import DOCS, ODD
 
 
@@ -253,6 +254,23 @@ def test_thresholds_of_a_rare_language_outlive_the_training_bound(stored):
     assert len(cuts["xx"]) == len(cuts["en"]) == 1 and cuts["xx"] != cuts["en"]
 
 
+def test_the_quality_model_learns_from_all_trusted_text(spark, stored):
+    """Past any number of documents of a language: those last by the hash of their id have words of their own."""
+    ids = [r["id"] for r in spark.range(24_000).orderBy(F.xxhash64(F.col("id").cast("string"))).collect()]
+    rows = [(i, "the house stands on green hills" if k < 21_000 else "quick brown foxes jump over dogs", "en", "s", 0) for k, i in enumerate(ids)]
+    docs, labels = stored(rows, DOCS), stored([(i, 1) for i in ids], "doc_id long, quality int")
+    late = set(ids[21_000:])
+    mean = lambda found: np.mean([r["perplexity"] for r in found.collect() if r["doc_id"] in late])
+    assert mean(kneser_ney.judge(docs, labels)) < 1.5 < mean(kneser_ney.judge(docs, labels, trusted=20_000))
+
+
+def test_rows_are_flagged_where_they_stand(spark, stored):
+    docs = with_row_number(stored([(i,) for i in range(70_000)], "i long", 2))
+    for chosen in (F.col("i") % 7 == 3, F.col("i") < 0, F.lit(True)):
+        got = flagged(docs, docs.filter(chosen).select(ROW).union(docs.filter(chosen).select(ROW)), "f")
+        assert got.count() == 70_000 and got.filter(F.col("f") != chosen).isEmpty()
+
+
 def test_quantiles_are_exact(stored):
     frame = stored([("a" if i % 3 else "b", float(i * 37 % 1009 // 2), i) for i in range(1000)], "g string, _drawn double, _row long")
     values = {g: [float(i * 37 % 1009 // 2) for i in range(1000) if ("a" if i % 3 else "b") == g] for g in "ab"}
