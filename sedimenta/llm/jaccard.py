@@ -23,6 +23,8 @@ from sedimenta.llm.work import ROW, chosen_rows, stage, stored, with_row_number
 SKETCH_BITS, SKETCH_CHUNKS, FAN_IN = 22, 16, 256
 #: Blocks of columns whose sizes bound an overlap.
 BLOCKS = 256
+#: Rounds in which a row is compared with one other, at most, before all rows meet that share a column and no component.
+ROUNDS = 8
 
 
 def shingle_sets(texts: list[bytes], width: int, salt: int) -> Iterator[np.ndarray]:
@@ -182,6 +184,12 @@ def _sized_all(pairs: DataFrame, num: int, den: int) -> DataFrame:
     return pairs.filter(F.least("na", "nb") * den >= F.greatest("na", "nb") * num)
 
 
+def partners(num: int, den: int):
+    """For a post (a column at place ``_at`` of a row of ``n``): the largest row that can link with this one if it is the first column they
+    share. None of the columns before it is in the other row, so at most ``n - _at`` are."""
+    return F.floor(((F.col("n") - F.col("_at")) * (num + den) - F.col("n") * num) / F.lit(num)).cast("long")
+
+
 def without_repeats(posts: DataFrame) -> DataFrame:
     """Posts (_set, _at, _column, ..) without the columns whose rows all share an earlier column.
 
@@ -198,7 +206,7 @@ def without_repeats(posts: DataFrame) -> DataFrame:
     likely = stage(tried.filter("2 * _both >= _rows").select("_column", "_earlier", "_rows"))
     pairs = placed.select("_set", "_column").join(likely, "_column").join(placed.select("_set", F.col("_column").alias("_earlier")), ["_set", "_earlier"])
     needless = pairs.groupBy("_column", "_earlier", "_rows").agg(F.count("*").alias("_shared")).filter("_shared = _rows").select("_column").distinct()
-    return placed.drop("_before", "_first", "_at").join(stage(needless), "_column", "left_anti")
+    return placed.drop("_before", "_first").join(stage(needless), "_column", "left_anti")
 
 
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, num: int = 4, den: int = 5, salt: int = 0) -> DataFrame:
@@ -209,10 +217,11 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", widt
     space, A-Z in lower case. NULL, empty and wordless texts have no n-grams, link with nothing and are components of
     their own. Sets are of 64-bit hashes of n-grams; no link is lost or made but by a collision inside a pair's two sets.
 
-    Documents with equal sets are one row of the matrix. Columns that several rows share are joined in two steps. First each row
-    is compared with one other: of the rows with the smallest hash in each of its columns, the one it meets most often. Near
-    copies fall into components by that. Then rows that share a column but no component meet, all of them. Rows of one component need not
-    meet again, so a large group of near copies costs its size and not its square. ``docs`` must be a stored table.
+    Documents with equal sets are one row of the matrix. Columns that several rows share are joined in two steps. First, in some rounds,
+    each row is compared with one other: of the rows that stand for its columns, those with the fewest rarer columns, the one it meets most
+    often. Near copies fall into components by that. Then rows that share a column but no component meet, all that can link by
+    what follows it. Rows of one component need not meet again, so a large group of near copies costs its size and not its
+    square. ``docs`` must be a stored table.
     """
     spark = docs.sparkSession
     rows = with_row_number(docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))).select(ROW, "_id", "_text")
@@ -225,22 +234,26 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", widt
         return groups(docs, id_col, text_col, width, num, den, salt + 1)
 
     posts = described.filter("n > 0").select("_set", F.posexplode("_head").alias("_at", "_column"))
-    columns = posts.groupBy("_column").agg(F.min("_set").alias("_least"), F.max("_set").alias("_most")).filter("_least != _most").select("_column", "_least")
-    columns = stage(columns)
-    posts = stage(without_repeats(posts.join(columns, "_column").distinct()).join(classes.select("_set", "n"), "_set").select("_column", "_set", "n", "_least"))
-    least = posts.filter("_set = _least").select("_column", F.col("n").alias("nb")).distinct()
-    first = posts.filter("_set != _least").join(least, "_column").select(F.col("_set").alias("a"), F.col("_least").alias("b"), F.col("n").alias("na"), "nb")
-    # Of the rows it meets so, each is compared with the one it shares most columns with.
-    shared = _sized_all(first, num, den).groupBy("a", "b", "na", "nb").agg(F.count("*").alias("c"))
-    first = stage(shared.groupBy("a").agg(F.max(F.struct("c", "b", "na", "nb")).alias("best")).select("a", "best.b", "best.na", "best.nb"))
-    links = links_of(first, classes, rows, width, salt, num, den)
-    labels = stage(connected(links))
-
-    placed = posts.join(labels.withColumnRenamed("node", "_set"), "_set", "left").select("_column", "_set", "n", F.coalesce("label", "_set").alias("_part"))
-    several = placed.groupBy("_column").agg(F.min("_part").alias("x"), F.max("_part").alias("y")).filter("x != y").select("_column")
-    placed = stage(placed.join(several, "_column"))
+    columns = stage(posts.groupBy("_column").agg(F.min("_set").alias("_least"), F.max("_set").alias("_most")).filter("_least != _most").select("_column"))
+    posts = without_repeats(posts.join(columns, "_column").distinct()).join(classes.select("_set", "n"), "_set")
+    posts = stage(posts.select("_column", "_set", "n", "_at", partners(num, den).alias("_with")))
+    met = links = stage(posts.sparkSession.createDataFrame([], "a long, b long"))
+    labels = stage(links.toDF("node", "label"))
+    for k in range(ROUNDS + 1):
+        placed = posts.join(labels.withColumnRenamed("node", "_set"), "_set", "left").withColumn("_part", F.coalesce("label", "_set")).drop("label")
+        several = placed.groupBy("_column").agg(F.min("_part").alias("x"), F.max("_part").alias("y")).filter("x != y").select("_column")
+        placed = stage(placed.join(several, "_column"))
+        if k == ROUNDS or placed.isEmpty() or (k and not _crowded(placed)):
+            break
+        first = stage(_with_one(placed, k).join(met, ["a", "b"], "left_anti"))
+        more = links_of(first, classes, rows, width, salt, num, den)
+        met = stage(met.union(first.select("a", "b")))
+        if more.isEmpty():
+            break
+        links = stage(links.union(more))
+        labels = stage(connected(links))
     if not placed.isEmpty():
-        more = links_of(_across(placed, first, num, den), classes, rows, width, salt, num, den)
+        more = links_of(_across(placed, met, num, den), classes, rows, width, salt, num, den)
         labels = stage(connected(links.union(more))) if not more.isEmpty() else labels
 
     known = classes.select("_set", "_best").join(labels.withColumnRenamed("node", "_set"), "_set", "left").select("_set", "_best", F.coalesce("label", "_set").alias("_part"))
@@ -252,25 +265,53 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", widt
                          F.coalesce(F.col("_first.r") == F.col(ROW), F.lit(True)).alias("first"))
 
 
-def _across(placed: DataFrame, first: DataFrame, num: int, den: int) -> DataFrame:
-    """Distinct pairs of rows that share a column but no part, without those that have met before."""
-    # Parts that meet in a column, then their rows; the sizes a part has there rule out most.
+def _crowded(placed: DataFrame) -> bool:
+    """Whether parts would meet more often than there are rows to compare with one other; only says if another round is worth it."""
+    parts = placed.filter("_with >= n").groupBy("_column").agg(F.count_distinct("_part").alias("k")).agg(F.sum(F.col("k") * (F.col("k") - 1) / 2).alias("meet"))
+    return (parts.first()["meet"] or 0) > placed.count()
+
+
+def _with_one(placed: DataFrame, k: int) -> DataFrame:
+    """Pairs (a, b, na, nb) of each row with one of another part: of the rows that stand for its columns, the one it meets most often.
+
+    A row stands for a column if few of its own come before it there: it has little of its own, so other copies are closer to it than to
+    one another. Which of several it is depends on the round ``k``.
+    """
+    one = placed.groupBy("_column").agg(F.min(F.struct("_at", F.xxhash64("_set", F.lit(k)).alias("h"), "_set", "n", "_with", "_part")).alias("o"))
+    met = placed.join(one, "_column").filter((F.col("_part") != F.col("o._part")) & (F.col("_with") >= F.col("o.n")) & (F.col("o._with") >= F.col("n")))
+    shared = met.groupBy(F.col("_set").alias("x"), F.col("o._set").alias("y"), F.col("n").alias("nx"), F.col("o.n").alias("ny")).agg(F.count("*").alias("c"))
+    best = shared.groupBy("x", "nx").agg(F.max(F.struct("c", F.xxhash64("y", F.lit(k)).alias("h"), "y", "ny")).alias("o")).select("x", "nx", "o.y", "o.ny")
+    larger = F.col("x") > F.col("y")
+    return best.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b"), F.when(larger, F.col("nx")).otherwise(F.col("ny")).alias("na"),
+                       F.when(larger, F.col("ny")).otherwise(F.col("nx")).alias("nb")).distinct()
+
+
+def _across(placed: DataFrame, met: DataFrame, num: int, den: int) -> DataFrame:
+    """Distinct pairs of rows that share a column but no part, without those that have met before.
+
+    A pair that links does so by what follows the first column it shares, so rows meet only in columns from which on each has enough
+    for the other's size (``partners``); in others that they share they need not.
+    """
+    # Parts that meet in a column, then their rows; the sizes that a part has and admits there rule out most.
     size = placed.select("_part", "_set").distinct().groupBy("_part").agg((F.count("*") == 1).alias("alone"))
-    parts = stage(placed.groupBy("_column", "_part").agg(F.min("n").alias("lo"), F.max("n").alias("hi")).join(size, "_part"))
+    parts = stage(placed.groupBy("_column", "_part").agg(F.min("n").alias("lo"), F.max("_with").alias("hi")).join(size, "_part"))
     meet = parts.alias("p").join(parts.alias("q"), (F.col("p._column") == F.col("q._column")) & (F.col("p._part") < F.col("q._part")) &
-                                 (F.col("p.hi") * den >= F.col("q.lo") * num) & (F.col("q.hi") * den >= F.col("p.lo") * num))
+                                 (F.col("p.hi") >= F.col("q.lo")) & (F.col("q.hi") >= F.col("p.lo")))
     alone = F.col("p.alone") & F.col("q.alone")
     meet = stage(meet.select(F.when(~alone, F.col("p._column")).alias("_column"), F.col("p._part").alias("_pa"), F.col("q._part").alias("_pb"),
-                             F.when(alone, F.col("p.lo")).alias("na"), F.when(alone, F.col("q.lo")).alias("nb")).distinct())
+                             *[F.when(alone, F.col(x)).alias(y) for x, y in (("p.lo", "na"), ("q.lo", "nb"))],
+                             *[F.when(~alone, F.col(f"q.{x}")).alias(x) for x in ("lo", "hi")]).distinct())
     # A part of one row is named after it, so two of them are the pair itself, in however many columns they meet.
     single = meet.filter("_column is null").select(F.col("_pa").alias("a"), F.col("_pb").alias("b"), "na", "nb")
-    left = placed.select("_column", F.col("_part").alias("_pa"), F.col("_set").alias("a"), F.col("n").alias("na"))
-    right = placed.select("_column", F.col("_part").alias("_pb"), F.col("_set").alias("b"), F.col("n").alias("nb"))
-    rest = meet.filter("_column is not null").select("_column", "_pa", "_pb").join(left, ["_column", "_pa"]).join(right, ["_column", "_pb"]).select("a", "b", "na", "nb")
+    left = placed.select("_column", F.col("_part").alias("_pa"), F.col("_set").alias("a"), F.col("n").alias("na"), F.col("_with").alias("wa")).alias("l")
+    right = placed.select("_column", F.col("_part").alias("_pb"), F.col("_set").alias("b"), F.col("n").alias("nb"), F.col("_with").alias("wb")).alias("r")
+    several = meet.filter("_column is not null").select("_column", "_pa", "_pb", "lo", "hi").alias("m")
+    rest = several.join(left, (F.col("m._column") == F.col("l._column")) & (F.col("m._pa") == F.col("l._pa")) & (F.col("wa") >= F.col("lo")) & (F.col("hi") >= F.col("na")))
+    rest = rest.select("m._column", "_pb", "a", "na", "wa").alias("x")
+    rest = rest.join(right, (F.col("x._column") == F.col("r._column")) & (F.col("x._pb") == F.col("r._pb")) & (F.col("wa") >= F.col("nb")) & (F.col("wb") >= F.col("na"))).select("a", "b", "na", "nb")
     cross = _sized_all(single.union(rest), num, den).select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"), F.when(F.col("a") > F.col("b"), F.col("na")).otherwise(F.col("nb")).alias("na"),
         F.when(F.col("a") > F.col("b"), F.col("nb")).otherwise(F.col("na")).alias("nb")).distinct()
-    met = first.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     return stage(cross.join(met, ["a", "b"], "left_anti"))
 
 

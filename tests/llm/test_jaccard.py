@@ -2,6 +2,7 @@ import random
 
 import pytest
 
+from sedimenta.llm import jaccard
 from sedimenta.llm.components import connected
 from sedimenta.llm.jaccard import groups, one_of_each
 from tests.llm.conftest import DOCS, ODD
@@ -65,6 +66,21 @@ def test_equals_brute_force(stored, seed, width, num, den):
     assert found(stored(rows, DOCS), width=width, num=num, den=den) == brute([r[:2] for r in rows], width, num, den)
 
 
+def test_near_copies_meet_few_others(stored, monkeypatch):
+    """A group of edited copies that link through those with fewer edits and mostly not with each other: what is compared grows with its size."""
+    rng = random.Random(7)
+    base, rows = [f"w{rng.randrange(500)}" for _ in range(140)], []
+    for i in range(200):
+        w = list(base)
+        for _ in range(i % 3):
+            w[rng.randrange(len(w))] = f"x{rng.randrange(10**6)}"
+        rows.append((i, " ".join(w), "en", "s", 0))
+    compared, links_of = [], jaccard.links_of
+    monkeypatch.setattr(jaccard, "links_of", lambda pairs, *more: compared.append(pairs.count()) or links_of(pairs, *more))
+    assert found(stored(rows, DOCS), width=4, num=85, den=100) == brute([r[:2] for r in rows], 4, 85, 100)
+    assert sum(compared) < 5 * len(rows)
+
+
 def test_odd_rows(odd, clashing, empty):
     want = brute([r[:2] for r in ODD], 5, 4, 5)
     assert found(odd) == want
