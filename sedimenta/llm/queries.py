@@ -51,9 +51,8 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    model = toxicity.train(docs, table(spark, sf_dir, "labels").filter(remainder(4) != 2))
-    return toxicity.score(docs, model).select("doc_id", (remainder(4) == 2).alias("held_out"), "score", "predicted")
+    judged = toxicity.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels").filter(remainder(4) != 2))
+    return judged.select("doc_id", (remainder(4) == 2).alias("held_out"), "score", "predicted")
 
 
 def op6_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:

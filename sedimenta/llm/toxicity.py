@@ -11,7 +11,7 @@ import re
 import uuid
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -19,7 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sedimenta.llm.work import stage
+from sedimenta.llm.textscan import pack, unpack
+from sedimenta.llm.work import ROW, flagged, stage, with_row_number
 
 #: Look-alikes and the letters they can stand for.
 LOOK_ALIKES = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l", "¥": "y", "¢": "c"}
@@ -33,7 +34,10 @@ SPACED = re.compile(r"(?<!\S)\S(?:[ \t]\S){2,}(?=[.,;:!?\"')\]]*(?!\S))")
 HIDDEN = re.compile(r"[0-9@$!|+(€£¥¢.\-_*~^'`,/\\]|([^\W\d_])\1")
 #: Marks around a word that hide nothing of it.
 AROUND = ".,;:!?\"'()[]{}<>*#%&|-_~"
+ENDS = ".,;:!?\"'()[]{}<>*#%&$|-_~"
 BITS = 20
+#: Parts that the counts of all buckets are sent in, and how many tasks' counts are added up at a time.
+CHUNKS, FAN_IN = 16, 256
 MEMO = 400_000
 
 
@@ -103,24 +107,23 @@ def restore(token: str, model: CharacterModel) -> str:
 
 def plain_words(tokens: set[str]) -> set[str]:
     """Tokens without marks at their ends."""
-    return {w.strip(".,;:!?\"'()[]{}<>*#%&$|-_~") for w in tokens}
+    return {w.strip(ENDS) for w in tokens}
 
 
 def words_of(text: str, model: CharacterModel, memo: dict[str, tuple[str, ...]]) -> set[str]:
     """The distinct words of a text and what hidden ones restore to."""
     lower = text.lower()
-    tokens = set(lower.split())
-    found = plain_words(tokens)
-    for t in {t.strip(AROUND) for t in tokens}:
-        if HIDDEN.search(t):
-            words = memo.get(t)
-            if words is None:
-                words = restored_words(t, model)
-                if len(t) <= WINDOW:
-                    if len(memo) >= MEMO:
-                        memo.clear()
-                    memo[t] = words
-            found.update(words)
+    found: set[str] = set()
+    for t in set(lower.split()):
+        words = memo.get(t)
+        if words is None:
+            bare = t.strip(AROUND)
+            words = (t.strip(ENDS), *(restored_words(bare, model) if HIDDEN.search(bare) else ()))
+            if len(t) <= WINDOW:
+                if len(memo) >= MEMO:
+                    memo.clear()
+                memo[t] = words
+        found.update(words)
     for run in SPACED.findall(lower):
         found.update(restored_words(run, model))
     found.discard("")
@@ -154,7 +157,7 @@ def features(word: str) -> list[int]:
 class ToxicityModel:
     """Evidence of each bucket (a lower bound of its log odds), weights of a text's strongest words, the character model.
 
-    Of fixed size: 2**BITS buckets and the trigrams of a bounded sample.
+    2**BITS buckets and the distinct character trigrams of the training texts' words.
     """
 
     evidence: np.ndarray
@@ -181,49 +184,118 @@ class Scorer:
 
     def strongest(self, text: str) -> list[float]:
         """Evidence of the three strongest distinct words (0 where there are fewer), and the number of strong ones, damped."""
-        values = list(map(self.word, words_of(text, self.model, self.restored)))
+        return self.strongest_of(words_of(text, self.model, self.restored))
+
+    def strongest_of(self, words: Iterable[str]) -> list[float]:
+        values = list(map(self.word, words))
         top = sorted((v for v in values if v > 0), reverse=True)
         return [*(top + [0.0] * 3)[:3], math.log1p(sum(v > 3 for v in top))]
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, per_label: int) -> DataFrame:
-    """(label, half, text) of at most ``per_label`` labelled ids per label, the first by a hash of the id, each with one of its texts.
+def labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str) -> DataFrame:
+    """Per row of ``docs``: _id, _text (NULL: empty), label (0, 1; NULL where there is none or no text), half (of the labelled ids by their hash).
 
-    Each task keeps that many ids of a label, so no label is gathered; the ids are few and are broadcast, so only their texts move."""
-    rows = labels.select(F.col(id_col).cast("string").alias("_key"), F.col(label_col).cast("int").alias("label")).filter("_key is not null and label in (0, 1)").groupBy("_key").agg(F.max("label").alias("label"))
-    first = [rows.filter(F.col("label") == x).orderBy(F.xxhash64("_key"), "_key").limit(per_label) for x in (0, 1)]
-    chosen = first[0].unionByName(first[1]).select("_key", "label", F.pmod(F.xxhash64("_key", F.lit("half")), F.lit(2)).alias("half"))
-    texts = docs.select(F.col(id_col).cast("string").alias("_key"), F.col(text_col).alias("text")).filter(F.col("text").isNotNull())
-    found = texts.join(F.broadcast(chosen), "_key")
-    return found.groupBy("_key", "label", "half").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("_one")).select("label", "half", "_one.text")
+    An id that is labelled several times has its largest label. Labels are sent to the texts as a bit per row, so no text moves."""
+    rows = with_row_number(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")))
+    key = F.col("_id").cast("string")
+    given = labels.select(F.col(id_col).cast("string").alias("_key"), F.col(label_col).cast("int").alias("label")).filter("_key is not null and label in (0, 1)").groupBy("_key").agg(F.max("label").alias("label"))
+    known = stage(rows.filter("_text is not null").select(ROW, key.alias("_key")).join(given, "_key").select(ROW, "label"))
+    rows = flagged(flagged(rows, known.filter("label = 1"), "_toxic"), known.filter("label = 0"), "_clean")
+    label = F.when(F.col("_toxic"), 1).when(F.col("_clean"), 0)
+    return rows.select("_id", F.coalesce("_text", F.lit("")).alias("_text"), label.cast("int").alias("label"), F.pmod(F.xxhash64(key, F.lit("half")), F.lit(2)).cast("int").alias("half"))
 
 
-def _counted(trigrams: dict[str, int] | None):
-    """Without trigrams: those of the texts' words. With them: texts by label, half and bucket; bucket -1 counts the texts."""
+def trigrams_of(rows: DataFrame) -> dict[str, int]:
+    """How often each character trigram occurs in the distinct words of each labelled text."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: Counter = Counter()
-        scorer = Scorer(np.zeros(1 << BITS), trigrams) if trigrams is not None else None
+        words: Counter = Counter()
         grams: Counter = Counter()
+
+        def spell() -> None:
+            for word, n in words.items():
+                if word.isalpha():
+                    padded = f"  {word} "
+                    for i in range(len(padded) - 2):
+                        grams[padded[i: i + 3]] += n
+            words.clear()
+
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                words.update(plain_words(set(text.lower().split())))
+                if len(words) >= MEMO:
+                    spell()
+        spell()
+        yield pa.record_batch([pa.array(grams.keys(), pa.string()), pa.array(grams.values(), pa.int64())], names=["gram", "n"])
+
+    found = rows.filter("label is not null").select("_text").mapInArrow(counted, "gram string, n long")
+    return {r["gram"]: r["n"] for r in found.groupBy("gram").agg(F.sum("n").alias("n")).collect()}
+
+
+def restored(rows: DataFrame, trigrams: dict[str, int]) -> DataFrame:
+    """``rows`` with the words of each text, restored ones too, in ``words`` in place of the text. They depend on no label, so
+    what learns and what scores can read one copy of them."""
+    shared, kind = rows.sparkSession.sparkContext.broadcast(trigrams), rows.schema["_id"].dataType.simpleString()
+
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, memo = CharacterModel(shared.value), {}
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1024):
+                some = batch.slice(at, 1024)
+                found = [" ".join(sorted(words_of(t, model, memo))) for t in some.column(1).to_pylist()]
+                yield pa.record_batch([some.column(0), some.column(2), some.column(3), pa.array(found, pa.string())], names=["_id", "label", "half", "words"])
+
+    return stage(rows.mapInArrow(words, f"_id {kind}, label int, half int, words string"))
+
+
+def bucket_counts(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """By half and label, of the labelled ``rows``: texts, and texts by bucket. Counts of tasks are added up ``FAN_IN`` at a time."""
+    size = (1 << BITS) // CHUNKS
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts, seen = np.zeros((2, 2), np.uint32), np.zeros((2, 2, 1 << BITS), np.uint32)
+        known: dict[str, list[int]] = {}
+        part = 0
         for batch in batches:
-            for label, half, text in zip(*(c.to_pylist() for c in batch.columns)):
-                if scorer is None:
-                    for word in plain_words(set(text.lower().split())):
-                        if word.isalpha():
-                            padded = f"  {word} "
-                            grams.update(padded[i: i + 3] for i in range(len(padded) - 2))
-                else:
-                    held = {i for w in words_of(text, scorer.model, scorer.restored) for i in features(w)}
-                    total.update((label, half, i) for i in held)
-                    total[label, half, -1] += 1
-        if scorer is None:
-            yield pa.record_batch([pa.array(grams.keys(), pa.string()), pa.array(grams.values(), pa.int64())], names=["gram", "n"])
-        else:
-            label, half, bucket = zip(*total) if total else ((), (), ())
-            yield pa.record_batch([pa.array(label, pa.int32()), pa.array(half, pa.int64()), pa.array(bucket, pa.int32()), pa.array(total.values(), pa.int64())],
-                                  names=["label", "half", "bucket", "n"])
-
-    return counted
+            part = batch.column(0)[0].as_py() if batch.num_rows else part
+            for label, half, words in zip(*(c.to_pylist() for c in batch.columns[1:])):
+                held: set[int] = set()
+                for w in words.split():
+                    own = known.get(w)
+                    if own is None:
+                        if len(known) >= MEMO:
+                            known.clear()
+                        known[w] = own = features(w)
+                    held.update(own)
+                texts[half, label] += 1
+                if held:
+                    seen[half, label][np.fromiter(held, np.int64, len(held))] += 1
+        groups = [(h, x) for h in (0, 1) for x in (0, 1) if texts[h, x]]
+        for h, x in groups:
+            yield pa.record_batch([pa.array([part] * CHUNKS, pa.int64()), pa.array([(2 * h + x) * CHUNKS + i for i in range(CHUNKS)], pa.int32()), pa.array([int(texts[h, x])] * CHUNKS, pa.int64()),
+                                   pa.array([pack(c) for c in np.split(seen[h, x], CHUNKS)], pa.binary())], names=["part", "chunk", "texts", "counts"])
+
+    def added(table: pa.Table) -> pa.Table:
+        total = np.zeros(size, np.uint64)
+        for c in table.column("counts").to_pylist():
+            total += unpack(c, np.uint32)
+        return pa.table({"part": table.column("part").slice(0, 1), "chunk": table.column("chunk").slice(0, 1), "texts": pa.array([sum(table.column("texts").to_pylist())], pa.int64()),
+                         "counts": pa.array([pack(np.minimum(total, 2**32 - 1).astype(np.uint32))], pa.binary())})
+
+    kind = "part long, chunk int, texts long, counts binary"
+    some = rows.filter("label is not null").select(F.spark_partition_id().cast("long").alias("part"), "label", "half", "words")
+    left = max(1, some.rdd.getNumPartitions())
+    parts = some.mapInArrow(partial, kind)
+    while True:
+        left = -(-left // FAN_IN)
+        parts = parts.withColumn("part", F.floor(F.col("part") / FAN_IN)).groupBy("part", "chunk").applyInArrow(added, kind)
+        if left == 1:
+            break
+    texts, seen = np.zeros((2, 2)), np.zeros((2, 2, CHUNKS, size))
+    for r in parts.collect():  # 4 * CHUNKS rows at most
+        half, label, chunk = r["chunk"] // CHUNKS // 2, r["chunk"] // CHUNKS % 2, r["chunk"] % CHUNKS
+        texts[half, label], seen[half, label, chunk] = r["texts"], unpack(bytes(r["counts"]), np.uint32)
+    return texts, seen.reshape(2, 2, -1)
 
 
 def _evidence(with_it: np.ndarray, without: np.ndarray, toxic: int, clean: int) -> np.ndarray:
@@ -232,52 +304,79 @@ def _evidence(with_it: np.ndarray, without: np.ndarray, toxic: int, clean: int)
     return np.maximum(odds - np.sqrt(1 / (with_it + 0.5) + 1 / (without + 0.5)), 0) * (with_it >= 2)
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", per_label: int = 4000) -> ToxicityModel:
-    """Fits the model on a bounded sample (``per_label`` labelled rows of each label).
+def fitted(words: DataFrame, trigrams: dict[str, int], share: float) -> ToxicityModel:
+    """The model of all labelled rows of ``words``; ``share`` is the rate of label 1.
 
     Evidence is counted in two halves; each half's texts are then described by the other half's evidence, and a logistic
-    regression on these descriptions turns the strongest words of a text into a probability, at the labels' own rate.
+    regression on these descriptions turns the strongest words of a text into a probability, at that rate.
     """
-    sample = stage(training_sample(docs, labels, id_col, text_col, label_col, per_label))
-    grams = sample.mapInArrow(_counted(None), "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect()
-    trigrams = {r["gram"]: r["n"] for r in grams}
-    counts = sample.mapInArrow(_counted(trigrams), "label int, half long, bucket int, n long").groupBy("label", "half", "bucket").agg(F.sum("n").alias("n")).toArrow()
-    texts, seen = np.zeros((2, 2)), np.zeros((2, 2, 1 << BITS))
-    label, half, bucket, n = (np.asarray(counts.column(c)) for c in ("label", "half", "bucket", "n"))
-    whole = bucket < 0
-    texts[half[whole], label[whole]] = n[whole]
-    seen[half[~whole], label[~whole], bucket[~whole]] = n[~whole]
+    texts, seen = bucket_counts(words)
     parts = [_evidence(seen[h, 1], seen[h, 0], texts[h, 1], texts[h, 0]).astype(np.float32) for h in (0, 1)]
     evidence = _evidence(seen[:, 1].sum(0), seen[:, 0].sum(0), texts[:, 1].sum(), texts[:, 0].sum()).astype(np.float32)
-    shared = docs.sparkSession.sparkContext.broadcast((parts, trigrams))
+    shared = words.sparkSession.sparkContext.broadcast(parts)
 
     def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, known = shared.value
-        scorers = [Scorer(held[1], known), Scorer(held[0], known)]
+        scorers = [Scorer(shared.value[1], {}), Scorer(shared.value[0], {})]
         for batch in batches:
-            label, half, text = (c.to_pylist() for c in batch.columns)
-            yield pa.record_batch([pa.array(label, pa.int32()), pa.array([scorers[h].strongest(t) for h, t in zip(half, text)], pa.list_(pa.float64()))], names=["label", "x"])
+            label, half, found = (c.to_pylist() for c in batch.columns)
+            yield pa.record_batch([pa.array(label, pa.int32()), pa.array([scorers[h].strongest_of(w.split()) for h, w in zip(half, found)], pa.list_(pa.float64()))], names=["label", "x"])
+
+    rows = stage(words.filter("label is not null").select("label", "half", "words").mapInArrow(described, "label int, x array<double>"))
+    return ToxicityModel(evidence, _logistic(rows, texts.sum(0), share), trigrams)
 
-    rows = sample.mapInArrow(described, "label int, x array<double>").toArrow()
-    y = np.asarray(rows.column("label"), np.float64)
-    x = np.array(rows.column("x").to_pylist()).reshape(len(y), -1) if len(y) else np.zeros((0, 4))
+
+def _rate(labels: DataFrame, label_col: str) -> float:
     given = {r["label"]: r["n"] for r in labels.select(F.col(label_col).cast("int").alias("label")).groupBy("label").agg(F.count("*").alias("n")).collect()}
-    share = given.get(1, 0) / max(1, given.get(0, 0) + given.get(1, 0))
-    return ToxicityModel(evidence, _logistic(x, y, share), trigrams)
+    return given.get(1, 0) / max(1, given.get(0, 0) + given.get(1, 0))
+
+
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> ToxicityModel:
+    """Fits the model on all texts with a label, at the labels' own rate."""
+    rows = labelled(docs, labels, id_col, text_col, label_col).filter("label is not null")
+    trigrams = trigrams_of(rows)
+    return fitted(restored(rows, trigrams), trigrams, _rate(labels, label_col))
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, share: float) -> np.ndarray:
-    """Weights and bias by Newton's method with a small ridge; rows are weighted so that label 1 has the given share."""
-    x = np.hstack([x, np.ones((len(x), 1))])
+def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", threshold: float = 0.3) -> DataFrame:
+    """What ``score`` gives of ``docs`` under the model that ``train`` fits, with the words of each text restored only once."""
+    rows = labelled(docs, labels, id_col, text_col, label_col)
+    trigrams = trigrams_of(rows)
+    words = restored(rows, trigrams)
+    model = fitted(words, trigrams, _rate(labels, label_col))
+    return _scores(words.select("_id", "words"), model, lambda scorer, words: scorer.strongest_of(words.split()), threshold).withColumnRenamed("_id", id_col)
+
+
+def _logistic(rows: DataFrame, given: np.ndarray, share: float) -> np.ndarray:
+    """Weights and bias by Newton's method with a small ridge; rows (label, x) are weighted so that label 1 has the given share.
+
+    ``given`` holds the number of rows of each label. Each step sums gradient and curvature over all rows, a row per task."""
     w = np.zeros(5)
-    if not len(y) or not 0 < y.mean() < 1:
+    if not given.all():
         w[-1] = math.log((share + 1e-3) / (1 - share + 1e-3))
         return w
-    weight = np.where(y == 1, share / y.mean(), (1 - share) / (1 - y.mean()))
+    toxic = given[1] / given.sum()
+    rates = np.array([(1 - share) / (1 - toxic), share / toxic])
     ridge = np.diag([0.5] * 4 + [1e-3])
+
+    def summed(w: np.ndarray):
+        def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total, part = np.zeros(30), 0
+            for batch in batches:
+                if batch.num_rows:
+                    part, y = batch.column(0)[0].as_py(), np.asarray(batch.column(1))
+                    x = np.hstack([np.asarray(batch.column(2).flatten()).reshape(len(y), 4), np.ones((len(y), 1))])
+                    p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+                    total[:25] += ((x * (rates[y] * p * (1 - p))[:, None]).T @ x).reshape(-1)
+                    total[25:] += x.T @ (rates[y] * (p - y))
+            yield pa.record_batch([pa.array([part], pa.int32()), pa.array([total.tolist()], pa.list_(pa.float64()))], names=["part", "sums"])
+
+        return sums
+
+    placed = rows.select(F.spark_partition_id().alias("part"), "label", "x")
     for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (weight * p * (1 - p))[:, None]).T @ x + ridge, x.T @ (weight * (p - y)) + ridge @ w)
+        sums = sorted((r["part"], r["sums"]) for r in placed.mapInArrow(summed(w), "part int, sums array<double>").collect())
+        total = np.array([x for _, x in sums]).sum(axis=0)
+        step = np.linalg.solve(total[:25].reshape(5, 5) + ridge, total[25:] + ridge @ w)
         w -= np.clip(step, -4, 4)
         if np.abs(step).max() < 1e-8:
             break
@@ -291,7 +390,12 @@ def score(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_co
     """Per row of ``docs``: the id, score (0 to 1), predicted (1 from ``threshold`` on). NULL and empty texts have no words and get
     the model's score for that. Whole texts are read; only the text enters a score."""
     rows = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-    shared, name = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
+    return _scores(rows, model, Scorer.strongest, threshold).withColumnRenamed("_id", id_col)
+
+
+def _scores(rows: DataFrame, model: ToxicityModel, strongest: Callable[[Scorer, str], list[float]], threshold: float) -> DataFrame:
+    """(_id, score, predicted) of rows of an id and what ``strongest`` reads."""
+    shared, name = rows.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
@@ -300,9 +404,9 @@ def score(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_co
             _SCORERS[name] = Scorer(m.evidence, m.trigrams)
         scorer = _SCORERS[name]
         for batch in batches:
-            x = np.array([[*scorer.strongest(t), 1.0] for t in batch.column(1).to_pylist()]).reshape(batch.num_rows, 5)
+            x = np.array([[*strongest(scorer, t), 1.0] for t in batch.column(1).to_pylist()]).reshape(batch.num_rows, 5)
             p = 1 / (1 + np.exp(-np.clip(x @ m.weights, -30, 30)))
             yield pa.record_batch([batch.column(0), pa.array(p), pa.array((p >= threshold).astype(np.int32))], names=["_id", "score", "predicted"])
 
     kind = rows.schema["_id"].dataType.simpleString()
-    return rows.mapInArrow(scored, f"_id {kind}, score double, predicted int").withColumnRenamed("_id", id_col)
+    return rows.mapInArrow(scored, f"_id {kind}, score double, predicted int")

@@ -93,6 +93,21 @@ def test_toxicity_of_odd_rows(odd, clashing, empty, stored):
     assert {r["predicted"] for r in toxicity.score(odd, none).collect()} <= {0, 1}
 
 
+def test_the_toxicity_model_learns_from_every_labelled_text(spark, stored):
+    """Past any number of labelled ids, and from each text of an id: the last by the hash of their id have words of their own."""
+    ids = [r["id"] for r in spark.range(9_000).orderBy(F.xxhash64(F.col("id").cast("string"))).collect()]
+    rows = [(i, f"plain talk of day {k % 7}" + (" moron" if k % 2 and k < 8_800 else " bozo" if k % 2 else ""), "en", "s", 0) for k, i in enumerate(ids)]
+    rows += [(ids[1], "you zyzzy", "en", "s", 0)] * 6
+    docs, labels = stored(rows, DOCS), stored([(i, k % 2) for k, i in enumerate(ids)], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels)
+    seen, fresh = ["bozo", "moron"], stored([(1, "a bozo here", "en", "s", 0), (2, "a moron here", "en", "s", 0), (3, "a day here", "en", "s", 0)], DOCS)
+    assert all(max(model.evidence[i] for i in toxicity.features(w)) > 2 for w in seen)
+    assert max(model.evidence[i] for i in toxicity.features("zyzzy")) > 0
+    assert {r["doc_id"]: r["predicted"] for r in toxicity.score(fresh, model).collect()} == {1: 1, 2: 1, 3: 0}
+    both = {r["doc_id"]: r["score"] for r in toxicity.judge(docs, labels).collect() if r["doc_id"] != ids[1]}
+    assert both == pytest.approx({r["doc_id"]: r["score"] for r in toxicity.score(docs, model).collect() if r["doc_id"] != ids[1]})
+
+
 @driver_tables
 def test_languages_of_held_out_documents(spark):
     rows = queries.op8_language(spark, SF).join(spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang"), "doc_id").filter("held_out").collect()
