@@ -163,23 +163,28 @@ def version_chains(statements: DataFrame, at: str, spec: DimensionSpec = DIM_APP
     ends where the next begins. Statements of one entity at one moment that agree in the tracked attributes are one; they must
     not contradict each other (``contradictions``). An entity's statements, one per load at most, are ordered in one task.
     """
-    moment = F.col(at).cast("timestamp_ntz")
-    order = Window.partitionBy(spec.key).orderBy("_at", *[F.col(c).asc_nulls_first() for c in (*spec.tracked, *spec.carried)])
-    told = F.struct(*[F.struct(F.col(c)) for c in spec.tracked])  # a struct of structs compares NULL-safely
-    points = (
-        statements.select(*spec.source_columns, moment.alias("_at"))
-        .withColumn("_told", told)
-        .withColumn("_before", F.lag("_told").over(order))
-        .filter(~F.col("_told").eqNullSafe(F.col("_before")))
-    )
-    ends = F.lead("_at").over(Window.partitionBy(spec.key).orderBy("_at"))
-    made = {
+    told = statements.select(*spec.source_columns, F.col(at).cast("timestamp_ntz").alias("_at"))
+    made = _made(spec)
+    return _chained(told, [spec.key], spec).select(*[made.get(c, F.col(c)).alias(c) for c in spec.columns])
+
+
+def _chained(told: DataFrame, by: Sequence[str], spec: DimensionSpec, passing: Column | None = None) -> DataFrame:
+    """Statements that differ from the one before among those with the same ``by``, and in ``_end`` the moment of the next such one;
+    rows that are ``passing`` stay."""
+    order = Window.partitionBy(*by).orderBy("_at", *[F.col(c).asc_nulls_first() for c in (*spec.tracked, *spec.carried)])
+    said = F.struct(*[F.struct(F.col(c)) for c in spec.tracked])  # a struct of structs compares NULL-safely
+    differs = ~F.col("_told").eqNullSafe(F.col("_before"))
+    points = told.withColumn("_told", said).withColumn("_before", F.lag("_told").over(order)).filter(differs if passing is None else passing | differs)
+    return points.withColumn("_end", F.lead("_at").over(Window.partitionBy(*by).orderBy("_at")))
+
+
+def _made(spec: DimensionSpec) -> dict[str, Column]:
+    return {
         spec.surrogate: fn.version_key(F.col(spec.key), F.col("_at")),
         spec.start: F.col("_at"),
         spec.end: F.col("_end"),
         spec.current: F.col("_end").isNull(),
     }
-    return points.withColumn("_end", ends).select(*[made.get(c, F.col(c)).alias(c) for c in spec.columns])
 
 
 def contradictions(statements: DataFrame, at: str, spec: DimensionSpec = DIM_APPLICANT) -> DataFrame:
@@ -212,21 +217,50 @@ def apply_arrivals(dim: DataFrame, arrivals: DataFrame, at: str, earlier: DataFr
     dimension. Without ``earlier`` there must be no late arrival; ``late_entities`` tells. Entities closed because their source no longer
     offered them are not for this operator.
     """
-    told = arrivals.select(*spec.source_columns, F.col(at).cast("timestamp_ntz").alias("_told_at"))
-    rebuilt = None
     if earlier is not None:
-        late = late_entities(earlier, arrivals, at, at, spec)
-        before = earlier.select(*spec.source_columns, F.col(at).cast("timestamp_ntz").alias("_told_at"))
-        rebuilt = version_chains(before.unionByName(told).join(late, [spec.key], "left_semi"), "_told_at", spec)
-        told = told.join(late, [spec.key], "left_anti")
-        dim = dim.join(late, [spec.key], "left_anti")
+        return _with_late(dim, arrivals, at, earlier, spec)
+    told = arrivals.select(*spec.source_columns, F.col(at).cast("timestamp_ntz").alias("_told_at"))
     touched = told.select(spec.key).distinct()
     history = dim.filter(F.col(spec.current).isNull() | ~F.col(spec.current)).select(*spec.columns)
     current = current_rows(dim, spec)
     untouched = current.join(touched, [spec.key], "left_anti").select(*spec.columns)
     standing = current.join(touched, [spec.key], "left_semi").select(*spec.source_columns, F.col(spec.start).alias("_told_at"))
-    out = history.unionByName(untouched).unionByName(version_chains(standing.unionByName(told), "_told_at", spec))
-    return out if rebuilt is None else out.unionByName(rebuilt)
+    return history.unionByName(untouched).unionByName(version_chains(standing.unionByName(told), "_told_at", spec))
+
+
+_HISTORY, _STANDING, _EARLIER, _ARRIVAL = range(4)
+
+
+def _with_late(dim: DataFrame, arrivals: DataFrame, at: str, earlier: DataFrame, spec: DimensionSpec) -> DataFrame:
+    """``apply_arrivals`` with the statements made before.
+
+    Versions and statements of an entity are brought together once, each input is read once, and what becomes of a row is decided
+    there; so a task holds two sorts of its share instead of one for each join of the parts.
+    """
+    key = F.col(spec.key)
+    past = F.col(spec.current).isNull() | ~F.col(spec.current)
+    present = F.col(SLICE_COLUMN) == CURRENT_SLICE if SLICE_COLUMN in dim.columns else F.lit(True)
+    stored = F.struct(*[F.col(c) for c in spec.columns])
+    versions = dim.filter(past | present).select(*spec.source_columns, F.col(spec.start).cast("timestamp_ntz").alias("_at"), F.when(past, _HISTORY).otherwise(_STANDING).alias("_kind"), stored.alias("_stored"))
+    nothing = F.lit(None).cast(versions.schema["_stored"].dataType)
+
+    def said(rows: DataFrame, kind: int) -> DataFrame:
+        return rows.select(*spec.source_columns, F.col(at).cast("timestamp_ntz").alias("_at"), F.lit(kind).alias("_kind"), nothing.alias("_stored"))
+
+    rows = versions.unionByName(said(earlier, _EARLIER)).unionByName(said(arrivals, _ARRIVAL))
+    kind = F.col("_kind")
+    # Versions without an entity pass through; they need not meet.
+    rows = rows.withColumn("_apart", F.when(key.isNull() & (kind <= _STANDING), F.xxhash64("_stored")).otherwise(F.lit(0).cast("bigint")))
+    entity = Window.partitionBy(spec.key, "_apart")
+    first, last = F.min(F.when(kind == _ARRIVAL, F.col("_at"))).over(entity), F.max(F.when(kind == _EARLIER, F.col("_at"))).over(entity)
+    rows = rows.withColumns({"_first": first, "_last": last, "_touched": F.bool_or(kind == _ARRIVAL).over(entity) & key.isNotNull()})
+    late = F.coalesce(F.col("_first") <= F.col("_last"), F.lit(False)) & key.isNotNull()
+    passes = ~F.col("_late") & ((kind == _HISTORY) | ((kind == _STANDING) & ~F.col("_touched")))
+    tells = (kind == _ARRIVAL) | ((kind == _EARLIER) & F.col("_late")) | ((kind == _STANDING) & F.col("_touched") & ~F.col("_late"))
+    rows = rows.withColumn("_late", late).withColumn("_passes", passes).filter(F.col("_passes") | tells).drop("_first", "_last", "_touched", "_late", "_kind")
+    made = _made(spec)
+    out = _chained(rows, [spec.key, "_apart", "_passes"], spec, F.col("_passes"))
+    return out.select(*[F.when(F.col("_passes"), F.col(f"_stored.{c}")).otherwise(made.get(c, F.col(c))).alias(c) for c in spec.columns])
 
 
 def join_current(fact: DataFrame, dim: DataFrame, attributes: Sequence[str], spec: DimensionSpec = DIM_APPLICANT,

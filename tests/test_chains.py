@@ -94,3 +94,12 @@ def test_contradictions(spark):
     told = frame(spark, [(1, 1, *a, 1), (1, 2, *a, 1), (2, 3, *a, 1), (2, 4, *b, 1), (3, 5, *b, 2)])
     assert [(r[0], r[1].day) for r in scd2.contradictions(told, "told_at").collect()] == [(2, 1)]
     assert scd2.version_chains(told.filter("applicant_id = 1"), "told_at").count() == 1
+
+
+def test_late_arrivals_meet_their_entities_once(spark):
+    """Each input is read once and nothing is joined, so a task sorts its share twice, however the parts of a dimension are made."""
+    told = statements(5)
+    even, odd = frame(spark, told[::2]), frame(spark, told[1::2])
+    dim = scd2.version_chains(even, "told_at")
+    plan = scd2.apply_arrivals(dim, odd, "told_at", earlier=even)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 2
