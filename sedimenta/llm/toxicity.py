@@ -195,11 +195,12 @@ class Scorer:
 def labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str) -> DataFrame:
     """Per row of ``docs``: _id, _text (NULL: empty), label (0, 1; NULL where there is none or no text), half (of the labelled ids by their hash).
 
-    An id that is labelled several times has its largest label. Labels are sent to the texts as a bit per row, so no text moves."""
+    An id that is labelled several times has its largest label, and a text that comes several times with one id is labelled once. Labels are sent to the texts as a bit per row, so no text moves."""
     rows = with_row_number(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")))
     key = F.col("_id").cast("string")
     given = labels.select(F.col(id_col).cast("string").alias("_key"), F.col(label_col).cast("int").alias("label")).filter("_key is not null and label in (0, 1)").groupBy("_key").agg(F.max("label").alias("label"))
-    known = stage(rows.filter("_text is not null").select(ROW, key.alias("_key")).join(given, "_key").select(ROW, "label"))
+    known = rows.filter("_text is not null").select(ROW, key.alias("_key"), F.xxhash64("_text").alias("_same")).join(given, "_key")
+    known = stage(known.groupBy("_key", "label", "_same").agg(F.min(ROW).alias(ROW)).select(ROW, "label"))
     rows = flagged(flagged(rows, known.filter("label = 1"), "_toxic"), known.filter("label = 0"), "_clean")
     label = F.when(F.col("_toxic"), 1).when(F.col("_clean"), 0)
     return rows.select("_id", F.coalesce("_text", F.lit("")).alias("_text"), label.cast("int").alias("label"), F.pmod(F.xxhash64(key, F.lit("half")), F.lit(2)).cast("int").alias("half"))

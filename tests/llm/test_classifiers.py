@@ -97,7 +97,7 @@ def test_the_toxicity_model_learns_from_every_labelled_text(spark, stored):
     """Past any number of labelled ids, and from each text of an id: the last by the hash of their id have words of their own."""
     ids = [r["id"] for r in spark.range(9_000).orderBy(F.xxhash64(F.col("id").cast("string"))).collect()]
     rows = [(i, f"plain talk of day {k % 7}" + (" moron" if k % 2 and k < 8_800 else " bozo" if k % 2 else ""), "en", "s", 0) for k, i in enumerate(ids)]
-    rows += [(ids[1], "you zyzzy", "en", "s", 0)] * 6
+    rows += [(ids[1], f"you zyzzy {j}", "en", "s", 0) for j in range(6)]
     docs, labels = stored(rows, DOCS), stored([(i, k % 2) for k, i in enumerate(ids)], "doc_id long, toxic int")
     model = toxicity.train(docs, labels)
     seen, fresh = ["bozo", "moron"], stored([(1, "a bozo here", "en", "s", 0), (2, "a moron here", "en", "s", 0), (3, "a day here", "en", "s", 0)], DOCS)
