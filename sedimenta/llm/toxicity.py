@@ -8,18 +8,19 @@ from __future__ import annotations
 
 import math
 import re
-import uuid
 import zlib
 from collections import Counter
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sedimenta.llm.textscan import pack, unpack
+from sedimenta.llm.textscan import gathered, pack, runs, unpack
 from sedimenta.llm.work import ROW, flagged, stage, with_row_number
 
 #: Look-alikes and the letters they can stand for.
@@ -30,6 +31,8 @@ SWAP, REMOVE, REPEAT = 0.7, 0.2, 0.3
 #: Characters decoded at a time, and how far windows of a longer token or run overlap: more than any hidden word is long.
 WINDOW, OVERLAP = 200, 60
 SPACED = re.compile(r"(?<!\S)\S(?:[ \t]\S){2,}(?=[.,;:!?\"')\]]*(?!\S))")
+#: How every spaced run ends; cheaper to look for than its beginning.
+SPACED_END = re.compile(r"[ \t]\S[ \t]\S(?=[.,;:!?\"')\]]*(?!\S))")
 #: A look-alike, a separator or a repeated letter: without one a token stands for itself alone.
 HIDDEN = re.compile(r"[0-9@$!|+(€£¥¢.\-_*~^'`,/\\]|([^\W\d_])\1")
 #: Marks around a word that hide nothing of it.
@@ -39,6 +42,10 @@ BITS = 20
 #: Parts that the counts of all buckets are sent in, and how many tasks' counts are added up at a time.
 CHUNKS, FAN_IN = 16, 256
 MEMO = 400_000
+#: Bytes of words that are looked up together, and parts of words whose buckets are found at a time.
+TOGETHER, PARTS = 3_000_000, 1 << 16
+#: Lengths of the beginnings and ends of words that are features.
+EDGES = (3, 4, 5, 6)
 
 
 @dataclass
@@ -82,6 +89,16 @@ def restore(token: str, model: CharacterModel) -> str:
     previous = ""
     for c in token:
         following: dict[str, tuple[float, str]] = {}
+        if c != previous and c.isalpha() and previous not in SEPARATORS:  # one way on from each state
+            for state, (cost, out) in best.items():
+                gram = state + c
+                price = model.memo.get(gram)
+                cost += model.cost(state, c) if price is None else price
+                held = following.get(gram[1:])
+                if held is None or cost < held[0]:
+                    following[gram[1:]] = (cost, out + c)
+            best, previous = following, c
+            continue
 
         def reach(state: str, cost: float, out: str) -> None:
             if state not in following or cost < following[state][0]:
@@ -113,18 +130,19 @@ def plain_words(tokens: set[str]) -> set[str]:
 def words_of(text: str, model: CharacterModel, memo: dict[str, tuple[str, ...]]) -> set[str]:
     """The distinct words of a text and what hidden ones restore to."""
     lower = text.lower()
-    found: set[str] = set()
-    for t in set(lower.split()):
-        words = memo.get(t)
-        if words is None:
-            bare = t.strip(AROUND)
-            words = (t.strip(ENDS), *(restored_words(bare, model) if HIDDEN.search(bare) else ()))
-            if len(t) <= WINDOW:
-                if len(memo) >= MEMO:
-                    memo.clear()
-                memo[t] = words
+    tokens = set(lower.split())
+    new = tokens.difference(memo)
+    tokens -= new
+    found = set(chain.from_iterable(map(memo.__getitem__, tokens)))
+    for t in new:
+        bare = t.strip(AROUND)
+        words = (t.strip(ENDS), *(restored_words(bare, model) if HIDDEN.search(bare) else ()))
+        if len(t) <= WINDOW:
+            if len(memo) >= MEMO:
+                memo.clear()
+            memo[t] = words
         found.update(words)
-    for run in SPACED.findall(lower):
+    for run in SPACED.findall(lower) if SPACED_END.search(lower) else ():
         found.update(restored_words(run, model))
     found.discard("")
     return found
@@ -140,17 +158,78 @@ def restored_words(token: str, model: CharacterModel) -> tuple[str, ...]:
     return tuple(found)
 
 
+def _byte_table() -> np.ndarray:
+    table = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        table = np.where(table & 1, (table >> 1) ^ np.uint32(0xEDB88320), table >> 1).astype(np.uint32)
+    return table
+
+
+_BYTE = _byte_table()
+#: What a CRC holds, before it is inverted at its end, of nothing and of the mark ahead of a word.
+_NONE, _HEAD = np.uint32(0xFFFFFFFF), np.uint32(~zlib.crc32(b"^") & 0xFFFFFFFF)
+
+
+def _advanced(crc: np.ndarray, data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """CRCs (not yet inverted) carried on over ``data[begin:end]``, each over its own bytes."""
+    crc, size, some = crc.copy(), end - begin, np.arange(len(crc))
+    for j in range(int(size.max(initial=0))):
+        if (size[some] <= j).any():
+            some = some[size[some] > j]
+        now = crc[some]
+        crc[some] = _BYTE[(now ^ data[begin[some] + j]).astype(np.uint8)] ^ (now >> np.uint32(8))
+    return crc
+
+
+def _ended(crc: np.ndarray, mark: bytes = b"") -> np.ndarray:
+    for x in mark:
+        crc = _BYTE[(crc ^ np.uint32(x)).astype(np.uint8)] ^ (crc >> np.uint32(8))
+    return (~crc >> np.uint32(32 - BITS)).astype(np.int32)
+
+
+def buckets_of(words: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+    """Per part of each word, in order: the number of the word, and in a row the buckets of the part, its beginnings and its ends
+    (-1: none). A long word has overlapping parts, any other is one part."""
+    if not len(words):
+        return np.empty(0, np.int64), np.empty((0, 1 + 2 * len(EDGES)), np.int32)
+    words = words.cast(pa.string())
+    offsets = np.frombuffer(words.buffers()[1], np.int32)[words.offset: words.offset + len(words) + 1].astype(np.int64)
+    data = np.frombuffer(words.buffers()[2] or b"", np.uint8)[: offsets[-1]]
+    at = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))  # where characters begin
+    first = np.searchsorted(at, offsets)
+    length = np.diff(first)
+    n = np.maximum(1, -(-(length - 32) // 32))
+    owners = np.repeat(np.arange(len(words)), n)
+    skipped = 32 * (np.arange(len(owners)) - np.repeat(np.cumsum(n) - n, n))
+    found = np.full((len(owners), 1 + 2 * len(EDGES)), -1, np.int32)
+    for run in runs(len(owners), PARTS):
+        owner, own = owners[run], found[run]
+        begin = first[owner] + skipped[run]
+        size = np.minimum(64, length[owner] - skipped[run])
+        end = begin + size
+        head, done = np.full(len(owner), _HEAD), begin.copy()
+        for i, edge in enumerate(EDGES):
+            some = np.flatnonzero(size > edge)
+            head[some] = _advanced(head[some], data, at[done[some]], at[begin[some] + edge])
+            done[some] = begin[some] + edge
+            tail = _advanced(np.full(len(some), _NONE), data, at[end[some] - edge], at[end[some]])
+            own[some, 1 + 2 * i], own[some, 2 + 2 * i] = _ended(head[some]), _ended(tail, b"$")
+        own[:, 0] = _ended(_advanced(head, data, at[done], at[end]), b"$")
+    return owners, found
+
+
 def features(word: str) -> list[int]:
     """Buckets of a word, its beginnings and its ends; of a long one those of overlapping parts."""
-    found: list[int] = []
-    for begin in range(0, max(1, len(word) - 32), 32):
-        part = word[begin: begin + 64]
-        parts = [f"^{part}$"]
-        for n in (3, 4, 5, 6):
-            if len(part) > n:
-                parts += [f"^{part[:n]}", f"{part[-n:]}$"]
-        found += [zlib.crc32(p.encode()) >> (32 - BITS) for p in parts]
-    return found
+    return [x for x in buckets_of(pa.array([word]))[1].ravel().tolist() if x >= 0]
+
+
+def together(texts: pa.StringArray) -> Iterator[tuple[slice, np.ndarray, pa.DictionaryArray]]:
+    """Texts of words set apart by a space, some at a time: which, whose each word is (from 0), the words."""
+    for some in gathered(pc.binary_length(texts).to_pylist(), TOGETHER):
+        apart = pc.split_pattern(texts.slice(some.start, some.stop - some.start), " ")
+        kept = pc.not_equal(apart.flatten(), "")  # the one word of a text without words
+        whose = pc.list_parent_indices(apart).filter(kept).to_numpy(zero_copy_only=False)
+        yield some, whose.astype(np.int64), apart.flatten().filter(kept).dictionary_encode()
 
 
 @dataclass(frozen=True)
@@ -165,31 +244,23 @@ class ToxicityModel:
     trigrams: dict[str, int]
 
 
-class Scorer:
-    """A model's memos in one worker process."""
-
-    def __init__(self, evidence: np.ndarray, trigrams: dict[str, int]):
-        self.evidence, self.model = evidence.tolist(), CharacterModel(trigrams)
-        self.restored: dict[str, tuple[str, ...]] = {}
-        self.known: dict[str, float] = {}
-
-    def word(self, word: str) -> float:
-        value = self.known.get(word)
-        if value is None:
-            if len(self.known) >= MEMO:
-                self.known.clear()
-            evidence = self.evidence
-            self.known[word] = value = max([evidence[i] for i in features(word)])
-        return value
-
-    def strongest(self, text: str) -> list[float]:
-        """Evidence of the three strongest distinct words (0 where there are fewer), and the number of strong ones, damped."""
-        return self.strongest_of(words_of(text, self.model, self.restored))
-
-    def strongest_of(self, words: Iterable[str]) -> list[float]:
-        values = list(map(self.word, words))
-        top = sorted((v for v in values if v > 0), reverse=True)
-        return [*(top + [0.0] * 3)[:3], math.log1p(sum(v > 3 for v in top))]
+def strongest(texts: pa.StringArray, evidence: np.ndarray) -> np.ndarray:
+    """Per text of distinct words set apart by a space: evidence of its three strongest words (0 where there are fewer), and the
+    number of strong ones, damped."""
+    found, known = np.zeros((len(texts), 4)), np.append(evidence, evidence.dtype.type(0))  # last: where a part has no bucket
+    for some, whose, words in together(texts):
+        of_word, (owner, buckets) = np.zeros(len(words.dictionary), evidence.dtype), buckets_of(words.dictionary)
+        np.maximum.at(of_word, owner, known[buckets].max(axis=1))
+        values = of_word[words.indices.to_numpy()]
+        held = np.flatnonzero(values > 0)
+        held = held[np.lexsort((-values[held], whose[held]))]
+        text, value = whose[held], values[held].astype(np.float64)
+        place = np.arange(len(held)) - np.searchsorted(text, text)
+        top = place < 3
+        own = found[some]
+        own[text[top], place[top]] = value[top]
+        own[:, 3] = [math.log1p(n) for n in np.bincount(text[value > 3], minlength=len(own)).tolist()]
+    return found
 
 
 def labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str) -> DataFrame:
@@ -233,20 +304,24 @@ def trigrams_of(rows: DataFrame) -> dict[str, int]:
     return {r["gram"]: r["n"] for r in found.groupBy("gram").agg(F.sum("n").alias("n")).collect()}
 
 
-def restored(rows: DataFrame, trigrams: dict[str, int]) -> DataFrame:
-    """``rows`` with the words of each text, restored ones too, in ``words`` in place of the text. They depend on no label, so
-    what learns and what scores can read one copy of them."""
-    shared, kind = rows.sparkSession.sparkContext.broadcast(trigrams), rows.schema["_id"].dataType.simpleString()
+def spelled(rows: DataFrame, trigrams: dict[str, int]) -> DataFrame:
+    """``rows`` with the words of each text, restored ones too, in ``words`` in place of ``_text``."""
+    shared, kept = rows.sparkSession.sparkContext.broadcast(trigrams), [c for c in rows.columns if c != "_text"]
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, memo = CharacterModel(shared.value), {}
         for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                some = batch.slice(at, 1024)
-                found = [" ".join(sorted(words_of(t, model, memo))) for t in some.column(1).to_pylist()]
-                yield pa.record_batch([some.column(0), some.column(2), some.column(3), pa.array(found, pa.string())], names=["_id", "label", "half", "words"])
+            for run in runs(batch.num_rows, 1024):
+                some = batch.slice(run.start, run.stop - run.start)
+                found = [" ".join(sorted(words_of(t, model, memo))) for t in some.column("_text").to_pylist()]
+                yield pa.record_batch([*map(some.column, kept), pa.array(found, pa.string())], names=[*kept, "words"])
 
-    return stage(rows.mapInArrow(words, f"_id {kind}, label int, half int, words string"))
+    return rows.mapInArrow(words, ", ".join([*(f"{c} {rows.schema[c].dataType.simpleString()}" for c in kept), "words string"]))
+
+
+def restored(rows: DataFrame, trigrams: dict[str, int]) -> DataFrame:
+    """What ``spelled`` gives, written once. Words depend on no label, so what learns and what scores can read one copy of them."""
+    return stage(spelled(rows, trigrams))
 
 
 def bucket_counts(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -255,22 +330,24 @@ def bucket_counts(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts, seen = np.zeros((2, 2), np.uint32), np.zeros((2, 2, 1 << BITS), np.uint32)
-        known: dict[str, list[int]] = {}
         part = 0
         for batch in batches:
             part = batch.column(0)[0].as_py() if batch.num_rows else part
-            for label, half, words in zip(*(c.to_pylist() for c in batch.columns[1:])):
-                held: set[int] = set()
-                for w in words.split():
-                    own = known.get(w)
-                    if own is None:
-                        if len(known) >= MEMO:
-                            known.clear()
-                        known[w] = own = features(w)
-                    held.update(own)
-                texts[half, label] += 1
-                if held:
-                    seen[half, label][np.fromiter(held, np.int64, len(held))] += 1
+            label, half = (np.asarray(c) for c in batch.columns[1:3])
+            np.add.at(texts, (half, label), 1)
+            for some, whose, words in together(batch.column(3)):
+                owner, buckets = buckets_of(words.dictionary)
+                word = words.indices.to_numpy()
+                n = np.bincount(owner, minlength=len(words.dictionary))
+                times, ahead = n[word], (np.cumsum(n) - n)[word]
+                rows = np.repeat(ahead - np.cumsum(times) + times, times) + np.arange(times.sum())
+                held = buckets[rows]
+                held = ((np.repeat(whose, times) << BITS)[:, None] | held)[held >= 0]
+                held.sort()
+                held = held[np.diff(held, prepend=-1) > 0]
+                group = (2 * half[some] + label[some])[held >> BITS]
+                for g in (0, 1, 2, 3):
+                    seen[g // 2, g % 2] += np.bincount(held[group == g] & ((1 << BITS) - 1), minlength=1 << BITS).astype(np.uint32)
         groups = [(h, x) for h in (0, 1) for x in (0, 1) if texts[h, x]]
         for h, x in groups:
             yield pa.record_batch([pa.array([part] * CHUNKS, pa.int64()), pa.array([(2 * h + x) * CHUNKS + i for i in range(CHUNKS)], pa.int32()), pa.array([int(texts[h, x])] * CHUNKS, pa.int64()),
@@ -317,10 +394,11 @@ def fitted(words: DataFrame, trigrams: dict[str, int], share: float) -> Toxicity
     shared = words.sparkSession.sparkContext.broadcast(parts)
 
     def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorers = [Scorer(shared.value[1], {}), Scorer(shared.value[0], {})]
         for batch in batches:
-            label, half, found = (c.to_pylist() for c in batch.columns)
-            yield pa.record_batch([pa.array(label, pa.int32()), pa.array([scorers[h].strongest_of(w.split()) for h, w in zip(half, found)], pa.list_(pa.float64()))], names=["label", "x"])
+            half, x = np.asarray(batch.column(1)), np.zeros((batch.num_rows, 4))
+            for h in (0, 1):
+                x[half == h] = strongest(batch.column(2).filter(pa.array(half == h)), shared.value[1 - h])
+            yield pa.record_batch([batch.column(0), pa.array(list(x), pa.list_(pa.float64()))], names=["label", "x"])
 
     rows = stage(words.filter("label is not null").select("label", "half", "words").mapInArrow(described, "label int, x array<double>"))
     return ToxicityModel(evidence, _logistic(rows, texts.sum(0), share), trigrams)
@@ -344,7 +422,7 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     trigrams = trigrams_of(rows)
     words = restored(rows, trigrams)
     model = fitted(words, trigrams, _rate(labels, label_col))
-    return _scores(words.select("_id", "words"), model, lambda scorer, words: scorer.strongest_of(words.split()), threshold).withColumnRenamed("_id", id_col)
+    return _scores(words.select("_id", "words"), model, threshold).withColumnRenamed("_id", id_col)
 
 
 def _logistic(rows: DataFrame, given: np.ndarray, share: float) -> np.ndarray:
@@ -384,29 +462,22 @@ def _logistic(rows: DataFrame, given: np.ndarray, share: float) -> np.ndarray:
     return w
 
 
-_SCORERS: dict = {}
-
-
 def score(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.3) -> DataFrame:
     """Per row of ``docs``: the id, score (0 to 1), predicted (1 from ``threshold`` on). NULL and empty texts have no words and get
     the model's score for that. Whole texts are read; only the text enters a score."""
     rows = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-    return _scores(rows, model, Scorer.strongest, threshold).withColumnRenamed("_id", id_col)
+    return _scores(spelled(rows, model.trigrams), model, threshold).withColumnRenamed("_id", id_col)
 
 
-def _scores(rows: DataFrame, model: ToxicityModel, strongest: Callable[[Scorer, str], list[float]], threshold: float) -> DataFrame:
-    """(_id, score, predicted) of rows of an id and what ``strongest`` reads."""
-    shared, name = rows.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
+def _scores(rows: DataFrame, model: ToxicityModel, threshold: float) -> DataFrame:
+    """(_id, score, predicted) of rows of an id and a text's words."""
+    shared = rows.sparkSession.sparkContext.broadcast((model.evidence, model.weights))
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
-        if name not in _SCORERS:  # one per worker process, so that its memos last over tasks
-            _SCORERS.clear()
-            _SCORERS[name] = Scorer(m.evidence, m.trigrams)
-        scorer = _SCORERS[name]
+        evidence, weights = shared.value
         for batch in batches:
-            x = np.array([[*strongest(scorer, t), 1.0] for t in batch.column(1).to_pylist()]).reshape(batch.num_rows, 5)
-            p = 1 / (1 + np.exp(-np.clip(x @ m.weights, -30, 30)))
+            x = np.hstack([strongest(batch.column(1), evidence), np.ones((batch.num_rows, 1))])
+            p = 1 / (1 + np.exp(-np.clip(x @ weights, -30, 30)))
             yield pa.record_batch([batch.column(0), pa.array(p), pa.array((p >= threshold).astype(np.int32))], names=["_id", "score", "predicted"])
 
     kind = rows.schema["_id"].dataType.simpleString()

@@ -1,9 +1,12 @@
 """Toxicity and language: restored words, held-out accuracy, defined results for odd rows."""
 
+import math
+import zlib
 from collections import Counter
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -108,6 +111,40 @@ def test_the_toxicity_model_learns_from_every_labelled_text(spark, stored):
     assert both == pytest.approx({r["doc_id"]: r["score"] for r in toxicity.score(docs, model).collect() if r["doc_id"] != ids[1]})
 
 
+def test_buckets_and_evidence_of_many_words_at_once_equal_their_definition(spark):
+    """Words of any length and script, texts without words, more parts than are worked on at a time."""
+    words = ["x", "ab", "abc", "abcd", "abcdefg", "é", "ñandú", "日本語テスト", "😀😀😀😀😀", "$", *("a" * n for n in (63, 64, 65, 96, 97)), "é日" * 50, *(f"word{i}" for i in range(300))]
+
+    def buckets(word):
+        for begin in range(0, max(1, len(word) - 32), 32):
+            part = word[begin: begin + 64]
+            edges = [e for n in (3, 4, 5, 6) if len(part) > n for e in (f"^{part[:n]}", f"{part[-n:]}$")]
+            yield [zlib.crc32(e.encode()) >> (32 - toxicity.BITS) for e in [f"^{part}$", *edges]]
+
+    want = [(i, b) for i, w in enumerate(words) for b in buckets(w)]
+    owners, found = toxicity.buckets_of(pa.array(["ahead", *words]).slice(1))
+    assert [(i, [x for x in row if x >= 0]) for i, row in zip(owners.tolist(), found.tolist())] == want
+
+    evidence = np.random.default_rng(1).normal(1, 2, 1 << toxicity.BITS).clip(0).astype(np.float32)
+    texts = ["", *(" ".join(words[i: i + i % 7]) for i in range(len(words))), " ".join(words), ""]
+    of_word = {w: max(float(evidence[x]) for b in buckets(w) for x in b) for w in words}
+    top = [sorted((of_word[w] for w in t.split()), reverse=True) for t in texts]
+    assert toxicity.strongest(pa.array(texts), evidence).tolist() == [[*(v + [0.0] * 3)[:3], math.log1p(sum(x > 3 for x in v))] for v in top]
+
+    labels, halves = [i % 3 % 2 for i in range(len(texts))], [i % 2 for i in range(len(texts))]
+    counts, seen = toxicity.bucket_counts(spark.createDataFrame(list(zip(labels, halves, texts)), "label int, half int, words string"))
+    of_texts = Counter((h, x, i) for h, x, t in zip(halves, labels, texts) for i in {i for w in t.split() for b in buckets(w) for i in b})
+    assert {(*map(int, at),): int(seen[at]) for at in zip(*np.nonzero(seen))} == of_texts
+    assert counts.tolist() == [[sum(h == a and x == b for h, x in zip(halves, labels)) for b in (0, 1)] for a in (0, 1)]
+
+
+def test_a_words_buckets_are_found_once_for_the_texts_that_hold_it(monkeypatch):
+    asked, plain = [], toxicity.buckets_of
+    monkeypatch.setattr(toxicity, "buckets_of", lambda words: asked.extend(words.to_pylist()) or plain(words))
+    toxicity.strongest(pa.array(["a moron and", "and a moron", "moron"] * 500), np.ones(1 << toxicity.BITS, np.float32))
+    assert sorted(asked) == ["a", "and", "moron"]
+
+
 @driver_tables
 def test_languages_of_held_out_documents(spark):
     rows = queries.op8_language(spark, SF).join(spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang"), "doc_id").filter("held_out").collect()
